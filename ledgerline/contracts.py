@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.sql import DataFrame
+
 # File contracts of the five sources. Every landing and Bronze column is text.
 TRANSACTION_COLUMNS = [
     "id", "date", "client_id", "card_id", "amount", "use_chip", "errors", "merchant",
@@ -142,3 +144,12 @@ PUBLISHED_REASONS = {
     "card_unknown": "cartao_inexistente",
     "use_chip_invalid": "use_chip_accepted_values",
 }
+
+
+def published(df: DataFrame) -> DataFrame:
+    """The same rows under the published column, rule and reason names."""
+    named = df
+    for column, names in (("rule", PUBLISHED_RULES), ("reason", PUBLISHED_REASONS)):
+        if column in df.columns:
+            named = named.replace(names, subset=[column])
+    return named.withColumnsRenamed(PUBLISHED_COLUMNS)

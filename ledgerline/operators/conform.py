@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.contracts import CARD_COLUMNS, INGESTED_AT, LINEAGE, RESCUED, SOURCE_FILE
+from ledgerline.contracts import INGESTED_AT, LINEAGE, MERCHANT_FIELDS, RESCUED
 from ledgerline.functions import scalars as s
 
 
@@ -103,15 +103,9 @@ def codes(raw: DataFrame) -> DataFrame:
 
 def to_landing_transactions(flat: DataFrame, extra: list[str] | None = None) -> DataFrame:
     """Flat source columns to the file contract: the merchant columns nested in one object."""
-    from ledgerline.contracts import MERCHANT_FIELDS
-
     return flat.select(
         "id", "date", "client_id", "card_id", "amount", "use_chip", "errors",
         F.struct(*MERCHANT_FIELDS).alias("merchant"),
         *(extra or []),
     )
 
-
-BRONZE_CARD_COLUMNS = [c for c in CARD_COLUMNS if c not in ("card_number", "cvv")] + [
-    "card_bin", "card_last4", SOURCE_FILE, INGESTED_AT,
-]

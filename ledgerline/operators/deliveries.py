@@ -121,18 +121,23 @@ EXPECTATIONS = "array<struct<name: string, dataset: string, passed_records: bigi
 EXPECTATIONS_PATH = "$.flow_progress.data_quality.expectations"
 
 
-def rule_log(counts: DataFrame, run: str, dataset: str, at: Column) -> DataFrame:
-    """Rule counters as event log rows: one row per run with all its rules (a few) in ``details``."""
+def rule_log(counts: DataFrame, run: str, dataset: Column, at: Column,
+             by: list[str] | None = None) -> DataFrame:
+    """Rule counters as event log rows: a row per run (and ``by``) with its few rules in ``details``.
+
+    ``at`` is an aggregate or a constant.
+    """
     line = F.struct(
-        F.col("rule").alias("name"), F.lit(dataset).alias("dataset"),
+        F.col("rule").alias("name"), dataset.alias("dataset"),
         F.col("passed").alias("passed_records"), F.col("failed").alias("failed_records"),
     )
-    packed = counts.groupBy(F.col(run).alias("_run")).agg(F.collect_list(line).alias("_lines"))
+    packed = counts.groupBy(F.col(run).alias("_run"), *(by or [])).agg(
+        F.collect_list(line).alias("_lines"), at.alias("_at"))
     details = F.to_json(F.struct(F.struct(F.struct(
         F.col("_lines").alias("expectations")
     ).alias("data_quality")).alias("flow_progress")))
     return packed.select(
-        at.alias("timestamp"),
+        F.col("_at").alias("timestamp"),
         F.struct(F.col("_run").alias("update_id")).alias("origin"),
         F.lit("flow_progress").alias("event_type"),
         details.alias("details"),

@@ -2,8 +2,9 @@
 
 ``lag`` over a key puts all rows of that key in one task. Here the rows of a key that has very
 many are cut into segments along the order, each segment is a window group of its own, and what
-a segment must know of its neighbours enters it as one extra carry row. The result is the same
-as that of the plain window.
+a segment must know of its neighbours is joined to it from a small table. The result is the same
+as that of the plain window, and where no key is hot the work is the same too: one shuffle and
+one sort, which a look-back and a look-ahead share.
 """
 
 from __future__ import annotations
@@ -14,93 +15,95 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-_PARTS, _SEG, _CARRY = "_parts", "_seg", "_carry"
+_PARTS, _SEG = "_parts", "_seg"
 
 
 @dataclass(frozen=True)
 class GroupLimit:
-    """A key with more than ``rows`` rows is split into pieces of about that size.
+    """A key with more than ``rows`` rows is split into segments of about that size.
 
-    Only the ``keys`` largest keys are split, which bounds what is broadcast; any other key holds
-    less than one ``keys``-th of the table.
+    Only the ``keys`` largest keys are split, into at most ``segments`` plus ``keys`` segments
+    together. That bounds both tables that are broadcast. Any other key holds less than one
+    ``keys``-th of the rows.
     """
 
     rows: int = 2_000_000
     keys: int = 4096
+    segments: int = 100_000
 
 
 class OrderedGroups:
     """Rows grouped by ``keys`` and ordered by ``order``.
 
     ``position`` is a number that never falls along ``order`` (for a leading timestamp its
-    microseconds); rows of equal position stay in one segment.
+    seconds); rows of equal position stay in one segment.
     """
 
     def __init__(self, df: DataFrame, keys: list[str], order: list[str], position: Column,
                  limit: GroupLimit = GroupLimit()):
-        self.keys, self.order = keys, order
-        self.columns = df.columns
-        hot = (
-            df.select(*keys, position.cast("double").alias("_pos"))
+        self.keys, self.order, self.columns = keys, order, df.columns
+        at = position.cast("double")
+        largest = (
+            df.select(*keys, at.alias("_pos"))
             .groupBy(*keys)
             .agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_lo"), F.max("_pos").alias("_hi"))
             .where(F.col("_n") > limit.rows)
             .orderBy(F.desc("_n"), *keys)
             .limit(limit.keys)
-            .select(*keys, "_lo", "_hi", F.ceil(F.col("_n") / limit.rows).cast("int").alias(_PARTS))
         )
-        # at most limit.keys rows of a few numbers each
-        spread = (position.cast("double") - F.col("_lo")) / (F.col("_hi") - F.col("_lo") + 1)
+        share = F.sum("_n").over(W.partitionBy()) / limit.segments  # over limit.keys rows at most
+        hot = largest.withColumn(_PARTS, F.ceil(F.col("_n") / F.greatest(F.lit(limit.rows), share)).cast("int"))
+        along = (at - F.col("_lo")) / (F.col("_hi") - F.col("_lo") + 1)
         self.rows = (
-            df.join(F.broadcast(hot), keys, "left")
-            .withColumn(_SEG, F.floor(spread * F.col(_PARTS)).cast("int"))
+            df.join(F.broadcast(hot.drop("_n")), keys, "left")
+            .withColumn(_SEG, F.floor(along * F.col(_PARTS)).cast("int"))
             .drop("_lo", "_hi")
         )
 
-    def _window(self, reverse: bool) -> W:
-        order = [F.desc(c) if reverse else F.asc(c) for c in self.order]
-        return W.partitionBy(*self.keys, _PARTS, _SEG).orderBy(F.col(_CARRY).desc(), *order)
-
-    def _neighbour(self, state: Column, out: str, reverse: bool) -> "OrderedGroups":
-        rows = self.rows.withColumn("_state", state).withColumn(_CARRY, F.lit(0))
-        edge = F.min_by if reverse else F.max_by
+    def _edges(self, state: Column, reverse: bool) -> DataFrame:
+        """For each segment of a hot key, the state nearest to it in the segments before (after) it."""
+        nearest = F.min_by if reverse else F.max_by
         ordered = F.when(F.col("_state").isNotNull(), F.struct(*self.order))
-        by_segment = W.partitionBy(*self.keys, _PARTS).orderBy(
-            F.desc(_SEG) if reverse else F.asc(_SEG)
-        ).rowsBetween(W.unboundedPreceding, -1)
-        carries = (
-            rows.where(F.col(_PARTS).isNotNull())
+        outward = W.partitionBy(*self.keys, _PARTS).orderBy(F.desc(_SEG) if reverse else F.asc(_SEG))
+        return (
+            self.rows.where(F.col(_PARTS).isNotNull())
+            .withColumn("_state", state)
             .groupBy(*self.keys, _PARTS, _SEG)
-            .agg(edge("_state", ordered).alias("_edge"))
-            .withColumn("_state", F.last("_edge", ignorenulls=True).over(by_segment))
-            .where(F.col("_state").isNotNull())
-            .drop("_edge")
-            .withColumn(_CARRY, F.lit(1))
+            .agg(nearest("_state", ordered).alias("_own"))
+            .withColumn("_edge", F.last("_own", ignorenulls=True).over(
+                outward.rowsBetween(W.unboundedPreceding, -1)))
+            .drop("_own")
         )
-        before = self._window(reverse).rowsBetween(W.unboundedPreceding, -1)
-        seen = (
-            rows.unionByName(carries, allowMissingColumns=True)
-            .withColumn(out, F.last("_state", ignorenulls=True).over(before))
-            .where(F.col(_CARRY) == 0)
-            .drop("_state", _CARRY)
+
+    def _with_edge(self, state: Column, out: str, inside: Column, reverse: bool) -> "OrderedGroups":
+        edges = F.broadcast(self._edges(state, reverse))
+        rows = (
+            self.rows.withColumn(out, inside)
+            .join(edges, [*self.keys, _PARTS, _SEG], "left")
+            .withColumn(out, F.coalesce(out, "_edge"))
+            .drop("_edge")
         )
-        return self._with(seen, self.columns + [out])
+        return self._derive(rows, [*self.columns, out])
+
+    def _window(self) -> W:
+        return W.partitionBy(*self.keys, _PARTS, _SEG).orderBy(*self.order)
 
     def previous(self, state: Column, out: str) -> "OrderedGroups":
         """Add the last non-NULL ``state`` of the earlier rows of the key."""
-        return self._neighbour(state, out, reverse=False)
+        before = self._window().rowsBetween(W.unboundedPreceding, -1)
+        return self._with_edge(state, out, F.last(state, ignorenulls=True).over(before), False)
 
     def following(self, state: Column, out: str) -> "OrderedGroups":
-        """Add the first non-NULL ``state`` of the later rows of the key."""
-        return self._neighbour(state, out, reverse=True)
+        """Add the ``state`` of the next row of the key; ``state`` must not be NULL."""
+        return self._with_edge(state, out, F.lead(state).over(self._window()), True)
 
     def where(self, condition: Column) -> "OrderedGroups":
-        return self._with(self.rows.where(condition), self.columns)
+        return self._derive(self.rows.where(condition), self.columns)
 
     def df(self) -> DataFrame:
         return self.rows.select(*self.columns)
 
-    def _with(self, rows: DataFrame, columns: list[str]) -> "OrderedGroups":
+    def _derive(self, rows: DataFrame, columns: list[str]) -> "OrderedGroups":
         other = object.__new__(OrderedGroups)
         other.keys, other.order, other.columns, other.rows = self.keys, self.order, columns, rows
         return other

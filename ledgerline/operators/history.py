@@ -47,6 +47,7 @@ def versions(df: DataFrame, keys: list[str], order: list[str], tracked: list[str
 
     Adds ``valid_from``, ``valid_to`` (NULL while current) and ``is_current``. A re-delivery equal
     to the version it follows opens none; the record that opened a version keeps its lineage.
+    Keys must not be NULL.
     """
     start = valid_from or order[0]
     groups = OrderedGroups(df, keys, order, position, limit)

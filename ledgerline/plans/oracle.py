@@ -383,4 +383,18 @@ SQL = {
     "rescued_data": f"""WITH {RAW} SELECT id, amount, CASE WHEN event_date >= DATE '2024-01-16'
         THEN {DEVICE} END AS rescued_device_type FROM raw WHERE seq = 0""",
     "silver_transactions": f"WITH {TYPED} SELECT id, event_ts, amount, card_id, use_chip, merchant_zip FROM current_tx",
+    "silver_quarantine": f"""WITH {TYPED} SELECT id, amount, event_ts, card_id, use_chip, reason
+        FROM judged WHERE reason IS NOT NULL""",
+    "silver_quality_metrics": f"""WITH {TYPED}, runs AS (
+          SELECT *, CASE WHEN seq = 0 THEN 'run-1' ELSE 'run-2' END AS run_id FROM tx_rules),
+        lines AS ({_rules("runs", TX_RULES, "run_id")})
+        SELECT run_id, 'transactions' AS table_name, rule, passed, failed,
+          round(100.0 * CAST(failed AS DOUBLE) / nullif(passed + failed, 0), 4) AS pct_failed FROM lines""",
+    "silver_cards": f"""WITH {CARDS} SELECT * EXCLUDE (n) REPLACE (CAST(12400 AS DECIMAL(12,2)) AS credit_limit)
+        FROM typed_cards""",
+    "silver_clients": f"""WITH {CLIENTS} SELECT id, yearly_income, total_debt, DATE '2017-01-01' AS valid_from_date,
+          yearly_income = 64200 AS is_current, yearly_income = 64200 AS is_open FROM raw_clients
+        UNION ALL SELECT id, 64200, total_debt, DATE '2017-01-03', true, true FROM raw_clients
+          WHERE yearly_income <> 64200""",
+    "silver_labels": f"WITH {LABELS} SELECT * FROM lab",
 }

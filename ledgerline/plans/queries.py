@@ -16,6 +16,7 @@ from ledgerline.plans import gold
 from ledgerline.plans import inputs as i
 from ledgerline.session import work_dir
 from ledgerline.sources import drift, files, snapshots
+from ledgerline.sources.versions import VersionedTable
 from ledgerline.streaming import bronze, silver
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -271,7 +272,7 @@ def quality_metrics(spark, sf_dir):
     tx = i.typed_transactions(spark, sf_dir).withColumn("run", run)
     counts = expectations.rule_counts(tx, k.TRANSACTION_RULES, by=["run"])
     at = F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")
-    log = deliveries.rule_log(counts, "run", "lake.silver.transactions", at)
+    log = deliveries.rule_log(counts, "run", F.lit("lake.silver.transactions"), at)
     return deliveries.quality_metrics(log)
 
 
@@ -676,24 +677,93 @@ def rescued_data(spark, sf_dir):
         "id", "amount", F.get_json_object(k.RESCUED, "$.device_type").alias("rescued_device_type"))
 
 
-@query
-def silver_transactions(spark, sf_dir):
-    """Landing files to the current table, in two runs with a compaction between them."""
-    root = work_dir(spark, "silver-tx")
+def _silver_cards(spark, sf_dir, root: str) -> silver.SilverTable:
+    """Customers landed as card files, loaded and applied."""
     cards = silver.SilverTable(
         spark, silver.CARDS, bronze.BronzeLog(spark, bronze.CARDS, f"{root}/bronze"), f"{root}/silver")
-    customers = i.current_cards(spark, sf_dir)
-    card_rows = customers.select(
+    rows = i.current_cards(spark, sf_dir).select(
         *[F.col("id") if c == "id" else F.lit(None).cast("string").alias(c) for c in k.CARD_COLUMNS])
-    files.write_small_csv(card_rows, f"{root}/landing/cards/backfill")
+    files.write_small_csv(rows, f"{root}/landing/cards/backfill")
     cards.bronze.ingest(f"{root}/landing/cards")
     cards.drain("run-1")
     cards.compact()
+    return cards
+
+
+def _silver_transactions(spark, sf_dir, root: str) -> silver.SilverTable:
+    """Both parts of the deliveries ingested and applied in a run each, compacted in between."""
     log = bronze.BronzeLog(spark, bronze.TRANSACTIONS, f"{root}/bronze")
-    tx = silver.transactions(spark, log, f"{root}/silver", cards)
+    tx = silver.transactions(spark, log, f"{root}/silver", _silver_cards(spark, sf_dir, root))
     for n, part in enumerate(("first", "later"), 1):
         log.ingest(_land_transactions(spark, sf_dir, root, part))
         tx.drain(f"run-{n}")
         if n == 1:
             tx.compact()
+    return tx
+
+
+@query
+def silver_transactions(spark, sf_dir):
+    """Landing files to the current table, in two runs with a compaction between them."""
+    tx = _silver_transactions(spark, sf_dir, work_dir(spark, "silver-tx"))
     return tx.read().select("id", "event_ts", "amount", "card_id", "use_chip", "merchant_zip")
+
+
+@query
+def silver_quarantine(spark, sf_dir):
+    tx = _silver_transactions(spark, sf_dir, work_dir(spark, "silver-quarantine"))
+    return tx.quarantine().select("id", "amount", "event_ts", "card_id", "use_chip", "reason")
+
+
+@query
+def silver_quality_metrics(spark, sf_dir):
+    """Metrics view over the counters that the two runs collected while writing."""
+    tx = _silver_transactions(spark, sf_dir, work_dir(spark, "silver-metrics"))
+    return deliveries.quality_metrics(silver.event_log([tx])).drop("measured_at")
+
+
+@query
+def silver_cards(spark, sf_dir):
+    """Card files, then changed records for all of them: the later delivery wins."""
+    root = work_dir(spark, "silver-cards")
+    log = bronze.BronzeLog(spark, bronze.CARDS, f"{root}/bronze")
+    cards = silver.SilverTable(spark, silver.CARDS, log, f"{root}/silver")
+    raw = i.raw_cards(spark, sf_dir)
+    changed = raw.withColumn("credit_limit", F.lit("$12400"))
+    for folder, rows in (("backfill", raw), ("daily/date_partition=2017-01-01", changed)):
+        files.write_small_csv(rows, f"{root}/landing/cards/{folder}")
+        log.ingest(f"{root}/landing/cards")
+        cards.drain("run")
+    return cards.read().drop(k.SOURCE_FILE, k.INGESTED_AT, "batch_id", "row_hash")
+
+
+@query
+def silver_clients(spark, sf_dir):
+    """Three client deliveries: first, unchanged, changed income. Two versions per client."""
+    root = work_dir(spark, "silver-clients")
+    log = bronze.BronzeLog(spark, bronze.CLIENTS, f"{root}/bronze")
+    clients = silver.SilverTable(spark, silver.CLIENTS, log, f"{root}/silver")
+    raw = i.raw_clients(spark, sf_dir)
+    changed = raw.withColumn("yearly_income", F.lit("$64200"))
+    for day, rows in enumerate((raw, raw, changed), 1):
+        files.write_small_csv(rows, f"{root}/landing/clients/daily/date_partition=2017-01-0{day}")
+        log.ingest(f"{root}/landing/clients")
+        clients.drain(f"run-{day}")
+        if day == 2:
+            clients.compact()
+    return clients.read().select(
+        "id", "yearly_income", "total_debt", "valid_from_date", "is_current",
+        F.col("valid_to").isNull().alias("is_open"))
+
+
+@query
+def silver_labels(spark, sf_dir):
+    """Label snapshot: landed as JSON, loaded, judged and published."""
+    root = work_dir(spark, "silver-labels")
+    i.raw_labels(spark, sf_dir).select(
+        F.create_map("transaction_id", "is_fraud").alias("target")).write.json(f"{root}/landing")
+    loaded = snapshots.reload(
+        spark, snapshots.read_labels(spark, f"{root}/landing", multi_line=False), f"{root}/bronze")
+    target = VersionedTable(spark, f"{root}/silver")
+    silver.refresh_snapshot(conform.labels(loaded.read()), k.LABEL_RULES, target)
+    return target.read().select("transaction_id", "is_fraud")

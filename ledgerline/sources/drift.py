@@ -15,6 +15,7 @@ from ledgerline.contracts import RESCUED
 CORRUPT = "_corrupt_line"
 ADD, RESCUE, FAIL, IGNORE = "add", "rescue", "fail", "ignore"
 POLICIES = (ADD, RESCUE, FAIL, IGNORE)
+MAX_NEW = 1000  # more names than this are data used as keys, not a change of layout
 
 
 def json_fields(line: Column) -> Column:
@@ -77,11 +78,14 @@ def seen_columns(fields: DataFrame) -> DataFrame:
 
 
 def new_columns(fields: DataFrame, known: list[str]) -> list[str]:
-    """Names not in ``known``. This is schema, not data: a handful of names."""
+    """Names not in ``known``; more than ``MAX_NEW`` of them are refused."""
     found = seen_columns(fields).where(
         ~F.col("name").isin(known) & (F.col("name") != CORRUPT) & ~F.col("name").startswith("_extra_")
     )
-    return sorted(r.name for r in found.collect())
+    names = sorted(r.name for r in found.limit(MAX_NEW + 1).collect())
+    if len(names) > MAX_NEW:
+        raise ValueError(f"more than {MAX_NEW} new columns, such as {names[:3]}: keys that are data need a map")
+    return names
 
 
 def rescued(fields: Column, known: list[str], policy: str = ADD) -> Column:

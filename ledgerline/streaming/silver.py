@@ -17,7 +17,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline import contracts as k
-from ledgerline.operators import conform, expectations, history, lookups
+from ledgerline.functions.scalars import delivery_date
+from ledgerline.operators import conform, deliveries, expectations, history, lookups
 from ledgerline.operators.groups import GroupLimit
 from ledgerline.sources.versions import VersionedTable
 from ledgerline.streaming.bronze import BronzeLog
@@ -131,10 +132,13 @@ class SilverTable:
     def _fold(self, rows: DataFrame) -> DataFrame:
         if not self.flow.tracked:
             return history.latest(rows, ["id"], ORDER)
-        return history.versions(
+        # rows of one ingestion time are one micro-batch, whose size is limited where it is formed
+        found = history.versions(
             rows, ["id"], ORDER, self.flow.tracked,
             history.position(F.col(k.INGESTED_AT), "timestamp"), limit=self.limit,
         )
+        # ingestion time is an order of arrival; the path tells the business day, if it has one
+        return found.withColumn("valid_from_date", delivery_date(F.col(k.SOURCE_FILE)))
 
     def read(self) -> DataFrame:
         """Latest rows, or version history where the flow tracks columns."""
@@ -166,22 +170,11 @@ def transactions(spark: SparkSession, bronze: BronzeLog, root: str, cards: Silve
 
 
 def event_log(tables: list[SilverTable]) -> DataFrame:
-    """Rule counters of the tables in the shape :func:`deliveries.quality_metrics` reads."""
+    """Rule counters of the tables as event log rows, as :func:`deliveries.quality_metrics` reads them."""
     counters = reduce(DataFrame.unionByName, [t.rule_counters() for t in tables])
-    line = F.struct(
-        F.col("rule").alias("name"), F.concat(F.lit("lake.silver."), F.col("table_name")).alias("dataset"),
-        F.col("passed").alias("passed_records"), F.col("failed").alias("failed_records"),
-    )
-    return counters.groupBy("run_id", "table_name", "batch_id").agg(
-        F.max("measured_at").alias("timestamp"), F.collect_list(line).alias("_lines")
-    ).select(
-        "timestamp",
-        F.struct(F.col("run_id").alias("update_id")).alias("origin"),
-        F.lit("flow_progress").alias("event_type"),
-        F.to_json(F.struct(F.struct(F.struct(
-            F.col("_lines").alias("expectations")
-        ).alias("data_quality")).alias("flow_progress"))).alias("details"),
-    )
+    dataset = F.concat(F.lit("lake.silver."), F.col("table_name"))
+    return deliveries.rule_log(
+        counters, "run_id", dataset, F.max("measured_at"), by=["table_name", "batch_id"])
 
 
 def refresh_snapshot(typed: DataFrame, rules: list[k.Rule], target: VersionedTable) -> list[tuple[str, int, int]]:
