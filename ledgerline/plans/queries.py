@@ -510,7 +510,7 @@ def map_explode_labels(spark, sf_dir):
     path = work_dir(spark, "labels")
     i.raw_labels(spark, sf_dir).select(
         F.create_map("transaction_id", "is_fraud").alias("target")).write.json(path)
-    return snapshots.read_labels(spark, path, multi_line=False).select("transaction_id", "is_fraud")
+    return snapshots.read_labels_map(spark, path, multi_line=False).select("transaction_id", "is_fraud")
 
 
 @query
@@ -763,7 +763,7 @@ def silver_labels(spark, sf_dir):
     i.raw_labels(spark, sf_dir).select(
         F.create_map("transaction_id", "is_fraud").alias("target")).write.json(f"{root}/landing")
     loaded = snapshots.reload(
-        spark, snapshots.read_labels(spark, f"{root}/landing", multi_line=False), f"{root}/bronze")
+        spark, snapshots.read_labels_map(spark, f"{root}/landing", multi_line=False), f"{root}/bronze")
     target = VersionedTable(spark, f"{root}/silver")
     silver.refresh_snapshot(conform.labels(loaded.read()), k.LABEL_RULES, target)
     return target.read().select("transaction_id", "is_fraud")

@@ -95,11 +95,11 @@ def test_codes_by_map_and_by_unpivot(spark, root):
 def test_labels_whole_and_split(spark, root, indent):
     want = {str(n): "Yes" if n % 7 == 0 else "No" for n in range(5000)}
     path = put(f"{root}/labels.json", json.dumps({"target": want}, indent=indent))
-    for read in (snapshots.read_labels, snapshots.read_labels_split):
+    for read in (snapshots.read_labels_map, snapshots.read_labels):
         assert {r.transaction_id: r.is_fraud for r in read(spark, path).collect()} == want
     spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
     try:
-        split = snapshots.read_labels_split(spark, path)
+        split = snapshots.read_labels(spark, path)
         assert split.rdd.getNumPartitions() > 4
         assert {r.transaction_id: r.is_fraud for r in split.collect()} == want
         assert split.count() == len(want)
@@ -108,16 +108,24 @@ def test_labels_whole_and_split(spark, root, indent):
 
 
 @pytest.mark.parametrize("text", [
-    '{"target": {"1": "Yes", "2": 3}}', '{"target": {"1": "Yes", "a,b": "No"}}', '{"1": "Yes", "x": {"2": "No"}}'])
+    '{"target": {"1": "Yes", "2": 3}}', '{"target": {"1": "Yes", "a,b": "No"}}', '{"1": "Yes", "x": {"2": "No"}}',
+    '{"target": {"1": "Yes"}, "other": "No"}', r'{"target": {"1\u0041": "Yes"}}', '{"target": {"1": null}}',
+    '{"target": {"1": "Yes" "2"}}', '{"target": {"1": "Yes",}}'])
 def test_split_reader_refuses_what_it_cannot_read(spark, root, text):
     path = put(f"{root}/labels.json", text)
     with pytest.raises(Exception, match="not a label pair"):
-        snapshots.read_labels_split(spark, path).count()
+        snapshots.read_labels(spark, path).count()
+
+
+def test_odd_values_by_the_map_reader(spark, root):
+    path = put(f"{root}/labels.json", r'{"target": {"1": null, "2": 3, "a\u0041\"": "x,y", "4": "No"}}')
+    got = {r.transaction_id: r.is_fraud for r in snapshots.read_labels_map(spark, path).collect()}
+    assert got == {"1": None, "2": "3", 'aA"': "x,y", "4": "No"}
 
 
 def test_empty_label_object(spark, root):
     path = put(f"{root}/labels.json", '{"target": {}}')
-    assert snapshots.read_labels_split(spark, path).count() == 0
+    assert snapshots.read_labels(spark, path).count() == 0
 
 
 def test_versions_are_switched_whole(spark, root):
