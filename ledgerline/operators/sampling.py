@@ -23,7 +23,8 @@ def exact_rate(df: DataFrame, day: str, key: str, rate: float, seed: str) -> Dat
 
     Instead of ranking a whole day in one group, the digests are counted by their first three hex
     digits. Those counts give, per day, the slot in which the quota ends: rows in lower slots are
-    in, rows in higher slots are out, and only the rows of that one slot are ranked.
+    in, rows in higher slots are out, and the rows of that one slot are ranked. No group is larger
+    than a slot, a 4096th of its day.
     ``day`` is a date, so the table of slots has one row per calendar day. ``key`` must be unique.
     """
     drawn = df.withColumn("_digest", digest(seed, F.col(key))).withColumn(
@@ -38,14 +39,14 @@ def exact_rate(df: DataFrame, day: str, key: str, rate: float, seed: str) -> Dat
         .where((F.col("_upto") >= F.col("_quota")) & (F.col("_upto") - F.col("_n") < F.col("_quota")))
         .select(day, F.col("_slot").alias("_end"), (F.col("_quota") - F.col("_upto") + F.col("_n")).alias("_left"))
     )
-    near = drawn.join(F.broadcast(ends), [day], "inner").where(F.col("_slot") <= F.col("_end"))
-    sure = near.where(F.col("_slot") < F.col("_end"))
-    last = (
-        near.where(F.col("_slot") == F.col("_end"))
-        .withColumn("_rn", F.row_number().over(W.partitionBy(day).orderBy("_digest", key)))
-        .where(F.col("_rn") <= F.col("_left"))
+    slot = W.partitionBy(day, "_slot").orderBy("_digest", key)
+    return (
+        drawn.join(F.broadcast(ends), [day], "inner")
+        .where(F.col("_slot") <= F.col("_end"))  # from here on little more than the sample is left
+        .withColumn("_rn", F.row_number().over(slot))
+        .where((F.col("_slot") < F.col("_end")) | (F.col("_rn") <= F.col("_left")))
+        .select(*df.columns)
     )
-    return sure.select(*df.columns).unionByName(last.select(*df.columns))
 
 
 def weighted(seed: str, weights: list[tuple[str, int]], *key: Column) -> Column:
