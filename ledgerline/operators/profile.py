@@ -30,8 +30,17 @@ def count_by(df: DataFrame, *columns: str | Column) -> DataFrame:
 
 
 def numeric_order(df: DataFrame, key: str) -> DataFrame:
-    """Sort by the number in a text key; texts that are no number come first."""
-    return df.withColumn("key_number", F.col(key).try_cast("bigint")).orderBy("key_number", key)
+    """Sort by the number in a text key; texts that are no number come first.
+
+    Rows of equal key keep their order. That also lets Spark cut the rows of a frequent key into
+    several ranges.
+    """
+    return (
+        df.withColumn("key_number", F.col(key).try_cast("bigint"))
+        .withColumn("_at", F.monotonically_increasing_id())
+        .orderBy("key_number", key, "_at")
+        .drop("_at")
+    )
 
 
 def split_period(df: DataFrame, column: str, cut: str) -> tuple[DataFrame, DataFrame]:

@@ -7,6 +7,8 @@ kept in ``rescued_data``.
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,92 +22,91 @@ MAX_NEW = 1000  # more names than this are data used as keys, not a change of la
 
 def json_fields(line: Column) -> Column:
     """Map of the top-level fields of a JSON line; nested objects stay JSON text."""
-    parsed = F.from_json(line, "MAP<STRING, STRING>", {"mode": "PERMISSIVE"})
-    return F.coalesce(parsed, F.create_map(F.lit(CORRUPT), line))
+    return F.coalesce(F.from_json(line, "MAP<STRING, STRING>"), F.create_map(F.lit(CORRUPT), line))
 
 
-def csv_headers(lines: DataFrame) -> DataFrame:
-    """``source_file, header``: the first line of every file.
+def csv_headers(lines: DataFrame) -> list[tuple[str, str, list[str]]]:
+    """File, header line and column names, for every file of a micro-batch.
 
     ``lines`` has ``value``, ``source_file`` and ``block_start``. Within a task the rows of a file
-    keep their order, so the first one of the block at offset 0 is the header.
+    keep their order, so the first one of the block at offset 0 is the header. One short line per
+    file comes to the driver, and the number of files is limited when the batch is formed.
     """
-    return (
+    first = (
         lines.where(F.col("block_start") == 0)
         .select("source_file", "value", F.monotonically_increasing_id().alias("_at"))
         .groupBy("source_file")
         .agg(F.min_by("value", "_at").alias("header"))
+        .collect()
     )
+    names = {
+        header: [n or f"_c{i}" for i, n in enumerate(next(csv.reader([header], escapechar="\\")))]
+        for header in {r.header for r in first}
+    }
+    return [(r.source_file, r.header, names[r.header]) for r in first]
 
 
-def header_width(headers: DataFrame) -> int:
-    """Columns of the widest header; a quoted comma only makes the bound larger."""
-    row = headers.agg(F.max(F.size(F.split("header", ","))).alias("n")).first()
-    return row.n or 0
-
+def _cells(names: Column, width: int) -> Column:
+    """Map of a line with ``width`` columns. A line with more cells is also kept whole."""
+    columns = ", ".join(f"c{i} STRING" for i in range(width))
+    row = F.from_csv(F.col("value"), f"{columns}, other STRING", {"columnNameOfCorruptRecord": "other"})
+    bag = F.map_from_arrays(names, F.array(*[row[f"c{i}"] for i in range(width)]))
+    commas = F.length("value") - F.length(F.replace("value", F.lit(","), F.lit("")))
+    too_long = row["other"].isNotNull() & (commas >= width)
+    return F.when(too_long, F.map_concat(bag, F.create_map(F.lit(CORRUPT), F.col("value")))).otherwise(bag)
 
-def _cells(line: Column, width: int) -> Column:
-    fields = ", ".join(f"c{i} STRING" for i in range(width))
-    cells = F.from_csv(line, fields)
-    return F.array(*[cells[f"c{i}"] for i in range(width)])
 
+def csv_fields(lines: DataFrame, headers: list[tuple[str, str, list[str]]]) -> DataFrame:
+    """Add ``fields``, the map of a CSV line by the header of its own file; header lines go.
 
-def csv_fields(lines: DataFrame, headers: DataFrame, width: int) -> DataFrame:
-    """Add ``fields``, the map of a CSV line by the header of its own file, and drop header lines.
-
-    Cells beyond the header are kept under ``_extra_N``. ``headers`` has one row per file of one
-    micro-batch, whose number is limited when the batch is formed, so it is broadcast.
+    Quoted line breaks are not supported, as in any reader that splits files.
     """
-    wide = width + 1  # one more cell shows whether a line is longer than any header
-    names = F.transform(
-        _cells(F.col("header"), wide),
-        lambda n, i: F.coalesce(F.trim(n), F.concat(F.lit("_extra_"), i.cast("string"))),
-    )
-    layouts = headers.select("source_file", "header", names.alias("names"))
-    pairs = F.arrays_zip(F.col("names").alias("k"), _cells(F.col("value"), wide).alias("v"))
-    kept = F.filter(pairs, lambda p: ~(p["k"].startswith("_extra_") & p["v"].isNull()))
+    if not headers:
+        return lines.withColumn("fields", F.lit(None).cast("map<string,string>"))
+    layouts = lines.sparkSession.createDataFrame(headers, "source_file STRING, header STRING, names ARRAY<STRING>")
+    by_width = F.lit(None).cast("map<string,string>")
+    for width in sorted({len(names) for _, _, names in headers}):
+        by_width = F.when(F.size("names") == width, _cells(F.col("names"), width)).otherwise(by_width)
+    # one row per file of the micro-batch
     return (
         lines.join(F.broadcast(layouts), "source_file")
         .where(F.col("value") != F.col("header"))
-        .withColumn("fields", F.map_from_entries(kept))
+        .withColumn("fields", by_width)
         .drop("header", "names")
     )
 
 
-def seen_columns(fields: DataFrame) -> DataFrame:
-    """Distinct column names in ``fields``, reduced in the tasks before the shuffle."""
-    return fields.select(F.explode(F.map_keys("fields")).alias("name")).distinct()
+def outside(fields: Column, known: list[str]) -> Column:
+    """The part of the map that is not in the contract."""
+    return F.map_filter(fields, lambda name, _: ~name.isin(known))
 
 
-def new_columns(fields: DataFrame, known: list[str]) -> list[str]:
-    """Names not in ``known``; more than ``MAX_NEW`` of them are refused."""
-    found = seen_columns(fields).where(
-        ~F.col("name").isin(known) & (F.col("name") != CORRUPT) & ~F.col("name").startswith("_extra_")
+def new_names(rows: DataFrame) -> list[str]:
+    """Column names in ``outside``, at most ``MAX_NEW`` of them."""
+    names = (
+        rows.select(F.explode(F.map_keys("outside")).alias("name"))
+        .where(F.col("name") != CORRUPT).distinct().limit(MAX_NEW + 1)
     )
-    names = sorted(r.name for r in found.limit(MAX_NEW + 1).collect())
-    if len(names) > MAX_NEW:
-        raise ValueError(f"more than {MAX_NEW} new columns, such as {names[:3]}: keys that are data need a map")
-    return names
+    found = sorted(r.name for r in names.collect())
+    if len(found) > MAX_NEW:
+        raise ValueError(f"more than {MAX_NEW} new columns, such as {found[:3]}: keys that are data need a map")
+    return found
 
 
-def rescued(fields: Column, known: list[str], policy: str = ADD) -> Column:
-    """JSON text of the fields outside the contract, NULL if there are none."""
-    def outside(key: Column) -> Column:
-        beyond = ~key.isin(known)
-        if policy == IGNORE:  # new columns are dropped, broken lines are not
-            beyond = beyond & ((key == CORRUPT) | key.startswith("_extra_"))
-        return beyond
+def rescued(rest: Column, policy: str = ADD) -> Column:
+    """JSON text of the fields outside the contract, NULL if there are none.
 
-    rest = F.map_filter(fields, lambda k, v: outside(k) & v.isNotNull())
-    return F.when(F.size(rest) > 0, F.to_json(rest))
+    Under ``ignore`` new columns are dropped, lines that could not be read are not.
+    """
+    kept = F.map_filter(
+        rest, lambda name, value: value.isNotNull() & (F.lit(policy != IGNORE) | (name == CORRUPT)))
+    return F.when(F.size(kept) > 0, F.to_json(kept))
 
 
-def project(fields: DataFrame, columns: list[str], policy: str = ADD,
-            carry: list[str] | None = None) -> DataFrame:
+def project(rows: DataFrame, columns: list[str], policy: str = ADD, carry: list[str] | None = None) -> DataFrame:
     """Contract columns by name, then ``rescued_data``, then ``carry``."""
-    bag = F.col("fields")
-    return fields.select(
-        *[bag[c].alias(c) for c in columns],
-        rescued(bag, columns, policy).alias(RESCUED),
+    return rows.select(
+        *[F.col("fields")[c].alias(c) for c in columns],
+        rescued(F.col("outside"), policy).alias(RESCUED),
         *(carry or []),
     )

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException, StreamingQueryException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline import contracts as k
@@ -145,30 +145,33 @@ class BronzeLog:
             .awaitTermination()
         )
 
-    def _fields(self, batch: DataFrame) -> DataFrame:
-        lines = batch.where(F.trim("value") != "")
-        if self.entity.fmt == "json":
-            return lines.withColumn("fields", drift.json_fields(F.col("value")))
-        headers = drift.csv_headers(lines)
-        return drift.csv_fields(lines, headers, drift.header_width(headers))
-
     def _store(self, batch: DataFrame, batch_id: int, policy: str) -> None:
+        """Write a micro-batch; one pass over JSON files, for CSV files one more for the headers."""
         known = self.register.names()
-        fields = self._fields(batch)
-        if policy in (drift.ADD, drift.FAIL):
-            new = drift.new_columns(fields, known)
-            if new and policy == drift.ADD:
-                self.register.widen(new)
-            if new:
-                raise NewColumns(f"{self.entity.name}: {', '.join(new)}")
-        rows = drift.project(fields, known, policy, [k.SOURCE_FILE])
+        lines = batch.where(F.trim("value") != "")
+        if self.entity.fmt == "json":
+            fields = lines.withColumn("fields", drift.json_fields(F.col("value")))
+        else:
+            fields = drift.csv_fields(lines, drift.csv_headers(lines))
+        rows = fields.withColumn("outside", drift.outside(F.col("fields"), known))
+        unknown = Observation()
+        strange = F.size("outside") > F.when(F.map_contains_key("outside", drift.CORRUPT), 1).otherwise(0)
+        out = drift.project(
+            rows.observe(unknown, F.count_if(strange).alias("n")), known, policy, [k.SOURCE_FILE])
         if not self.entity.keep_rescued:
-            rows = rows.drop(k.RESCUED)
+            out = out.drop(k.RESCUED)
         if self.entity.prepare:
-            rows = self.entity.prepare(rows)
-        rows.withColumn(k.INGESTED_AT, F.current_timestamp()).write.mode("overwrite").parquet(
-            f"{self.log}/batch_id={batch_id}"
-        )
+            out = self.entity.prepare(out)
+        out = out.withColumn(k.INGESTED_AT, F.current_timestamp())
+        folder = f"{self.log}/batch_id={batch_id}"
+        out.write.mode("overwrite").parquet(folder)
+        if policy in (drift.ADD, drift.FAIL) and unknown.get["n"]:
+            # the batch is taken back and repeated as a whole once its columns are known
+            out.where(F.lit(False)).write.mode("overwrite").parquet(folder)
+            new = drift.new_names(rows)
+            if policy == drift.ADD:
+                self.register.widen(new)
+            raise NewColumns(f"{self.entity.name}: {', '.join(new)}")
 
     def ignored_corrections(self, landing: str) -> DataFrame:
         """Files rewritten under the same name after they were taken; the stream never looks again."""
