@@ -16,7 +16,6 @@ from ledgerline.plans import gold
 from ledgerline.plans import inputs as i
 from ledgerline.session import work_dir
 from ledgerline.sources import drift, files, snapshots
-from ledgerline.sources.versions import VersionedTable
 from ledgerline.streaming import bronze, silver
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -764,6 +763,6 @@ def silver_labels(spark, sf_dir):
         F.create_map("transaction_id", "is_fraud").alias("target")).write.json(f"{root}/landing")
     loaded = snapshots.reload(
         spark, snapshots.read_labels_map(spark, f"{root}/landing", multi_line=False), f"{root}/bronze")
-    target = VersionedTable(spark, f"{root}/silver")
-    silver.refresh_snapshot(conform.labels(loaded.read()), k.LABEL_RULES, target)
+    target = silver.labels(spark, f"{root}/silver")
+    target.refresh(loaded.read(), "run-1")
     return target.read().select("transaction_id", "is_fraud")

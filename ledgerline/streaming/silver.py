@@ -43,8 +43,26 @@ CLIENTS = Flow("clients", conform.clients, k.CLIENT_RULES, k.CLIENT_TRACKED)
 ORDER = [k.INGESTED_AT, k.SOURCE_FILE, "row_hash"]
 
 
-def _missing(error: AnalysisException) -> bool:
-    return error.getCondition() == "PATH_NOT_FOUND"
+class Counters:
+    """Rule counters of a table: a few rows per batch (or snapshot version)."""
+
+    def __init__(self, spark: SparkSession, path: str, table_name: str):
+        self.spark, self.path, self.table_name = spark, path, table_name
+
+    def write(self, batch_id: int, lines: list[tuple[str, int, int]], run_id: str) -> None:
+        self.spark.createDataFrame(lines, "rule STRING, passed BIGINT, failed BIGINT").select(
+            "*", F.lit(run_id).alias("run_id"), F.lit(self.table_name).alias("table_name"),
+            F.current_timestamp().alias("measured_at"),
+        ).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
+
+    def read(self) -> DataFrame:
+        schema = f"{_COUNTERS}, batch_id BIGINT"
+        try:
+            return self.spark.read.schema(schema).parquet(self.path)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], schema)
 
 
 class SilverTable:
@@ -55,7 +73,8 @@ class SilverTable:
                  limit: GroupLimit = GroupLimit()):
         self.spark, self.flow, self.bronze, self.lookup, self.limit = spark, flow, bronze, lookup, limit
         base = f"{root.rstrip('/')}/{flow.name}"
-        self.log, self.checkpoint, self.counters = f"{base}/log", f"{base}/checkpoint", f"{base}/counters"
+        self.log, self.checkpoint = f"{base}/log", f"{base}/checkpoint"
+        self.counters = Counters(spark, f"{base}/counters", flow.name)
         self.compacted = VersionedTable(spark, f"{base}/table")
 
     def judge(self, rows: DataFrame) -> DataFrame:
@@ -86,23 +105,10 @@ class SilverTable:
         judged.write.mode("overwrite").partitionBy("verdict").parquet(f"{self.log}/batch_id={batch_id}")
         lines = expectations.observed_counts(self.flow.rules, counts)
         # written last: a batch without its counters is not complete and is not read
-        self.spark.createDataFrame(lines, "rule STRING, passed BIGINT, failed BIGINT").select(
-            "*", F.lit(run_id).alias("run_id"), F.lit(self.flow.name).alias("table_name"),
-            F.current_timestamp().alias("measured_at"),
-        ).write.mode("overwrite").parquet(f"{self.counters}/batch_id={batch_id}")
-
-    def rule_counters(self) -> DataFrame:
-        """Counters per batch, a few rows each."""
-        schema = f"{_COUNTERS}, batch_id BIGINT"
-        try:
-            return self.spark.read.schema(schema).parquet(self.counters)
-        except AnalysisException as error:
-            if not _missing(error):
-                raise
-            return self.spark.createDataFrame([], schema)
+        self.counters.write(batch_id, lines, run_id)
 
     def last_batch(self) -> int:
-        row = self.rule_counters().agg(F.max("batch_id").alias("n")).first()
+        row = self.counters.read().agg(F.max("batch_id").alias("n")).first()
         return -1 if row.n is None else row.n
 
     def _judged(self, verdict: str, after: int = -1) -> DataFrame:
@@ -169,17 +175,38 @@ def transactions(spark: SparkSession, bronze: BronzeLog, root: str, cards: Silve
     )
 
 
-def event_log(tables: list[SilverTable]) -> DataFrame:
+class SnapshotTable:
+    """A Silver table recomputed from a whole Bronze snapshot."""
+
+    def __init__(self, spark: SparkSession, name: str, conform: Callable[[DataFrame], DataFrame],
+                 rules: list[k.Rule], root: str):
+        self.conform, self.rules = conform, rules
+        base = f"{root.rstrip('/')}/{name}"
+        self.table = VersionedTable(spark, f"{base}/table")
+        self.counters = Counters(spark, f"{base}/counters", name)
+
+    def refresh(self, snapshot: DataFrame, run_id: str) -> None:
+        """Apply the drop rules and publish; the counters come from the same pass."""
+        counts = Observation()
+        typed = expectations.observe(self.conform(snapshot), self.rules, counts)
+        version = self.table.publish(expectations.keep(typed, self.rules))
+        self.counters.write(version, expectations.observed_counts(self.rules, counts), run_id)
+
+    def read(self) -> DataFrame:
+        return self.table.read()
+
+
+def labels(spark: SparkSession, root: str) -> SnapshotTable:
+    return SnapshotTable(spark, "fraud_labels", conform.labels, k.LABEL_RULES, root)
+
+
+def codes(spark: SparkSession, root: str) -> SnapshotTable:
+    return SnapshotTable(spark, "mcc_codes", conform.codes, k.CODE_RULES, root)
+
+
+def event_log(tables: list[SilverTable | SnapshotTable]) -> DataFrame:
     """Rule counters of the tables as event log rows, as :func:`deliveries.quality_metrics` reads them."""
-    counters = reduce(DataFrame.unionByName, [t.rule_counters() for t in tables])
+    counters = reduce(DataFrame.unionByName, [t.counters.read() for t in tables])
     dataset = F.concat(F.lit("lake.silver."), F.col("table_name"))
     return deliveries.rule_log(
         counters, "run_id", dataset, F.max("measured_at"), by=["table_name", "batch_id"])
-
-
-def refresh_snapshot(typed: DataFrame, rules: list[k.Rule], target: VersionedTable) -> list[tuple[str, int, int]]:
-    """Recompute a snapshot table: drop rules applied, rule counters of the same pass returned."""
-    counts = Observation()
-    observed = expectations.observe(typed, rules, counts)
-    target.publish(expectations.keep(observed, rules))
-    return expectations.observed_counts(rules, counts)

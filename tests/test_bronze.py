@@ -176,3 +176,25 @@ def test_card_numbers_are_never_stored(spark, root):
         for name in names:
             data = open(os.path.join(folder, name), "rb").read()
             assert b"4111222233334444" not in data
+
+
+def test_files_without_rows(spark, root):
+    put_json(f"{root}/landing/tx/a.json", ["", " "])
+    log = bronze.BronzeLog(spark, bronze.TRANSACTIONS, f"{root}/bronze")
+    log.ingest(f"{root}/landing/tx")
+    put_csv(f"{root}/landing/clients/a.csv", bronze.CLIENTS.columns, [])
+    put_json(f"{root}/landing/clients/b.csv", [""])
+    clients = bronze.BronzeLog(spark, bronze.CLIENTS, f"{root}/bronze")
+    clients.ingest(f"{root}/landing/clients")
+    assert (log.read().count(), clients.read().count()) == (0, 0)
+
+
+def test_short_and_long_csv_lines(spark, root):
+    names = bronze.CLIENTS.columns
+    put_csv(f"{root}/landing/a.csv", names, [
+        ["short"], ["long"] + [""] * len(names) + ["beyond"], ["quoted"] + ["a,b"] * (len(names) - 1)])
+    log = bronze.BronzeLog(spark, bronze.CLIENTS, f"{root}/bronze")
+    log.ingest(f"{root}/landing")
+    got = {r.id: r.rescued_data for r in log.read().collect()}
+    assert got["short"] is None and got["quoted"] is None
+    assert json.loads(got["long"])[drift.CORRUPT].endswith(",beyond")

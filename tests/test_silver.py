@@ -5,67 +5,62 @@ from pyspark.sql import functions as F
 from test_bronze import put_csv, put_json, tx
 
 from ledgerline import contracts as k
-from ledgerline.operators import deliveries, expectations, history
+from ledgerline.operators import expectations, history
 from ledgerline.plans import gold
+from ledgerline.plans.lake import Lake
 from ledgerline.streaming import bronze, silver
 
 
-class Lake:
-    def __init__(self, spark, root):
-        self.spark, self.root = spark, root
-        self.card_log = bronze.BronzeLog(spark, bronze.CARDS, f"{root}/bronze")
-        self.client_log = bronze.BronzeLog(spark, bronze.CLIENTS, f"{root}/bronze")
-        self.tx_log = bronze.BronzeLog(spark, bronze.TRANSACTIONS, f"{root}/bronze")
-        self.cards = silver.SilverTable(spark, silver.CARDS, self.card_log, f"{root}/silver")
-        self.clients = silver.SilverTable(spark, silver.CLIENTS, self.client_log, f"{root}/silver")
-        self.tx = silver.transactions(spark, self.tx_log, f"{root}/silver", self.cards)
+class Landed(Lake):
+    """A lake whose deliveries are written, ingested and applied at once."""
+
+    def take(self, entity, run_id):
+        self.ingest(entity)
+        self.apply(entity, run_id)
 
     def land_cards(self, name, ids, limit="$100"):
         rows = [[{"id": i, "credit_limit": limit, "expires": "02/2020", "card_type": "Debit"}.get(c, "")
                  for c in bronze.CARDS.columns] for i in ids]
-        put_csv(f"{self.root}/landing/cards/{name}.csv", bronze.CARDS.columns, rows)
-        self.card_log.ingest(f"{self.root}/landing/cards")
-        self.cards.drain(name)
+        put_csv(f"{self.landing('cards')}/{name}.csv", bronze.CARDS.columns, rows)
+        self.take("cards", name)
 
     def land_clients(self, name, rows):
         full = [[{"id": i, "credit_score": score, "gender": "Male"}.get(c, "") for c in bronze.CLIENTS.columns]
                 for i, score in rows]
-        put_csv(f"{self.root}/landing/clients/{name}.csv", bronze.CLIENTS.columns, full)
-        self.client_log.ingest(f"{self.root}/landing/clients")
-        self.clients.drain(name)
+        put_csv(f"{self.landing('clients')}/{name}.csv", bronze.CLIENTS.columns, full)
+        self.take("clients", name)
 
     def land_tx(self, name, rows):
-        put_json(f"{self.root}/landing/tx/{name}.json", rows)
-        self.tx_log.ingest(f"{self.root}/landing/tx")
-        self.tx.drain(name)
+        put_json(f"{self.landing('transactions')}/{name}.json", rows)
+        self.take("transactions", name)
 
 
 @pytest.fixture
 def lake(spark, root):
-    return Lake(spark, root)
+    return Landed(spark, root)
 
 
 def test_transactions_end_to_end(lake):
     lake.land_cards("cards-1", ["2", "3"])
     lake.land_tx("t1", [tx(1), tx(2, amount=None), tx(3, card_id="9"), tx(4, amount="$-5.00"), tx(1)])
-    got = {r.id: r for r in lake.tx.read().collect()}
+    got = {r.id: r for r in lake.transactions.read().collect()}
     assert set(got) == {"1", "4"} and got["4"].is_refund
-    assert {r.id: r.reason for r in lake.tx.quarantine().collect()} == {"2": "amount_null", "3": "card_unknown"}
+    assert {r.id: r.reason for r in lake.transactions.quarantine().collect()} == {"2": "amount_null", "3": "card_unknown"}
 
     # a later invalid delivery replaces nothing, a valid one does; nothing new changes nothing
     lake.land_tx("t2", [tx(1, amount="x"), tx(4, amount="$9.00")])
-    lake.tx.drain("again")
-    got = {r.id: float(r.amount) for r in lake.tx.read().collect()}
+    lake.transactions.drain("again")
+    got = {r.id: float(r.amount) for r in lake.transactions.read().collect()}
     assert got == {"1": 77.0, "4": 9.0}
-    assert lake.tx_log.read().count() == lake.tx.quarantine().count() + 4
+    assert lake.bronze["transactions"].read().count() == lake.transactions.quarantine().count() + 4
 
     # a card that comes later serves the transactions that come after it
     lake.land_cards("cards-2", ["9"])
     lake.land_tx("t3", [tx(3, card_id="9")])
-    assert {r.id for r in lake.tx.read().collect()} == {"1", "3", "4"}
-    assert lake.tx.quarantine().where("reason = 'card_unknown'").count() == 1
+    assert {r.id for r in lake.transactions.read().collect()} == {"1", "3", "4"}
+    assert lake.transactions.quarantine().where("reason = 'card_unknown'").count() == 1
 
-    metrics = deliveries.quality_metrics(silver.event_log([lake.tx, lake.cards])).collect()
+    metrics = lake.quality_metrics().collect()
     by_run = {(r.run_id, r.table_name, r.rule): (r.passed, r.failed, r.pct_failed) for r in metrics}
     assert by_run["t1", "transactions", "amount_present"] == (4, 1, 20.0)
     assert by_run["t1", "transactions", "card_exists"] == (4, 1, 20.0)
@@ -76,7 +71,7 @@ def test_transactions_end_to_end(lake):
 def test_any_split_into_batches_gives_the_same_table(spark, root, seed):
     """Incremental result with compactions at random points = one fold of everything delivered."""
     rnd = random.Random(seed)
-    lake = Lake(spark, root)
+    lake = Landed(spark, root)
     lake.land_cards("c", ["2"])
     n = 0
     for batch in range(4):
@@ -86,11 +81,11 @@ def test_any_split_into_batches_gives_the_same_table(spark, root, seed):
             rows.append(tx(rnd.randrange(6), amount=rnd.choice([f"${n}.00", None])))
         lake.land_tx(f"t{batch}", rows)
         if rnd.random() < 0.5:
-            lake.tx.compact()
+            lake.transactions.compact()
     cols = ["id", "amount", "source_file"]
-    whole = lake.tx.judge(lake.tx_log.read()).where("verdict = 'valid'")
+    whole = lake.transactions.judge(lake.bronze["transactions"].read()).where("verdict = 'valid'")
     batch_fold = history.latest(whole, ["id"], silver.ORDER)
-    assert sorted(map(tuple, lake.tx.read().select(*cols).collect())) == sorted(
+    assert sorted(map(tuple, lake.transactions.read().select(*cols).collect())) == sorted(
         map(tuple, batch_fold.select(*cols).collect()))
 
 
@@ -114,7 +109,7 @@ def test_client_history(lake):
 
 
 def expectations_totals(table):
-    return table.rule_counters().groupBy("rule").agg(F.sum("failed").alias("failed")).collect()
+    return table.counters.read().groupBy("rule").agg(F.sum("failed").alias("failed")).collect()
 
 
 def test_cards_latest_delivery_wins(lake):
@@ -126,16 +121,16 @@ def test_cards_latest_delivery_wins(lake):
 
 
 def test_empty_tables_can_be_read(lake):
-    assert lake.tx.read().count() == 0
-    assert lake.tx.quarantine().count() == 0
+    assert lake.transactions.read().count() == 0
+    assert lake.transactions.quarantine().count() == 0
     assert lake.clients.read().count() == 0
 
 
 def test_a_batch_that_died_is_not_read_and_is_replaced(lake, monkeypatch):
     lake.land_cards("c", ["2"])
     lake.land_tx("t1", [tx(1)])
-    put_json(f"{lake.root}/landing/tx/t2.json", [tx(2)])
-    lake.tx_log.ingest(f"{lake.root}/landing/tx")
+    put_json(f"{lake.landing('transactions')}/t2.json", [tx(2)])
+    lake.ingest("transactions")
 
     def die(*_):
         raise RuntimeError("lost")
@@ -143,10 +138,10 @@ def test_a_batch_that_died_is_not_read_and_is_replaced(lake, monkeypatch):
     with monkeypatch.context() as m:
         m.setattr(expectations, "observed_counts", die)
         with pytest.raises(Exception):
-            lake.tx.drain("t2")
-    assert {r.id for r in lake.tx.read().collect()} == {"1"}
-    lake.tx.drain("t2")
-    assert sorted(r.id for r in lake.tx.read().collect()) == ["1", "2"]
+            lake.transactions.drain("t2")
+    assert {r.id for r in lake.transactions.read().collect()} == {"1"}
+    lake.transactions.drain("t2")
+    assert sorted(r.id for r in lake.transactions.read().collect()) == ["1", "2"]
 
 
 def test_gold_on_silver(spark, lake):
@@ -154,17 +149,52 @@ def test_gold_on_silver(spark, lake):
     lake.land_clients("backfill/a", [("1", "700")])
     lake.land_tx("t", [tx(1), tx(2, errors="Bad PIN,Insufficient Balance"), tx(3, amount="$-7.00")])
     labels = spark.createDataFrame([("1", True), ("2", False)], "transaction_id STRING, is_fraud BOOLEAN")
-    facts = gold.fact_transactions(lake.tx.read(), labels)
+    facts = gold.fact_transactions(lake.transactions.read(), labels)
     got = {r.id: (r.status, r.fraud_flag) for r in facts.collect()}
     assert got == {"1": ("approved", True), "2": ("declined", False), "3": ("approved", None)}
     rate = gold.fraud_rate(facts, "fraud_flag", []).first()
     assert (rate.n_rows, rate.n_evaluated, rate.n_fraud, rate.fraud_rate) == (3, 2, 1, 0.5)
-    v = gold.volumes(lake.tx.read(), []).first()
+    v = gold.volumes(lake.transactions.read(), []).first()
     assert [float(x) for x in (v.gross, v.refunds, v.net, v.avg_ticket)] == [154.0, 7.0, 147.0, 77.0]
-    assert {r.error_type for r in gold.errors_by_type(lake.tx.read()).collect()} == {"Bad PIN", "Insufficient Balance"}
+    assert {r.error_type for r in gold.errors_by_type(lake.transactions.read()).collect()} == {"Bad PIN", "Insufficient Balance"}
     clients = lake.clients.read().withColumn(
         "valid_from", F.coalesce(F.col("valid_from_date"), F.lit("0001-01-01").cast("date")).cast("timestamp_ntz"))
     joined = gold.with_client_version(
-        lake.tx.read(), clients, ["credit_score"], history.position(F.col("_at"), "ntz"))
+        lake.transactions.read(), clients, ["credit_score"], history.position(F.col("_at"), "ntz"))
     assert {r.credit_score for r in joined.collect()} == {700}
     assert k.published(facts).columns[:3] == ["id", "data_transacao", "client_id"]
+
+
+def test_batch_without_rows(lake):
+    lake.land_cards("c", ["2"])
+    lake.land_tx("empty", [""])
+    assert lake.transactions.read().count() == 0
+    lake.land_tx("one", [tx(1)])
+    assert lake.transactions.read().count() == 1
+
+
+def test_snapshots_and_all_metrics(lake):
+    put_json(f"{lake.landing('reference')}/codes.json", ['{"5812": "Eating Places, all", "1": "x"}'])
+    put_json(f"{lake.landing('reference')}/labels.json", ['{"target": {"1": "Yes", "2": "No"}}'])
+    lake.load_codes(f"{lake.landing('reference')}/codes.json")
+    lake.load_labels(f"{lake.landing('reference')}/labels.json")
+    for entity in ("mcc_codes", "fraud_labels"):
+        lake.apply(entity, "run-1")
+    put_json(f"{lake.landing('reference')}/codes.json", ['{"5812": "Eating Places"}'])
+    lake.load_codes(f"{lake.landing('reference')}/codes.json")
+    lake.apply("mcc_codes", "run-2")
+    assert [(r.mcc, r.description) for r in lake.codes.read().collect()] == [("5812", "Eating Places")]
+    assert {r.transaction_id: r.is_fraud for r in lake.labels.read().collect()} == {"1": True, "2": False}
+    got = {(r.run_id, r.table_name, r.rule): r.passed for r in lake.quality_metrics().collect()}
+    assert got == {
+        ("run-1", "mcc_codes", "mcc_present"): 2, ("run-2", "mcc_codes", "mcc_present"): 1,
+        ("run-1", "fraud_labels", "transaction_id_present"): 2, ("run-1", "fraud_labels", "is_fraud_valid"): 2}
+
+
+def test_a_new_generation_starts_empty(spark, root):
+    first = Landed(spark, root)
+    first.land_cards("c", ["2"])
+    again = Landed(spark, root, generation=2)
+    assert again.cards.read().count() == 0
+    again.take("cards", "again")
+    assert again.cards.read().count() == first.cards.read().count() == 1

@@ -5,11 +5,10 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerline import contracts as k
-from ledgerline.operators import conform, lookups, profile
+from ledgerline.operators import lookups, profile
 from ledgerline.sources import files, snapshots
 from ledgerline.sources.versions import VersionedTable
-from ledgerline.streaming.silver import refresh_snapshot
+from ledgerline.streaming import silver
 
 
 def put(path, text):
@@ -150,9 +149,10 @@ def test_unfinished_version_is_not_seen(spark, root):
 
 def test_snapshot_rules(spark, root):
     raw = spark.createDataFrame([("1", "Yes"), ("2", "maybe"), (None, "No")], "transaction_id STRING, is_fraud STRING")
-    target = VersionedTable(spark, root)
-    counts = refresh_snapshot(conform.labels(raw), k.LABEL_RULES, target)
-    assert counts == [("transaction_id_present", 2, 1), ("is_fraud_valid", 2, 1)]
+    target = silver.labels(spark, root)
+    target.refresh(raw, "r")
+    counts = {r.rule: (r.passed, r.failed) for r in target.counters.read().collect()}
+    assert counts == {"transaction_id_present": (2, 1), "is_fraud_valid": (2, 1)}
     assert sorted(map(tuple, target.read().select("transaction_id", "is_fraud").collect())) == [("1", True), ("2", None)]
 
 
