@@ -76,6 +76,23 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     })
 
 
+def answer_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``kind, id`` of every defect that :func:`raw_transactions` puts into deliveries that have an id."""
+    e = F.col("event_id")
+    kinds = F.array_compact(F.array(
+        F.when(e % 200 == 7, F.lit("null_amount")),
+        F.when(e % 333 == 5, F.lit("unknown_card")),
+        F.when(e % 200 == 11, F.lit("in_file_duplicate")),
+        F.when(e % 200 == 23, F.lit("resent")),
+        F.when(e % 50 == 3, F.lit("late")),
+    ))
+    return (
+        table(spark, sf_dir, "events")
+        .select(F.explode(kinds).alias("kind"), F.when(e % 2500 != 9, e.cast("string")).alias("id"))
+        .where(F.col("id").isNotNull())
+    )
+
+
 RAW_KEYS = ["event_id", "seq"]
 RAW_REPORT = RAW_KEYS + ["event_date", "delivery_date"]
 

@@ -281,11 +281,14 @@ SQL = {
           count(*) FILTER (WHERE f.id IS NULL) AS n_missing, count(*) FILTER (WHERE e.id IS NULL) AS n_extra
         FROM expected e FULL JOIN found f ON e.kind = f.kind AND e.id = f.id GROUP BY 1""",
     "reconcile_quarantine": f"""WITH {TYPED}, expected AS (
-          SELECT CAST(event_id AS VARCHAR) AS id FROM events WHERE event_id % 2500 <> 9 AND event_id % 200 = 7),
-        found AS (SELECT DISTINCT id FROM judged WHERE reason = 'amount_null')
-        SELECT 'amount_null' AS kind, count(e.id) AS n_expected, count(f.id) AS n_found,
+          SELECT 'amount_null' AS kind, CAST(event_id AS VARCHAR) AS id FROM events
+            WHERE event_id % 2500 <> 9 AND event_id % 200 = 7
+          UNION ALL SELECT 'card_unknown', CAST(event_id AS VARCHAR) FROM events
+            WHERE event_id % 2500 <> 9 AND event_id % 333 = 5),
+        found AS (SELECT DISTINCT reason AS kind, id FROM judged WHERE reason IN ('amount_null', 'card_unknown'))
+        SELECT coalesce(e.kind, f.kind) AS kind, count(e.id) AS n_expected, count(f.id) AS n_found,
           count(*) FILTER (WHERE f.id IS NULL) AS n_missing, count(*) FILTER (WHERE e.id IS NULL) AS n_extra
-        FROM expected e FULL JOIN found f ON e.id = f.id""",
+        FROM expected e FULL JOIN found f ON e.kind = f.kind AND e.id = f.id GROUP BY 1""",
     "classify_deliveries": f"WITH {FILES} SELECT *, days_late > 0 AS is_late FROM classified",
     "late_matrix": f"""WITH {RAW} SELECT event_date, delivery_date, count(*) AS n_rows,
         CAST(delivery_date - event_date AS INTEGER) AS delay_days FROM raw GROUP BY event_date, delivery_date""",

@@ -279,14 +279,6 @@ def quality_metrics(spark, sf_dir):
 def reconcile_answer_key(spark, sf_dir):
     """Defects put into the deliveries against those the operators find, on distinct ids."""
     raw = i.raw_transactions(spark, sf_dir)
-    e = F.col("event_id")
-    kinds = [
-        ("null_amount", e % 200 == 7), ("unknown_card", e % 333 == 5), ("in_file_duplicate", e % 200 == 11),
-        ("resent", e % 200 == 23), ("late", e % 50 == 3),
-    ]
-    injected = F.array_compact(F.array(*[F.when(c, F.lit(name)) for name, c in kinds]))
-    expected = i.table(spark, sf_dir, "events").where(e % 2500 != 9).select(
-        F.explode(injected).alias("kind"), e.cast("string").alias("id"))
     looked = lookups.card_exists(
         raw.select("id", "event_date", "delivery_date", "source_file", "amount", "card_id"),
         i.current_cards(spark, sf_dir))
@@ -297,17 +289,20 @@ def reconcile_answer_key(spark, sf_dir):
             ("null_amount", "null_amount"), ("unknown_card", "unknown_card"),
             ("in_file_duplicate", "in_file_duplicate"), ("resent", "is_resent"), ("late", "is_late"),
         ]]))
-    return deliveries.reconcile(expected, classes.select(F.explode(seen).alias("kind"), "id"))
+    return deliveries.reconcile(i.answer_key(spark, sf_dir), classes.select(F.explode(seen).alias("kind"), "id"))
 
 
 @query
 def reconcile_quarantine(spark, sf_dir):
-    """Quarantine by reason against the answer key; unconvertible amounts are the extra ones."""
-    e = F.col("event_id")
-    expected = i.table(spark, sf_dir, "events").where((e % 2500 != 9) & (e % 200 == 7)).select(
-        F.lit("amount_null").alias("kind"), e.cast("string").alias("id"))
+    """Quarantine by reason against the answer key.
+
+    Unconvertible amounts and cards that never existed are extra; a row with an earlier reason is missing.
+    """
+    reasons = F.when(F.col("kind") == "null_amount", "amount_null").when(
+        F.col("kind") == "unknown_card", "card_unknown")
+    expected = i.answer_key(spark, sf_dir).select(reasons.alias("kind"), "id").where("kind IS NOT NULL")
     found = expectations.quarantine(i.typed_transactions(spark, sf_dir), k.TRANSACTION_RULES).where(
-        F.col("reason") == "amount_null").select(F.col("reason").alias("kind"), "id")
+        F.col("reason").isin("amount_null", "card_unknown")).select(F.col("reason").alias("kind"), "id")
     return deliveries.reconcile(expected, found)
 
 
