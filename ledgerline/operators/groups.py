@@ -36,15 +36,17 @@ class OrderedGroups:
     """Rows grouped by ``keys`` and ordered by ``order``.
 
     ``position`` is a number that never falls along ``order`` (for a leading timestamp its
-    seconds); rows of equal position stay in one segment.
+    seconds); rows of equal position stay in one segment. Hot keys are found by counting ``counted``
+    (keys and the columns of ``position``), by default the rows themselves. Where those are costly to
+    make, a table of about the same keys and times serves as well: it decides on the cuts only.
     """
 
     def __init__(self, df: DataFrame, keys: list[str], order: list[str], position: Column,
-                 limit: GroupLimit = GroupLimit()):
+                 limit: GroupLimit = GroupLimit(), counted: DataFrame | None = None):
         self.keys, self.order, self.columns = keys, order, df.columns
         at = position.cast("double")
         largest = (
-            df.select(*keys, at.alias("_pos"))
+            (df if counted is None else counted).select(*keys, at.alias("_pos"))
             .groupBy(*keys)
             .agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_lo"), F.max("_pos").alias("_hi"))
             .where(F.col("_n") > limit.rows)
@@ -56,7 +58,7 @@ class OrderedGroups:
         along = (at - F.col("_lo")) / (F.col("_hi") - F.col("_lo") + 1)
         self.rows = (
             df.join(F.broadcast(hot.drop("_n")), keys, "left")
-            .withColumn(_SEG, F.floor(along * F.col(_PARTS)).cast("int"))
+            .withColumn(_SEG, F.floor(F.greatest(F.lit(0.0), F.least(along, F.lit(1.0))) * F.col(_PARTS)).cast("int"))
             .drop("_lo", "_hi")
         )
 

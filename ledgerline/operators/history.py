@@ -73,12 +73,13 @@ def state_as_of(df: DataFrame, keys: list[str], order: list[Column | str], day:
 
 def as_of_join(facts: DataFrame, dim: DataFrame, keys: list[str], fact_ts: str, dim_ts: str,
                dim_order: list[str], take: list[str], position: Column,
-               limit: GroupLimit = GroupLimit()) -> DataFrame:
+               limit: GroupLimit = GroupLimit(), counted: DataFrame | None = None) -> DataFrame:
     """Each fact with the ``take`` columns of the version in force at its time (NULL if none).
 
     Facts and versions are merged along the time of the key and every fact takes the last version
     before it, so the work grows with the rows and not with facts times versions. ``position``
-    must be written on the column ``_at``.
+    must be written on the column ``_at``; ``counted``, as in :class:`OrderedGroups`, has the keys
+    and ``_at``.
     """
     tie = [f"_o{i}" for i in range(len(dim_order))]
     no_key = F.lit(False)
@@ -94,7 +95,7 @@ def as_of_join(facts: DataFrame, dim: DataFrame, keys: list[str], fact_ts: str,
     )
     # a version that starts at the time of a fact is in force for it, hence versions come first
     merged = facts_side.unionByName(dim_side, allowMissingColumns=True)
-    groups = OrderedGroups(merged, keys, ["_at", "_side", *tie], position, limit)
+    groups = OrderedGroups(merged, keys, ["_at", "_side", *tie], position, limit, counted)
     matched = groups.previous(F.col("_version"), "_found").where(F.col("_side") == 1)
     found = matched.df().select("_fact.*", *[F.col("_found")[c].alias(c) for c in take])
     # facts without a key match nothing and need no shuffle

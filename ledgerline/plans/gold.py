@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.contracts import LINEAGE, RESCUED
 from ledgerline.operators.history import as_of_join
 
 
@@ -13,6 +14,16 @@ def dim_category(codes: DataFrame) -> DataFrame:
     return codes.select("mcc", "description")
 
 
+def dim_cards(cards: DataFrame) -> DataFrame:
+    """Current cards; their changes overwrite."""
+    return cards.drop(*LINEAGE, "batch_id", "row_hash")
+
+
+def dim_clients(clients: DataFrame) -> DataFrame:
+    """Client versions with their validity."""
+    return clients.drop(*LINEAGE, RESCUED, "batch_id", "row_hash")
+
+
 def status(errors: Column) -> Column:
     """No error text means approved."""
     return F.when(errors.isNull() | (F.size(errors) == 0), "approved").otherwise("declined")
@@ -57,9 +68,10 @@ def errors_by_type(tx: DataFrame) -> DataFrame:
     )
 
 
-def with_client_version(tx: DataFrame, clients: DataFrame, take: list[str], position) -> DataFrame:
+def with_client_version(tx: DataFrame, clients: DataFrame, take: list[str], position: Column,
+                        counted: DataFrame | None = None) -> DataFrame:
     """Transactions with the client version in force at the event."""
     return as_of_join(
         tx, clients.withColumnRenamed("id", "client_id"), ["client_id"], "event_ts", "valid_from",
-        ["valid_from"], take, position,
+        ["valid_from"], take, position, counted=counted,
     )

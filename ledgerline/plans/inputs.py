@@ -137,6 +137,17 @@ def raw_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def client_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each client record delivered three times: first, unchanged, with another income."""
+    days = F.array(*[F.lit(d).cast("timestamp_ntz") for d in CLIENT_DAYS])
+    sent = raw_clients(spark, sf_dir).withColumn("delivered_at", F.explode(days))
+    return sent.withColumn("yearly_income", F.when(
+        F.col("delivered_at") == F.lit(CLIENT_DAYS[2]).cast("timestamp_ntz"), "$64200").otherwise(F.col("yearly_income")))
+
+
+CLIENT_DAYS = ["2024-01-01 00:00:00", "2024-01-10 00:00:00", "2024-01-20 00:00:00"]
+
+
 def raw_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Card records as text, one per part, with card number and CVV."""
     n = F.col("p_partkey")

@@ -112,6 +112,15 @@ CARDS = """raw_cards AS (
   FROM raw_cards
 )"""
 
+CLIENT_VERSIONS = CLIENTS + """, client_versions AS (
+  SELECT * EXCLUDE (n, c_mktsegment, c_acctbal), TIMESTAMP '2024-01-01' AS valid_from,
+    CASE WHEN yearly_income <> 64200 THEN TIMESTAMP '2024-01-20' END AS valid_to,
+    yearly_income = 64200 AS is_current FROM raw_clients
+  UNION ALL
+  SELECT * EXCLUDE (n, c_mktsegment, c_acctbal) REPLACE (CAST(64200 AS DECIMAL(12,2)) AS yearly_income),
+    TIMESTAMP '2024-01-20', NULL, true FROM raw_clients WHERE yearly_income <> 64200
+)"""
+
 LABELS = """lab AS (
   SELECT CAST(doc_id AS VARCHAR) AS transaction_id, toxic = 1 AS is_fraud FROM labels
 )"""
@@ -400,4 +409,9 @@ SQL = {
         UNION ALL SELECT id, 64200, total_debt, DATE '2017-01-03', true, true FROM raw_clients
           WHERE yearly_income <> 64200""",
     "silver_labels": f"WITH {LABELS} SELECT * FROM lab",
+    "dim_cards": f"WITH {CARDS} SELECT * EXCLUDE (n) FROM typed_cards",
+    "dim_clients": f"WITH {CLIENT_VERSIONS} SELECT * FROM client_versions",
+    "fact_client_version": f"""WITH {TYPED}, {CLIENT_VERSIONS} SELECT t.id, t.event_ts, t.client_id, t.amount,
+        v.yearly_income, v.valid_from FROM current_tx t LEFT JOIN client_versions v ON t.client_id = v.id
+          AND v.valid_from <= t.event_ts AND (v.valid_to IS NULL OR t.event_ts < v.valid_to)""",
 }

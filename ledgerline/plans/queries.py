@@ -206,7 +206,8 @@ def fact_asof_dim(spark, sf_dir):
     facts = i.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
     return history.as_of_join(
         facts, dim, ["o_custkey"], "o_orderdate", "valid_from", ["version_key"],
-        ["status_then", "version_key"], history.position(F.col("_at"), "ntz"))
+        ["status_then", "version_key"], history.position(F.col("_at"), "ntz"),
+        counted=facts.select("o_custkey", F.col("o_orderdate").alias("_at")))
 
 
 @query
@@ -468,6 +469,33 @@ def dim_category(spark, sf_dir):
     return gold.dim_category(typed_codes(spark, sf_dir))
 
 
+@query
+def dim_cards(spark, sf_dir):
+    cards = conform.cards(conform.truncate_pan(i.raw_cards(spark, sf_dir)))
+    return gold.dim_cards(expectations.keep(cards, k.CARD_RULES))
+
+
+@query
+def dim_clients(spark, sf_dir):
+    """Typed client deliveries folded to versions over all tracked columns."""
+    typed = conform.clients(i.client_deliveries(spark, sf_dir), extra=["delivered_at"])
+    found = history.versions(
+        expectations.keep(typed, k.CLIENT_RULES), ["id"], ["delivered_at"], k.CLIENT_TRACKED,
+        history.position(F.col("delivered_at"), "ntz"))
+    return gold.dim_clients(found).drop("delivered_at")
+
+
+@query
+def fact_client_version(spark, sf_dir):
+    """Current transactions with the income of the client at the time of the event."""
+    events = i.table(spark, sf_dir, "events").select(
+        F.col("user_id").cast("string").alias("client_id"), F.col("ts").alias("_at"))
+    facts = gold.with_client_version(
+        _valid_current(spark, sf_dir), dim_clients(spark, sf_dir), ["yearly_income", "valid_from"],
+        history.position(F.col("_at"), "ntz"), counted=events)
+    return facts.select("id", "event_ts", "client_id", "amount", "yearly_income", "valid_from")
+
+
 # --- draws ----------------------------------------------------------------------------------
 
 @query
