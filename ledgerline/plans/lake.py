@@ -51,9 +51,11 @@ class Lake:
         else:
             {"cards": self.cards, "clients": self.clients, "transactions": self.transactions}[entity].drain(run_id)
 
-    def compact(self) -> None:
-        for table in (self.cards, self.clients, self.transactions):
-            table.compact()
+    def compact(self, transactions_after: int = 30) -> None:
+        """The small tables after every run, transactions when that many batches have come."""
+        self.cards.compact()
+        self.clients.compact()
+        self.transactions.compact(transactions_after)
 
     def quality_metrics(self) -> DataFrame:
         tables = [self.transactions, self.clients, self.cards, self.codes, self.labels]

@@ -7,11 +7,13 @@ the old or the new version, whole.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-_REGISTER = "version BIGINT, upto BIGINT, published_at TIMESTAMP"
+_REGISTER = "version BIGINT, upto BIGINT, folder STRING, published_at TIMESTAMP"
 
 
 class VersionedTable:
@@ -28,34 +30,34 @@ class VersionedTable:
                 raise
             return self.spark.createDataFrame([], _REGISTER)
 
-    def latest(self) -> tuple[int, int] | None:
-        """Newest version and its ``upto``, or None before the first publication."""
-        row = self.history().agg(F.max(F.struct("version", "upto")).alias("v")).first()
-        return (row.v.version, row.v.upto) if row.v else None
-
-    def folder(self, version: int) -> str:
-        return f"{self.path}/data/version={version:08d}"
+    def latest(self) -> Row | None:
+        """Newest entry of the history, or None before the first publication."""
+        return self.history().orderBy(F.desc("version")).first()
 
     def publish(self, df: DataFrame, upto: int = -1) -> int:
-        """Write ``df`` as the next version, then announce it. ``df`` may read the current one."""
+        """Write ``df`` as the next version, then announce it. ``df`` may read the current one.
+
+        A folder belongs to one attempt only. Of two writers of the same version the first to
+        announce it wins and the other one fails.
+        """
         now = self.latest()
-        version = now[0] + 1 if now else 1
-        df.write.mode("overwrite").parquet(self.folder(version))
-        self._announce(version, upto)
+        version = now.version + 1 if now else 1
+        folder = f"version={version:08d}-{uuid.uuid4().hex}"
+        df.write.mode("errorifexists").parquet(f"{self.path}/data/{folder}")
+        self._announce(version, upto, folder)
         return version
 
-    def _announce(self, version: int, upto: int) -> None:
+    def _announce(self, version: int, upto: int, folder: str) -> None:
         note = self.spark.range(1).select(
             F.lit(version).cast("bigint").alias("version"), F.lit(upto).cast("bigint").alias("upto"),
-            F.current_timestamp().alias("published_at"),
+            F.lit(folder).alias("folder"), F.current_timestamp().alias("published_at"),
         )
-        # fails if another writer has published this version number meanwhile
         note.write.mode("errorifexists").json(f"{self.path}/register/{version:08d}")
 
     def read(self, version: int | None = None) -> DataFrame:
-        if version is None:
-            now = self.latest()
-            if now is None:
-                raise FileNotFoundError(f"no version published in {self.path}")
-            version = now[0]
-        return self.spark.read.parquet(self.folder(version))
+        """The newest version, or the given one."""
+        entries = self.history() if version is None else self.history().where(F.col("version") == version)
+        entry = entries.orderBy(F.desc("version")).first()
+        if entry is None:
+            raise FileNotFoundError(f"no version published in {self.path}")
+        return self.spark.read.parquet(f"{self.path}/data/{entry.folder}")

@@ -151,9 +151,8 @@ class SilverTable:
         now = self.compacted.latest()
         if now is None:
             return self._fold(self._judged(VALID).drop("reason"))
-        version, upto = now
-        base = self.compacted.read(version)
-        fresh = self._judged(VALID, after=upto).drop("reason")
+        base = self.compacted.read(now.version)
+        fresh = self._judged(VALID, after=now.upto).drop("reason")
         touched = fresh.select("id").distinct()
         untouched = base.join(touched, "id", "left_anti")
         if self.flow.tracked:
@@ -163,9 +162,16 @@ class SilverTable:
             again = base.join(touched, "id", "left_semi").unionByName(fresh)
         return untouched.unionByName(self._fold(again))
 
-    def compact(self) -> int:
-        """Publish the merged table; readers switch to it at once."""
-        return self.compacted.publish(self.read(), upto=self.last_batch())
+    def compact(self, after_batches: int = 1) -> bool:
+        """Publish the merged table if at least that many batches came since; readers switch at once.
+
+        It rewrites the table, so large tables do it rarely and small ones after every run.
+        """
+        now, last = self.compacted.latest(), self.last_batch()
+        if last - (now.upto if now else -1) < after_batches:
+            return False
+        self.compacted.publish(self.read(), upto=last)
+        return True
 
 
 def transactions(spark: SparkSession, bronze: BronzeLog, root: str, cards: SilverTable) -> SilverTable:

@@ -138,15 +138,33 @@ def test_versions_are_switched_whole(spark, root):
     assert [(r.version, r.upto) for r in table.history().orderBy("version").collect()] == [(1, 3), (2, 4)]
 
 
-def test_unfinished_version_is_not_seen(spark, root):
+def test_unfinished_version_is_not_seen(spark, root, monkeypatch):
     table = VersionedTable(spark, root)
     table.publish(spark.range(5))
-    spark.range(99).write.parquet(table.folder(2))  # a job that died before the announcement
+
+    def die(*_):
+        raise RuntimeError("lost before the announcement")
+
+    with monkeypatch.context() as m:
+        m.setattr(VersionedTable, "_announce", die)
+        with pytest.raises(RuntimeError):
+            table.publish(spark.range(99))
     assert table.read().count() == 5
     table.publish(spark.range(7))
     assert table.read().count() == 7
 
 
+def test_two_writers_of_one_version(spark, root, monkeypatch):
+    table, other = VersionedTable(spark, root), VersionedTable(spark, root)
+    table.publish(spark.range(5))
+    stale = other.latest()
+    table.publish(spark.range(6))
+    monkeypatch.setattr(other, "latest", lambda: stale)
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        other.publish(spark.range(99))
+    assert table.read().count() == 6
+
+
 def test_snapshot_rules(spark, root):
     raw = spark.createDataFrame([("1", "Yes"), ("2", "maybe"), (None, "No")], "transaction_id STRING, is_fraud STRING")
     target = silver.labels(spark, root)
