@@ -39,10 +39,13 @@ class OrderedGroups:
     seconds); rows of equal position stay in one segment. Hot keys are found by counting ``counted``
     (keys and the columns of ``position``), by default the rows themselves. Where those are costly to
     make, a table of about the same keys and times serves as well: it decides on the cuts only.
+    ``spread`` names a column that divides the groups further, for rows that need no neighbours.
     """
 
     def __init__(self, df: DataFrame, keys: list[str], order: list[str], position: Column,
-                 limit: GroupLimit = GroupLimit(), counted: DataFrame | None = None):
+                 limit: GroupLimit = GroupLimit(), counted: DataFrame | None = None,
+                 spread: list[str] | None = None):
+        self.spread = spread or []
         self.keys, self.order, self.columns = keys, order, df.columns
         at = position.cast("double")
         largest = (
@@ -88,7 +91,7 @@ class OrderedGroups:
         return self._derive(rows, [*self.columns, out])
 
     def _window(self) -> W:
-        return W.partitionBy(*self.keys, _PARTS, _SEG).orderBy(*self.order)
+        return W.partitionBy(*self.keys, *self.spread, _PARTS, _SEG).orderBy(*self.order)
 
     def previous(self, state: Column, out: str) -> "OrderedGroups":
         """Add the last non-NULL ``state`` of the earlier rows of the key."""
@@ -107,5 +110,6 @@ class OrderedGroups:
 
     def _derive(self, rows: DataFrame, columns: list[str]) -> "OrderedGroups":
         other = object.__new__(OrderedGroups)
-        other.keys, other.order, other.columns, other.rows = self.keys, self.order, columns, rows
+        other.keys, other.order, other.spread = self.keys, self.order, self.spread
+        other.columns, other.rows = columns, rows
         return other

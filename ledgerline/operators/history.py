@@ -83,10 +83,12 @@ def as_of_join(facts: DataFrame, dim: DataFrame, keys: list[str], fact_ts: str,
     """
     tie = [f"_o{i}" for i in range(len(dim_order))]
     no_key = F.lit(False)
-    for k in keys:
-        no_key = no_key | F.col(k).isNull()
-    facts_side = facts.where(~no_key).select(
-        *keys, F.col(fact_ts).alias("_at"), F.lit(1).alias("_side"), F.struct(*facts.columns).alias("_fact")
+    for key in keys:
+        no_key = no_key | F.col(key).isNull()
+    # facts without a key match nothing; they are divided by task instead of gathering in one group
+    facts_side = facts.select(
+        *keys, F.col(fact_ts).alias("_at"), F.lit(1).alias("_side"),
+        F.when(no_key, F.spark_partition_id()).alias("_spread"), F.struct(*facts.columns).alias("_fact"),
     )
     dim_side = dim.where(~no_key).select(
         *keys, F.col(dim_ts).alias("_at"), F.lit(0).alias("_side"),
@@ -95,8 +97,7 @@ def as_of_join(facts: DataFrame, dim: DataFrame, keys: list[str], fact_ts: str,
     )
     # a version that starts at the time of a fact is in force for it, hence versions come first
     merged = facts_side.unionByName(dim_side, allowMissingColumns=True)
-    groups = OrderedGroups(merged, keys, ["_at", "_side", *tie], position, limit, counted)
+    groups = OrderedGroups(
+        merged, keys, ["_at", "_side", *tie], position, limit, counted, spread=["_spread"])
     matched = groups.previous(F.col("_version"), "_found").where(F.col("_side") == 1)
-    found = matched.df().select("_fact.*", *[F.col("_found")[c].alias(c) for c in take])
-    # facts without a key match nothing and need no shuffle
-    return found.unionByName(facts.where(no_key), allowMissingColumns=True)
+    return matched.df().select("_fact.*", *[F.col("_found")[c].alias(c) for c in take])

@@ -27,6 +27,13 @@ def query(fn: Query) -> Query:
     return fn
 
 
+def _stored(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
+    """A derived table written and read back, as Gold reads stored Silver tables."""
+    path = work_dir(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def _errors_text() -> F.Column:
     return F.array_join("errors", "|").alias("errors")
 
@@ -205,9 +212,8 @@ def fact_asof_dim(spark, sf_dir):
         F.col("o_orderstatus").alias("status_then"))
     facts = i.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
     return history.as_of_join(
-        facts, dim, ["o_custkey"], "o_orderdate", "valid_from", ["version_key"],
-        ["status_then", "version_key"], history.position(F.col("_at"), "ntz"),
-        counted=facts.select("o_custkey", F.col("o_orderdate").alias("_at")))
+        facts, _stored(spark, dim, "client-versions"), ["o_custkey"], "o_orderdate", "valid_from", ["version_key"],
+        ["status_then", "version_key"], history.position(F.col("_at"), "ntz"))
 
 
 @query
@@ -488,12 +494,11 @@ def dim_clients(spark, sf_dir):
 @query
 def fact_client_version(spark, sf_dir):
     """Current transactions with the income of the client at the time of the event."""
-    events = i.table(spark, sf_dir, "events").select(
-        F.col("user_id").cast("string").alias("client_id"), F.col("ts").alias("_at"))
-    facts = gold.with_client_version(
-        _valid_current(spark, sf_dir), dim_clients(spark, sf_dir), ["yearly_income", "valid_from"],
-        history.position(F.col("_at"), "ntz"), counted=events)
-    return facts.select("id", "event_ts", "client_id", "amount", "yearly_income", "valid_from")
+    tx = _valid_current(spark, sf_dir).select("id", "event_ts", "client_id", "amount")
+    clients = dim_clients(spark, sf_dir).select("id", "yearly_income", "valid_from")
+    return gold.with_client_version(
+        _stored(spark, tx, "transactions"), _stored(spark, clients, "clients"),
+        ["yearly_income", "valid_from"], history.position(F.col("_at"), "ntz"))
 
 
 # --- draws ----------------------------------------------------------------------------------

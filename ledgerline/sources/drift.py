@@ -46,34 +46,31 @@ def csv_headers(lines: DataFrame) -> list[tuple[str, str, list[str]]]:
     return [(r.source_file, r.header, names[r.header]) for r in first]
 
 
-def _cells(names: Column, width: int) -> Column:
-    """Map of a line with ``width`` columns. A line with more cells is also kept whole."""
-    columns = ", ".join(f"c{i} STRING" for i in range(width))
-    row = F.from_csv(F.col("value"), f"{columns}, other STRING", {"columnNameOfCorruptRecord": "other"})
-    bag = F.map_from_arrays(names, F.array(*[row[f"c{i}"] for i in range(width)]))
-    commas = F.length("value") - F.length(F.replace("value", F.lit(","), F.lit("")))
-    too_long = row["other"].isNotNull() & (commas >= width)
-    return F.when(too_long, F.map_concat(bag, F.create_map(F.lit(CORRUPT), F.col("value")))).otherwise(bag)
-
-
 def csv_fields(lines: DataFrame, headers: list[tuple[str, str, list[str]]]) -> DataFrame:
     """Add ``fields``, the map of a CSV line by the header of its own file; header lines go.
 
-    Quoted line breaks are not supported, as in any reader that splits files.
+    A line with more cells than its header is also kept whole. Quoted line breaks are not
+    supported, as in any reader that splits files.
     """
     if not headers:
         return lines.withColumn("fields", F.lit(None).cast("map<string,string>"))
     layouts = lines.sparkSession.createDataFrame(headers, "source_file STRING, header STRING, names ARRAY<STRING>")
-    by_width = F.lit(None).cast("map<string,string>")
-    for width in sorted({len(names) for _, _, names in headers}):
-        by_width = F.when(F.size("names") == width, _cells(F.col("names"), width)).otherwise(by_width)
     # one row per file of the micro-batch
-    return (
-        lines.join(F.broadcast(layouts), "source_file")
-        .where(F.col("value") != F.col("header"))
-        .withColumn("fields", by_width)
-        .drop("header", "names")
-    )
+    body = lines.join(F.broadcast(layouts), "source_file").where(F.col("value") != F.col("header"))
+    widths = sorted({len(names) for _, _, names in headers})
+    for n in widths:  # a column of its own, so that a line is parsed once and not once per cell
+        cells = ", ".join(f"c{i} STRING" for i in range(n))
+        row = F.from_csv(F.col("value"), f"{cells}, other STRING", {"columnNameOfCorruptRecord": "other"})
+        body = body.withColumn(f"_row{n}", F.when(F.size("names") == n, row))
+    commas = F.length("value") - F.length(F.replace("value", F.lit(","), F.lit("")))
+    fields = F.lit(None).cast("map<string,string>")
+    for n in widths:
+        cells = F.array(*[F.col(f"_row{n}")[f"c{i}"] for i in range(n)])
+        bag = F.map_from_arrays("names", cells)
+        too_long = F.col(f"_row{n}")["other"].isNotNull() & (commas >= n)
+        whole = F.map_concat(bag, F.create_map(F.lit(CORRUPT), F.col("value")))
+        fields = F.when(F.size("names") == n, F.when(too_long, whole).otherwise(bag)).otherwise(fields)
+    return body.withColumn("fields", fields).drop("header", "names", *[f"_row{n}" for n in widths])
 
 
 def outside(fields: Column, known: list[str]) -> Column:
