@@ -79,7 +79,7 @@ class BronzeLog:
     def __init__(self, spark: SparkSession, entity: Entity, root: str, generation: int = 1):
         self.spark, self.entity = spark, entity
         base = f"{root.rstrip('/')}/{entity.name}/generation={generation}"
-        self.log, self.checkpoint = f"{base}/log", f"{base}/checkpoint"
+        self.log, self.checkpoint, self.done = f"{base}/log", f"{base}/checkpoint", f"{base}/batches"
         self.register = ColumnRegister(spark, f"{base}/columns", entity.columns)
 
     def schema(self) -> str:
@@ -90,15 +90,25 @@ class BronzeLog:
         text = list(names) + ([k.RESCUED] if self.entity.keep_rescued else []) + [k.SOURCE_FILE]
         return ", ".join(f"`{n}` STRING" for n in text) + f", {k.INGESTED_AT} TIMESTAMP"
 
-    def read(self) -> DataFrame:
-        """The whole log, with the schema taken from the register and not from the files."""
-        schema = f"{self.schema()}, batch_id BIGINT"
+    def _read(self, path: str, schema: str) -> DataFrame:
         try:
-            return self.spark.read.schema(schema).parquet(self.log)
+            return self.spark.read.schema(f"{schema}, batch_id BIGINT").parquet(path)
         except AnalysisException as missing:
             if missing.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], schema)
+            return self.spark.createDataFrame([], f"{schema}, batch_id BIGINT")
+
+    def batches(self) -> DataFrame:
+        """Completed micro-batches with their rows, and how many of those had unknown columns."""
+        return self._read(self.done, "n_rows BIGINT, n_strange BIGINT")
+
+    def last_batch(self) -> int:
+        row = self.batches().agg(F.max("batch_id").alias("n")).first()
+        return -1 if row.n is None else row.n
+
+    def read(self) -> DataFrame:
+        """All complete batches, with the schema taken from the register and not from the files."""
+        return self._read(self.log, self.schema()).where(F.col("batch_id") <= self.last_batch())
 
     def stream(self, **options) -> DataFrame:
         """The log as a stream: each stored row once."""
@@ -147,6 +157,8 @@ class BronzeLog:
 
     def _store(self, batch: DataFrame, batch_id: int, policy: str) -> None:
         """Write a micro-batch; one pass over JSON files, for CSV files one more for the headers."""
+        if batch_id <= self.last_batch():
+            return  # done before a restart
         known = self.register.names()
         lines = batch.where(F.trim("value") != "")
         if self.entity.fmt == "json":
@@ -157,7 +169,8 @@ class BronzeLog:
         unknown = Observation()
         strange = F.size("outside") > F.when(F.map_contains_key("outside", drift.CORRUPT), 1).otherwise(0)
         out = drift.project(
-            rows.observe(unknown, F.count_if(strange).alias("n")), known, policy, [k.SOURCE_FILE])
+            rows.observe(unknown, F.count(F.lit(1)).alias("n_rows"), F.count_if(strange).alias("n_strange")),
+            known, policy, [k.SOURCE_FILE])
         if not self.entity.keep_rescued:
             out = out.drop(k.RESCUED)
         if self.entity.prepare:
@@ -165,13 +178,18 @@ class BronzeLog:
         out = out.withColumn(k.INGESTED_AT, F.current_timestamp())
         folder = f"{self.log}/batch_id={batch_id}"
         out.write.mode("overwrite").parquet(folder)
-        if policy in (drift.ADD, drift.FAIL) and unknown.get["n"]:
+        seen = unknown.get
+        if policy in (drift.ADD, drift.FAIL) and seen["n_strange"]:
             # the batch is taken back and repeated as a whole once its columns are known
             out.where(F.lit(False)).write.mode("overwrite").parquet(folder)
             new = drift.new_names(rows)
             if policy == drift.ADD:
                 self.register.widen(new)
             raise NewColumns(f"{self.entity.name}: {', '.join(new)}")
+        self.spark.range(1).select(
+            F.lit(seen["n_rows"]).cast("bigint").alias("n_rows"),
+            F.lit(seen["n_strange"]).cast("bigint").alias("n_strange"),
+        ).write.mode("overwrite").parquet(f"{self.done}/batch_id={batch_id}")
 
     def ignored_corrections(self, landing: str) -> DataFrame:
         """Files rewritten under the same name after they were taken; the stream never looks again."""

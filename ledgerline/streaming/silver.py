@@ -100,6 +100,8 @@ class SilverTable:
         )
 
     def _apply(self, batch: DataFrame, batch_id: int, run_id: str) -> None:
+        if batch_id <= self.last_batch():
+            return  # done before a restart; judging it again could meet other cards
         counts = Observation()
         judged = expectations.observe(self.judge(batch), self.flow.rules, counts)
         judged.write.mode("overwrite").partitionBy("verdict").parquet(f"{self.log}/batch_id={batch_id}")

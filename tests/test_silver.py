@@ -199,3 +199,16 @@ def test_a_new_generation_starts_empty(spark, root):
     assert again.cards.read().count() == 0
     again.take("cards", "again")
     assert again.cards.read().count() == first.cards.read().count() == 1
+
+
+def test_a_batch_is_not_judged_twice(spark, lake):
+    """A restart may offer a finished batch again, when cards have changed meanwhile."""
+    lake.land_cards("c", ["2"])
+    lake.land_tx("t", [tx(1), tx(2, card_id="9")])
+    lake.land_cards("c2", ["9"])
+    bronze_rows = lake.bronze["transactions"].read()
+    lake.transactions._apply(bronze_rows, 0, "again")
+    lake.bronze["transactions"]._store(spark.createDataFrame([], "value STRING, source_file STRING, block_start BIGINT"), 0, "add")
+    assert lake.transactions.quarantine().count() == 1
+    assert lake.bronze["transactions"].read().count() == 2
+    assert {r.run_id for r in lake.transactions.counters.read().collect()} == {"t"}
