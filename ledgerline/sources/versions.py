@@ -60,4 +60,8 @@ class VersionedTable:
         entry = entries.orderBy(F.desc("version")).first()
         if entry is None:
             raise FileNotFoundError(f"no version published in {self.path}")
+        return self.at(entry)
+
+    def at(self, entry: Row) -> DataFrame:
+        """The version of a history entry."""
         return self.spark.read.parquet(f"{self.path}/data/{entry.folder}")

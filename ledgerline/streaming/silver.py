@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 from functools import cached_property, reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline import contracts as k
@@ -113,13 +113,12 @@ class SilverTable:
         row = self.counters.read().agg(F.max("batch_id").alias("n")).first()
         return -1 if row.n is None else row.n
 
-    def _judged(self, verdict: str, after: int = -1) -> DataFrame:
-        """Rows of complete batches; both conditions prune folders."""
-        upto = self.last_batch()
-        if upto < 0:
+    def _judged(self, verdict: str, upto: int, after: int = -1) -> DataFrame:
+        """Rows of the batches ``after`` .. ``upto``; both conditions prune folders."""
+        if upto <= after:
             return self.spark.createDataFrame([], self._log_schema).drop("verdict")
         return (
-            self.spark.read.option("basePath", self.log).schema(self._log_schema).parquet(self.log)
+            self.spark.read.schema(self._log_schema).parquet(self.log)
             .where(
                 (F.col("verdict") == verdict)
                 & (F.col("batch_id") > after) & (F.col("batch_id") <= upto)
@@ -129,13 +128,14 @@ class SilverTable:
 
     @cached_property
     def _log_schema(self):
-        shape = self.judge(self.bronze.read()).drop("verdict")
+        nothing = self.spark.createDataFrame([], f"{self.bronze.schema()}, batch_id BIGINT")
+        shape = self.judge(nothing).drop("verdict")
         return shape.withColumns({
             "batch_id": F.lit(None).cast("bigint"), "verdict": F.lit(None).cast("string"),
         }).schema
 
     def quarantine(self) -> DataFrame:
-        return self._judged(QUARANTINE)
+        return self._judged(QUARANTINE, self.last_batch())
 
     def _fold(self, rows: DataFrame) -> DataFrame:
         if not self.flow.tracked:
@@ -150,16 +150,20 @@ class SilverTable:
 
     def read(self) -> DataFrame:
         """Latest rows, or version history where the flow tracks columns."""
-        now = self.compacted.latest()
+        return self._merged(self.compacted.latest(), self.last_batch())
+
+    def _merged(self, now: Row | None, last: int) -> DataFrame:
         if now is None:
-            return self._fold(self._judged(VALID).drop("reason"))
-        base = self.compacted.read(now.version)
-        fresh = self._judged(VALID, after=now.upto).drop("reason")
+            return self._fold(self._judged(VALID, last).drop("reason"))
+        base = self.compacted.at(now)
+        if last <= now.upto:
+            return base
+        fresh = self._judged(VALID, last, after=now.upto).drop("reason")
         touched = fresh.select("id").distinct()
         untouched = base.join(touched, "id", "left_anti")
         if self.flow.tracked:
             # versions have lost the records they collapsed: fold those keys from the whole log
-            again = self._judged(VALID).drop("reason").join(touched, "id", "left_semi")
+            again = self._judged(VALID, last).drop("reason").join(touched, "id", "left_semi")
         else:
             again = base.join(touched, "id", "left_semi").unionByName(fresh)
         return untouched.unionByName(self._fold(again))
@@ -172,7 +176,7 @@ class SilverTable:
         now, last = self.compacted.latest(), self.last_batch()
         if last - (now.upto if now else -1) < after_batches:
             return False
-        self.compacted.publish(self.read(), upto=last)
+        self.compacted.publish(self._merged(now, last), upto=last)
         return True
 
 
