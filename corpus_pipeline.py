@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import exact_dedup, jaccard_join, quality_rules
+from ledgerline.llm import best_fit_packing, exact_dedup, jaccard_join, quality_rules, secret_scan
 from ledgerline.llm.common import importable, stored
 
 
@@ -25,7 +26,20 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return jaccard_join.one_of_each(docs, k=5, percent=80)
 
 
-STAGES = [("quality rules", quality), ("exact dedup", exact), ("n-gram Jaccard join", near)]
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with the secrets in their texts replaced by a mark."""
+    return secret_scan.redacted(docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents with their places in sequences of 4096 tokens."""
+    importable(spark)
+    parts = best_fit_packing.pieces(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return best_fit_packing.pack(parts).withColumnRenamed("doc_key", "doc_id")
+
+
+STAGES = [("quality rules", quality), ("exact dedup", exact), ("n-gram Jaccard join", near), ("secret scans", secrets),
+          ("best-fit packing", packed)]
 
 #: Learned rules, a learned forest and a genetic search: SQL cannot express these stages.
 ORACLE_SQL = None
