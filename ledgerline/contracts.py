@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
 
 # File contracts of the five sources. Every landing and Bronze column is text.
 TRANSACTION_COLUMNS = [
@@ -89,67 +88,3 @@ CLIENT_TRACKED = [
     "latitude", "longitude", "per_capita_income", "yearly_income", "total_debt",
     "credit_score", "num_credit_cards",
 ]
-
-# Our names and the names published to existing consumers, per kind.
-PUBLISHED_COLUMNS = {
-    "event_ts": "data_transacao",
-    "amount": "valor",
-    "is_refund": "flag_estorno",
-    "card_exists": "cartao_existe",
-    "reason": "motivo",
-    "birth_date": "data_nascimento",
-    "per_capita_income": "renda_per_capita",
-    "yearly_income": "renda_anual",
-    "total_debt": "divida_total",
-    "expires_on": "data_expiracao",
-    "has_chip": "possui_chip",
-    "credit_limit": "limite_credito",
-    "opened_on": "data_abertura_conta",
-    "pin_changed_year": "ano_troca_pin",
-    "on_dark_web": "na_dark_web",
-    "description": "descricao",
-    "source_file": "_arquivo_origem",
-    "ingested_at": "_ingerido_em",
-    "rescued_data": "_rescued_data",
-    "run_id": "id_execucao",
-    "measured_at": "momento",
-    "table_name": "tabela",
-    "rule": "regra",
-    "passed": "linhas_aprovadas",
-    "failed": "linhas_violadas",
-    "pct_failed": "pct_violacao",
-}
-PUBLISHED_RULES = {
-    "id_present": "id_preenchido",
-    "amount_present": "valor_preenchido",
-    "date_present": "data_preenchida",
-    "use_chip_valid": "use_chip_valido",
-    "no_rescued_data": "sem_dado_resgatado",
-    "zip_absence_justified": "zip_ausente_justificado",
-    "card_exists": "cartao_existente",
-    "credit_score_range": "range_credit_score",
-    "gender_valid": "gender_valido",
-    "birth_date_present": "data_nascimento_preenchido",
-    "card_type_valid": "card_type_valido",
-    "expiry_valid": "data_expiracao_valida",
-    "opening_valid": "data_abertura_valida",
-    "transaction_id_present": "transaction_id_preenchido",
-    "is_fraud_valid": "is_fraud_valido",
-    "mcc_present": "mcc_preenchido",
-}
-PUBLISHED_REASONS = {
-    "id_null": "id_nulo",
-    "amount_null": "valor_nulo",
-    "date_null": "data_nulo",
-    "card_unknown": "cartao_inexistente",
-    "use_chip_invalid": "use_chip_accepted_values",
-}
-
-
-def published(df: DataFrame) -> DataFrame:
-    """The same rows under the published column, rule and reason names."""
-    named = df
-    for column, names in (("rule", PUBLISHED_RULES), ("reason", PUBLISHED_REASONS)):
-        if column in df.columns:
-            named = named.replace(names, subset=[column])
-    return named.withColumnsRenamed(PUBLISHED_COLUMNS)

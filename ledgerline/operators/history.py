@@ -21,11 +21,6 @@ def position(order: Column, kind: str) -> Column:
     return order.cast("double")
 
 
-def row_digest(df: DataFrame) -> Column:
-    """Last resort of an order: equal digests are equal rows."""
-    return F.md5(F.to_json(F.struct(*df.columns)))
-
-
 def latest(df: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:
     """The last row of each key.
 

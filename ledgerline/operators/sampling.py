@@ -8,15 +8,6 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.scalars import digest, draw
 
-# Domains of free mail providers.
-EMAIL_DOMAINS = ["gmail.com", "yahoo.com", "hotmail.com", "outlook.com", "aol.com", "icloud.com"]
-# Change groups of a card and their weights in percent.
-CARD_CHANGE_WEIGHTS = [("limit", 45), ("dark_web", 3), ("pin", 27), ("reissue", 25)]
-
-FEMALE_NAMES = ["Alice", "Beth", "Clara", "Diana", "Ella", "Fiona", "Grace", "Helen", "Irene", "Julia"]
-MALE_NAMES = ["Adam", "Brian", "Carl", "David", "Evan", "Frank", "George", "Henry", "Ian", "James"]
-LAST_NAMES = ["Archer", "Baker", "Carter", "Dawson", "Ellis", "Foster", "Grant", "Hayes", "Irwin", "Jordan"]
-
 
 def exact_rate(df: DataFrame, day: str, key: str, rate: float, seed: str) -> DataFrame:
     """For every day exactly ``round(n * rate)`` rows (half to even), chosen by digest of the key.
@@ -25,7 +16,7 @@ def exact_rate(df: DataFrame, day: str, key: str, rate: float, seed: str) -> Dat
     digits. Those counts give, per day, the slot in which the quota ends: rows in lower slots are
     in, rows in higher slots are out, and the rows of that one slot are ranked. No group is larger
     than a slot, a 4096th of its day.
-    ``day`` is a date, so the table of slots has one row per calendar day. ``key`` must be unique.
+    The table of slots has one row per day. ``key`` must be unique. Rows without a day are a day of their own.
     """
     drawn = df.withColumn("_digest", digest(seed, F.col(key))).withColumn(
         "_slot", F.substring("_digest", 1, 3)
@@ -37,11 +28,11 @@ def exact_rate(df: DataFrame, day: str, key: str, rate: float, seed: str) -> Dat
         .withColumn("_upto", F.sum("_n").over(by_slot))
         .withColumn("_quota", F.bround(F.sum("_n").over(W.partitionBy(day)) * F.lit(rate)).cast("bigint"))
         .where((F.col("_upto") >= F.col("_quota")) & (F.col("_upto") - F.col("_n") < F.col("_quota")))
-        .select(day, F.col("_slot").alias("_end"), (F.col("_quota") - F.col("_upto") + F.col("_n")).alias("_left"))
+        .select(F.col(day).alias("_day"), F.col("_slot").alias("_end"), (F.col("_quota") - F.col("_upto") + F.col("_n")).alias("_left"))
     )
     slot = W.partitionBy(day, "_slot").orderBy("_digest", key)
     return (
-        drawn.join(F.broadcast(ends), [day], "inner")
+        drawn.join(ends, F.col(day).eqNullSafe(F.col("_day")))
         .where(F.col("_slot") <= F.col("_end"))  # from here on little more than the sample is left
         .withColumn("_rn", F.row_number().over(slot))
         .where((F.col("_slot") < F.col("_end")) | (F.col("_rn") <= F.col("_left")))
@@ -65,25 +56,15 @@ def device_type(use_chip: Column, key: Column, seed: str = "device") -> Column:
     return F.when(use_chip == "Online Transaction", online).otherwise("pos")
 
 
-def _pick(values: list[str], seed: str, key: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (draw(seed, len(values), key) + 1).cast("int"))
-
+def pseudonyms(df: DataFrame, key: str, secret: str) -> DataFrame:
+    """Identifying columns replaced by values that follow from the key and a secret.
 
-def pseudonyms(df: DataFrame, key: str, gender: str) -> DataFrame:
-    """Replace the identity of a client by ``name``, ``ssn`` and ``email`` made from its key.
-
-    The e-mail holds the key and is therefore unique.
+    The same key gets the same pseudonym in every table, and without the secret nobody can tell whose it is. The
+    address is in a domain that cannot exist; a null key has no pseudonym.
     """
-    k = F.col(key)
-    first = F.when(F.col(gender) == "Female", _pick(FEMALE_NAMES, "first", k)).otherwise(
-        _pick(MALE_NAMES, "first", k)
-    )
-    last = _pick(LAST_NAMES, "last", k)
-    ssn = F.concat_ws(
-        "-",
-        F.lpad((draw("ssn1", 899, k) + 1).cast("string"), 3, "0"),
-        F.lpad((draw("ssn2", 99, k) + 1).cast("string"), 2, "0"),
-        F.lpad((draw("ssn3", 9999, k) + 1).cast("string"), 4, "0"),
-    )
-    mail = F.lower(F.concat(first, F.lit("."), last, k.cast("string"), F.lit("@"), _pick(EMAIL_DOMAINS, "mail", k)))
-    return df.withColumns({"name": F.concat_ws(" ", first, last), "ssn": ssn, "email": mail})
+    token = F.substring(F.sha2(F.concat_ws("|", F.lit(secret), F.col(key)).cast("binary"), 256), 1, 16)
+    token = F.when(F.col(key).isNotNull(), token)
+    return df.withColumns({
+        "name": F.concat(F.lit("person-"), token), "ssn": F.lit(None).cast("string"),
+        "email": F.concat(token, F.lit("@pseudonym.invalid")),
+    })

@@ -150,10 +150,14 @@ CLIENT_DAYS = ["2024-01-01 00:00:00", "2024-01-10 00:00:00", "2024-01-20 00:00:0
 
 def raw_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Card records as text, one per part, with card number and CVV."""
+    return card_records(table(spark, sf_dir, "part"))
+
+
+def card_records(parts: DataFrame) -> DataFrame:
     n = F.col("p_partkey")
     month = F.lpad((1 + n % 12).cast("string"), 2, "0")
     opened = F.concat(month, F.lit("/"), (1999 + n % 15).cast("string"))
-    return table(spark, sf_dir, "part").select(
+    return parts.select(
         n.cast("string").alias("id"),
         (n % 1500).cast("string").alias("client_id"),
         F.col("p_brand").alias("card_brand"),

@@ -141,6 +141,18 @@ VERSIONS = """versions AS (
   WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)
 )"""
 
+UNTIMED = """log AS (
+  SELECT * REPLACE (CASE WHEN o_orderkey % 29 <> 0 THEN o_orderdate END AS o_orderdate) FROM orders
+), versions AS (
+  SELECT *, o_orderdate AS valid_from,
+    lead(o_orderdate) OVER w AS valid_to, lead(o_orderkey) OVER w IS NULL AS is_current
+  FROM (
+    SELECT *, lag(o_orderstatus) OVER x AS before_, row_number() OVER x AS rn FROM log
+    WINDOW x AS (PARTITION BY o_custkey ORDER BY o_orderdate NULLS FIRST, o_orderkey)
+  ) WHERE rn = 1 OR before_ IS DISTINCT FROM o_orderstatus
+  WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate NULLS FIRST, o_orderkey)
+)"""
+
 FILES = RAW + """, files AS (
   SELECT id, event_date, delivery_date,
     'landing/transactions/daily/date_partition=' || CAST(delivery_date AS VARCHAR) || '/part.json' AS source_file,
@@ -184,16 +196,6 @@ def _draw(seed: str, modulus: int, key: str) -> str:
     return f"(CAST('0x' || substr(md5('{seed}|' || {key}), 1, 8) AS BIGINT) % {modulus})"
 
 
-def _pick(values: str, seed: str, key: str) -> str:
-    listed = ", ".join(f"'{v}'" for v in values.split())
-    return f"list_extract([{listed}], {_draw(seed, len(values.split()), key)} + 1)"
-
-
-FIRST = ("CASE WHEN gender = 'Female' THEN "
-         + _pick("Alice Beth Clara Diana Ella Fiona Grace Helen Irene Julia", "first", "id")
-         + " ELSE " + _pick("Adam Brian Carl David Evan Frank George Henry Ian James", "first", "id") + " END")
-LAST = _pick("Archer Baker Carter Dawson Ellis Foster Grant Hayes Irwin Jordan", "last", "id")
-DOMAIN = _pick("gmail.com yahoo.com hotmail.com outlook.com aol.com icloud.com", "mail", "id")
 DEVICE = (f"CASE WHEN use_chip = 'Online Transaction' THEN CASE WHEN {_draw('device', 2, 'event_id')} = 0"
           " THEN 'mobile' ELSE 'web' END ELSE 'pos' END")
 
@@ -224,9 +226,16 @@ SQL = {
     "orphans_labels": """SELECT doc_id AS orphan_key, count(*) AS n_rows FROM documents
         WHERE doc_id NOT IN (SELECT doc_id FROM labels) GROUP BY doc_id""",
     "orphans_lineitem": """SELECT l_orderkey AS orphan_key, count(*) AS n_rows FROM lineitem
-        WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders) GROUP BY l_orderkey""",
+        WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F') GROUP BY l_orderkey""",
     "orphans_events": """SELECT user_id AS orphan_key, count(*) AS n_rows FROM events
-        WHERE user_id NOT IN (SELECT c_custkey FROM customer) GROUP BY user_id""",
+        WHERE user_id NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment <> 'BUILDING') GROUP BY user_id""",
+    "orphans_label_transactions": f"""WITH {TYPED} SELECT CAST(doc_id AS VARCHAR) AS orphan_key, count(*) AS n_rows FROM labels
+        WHERE CAST(doc_id AS VARCHAR) NOT IN (SELECT id FROM current_tx) GROUP BY 1""",
+    "orphans_card_clients": """SELECT CAST(p_partkey % 1500 AS VARCHAR) AS orphan_key, count(*) AS n_rows FROM part
+        WHERE p_partkey % 1500 NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 3 = 0) GROUP BY 1""",
+    "label_coverage_by_year": f"""WITH {RAW}, {LABELS} SELECT substr(r.date, 1, 4) AS grp, count(*) AS n_rows,
+        count(l.is_fraud) AS n_labelled, count(*) FILTER (WHERE l.is_fraud) AS n_positive
+        FROM raw r LEFT JOIN lab l ON r.id = l.transaction_id GROUP BY 1""",
     "orphans_cards": f"""WITH {TYPED} SELECT card_id AS orphan_key, count(*) AS n_rows FROM typed
         WHERE NOT card_exists GROUP BY card_id""",
     "orphans_codes": f"""WITH {RAW} SELECT mcc AS orphan_key, count(*) AS n_rows FROM raw
@@ -240,10 +249,9 @@ SQL = {
     "fraud_rate": f"""WITH {LABELS} SELECT d.lang, count(*) AS n_rows, count(l.is_fraud) AS n_evaluated,
         count(*) FILTER (WHERE l.is_fraud) AS n_fraud, avg(CAST(l.is_fraud AS INTEGER)) AS fraud_rate
         FROM documents d LEFT JOIN lab l ON CAST(d.doc_id AS VARCHAR) = l.transaction_id GROUP BY d.lang""",
-    "refund_pairs": f"""WITH {TYPED}, whole AS (SELECT *, CAST(round(amount, 0) AS DECIMAL(12,0)) AS a FROM typed),
-        grouped AS (SELECT card_id, client_id, merchant_id, abs(a) AS abs_amount,
-          count(*) FILTER (WHERE a > 0) AS n_purchases, count(*) FILTER (WHERE a < 0) AS n_refunds
-          FROM whole WHERE a <> 0 GROUP BY ALL)
+    "refund_pairs": f"""WITH {TYPED}, grouped AS (SELECT merchant_state, abs(amount) AS abs_amount,
+          count(*) FILTER (WHERE amount > 0) AS n_purchases, count(*) FILTER (WHERE amount < 0) AS n_refunds
+          FROM typed WHERE amount <> 0 GROUP BY ALL)
         SELECT *, least(n_purchases, n_refunds) AS n_pairs FROM grouped WHERE n_purchases > 0 AND n_refunds > 0""",
     "fact_asof_dim": f"""WITH {VERSIONS} SELECT o.o_orderkey, o.o_custkey, o.o_orderdate, o.o_totalprice,
         v.o_orderstatus AS status_then, v.o_orderkey AS version_key
@@ -316,6 +324,11 @@ SQL = {
         ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC, l_extendedprice DESC,
           l_discount DESC, l_tax DESC, l_returnflag DESC, l_linestatus DESC) = 1""",
     "scd2_clients": f"WITH {VERSIONS} SELECT * EXCLUDE (before_, rn) FROM versions",
+    "scd2_split": f"WITH {UNTIMED} SELECT * EXCLUDE (before_, rn) FROM versions",
+    "asof_split": f"""WITH {UNTIMED} SELECT o.o_orderkey, o.o_custkey, o.o_orderdate, o.o_totalprice,
+        v.o_orderstatus AS status_then, v.o_orderkey AS version_key
+        FROM log o LEFT JOIN versions v ON o.o_custkey = v.o_custkey AND v.valid_from <= o.o_orderdate
+          AND (v.valid_to IS NULL OR o.o_orderdate < v.valid_to)""",
     "scd2_current": f"WITH {VERSIONS} SELECT * EXCLUDE (before_, rn, valid_to, is_current) FROM versions WHERE is_current",
     "state_as_of": """SELECT *, o_orderdate = TIMESTAMP '1998-01-01' AS changed_today FROM orders
         WHERE o_orderdate <= TIMESTAMP '1998-01-01'
@@ -355,15 +368,14 @@ SQL = {
             row_number() OVER (PARTITION BY CAST(ts AS DATE) ORDER BY md5('A|' || event_id)) AS rn,
             count(*) OVER (PARTITION BY CAST(ts AS DATE)) AS n FROM events)
         SELECT event_id, event_date, event_type FROM ranked WHERE rn <= round_even(n * 0.02, 0)""",
-    "weighted_bucket": f"""WITH d AS (SELECT c_custkey, {_draw('card-change', 100, 'c_custkey')} AS x FROM customer)
-        SELECT c_custkey, CASE WHEN x < 45 THEN 'limit' WHEN x < 48 THEN 'dark_web' WHEN x < 75 THEN 'pin'
-          ELSE 'reissue' END AS change_group FROM d""",
+    "weighted_bucket": f"""WITH d AS (SELECT c_custkey, {_draw('split', 100, 'c_custkey')} AS x FROM customer)
+        SELECT c_custkey, CASE WHEN x < 80 THEN 'train' WHEN x < 95 THEN 'tune' ELSE 'test' END AS part FROM d""",
     "device_type": f"WITH {RAW} SELECT event_id, seq, {DEVICE} AS device_type FROM raw",
-    "pseudonymize": f"""WITH {CLIENTS} SELECT id, gender, {FIRST} || ' ' || {LAST} AS name,
-        lpad(CAST({_draw('ssn1', 899, 'id')} + 1 AS VARCHAR), 3, '0') || '-'
-        || lpad(CAST({_draw('ssn2', 99, 'id')} + 1 AS VARCHAR), 2, '0') || '-'
-        || lpad(CAST({_draw('ssn3', 9999, 'id')} + 1 AS VARCHAR), 4, '0') AS ssn,
-        lower({FIRST} || '.' || {LAST} || id || '@' || {DOMAIN}) AS email FROM raw_clients""",
+    "pseudonymize": f"""WITH {CLIENTS}, t AS (SELECT id, gender, substr(sha256('s3|' || id), 1, 16) AS token FROM raw_clients)
+        SELECT id, 'person-' || token AS name, CAST(NULL AS VARCHAR) AS ssn, token || '@pseudonym.invalid' AS email, gender FROM t""",
+    "map_whole_labels": f"""WITH {LABELS} SELECT transaction_id, CASE WHEN is_fraud THEN 'Yes' ELSE 'No' END AS is_fraud FROM lab""",
+    "unpivot_wide_object": "SELECT 'N' || n_nationkey AS mcc, n_name AS description FROM nation",
+    "table_file_stats": "SELECT count(*) AS n_rows, true AS has_files, true AS has_bytes FROM orders",
     "map_explode_labels": f"""WITH {LABELS} SELECT transaction_id, CASE WHEN is_fraud THEN 'Yes' ELSE 'No' END AS is_fraud FROM lab""",
     "map_explode_codes": f"WITH {CODES} SELECT * FROM codes",
     "unpivot_codes": """SELECT p_partkey, 'p_name' AS attribute, p_name AS description FROM part
@@ -393,7 +405,21 @@ SQL = {
     "schema_evolution": f"""WITH {RAW} SELECT id, amount, CASE WHEN seq > 0 AND event_date >= DATE '2024-01-16'
         THEN {DEVICE} END AS device_type FROM raw""",
     "rescued_data": f"""WITH {RAW} SELECT id, amount, CASE WHEN event_date >= DATE '2024-01-16'
-        THEN {DEVICE} END AS rescued_device_type FROM raw WHERE seq = 0""",
+        THEN {DEVICE} END AS rescued_device_type FROM raw""",
+    "drift_ignore": f"WITH {RAW} SELECT id, amount, true AS nothing_rescued FROM raw WHERE seq = 0",
+    "drift_fail": f"WITH {RAW} SELECT id, amount, true AS stopped FROM raw WHERE seq > 0",
+    "lineage": f"""WITH {RAW} SELECT CAST(delivery_date AS VARCHAR) AS delivery_date, count(*) AS n_rows,
+        count(*) AS n_timed FROM raw WHERE seq = 0 GROUP BY 1""",
+    "full_refresh": f"""WITH {RAW} SELECT id, amount, g AS generation FROM raw, (SELECT unnest([1, 2]) AS g) WHERE seq > 0""",
+    "csv_text_scan": f"""WITH {CLIENTS} SELECT id, '$' || CAST((n % 1000) * 100 AS VARCHAR) AS yearly_income,
+        CAST(20 + n % 50 AS VARCHAR) || '.25' AS latitude, CAST(num_credit_cards AS VARCHAR) AS num_credit_cards FROM raw_clients""",
+    "csv_inferred_scan": f"""WITH {CLIENTS} SELECT n AS id, latitude, CAST(num_credit_cards AS BIGINT) AS num_credit_cards FROM raw_clients""",
+    "csv_plain_scan": f"""WITH {CLIENTS} SELECT id, CAST(20 + n % 50 AS VARCHAR) || '.25' AS latitude,
+        CAST(credit_score AS VARCHAR) AS credit_score FROM raw_clients""",
+    "json_folder_scan": f"WITH {RAW} SELECT event_id, seq, id, amount, delivery_date AS date_partition FROM raw",
+    "sorted_by_count": f"""WITH {RAW}, c AS (SELECT use_chip, count(*) AS n_rows FROM raw GROUP BY use_chip)
+        SELECT use_chip, n_rows, row_number() OVER (ORDER BY n_rows DESC, use_chip NULLS FIRST) AS place FROM c""",
+    "sorted_by_key": """SELECT CAST(c_custkey AS VARCHAR) AS id, row_number() OVER (ORDER BY c_custkey) AS place FROM customer""",
     "silver_transactions": f"WITH {TYPED} SELECT id, event_ts, amount, card_id, use_chip, merchant_zip FROM current_tx",
     "silver_quarantine": f"""WITH {TYPED} SELECT id, amount, event_ts, card_id, use_chip, reason
         FROM judged WHERE reason IS NOT NULL""",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +13,7 @@ from ledgerline.functions import scalars as s
 from ledgerline.operators import (
     conform, deliveries, expectations, history, lookups, profile, sampling,
 )
+from ledgerline.operators.groups import GroupLimit
 from ledgerline.plans import gold
 from ledgerline.plans import inputs as i
 from ledgerline.session import work_dir
@@ -145,14 +147,30 @@ def orphans_labels(spark, sf_dir):
 
 @query
 def orphans_lineitem(spark, sf_dir):
-    return lookups.orphans(
-        i.table(spark, sf_dir, "lineitem"), "l_orderkey", i.table(spark, sf_dir, "orders"), "o_orderkey")
+    """Lines whose order is not among the finished ones."""
+    finished = i.table(spark, sf_dir, "orders").where("o_orderstatus = 'F'")
+    return lookups.orphans(i.table(spark, sf_dir, "lineitem"), "l_orderkey", finished, "o_orderkey")
 
 
 @query
 def orphans_events(spark, sf_dir):
+    """Event users that are not customers of four of the five segments."""
+    known = i.table(spark, sf_dir, "customer").where("c_mktsegment <> 'BUILDING'")
+    return lookups.orphans(i.table(spark, sf_dir, "events"), "user_id", known, "c_custkey")
+
+
+@query
+def orphans_label_transactions(spark, sf_dir):
+    """Labels whose transaction is not among the current ones."""
     return lookups.orphans(
-        i.table(spark, sf_dir, "events"), "user_id", i.table(spark, sf_dir, "customer"), "c_custkey")
+        i.raw_labels(spark, sf_dir), "transaction_id", scd1_transactions(spark, sf_dir), "id")
+
+
+@query
+def orphans_card_clients(spark, sf_dir):
+    """Clients of cards that are missing from the male clients."""
+    known = i.raw_clients(spark, sf_dir).where("gender = 'Male'")
+    return lookups.orphans(i.raw_cards(spark, sf_dir), "client_id", known, "id")
 
 
 @query
@@ -192,6 +210,14 @@ def label_coverage(spark, sf_dir):
     return lookups.label_coverage(docs, "id", F.col("lang"), labels, "transaction_id", "is_fraud")
 
 
+@query
+def label_coverage_by_year(spark, sf_dir):
+    """Transactions and how many of them are labelled, per year of the transaction."""
+    labels = conform.labels(i.raw_labels(spark, sf_dir))
+    tx = i.raw_transactions(spark, sf_dir).select("id", F.substring("date", 1, 4).alias("year"))
+    return lookups.label_coverage(tx, "id", F.col("year"), labels, "transaction_id", "is_fraud")
+
+
 @query
 def fraud_rate(spark, sf_dir):
     return gold.fraud_rate(label_tristate(spark, sf_dir), "fraud_flag", ["lang"])
@@ -199,9 +225,8 @@ def fraud_rate(spark, sf_dir):
 
 @query
 def refund_pairs(spark, sf_dir):
-    """Signed pairs by card, client and merchant category, on amounts in whole units."""
-    tx = i.typed_transactions(spark, sf_dir).withColumn("amount", F.round("amount", 0).cast("decimal(12,0)"))
-    return lookups.refund_pairs(tx, ["card_id", "client_id", "merchant_id"])
+    """Signed pairs of exactly opposite amounts by merchant state."""
+    return lookups.refund_pairs(i.typed_transactions(spark, sf_dir), ["merchant_state"])
 
 
 @query
@@ -367,6 +392,39 @@ def scd2_clients(spark, sf_dir):
         history.position(F.col("o_orderdate"), "ntz"))
 
 
+def _untimed_log(spark, sf_dir):
+    """The change log with some records whose time is unknown; they come before all others."""
+    return i.client_log(spark, sf_dir).withColumn(
+        "o_orderdate", F.when(F.col("o_orderkey") % 29 != 0, F.col("o_orderdate")))
+
+
+#: So small that the keys of any input are split.
+TINY = GroupLimit(rows=4)
+
+
+def _split_versions(spark, sf_dir):
+    return history.versions(
+        _untimed_log(spark, sf_dir), ["o_custkey"], ["o_orderdate", "o_orderkey"], ["o_orderstatus"],
+        history.position(F.col("o_orderdate"), "ntz"), limit=TINY)
+
+
+@query
+def scd2_split(spark, sf_dir):
+    """Version history with the groups of hot keys split, records without a time among them."""
+    return _split_versions(spark, sf_dir)
+
+
+@query
+def asof_split(spark, sf_dir):
+    """As-of join with the groups of hot keys split; an order without a time has no version."""
+    dim = _split_versions(spark, sf_dir).where("valid_from IS NOT NULL").select(
+        "o_custkey", "valid_from", F.col("o_orderkey").alias("version_key"), F.col("o_orderstatus").alias("status_then"))
+    facts = _untimed_log(spark, sf_dir).select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+    return history.as_of_join(
+        facts, _stored(spark, dim, "split-versions"), ["o_custkey"], "o_orderdate", "valid_from", ["version_key"],
+        ["status_then", "version_key"], history.position(F.col("_at"), "ntz"), limit=TINY)
+
+
 @query
 def scd2_current(spark, sf_dir):
     return scd2_clients(spark, sf_dir).where("is_current").drop("valid_to", "is_current")
@@ -512,9 +570,10 @@ def sample_exact_rate(spark, sf_dir):
 
 @query
 def weighted_bucket(spark, sf_dir):
-    key = F.col("c_custkey")
+    """Customers dealt to three parts of a split by weight."""
+    parts = [("train", 80), ("tune", 15), ("test", 5)]
     return i.table(spark, sf_dir, "customer").select(
-        "c_custkey", sampling.weighted("card-change", sampling.CARD_CHANGE_WEIGHTS, key).alias("change_group"))
+        "c_custkey", sampling.weighted("split", parts, F.col("c_custkey")).alias("part"))
 
 
 @query
@@ -525,25 +584,55 @@ def device_type(spark, sf_dir):
 
 @query
 def pseudonymize(spark, sf_dir):
-    clients = i.raw_clients(spark, sf_dir).select("id", "gender")
-    return sampling.pseudonyms(clients, "id", "gender")
+    clients = i.raw_clients(spark, sf_dir).select("id", "name", "ssn", "email", "gender")
+    return sampling.pseudonyms(clients, "id", "s3")
 
 
 # --- scans, sinks and layouts ---------------------------------------------------------------
 
+def _write_object(pairs, path: str, opening: str, closing: str) -> None:
+    """Entries of two texts as one JSON object in one file, an entry per line, as such deliveries come."""
+    key, value = pairs.columns
+    entry = F.concat(F.to_json(F.create_map(key, value)).substr(F.lit(2), F.length(F.to_json(F.create_map(key, value))) - 2))
+    ends = pairs.agg(F.min(key).alias("first"), F.max(key).alias("last")).first()
+    lines = pairs.select(key, F.concat(
+        F.when(F.col(key) == ends["first"], opening).otherwise(""), entry,
+        F.when(F.col(key) == ends["last"], closing).otherwise(",")).alias("line"))
+    lines.coalesce(1).sortWithinPartitions(key).select("line").write.text(path)
+
+
 @query
 def map_explode_labels(spark, sf_dir):
-    """Labels written as JSON objects keyed by id and read back with a map schema."""
+    """Labels out of one JSON object in one file, cut at its commas and read in parallel."""
     path = work_dir(spark, "labels")
-    i.raw_labels(spark, sf_dir).select(
-        F.create_map("transaction_id", "is_fraud").alias("target")).write.json(path)
-    return snapshots.read_labels_map(spark, path, multi_line=False).select("transaction_id", "is_fraud")
+    _write_object(i.raw_labels(spark, sf_dir), path, '{"target": {', "}}")
+    return snapshots.read_labels(spark, path).select("transaction_id", "is_fraud")
+
+
+@query
+def map_whole_labels(spark, sf_dir):
+    """The same file read as a whole with a map schema."""
+    path = work_dir(spark, "labels-whole")
+    _write_object(i.raw_labels(spark, sf_dir), path, '{"target": {', "}}")
+    return snapshots.read_labels_map(spark, path).select("transaction_id", "is_fraud")
 
 
 @query
 def map_explode_codes(spark, sf_dir):
-    return i.raw_codes(spark, sf_dir).select(
-        F.explode(F.from_json("value", "MAP<STRING, STRING>")).alias("mcc", "description"))
+    """A dictionary out of one whole file."""
+    path = work_dir(spark, "codes")
+    codes = i.raw_codes(spark, sf_dir).select(F.explode(F.from_json("value", "MAP<STRING, STRING>")).alias("mcc", "description"))
+    _write_object(codes, path, "{", "}")
+    return snapshots.read_codes(spark, path).select("mcc", "description")
+
+
+@query
+def unpivot_wide_object(spark, sf_dir):
+    """A dictionary read as one row with a column per key, and turned into rows."""
+    path = work_dir(spark, "wide")
+    names = i.table(spark, sf_dir, "nation").select(F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("mcc"), "n_name")
+    _write_object(names, path, "{", "}")
+    return snapshots.read_wide_object(spark, path).select("mcc", "description")
 
 
 @query
@@ -576,9 +665,13 @@ def _monthly_orders(spark, sf_dir) -> str:
 @query
 def partition_pruned_scan(spark, sf_dir):
     """A window of days out of a table in monthly folders: two folders are read."""
+    return pruned_window(spark, _monthly_orders(spark, sf_dir))
+
+
+def pruned_window(spark, path: str):
     return spark.read.schema(
         "o_orderkey BIGINT, o_custkey BIGINT, o_orderdate TIMESTAMP_NTZ, month_year STRING"
-    ).parquet(_monthly_orders(spark, sf_dir)).where(
+    ).parquet(path).where(
         F.col("month_year").isin("1997-01", "1997-02")
         & F.date_format("o_orderdate", "yyyy-MM-dd").between("1997-01-20", "1997-02-03")
     ).drop("month_year")
@@ -623,9 +716,11 @@ def snapshot_reload(spark, sf_dir):
 
 @query
 def table_file_stats(spark, sf_dir):
+    """Rows of a table in files, and that it has files and bytes; how many depends on the machine."""
     path = work_dir(spark, "file-stats")
     i.table(spark, sf_dir, "orders").write.parquet(path)
-    return files.file_stats(spark.read.parquet(path))
+    return files.file_stats(spark.read.parquet(path)).select(
+        "n_rows", (F.col("n_files") > 0).alias("has_files"), (F.col("n_bytes") > F.col("n_rows")).alias("has_bytes"))
 
 
 # --- streams --------------------------------------------------------------------------------
@@ -695,21 +790,124 @@ def schema_evolution(spark, sf_dir):
 
 @query
 def rescued_data(spark, sf_dir):
-    """The same files under the rescue policy: the schema stays, the values are kept aside."""
+    """All deliveries under the rescue policy: the schema stays, the values are kept aside."""
     root = work_dir(spark, "drift-rescue")
     log = bronze.BronzeLog(spark, bronze.TRANSACTIONS, f"{root}/bronze")
-    landing = _land_transactions(spark, sf_dir, root, "first", [k.TRANSACTION_LATE_COLUMN])
-    log.ingest(landing, on_new_columns=drift.RESCUE)
+    for part in ("first", "later"):
+        log.ingest(_land_transactions(spark, sf_dir, root, part, [k.TRANSACTION_LATE_COLUMN]), on_new_columns=drift.RESCUE)
     return log.read().select(
         "id", "amount", F.get_json_object(k.RESCUED, "$.device_type").alias("rescued_device_type"))
 
 
+@query
+def drift_ignore(spark, sf_dir):
+    """The same files under the ignore policy: neither column nor rescued values."""
+    root = work_dir(spark, "drift-ignore")
+    log = bronze.BronzeLog(spark, bronze.TRANSACTIONS, f"{root}/bronze")
+    landing = _land_transactions(spark, sf_dir, root, "first", [k.TRANSACTION_LATE_COLUMN])
+    log.ingest(landing, on_new_columns=drift.IGNORE)
+    return log.read().select("id", "amount", F.col(k.RESCUED).isNull().alias("nothing_rescued"))
+
+
+@query
+def drift_fail(spark, sf_dir):
+    """Under the fail policy files with a new column stop the feed; what came before stays, and nothing else."""
+    root = work_dir(spark, "drift-fail")
+    log = bronze.BronzeLog(spark, bronze.TRANSACTIONS, f"{root}/bronze")
+    log.ingest(_land_transactions(spark, sf_dir, root, "later"), on_new_columns=drift.FAIL)
+    _land_transactions(spark, sf_dir, root, "first", [k.TRANSACTION_LATE_COLUMN])
+    try:
+        log.ingest(f"{root}/landing/transactions", on_new_columns=drift.FAIL)
+        stopped = False
+    except StreamingQueryException:
+        stopped = True
+    return log.read().select("id", "amount", F.lit(stopped).alias("stopped"))
+
+
+@query
+def lineage(spark, sf_dir):
+    """Every stored row has the file it came from and when it was taken."""
+    root = work_dir(spark, "lineage")
+    log = bronze.BronzeLog(spark, bronze.TRANSACTIONS, f"{root}/bronze")
+    log.ingest(_land_transactions(spark, sf_dir, root, "first"))
+    day = F.regexp_extract(k.SOURCE_FILE, "date_partition=([0-9-]+)/", 1)
+    return log.read().groupBy(day.alias("delivery_date")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count(k.INGESTED_AT).alias("n_timed"))
+
+
+@query
+def full_refresh(spark, sf_dir):
+    """A new generation takes all files again; the old one stays as it was."""
+    root = work_dir(spark, "refresh")
+    landing = _land_transactions(spark, sf_dir, root, "later")
+    logs = [bronze.BronzeLog(spark, bronze.TRANSACTIONS, f"{root}/bronze", generation=g) for g in (1, 2)]
+    for log in logs:
+        log.ingest(landing)
+    return logs[0].read().select("id", "amount", F.lit(1).alias("generation")).unionByName(
+        logs[1].read().select("id", "amount", F.lit(2).alias("generation")))
+
+
+def _csv_clients(spark, sf_dir) -> str:
+    path = work_dir(spark, "csv")
+    files.write_small_csv(i.raw_clients(spark, sf_dir), path)
+    return path
+
+
+@query
+def csv_text_scan(spark, sf_dir):
+    """CSV read with a schema of texts: nothing is converted."""
+    return files.read_csv(spark, _csv_clients(spark, sf_dir), k.CLIENT_COLUMNS).select("id", "yearly_income", "latitude", "num_credit_cards")
+
+
+@query
+def csv_inferred_scan(spark, sf_dir):
+    """CSV read with inferred types."""
+    return files.read_csv(spark, _csv_clients(spark, sf_dir), infer=True).select(
+        F.col("id").cast("bigint").alias("id"), "latitude", F.col("num_credit_cards").cast("bigint").alias("num_credit_cards"))
+
+
+@query
+def csv_plain_scan(spark, sf_dir):
+    """CSV read without a schema and without inference: all columns are texts."""
+    return files.read_csv(spark, _csv_clients(spark, sf_dir)).select("id", "latitude", "credit_score")
+
+
+@query
+def json_folder_scan(spark, sf_dir):
+    """JSON Lines in daily folders; the folder's day becomes a column, and the parent folder is one table."""
+    path = work_dir(spark, "json-days")
+    raw = i.raw_transactions(spark, sf_dir).select(*i.RAW_KEYS, "id", "amount", F.col("delivery_date").alias("date_partition"))
+    files.write_json_days(raw, path)
+    return files.read_json(spark, path, "event_id BIGINT, seq INT, id STRING, amount STRING, date_partition DATE")
+
+
+@query
+def sorted_by_count(spark, sf_dir):
+    """Counts in descending order, with the place of each row in the sorted output."""
+    return _placed(profile.count_by(i.raw_transactions(spark, sf_dir), "use_chip"))
+
+
+@query
+def sorted_by_key(spark, sf_dir):
+    """Keys in numeric order, with the place of each row in the sorted output."""
+    ordered = profile.numeric_order(i.table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("id")), "id")
+    return _placed(ordered.select("id"))
+
+
+def _placed(df):
+    """Rows of a sorted table with their place, as a reader of its files would see them."""
+    path = work_dir(df.sparkSession, "sorted")
+    df.coalesce(1).withColumn("place", F.monotonically_increasing_id() + 1).write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def _silver_cards(spark, sf_dir, root: str) -> silver.SilverTable:
-    """Customers landed as card files, loaded and applied."""
+    """Customers landed as whole card records, loaded and applied."""
     cards = silver.SilverTable(
         spark, silver.CARDS, bronze.BronzeLog(spark, bronze.CARDS, f"{root}/bronze"), f"{root}/silver")
-    rows = i.current_cards(spark, sf_dir).select(
-        *[F.col("id") if c == "id" else F.lit(None).cast("string").alias(c) for c in k.CARD_COLUMNS])
+    rows = i.card_records(i.table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("p_partkey"), F.col("c_mktsegment").alias("p_brand"), F.lit("Debit").alias("p_type"),
+        F.col("c_acctbal").alias("p_retailprice")))
     files.write_small_csv(rows, f"{root}/landing/cards/backfill")
     cards.bronze.ingest(f"{root}/landing/cards")
     cards.drain("run-1")

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
+from contextlib import suppress
 
 from pyspark.sql import SparkSession
 
@@ -44,4 +46,19 @@ def work_dir(spark: SparkSession, label: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         base = tempfile.mkdtemp(prefix="ledgerline-")
         spark.conf.set("ledgerline.work.dir", base)
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    if not _made:
+        atexit.register(_remove)
+    _made.append((spark, path))
+    return path
+
+
+_made: list[tuple[SparkSession, str]] = []
+
+
+def _remove() -> None:
+    """Work folders go with the program that made them, if its session is still there."""
+    for spark, path in _made:
+        with suppress(Exception):
+            place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)

@@ -8,8 +8,10 @@ kept in ``rescued_data``.
 from __future__ import annotations
 
 import csv
+from functools import reduce
+from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.contracts import RESCUED
@@ -46,31 +48,31 @@ def csv_headers(lines: DataFrame) -> list[tuple[str, str, list[str]]]:
     return [(r.source_file, r.header, names[r.header]) for r in first]
 
 
-def csv_fields(lines: DataFrame, headers: list[tuple[str, str, list[str]]]) -> DataFrame:
-    """Add ``fields``, the map of a CSV line by the header of its own file; header lines go.
+def csv_rows(spark: SparkSession, headers: list[tuple[str, str, list[str]]]) -> DataFrame:
+    """``source_file`` and ``fields`` of the lines of some CSV files, files with equal headers read together.
 
-    A line with more cells than its header is also kept whole. Quoted line breaks are not
-    supported, as in any reader that splits files.
+    Spark's reader leaves out the first line of a file and no other. A line with more or fewer cells than its header
+    is also kept whole. Quoted line breaks are not supported, as files are split; what they break in two is kept whole
+    in this way.
     """
-    if not headers:
-        return lines.withColumn("fields", F.lit(None).cast("map<string,string>"))
-    layouts = lines.sparkSession.createDataFrame(headers, "source_file STRING, header STRING, names ARRAY<STRING>")
-    # one row per file of the micro-batch
-    body = lines.join(F.broadcast(layouts), "source_file").where(F.col("value") != F.col("header"))
-    widths = sorted({len(names) for _, _, names in headers})
-    for n in widths:  # a column of its own, so that a line is parsed once and not once per cell
-        cells = ", ".join(f"c{i} STRING" for i in range(n))
-        row = F.from_csv(F.col("value"), f"{cells}, other STRING", {"columnNameOfCorruptRecord": "other"})
-        body = body.withColumn(f"_row{n}", F.when(F.size("names") == n, row))
-    commas = F.length("value") - F.length(F.replace("value", F.lit(","), F.lit("")))
-    fields = F.lit(None).cast("map<string,string>")
-    for n in widths:
-        cells = F.array(*[F.col(f"_row{n}")[f"c{i}"] for i in range(n)])
-        bag = F.map_from_arrays("names", cells)
-        too_long = F.col(f"_row{n}")["other"].isNotNull() & (commas >= n)
-        whole = F.map_concat(bag, F.create_map(F.lit(CORRUPT), F.col("value")))
-        fields = F.when(F.size("names") == n, F.when(too_long, whole).otherwise(bag)).otherwise(fields)
-    return body.withColumn("fields", fields).drop("header", "names", *[f"_row{n}" for n in widths])
+    layouts: dict[tuple[str, ...], list[str]] = {}
+    for path, _, names in headers:
+        layouts.setdefault(tuple(names), []).append(path)
+    parts = []
+    for names, paths in layouts.items():
+        cells = [f"c{i}" for i in range(len(names))]
+        rows = (
+            spark.read.schema(", ".join(f"{c} STRING" for c in [*cells, CORRUPT]))
+            .option("header", True).option("columnNameOfCorruptRecord", CORRUPT)
+            .csv([unquote(p) for p in paths])
+            .select(F.col("_metadata.file_path").alias("source_file"), *cells, CORRUPT)
+        )
+        bag = F.map_from_arrays(F.array(*[F.lit(n) for n in names]), F.array(*cells))
+        whole = F.map_concat(bag, F.create_map(F.lit(CORRUPT), F.col(CORRUPT)))
+        parts.append(rows.select("source_file", F.when(F.col(CORRUPT).isNull(), bag).otherwise(whole).alias("fields")))
+    if not parts:
+        return spark.createDataFrame([], "source_file STRING, fields MAP<STRING, STRING>")
+    return reduce(DataFrame.unionByName, parts)
 
 
 def outside(fields: Column, known: list[str]) -> Column:
@@ -79,15 +81,12 @@ def outside(fields: Column, known: list[str]) -> Column:
 
 
 def new_names(rows: DataFrame) -> list[str]:
-    """Column names in ``outside``, at most ``MAX_NEW`` of them."""
+    """Column names in ``outside``; of more than ``MAX_NEW`` of them, one more than that."""
     names = (
         rows.select(F.explode(F.map_keys("outside")).alias("name"))
         .where(F.col("name") != CORRUPT).distinct().limit(MAX_NEW + 1)
     )
-    found = sorted(r.name for r in names.collect())
-    if len(found) > MAX_NEW:
-        raise ValueError(f"more than {MAX_NEW} new columns, such as {found[:3]}: keys that are data need a map")
-    return found
+    return sorted(r.name for r in names.collect())
 
 
 def rescued(rest: Column, policy: str = ADD) -> Column:

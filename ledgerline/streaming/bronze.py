@@ -18,6 +18,11 @@ from ledgerline.operators.conform import truncate_pan
 from ledgerline.sources import drift
 
 
+#: Landing files are taken whatever their age: copies and restores keep old times, partners deliver late. The
+#: default would pass over files a week older than the newest. The price is one path per file in the stream's state.
+ANY_AGE = "36500d"
+
+
 class NewColumns(Exception):
     """Files hold columns that are not in the registered schema."""
 
@@ -110,14 +115,17 @@ class BronzeLog:
         """All complete batches, with the schema taken from the register and not from the files."""
         return self._read(self.log, self.schema()).where(F.col("batch_id") <= self.last_batch())
 
-    def stream(self, **options) -> DataFrame:
-        """The log as a stream: each stored row once."""
-        schema = f"{self.schema()}, batch_id BIGINT"
-        return self.spark.readStream.schema(schema).options(**options).parquet(self.log)
+    def committed(self, **options) -> DataFrame:
+        """The completion markers as a stream: one row per batch that is wholly written, and no other."""
+        schema = "n_rows BIGINT, n_strange BIGINT, batch_id BIGINT"
+        return self.spark.readStream.schema(schema).option("maxFileAge", ANY_AGE).options(**options).parquet(self.done)
+
+    def rows_of(self, batch_ids: list[int]) -> DataFrame:
+        """Rows of some complete batches; the condition prunes folders."""
+        return self._read(self.log, self.schema()).where(F.col("batch_id").isin(batch_ids))
 
-    def ingest(self, landing: str, on_new_columns: str = drift.ADD, max_files: int = 10_000,
-               restarts: int = 3) -> None:
-        """Take every file below ``landing`` not taken before, then stop.
+    def ingest(self, landing: str, on_new_columns: str = drift.ADD, max_files: int = 10_000) -> None:
+        """Take every file below ``landing`` not taken before, of any age, then stop.
 
         On an unknown column: ``add`` registers it, fails the attempt and starts again, so the
         column is filled from its first row; ``rescue`` keeps it in ``rescued_data``; ``fail``
@@ -125,14 +133,13 @@ class BronzeLog:
         """
         if on_new_columns not in drift.POLICIES:
             raise ValueError(f"on_new_columns must be one of {drift.POLICIES}")
-        for attempt in range(restarts + 1):
+        while True:  # every repetition has registered a column, so there are no more of them than columns
             known = len(self.register.versions())
             try:
                 self._drain(landing, on_new_columns, max_files)
                 return
             except StreamingQueryException:
-                widened = len(self.register.versions()) > known
-                if not widened or attempt == restarts:
+                if len(self.register.versions()) == known:
                     raise
 
     def _drain(self, landing: str, policy: str, max_files: int) -> None:
@@ -140,6 +147,7 @@ class BronzeLog:
             self.spark.readStream.format("text")
             .option("recursiveFileLookup", True)
             .option("maxFilesPerTrigger", max_files)
+            .option("maxFileAge", ANY_AGE)
             .load(landing)
             .select(
                 "value",
@@ -164,7 +172,7 @@ class BronzeLog:
         if self.entity.fmt == "json":
             fields = lines.withColumn("fields", drift.json_fields(F.col("value")))
         else:
-            fields = drift.csv_fields(lines, drift.csv_headers(lines))
+            fields = drift.csv_rows(self.spark, drift.csv_headers(lines))
         rows = fields.withColumn("outside", drift.outside(F.col("fields"), known))
         unknown = Observation()
         strange = F.size("outside") > F.when(F.map_contains_key("outside", drift.CORRUPT), 1).otherwise(0)
@@ -180,25 +188,35 @@ class BronzeLog:
         out.write.mode("overwrite").parquet(folder)
         seen = unknown.get
         if policy in (drift.ADD, drift.FAIL) and seen["n_strange"]:
-            # the batch is taken back and repeated as a whole once its columns are known
-            out.where(F.lit(False)).write.mode("overwrite").parquet(folder)
             new = drift.new_names(rows)
-            if policy == drift.ADD:
-                self.register.widen(new)
-            raise NewColumns(f"{self.entity.name}: {', '.join(new)}")
-        self.spark.range(1).select(
+            # too many names are data used as keys: they stay in rescued_data, and the feed goes on
+            if policy == drift.FAIL or len(new) <= drift.MAX_NEW:
+                # the batch is taken back and repeated as a whole once its columns are known
+                out.where(F.lit(False)).write.mode("overwrite").parquet(folder)
+                if policy == drift.ADD:
+                    self.register.widen(new)
+                raise NewColumns(f"{self.entity.name}: {', '.join(new[:20])}")
+        self.spark.range(1).coalesce(1).select(
             F.lit(seen["n_rows"]).cast("bigint").alias("n_rows"),
             F.lit(seen["n_strange"]).cast("bigint").alias("n_strange"),
-        ).write.mode("overwrite").parquet(f"{self.done}/batch_id={batch_id}")
+        ).write.mode("overwrite").parquet(f"{self.done}/batch_id={batch_id}")  # one file, so it is there or not
 
-    def ignored_corrections(self, landing: str) -> DataFrame:
-        """Files rewritten under the same name after they were taken; the stream never looks again."""
-        files = (
+    def _landed(self, landing: str) -> DataFrame:
+        return (
             self.spark.read.format("binaryFile").option("recursiveFileLookup", True).load(landing)
             .select(
                 F.col("_metadata.file_path").alias(k.SOURCE_FILE),
                 F.col("_metadata.file_modification_time").alias("modified_at"),
             )
         )
-        taken = self.read().groupBy(k.SOURCE_FILE).agg(F.max(k.INGESTED_AT).alias("taken_at"))
-        return files.join(taken, k.SOURCE_FILE).where("modified_at > taken_at")
+
+    def _taken(self) -> DataFrame:
+        return self.read().groupBy(k.SOURCE_FILE).agg(F.max(k.INGESTED_AT).alias("taken_at"))
+
+    def ignored_corrections(self, landing: str) -> DataFrame:
+        """Files rewritten under the same name after they were taken; the stream never looks again."""
+        return self._landed(landing).join(self._taken(), k.SOURCE_FILE).where("modified_at > taken_at")
+
+    def untaken(self, landing: str) -> DataFrame:
+        """Files below ``landing`` of which the log holds no row: not ingested yet, or without rows."""
+        return self._landed(landing).join(self._taken(), k.SOURCE_FILE, "left_anti")

@@ -88,11 +88,20 @@ class SilverTable:
             .withColumn("verdict", F.when(F.col("reason").isNull(), VALID).otherwise(QUARANTINE))
         )
 
-    def drain(self, run_id: str, max_files: int = 10_000) -> None:
-        """Process what Bronze holds and this table has not seen, then stop."""
+    def drain(self, run_id: str, max_batches: int = 100) -> None:
+        """Process the complete Bronze batches this table has not seen, then stop.
+
+        The stream carries the completion markers, so rows of a batch that failed half-way are never judged.
+        """
+        if self.bronze.last_batch() < 0:
+            return
+
+        def apply(markers: DataFrame, n: int) -> None:
+            ids = sorted(r.batch_id for r in markers.select("batch_id").distinct().collect())
+            self._apply(self.bronze.rows_of(ids), n, run_id)
         (
-            self.bronze.stream(maxFilesPerTrigger=max_files)
-            .writeStream.foreachBatch(lambda batch, n: self._apply(batch, n, run_id))
+            self.bronze.committed(maxFilesPerTrigger=max_batches)
+            .writeStream.foreachBatch(apply)
             .option("checkpointLocation", self.checkpoint)
             .trigger(availableNow=True)
             .start()

@@ -8,7 +8,8 @@ from ledgerline.operators import history
 from ledgerline.operators.groups import GroupLimit, OrderedGroups
 
 T0 = datetime(2020, 1, 1)
-TIGHT = GroupLimit(rows=10, keys=3, segments=50)
+TIGHT = GroupLimit(rows=10)
+JOINED = GroupLimit(rows=10, broadcast=0)
 
 
 def log(spark, rows):
@@ -26,14 +27,15 @@ def skewed(seed, n=600, hot=0.5, burst=False):
     for i in range(n):
         key = "hot" if rnd.random() < hot else f"k{rnd.randrange(12)}"
         minutes = rnd.randrange(30) if burst and rnd.random() < 0.9 else rnd.randrange(60 * 24 * 40)
-        rows.append((key, T0 + timedelta(minutes=minutes), i, rnd.choice(["A", "B", None]), f"note{i}"))
+        at = T0 + timedelta(minutes=minutes) if rnd.random() < 0.97 else None  # no time: before all others
+        rows.append((key, at, i, rnd.choice(["A", "B", None]), f"note{i}"))
     return rows
 
 
 def brute_versions(rows):
     out = []
     for key in {r[0] for r in rows}:
-        mine, last, opened = sorted((r for r in rows if r[0] == key), key=lambda r: (r[1], r[2])), object(), []
+        mine, last, opened = sorted((r for r in rows if r[0] == key), key=lambda r: (r[1] or datetime.min, r[2])), object(), []
         for r in mine:
             if r[3] != last:
                 opened.append(r)
@@ -43,7 +45,7 @@ def brute_versions(rows):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("limit", [GroupLimit(), TIGHT, GroupLimit(rows=1, keys=100, segments=10)])
+@pytest.mark.parametrize("limit", [GroupLimit(), TIGHT, JOINED, GroupLimit(rows=1)])
 @pytest.mark.parametrize("burst", [False, True])
 def test_versions_equal_brute_force_whether_split_or_not(spark, limit, burst):
     rows = skewed(7, burst=burst)
@@ -55,9 +57,21 @@ def test_hot_keys_are_split(spark):
     groups = OrderedGroups(log(spark, skewed(3)), ["id"], ["at", "n"], history.position(F.col("at"), "ntz"), TIGHT)
     by_segment = groups.rows.where("id = 'hot'").groupBy("_parts", "_seg").count().collect()
     assert len(by_segment) > 10
-    assert max(r["count"] for r in by_segment) < 60
-    split = {r.id for r in groups.rows.where("_parts IS NOT NULL").select("id").distinct().collect()}
-    assert len(split) <= TIGHT.keys
+    assert max(r["count"] for r in by_segment) <= 2 * TIGHT.rows + 10  # those without a time stay together
+
+
+def test_segments_follow_the_rows_of_a_bursty_key(spark):
+    """One old row and a burst of recent ones, each a second apart."""
+    rows = [("hot", T0, 0, "A", "")] + [("hot", T0 + timedelta(days=900, seconds=i), i, "A", "") for i in range(1000)]
+    groups = OrderedGroups(log(spark, rows), ["id"], ["at", "n"], history.position(F.col("at"), "ntz"), GroupLimit(rows=100))
+    sizes = [r["count"] for r in groups.rows.groupBy("_seg").count().collect()]
+    assert len(sizes) == 11 and max(sizes) <= 200
+
+
+def test_every_hot_key_is_split(spark):
+    rows = [(f"k{k}", T0 + timedelta(minutes=i), i, "A", "") for k in range(40) for i in range(25)]
+    groups = OrderedGroups(log(spark, rows), ["id"], ["at", "n"], history.position(F.col("at"), "ntz"), TIGHT)
+    assert max(r["count"] for r in groups.rows.groupBy("id", "_seg").count().collect()) <= 2 * TIGHT.rows
 
 
 def test_a_b_a_is_three_versions_and_a_redelivery_none(spark):
@@ -112,12 +126,13 @@ def test_state_as_of(spark):
 
 
 @pytest.mark.parametrize("count_facts", [False, True])
-@pytest.mark.parametrize("limit", [GroupLimit(), TIGHT])
+@pytest.mark.parametrize("limit", [GroupLimit(), TIGHT, JOINED, GroupLimit(rows=1)])
 def test_as_of_join_equals_brute_force(spark, limit, count_facts):
     rnd = random.Random(2)
     keys = ["hot"] * 6 + ["a", "b", "c"]
     dims = [(rnd.choice(keys + ["d"]), T0 + timedelta(minutes=rnd.randrange(20000)), i, f"v{i}") for i in range(80)]
     facts = [(rnd.choice(keys + [None]), T0 + timedelta(minutes=rnd.randrange(20000)), i) for i in range(400)]
+    facts += [(k, None, 2000 + i) for i, k in enumerate(keys)]  # no time: no version is in force
     facts += [(d[0], d[1], 1000 + d[2]) for d in dims[:10]]  # exactly at the start of a version
     d = spark.createDataFrame(dims, "id STRING, start TIMESTAMP_NTZ, n INT, version STRING")
     f = spark.createDataFrame(facts, "id STRING, ts TIMESTAMP_NTZ, fact INT")
@@ -127,7 +142,7 @@ def test_as_of_join_equals_brute_force(spark, limit, count_facts):
         f, d, ["id"], "ts", "start", ["n"], ["version"], history.position(F.col("_at"), "ntz"), limit, counted)
 
     def found(key, ts):
-        known = [x for x in dims if x[0] == key and x[1] <= ts]
+        known = [x for x in dims if x[0] == key and ts and x[1] <= ts]
         return max(known, key=lambda x: (x[1], x[2]))[3] if known else None
 
     assert got.columns == ["id", "ts", "fact", "version"]

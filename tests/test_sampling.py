@@ -42,10 +42,16 @@ def test_rates_zero_and_one(spark):
 
 
 def test_weights(spark):
-    df = spark.range(20000).select(
-        sampling.weighted("x", sampling.CARD_CHANGE_WEIGHTS, F.col("id")).alias("g")).groupBy("g").count()
+    weights = [("train", 80), ("tune", 15), ("test", 5)]
+    df = spark.range(20000).select(sampling.weighted("x", weights, F.col("id")).alias("g")).groupBy("g").count()
     share = {r.g: r["count"] / 200 for r in df.collect()}
-    assert all(abs(share[g] - w) < 1.5 for g, w in sampling.CARD_CHANGE_WEIGHTS)
+    assert all(abs(share[g] - w) < 1.5 for g, w in weights)
+
+
+def test_rows_without_a_day_are_a_day_of_their_own(spark):
+    df = spark.range(1000).select("id", F.when(F.col("id") % 2 == 0, F.lit("2017-01-01").cast("date")).alias("day"))
+    got = sampling.exact_rate(df, "day", "id", 0.1, "s").groupBy("day").count().collect()
+    assert [r["count"] for r in got] == [50, 50]
 
 
 def test_device_type(spark):
@@ -57,11 +63,11 @@ def test_device_type(spark):
 
 
 def test_pseudonyms_are_stable_and_unique(spark):
-    df = spark.range(5000).select(F.col("id").cast("string").alias("id"), F.lit("Female").alias("gender"))
-    a = sampling.pseudonyms(df, "id", "gender")
-    assert a.select("email").distinct().count() == 5000
-    assert a.where(~F.col("ssn").rlike(r"^\d{3}-\d{2}-\d{4}$")).count() == 0
-    assert sorted(a.collect()) == sorted(sampling.pseudonyms(df.repartition(5), "id", "gender").collect())
+    df = spark.range(5000).select(F.col("id").cast("string").alias("id"), F.lit("x").alias("name"))
+    a = sampling.pseudonyms(df, "id", "k1")
+    assert a.select("email").distinct().count() == a.select("name").distinct().count() == 5000
+    assert sorted(a.collect(), key=str) == sorted(sampling.pseudonyms(df.repartition(5), "id", "k1").collect(), key=str)
+    assert a.join(sampling.pseudonyms(df, "id", "k2"), "name").count() == 0
 
 
 def deliveries_of(spark, rows):

@@ -82,9 +82,3 @@ def test_card_number_must_be_truncated_first(spark):
     row = cut.first().asDict()
     assert (row["card_bin"], row["card_last4"]) == ("411122", "4444")
     assert not {"cvv", "card_number"} & set(row)
-
-
-def test_published_names(spark):
-    df = spark.createDataFrame([("id_present", "id_null", 1)], "rule STRING, reason STRING, passed INT")
-    got = k.published(df).first().asDict()
-    assert got == {"regra": "id_preenchido", "motivo": "id_nulo", "linhas_aprovadas": 1}
