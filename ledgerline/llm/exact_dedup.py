@@ -25,6 +25,7 @@ _STATE = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",  # else every partition takes 4 MB at once
 }
 
 
@@ -60,14 +61,14 @@ def absorb(spark: SparkSession, folder: str, schema, state: str, files_per_batch
         query = held.writeStream.format("noop").outputMode("update").option(
             "checkpointLocation", state).trigger(availableNow=True).start()
         query.awaitTermination()
+        rows = spark.read.format("statestore").load(state)
+        buffers = rows.schema["value"].dataType.fieldNames()
+        return stored(rows.select(
+            F.col("key.digest").alias("digest"), F.col(f"value.`{buffers[0]}`").alias("n_rows"),
+            F.col(f"value.`{buffers[1]}`").alias("best")), "digests")
     finally:
         for name, value in before.items():
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
-    rows = spark.read.format("statestore").load(state)
-    buffers = rows.schema["value"].dataType.fieldNames()
-    return rows.select(
-        F.col("key.digest").alias("digest"), F.col(f"value.`{buffers[0]}`").alias("n_rows"),
-        F.col(f"value.`{buffers[1]}`").alias("best"))
 
 
 def _differing(rows: DataFrame, hits: DataFrame) -> DataFrame:
@@ -84,7 +85,7 @@ def duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", digest=
     folder = work_dir(spark, "entries")
     entries(rows, digest).write.parquet(folder)
     all_entries = spark.read.parquet(folder)
-    state = stored(absorb(spark, folder, all_entries.schema, work_dir(spark, "dedup-state")), "digests")
+    state = absorb(spark, folder, all_entries.schema, work_dir(spark, "dedup-state"))
     found = all_entries.join(state.withColumnRenamed("best", "top"), "digest").select(
         "digest", "n_rows", F.col("best.at").alias("at"), F.col("top.at").alias("keep_at"),
         F.bitwise_not("best.inverse_key").alias("doc_key"), F.bitwise_not("top.inverse_key").alias("keep_id"))
