@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.operators import deliveries
 from ledgerline.sources import drift, snapshots
-from ledgerline.sources.versions import VersionedTable
+from ledgerline.sources.versions import ReplacedTable
 from ledgerline.streaming import bronze, silver
 
 
@@ -23,8 +23,8 @@ class Lake:
         logs = [bronze.BronzeLog(spark, e, at_bronze, generation)
                 for e in (bronze.CARDS, bronze.CLIENTS, bronze.TRANSACTIONS)]
         self.bronze = {log.entity.name: log for log in logs}
-        self.bronze_codes = VersionedTable(spark, f"{at_bronze}/mcc_codes")
-        self.bronze_labels = VersionedTable(spark, f"{at_bronze}/fraud_labels")
+        self.bronze_codes = ReplacedTable(spark, f"{at_bronze}/mcc_codes")
+        self.bronze_labels = ReplacedTable(spark, f"{at_bronze}/fraud_labels")
         self.cards = silver.SilverTable(spark, silver.CARDS, self.bronze["cards"], at_silver)
         self.clients = silver.SilverTable(spark, silver.CLIENTS, self.bronze["clients"], at_silver)
         self.transactions = silver.transactions(spark, self.bronze["transactions"], at_silver, self.cards)

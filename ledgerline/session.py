@@ -56,9 +56,14 @@ def work_dir(spark: SparkSession, label: str) -> str:
 _made: list[tuple[SparkSession, str]] = []
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever file system it is."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def _remove() -> None:
     """Work folders go with the program that made them, if its session is still there."""
     for spark, path in _made:
         with suppress(Exception):
-            place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+            delete_folder(spark, path)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.contracts import INGESTED_AT, SOURCE_FILE
-from ledgerline.sources.versions import VersionedTable
+from ledgerline.sources.versions import ReplacedTable
 
 
 def read_pairs(spark: SparkSession, path: str, key: str, value: str, below: str = "", per_line: bool = False) -> DataFrame:
@@ -79,8 +79,8 @@ def unpivot(df: DataFrame, ids: list[str], values: list[str], name: str, value:
     return df.unpivot(ids, values, name, value)
 
 
-def reload(spark: SparkSession, df: DataFrame, path: str) -> VersionedTable:
+def reload(spark: SparkSession, df: DataFrame, path: str) -> ReplacedTable:
     """Replace a snapshot table by a full delivery."""
-    table = VersionedTable(spark, path)
+    table = ReplacedTable(spark, path)
     table.publish(df)
     return table

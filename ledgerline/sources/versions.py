@@ -1,8 +1,8 @@
-"""Tables that are replaced as a whole: a folder per version and a small register of versions.
+"""Tables that are replaced as a whole.
 
-Plain Parquet overwrite deletes first and writes then. Here a new version is written beside the
-old one and becomes visible by the last step, one more file in the register. A reader sees either
-the old or the new version, whole.
+Plain Parquet overwrite deletes first and writes then. Here the new content is written to a folder beside the old one
+and becomes visible by the last step, a small entry that names it. A reader sees either the old or the new content,
+whole. The folder before the current one stays for readers that have begun; older ones are deleted.
 """
 
 from __future__ import annotations
@@ -13,15 +13,16 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.session import delete_folder
+
 _REGISTER = "version BIGINT, upto BIGINT, folder STRING, published_at TIMESTAMP"
 
 
-class VersionedTable:
+class ReplacedTable:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
 
-    def history(self) -> DataFrame:
-        """Published versions. ``upto`` is the last input batch a version holds."""
+    def _entries(self) -> DataFrame:
         try:
             return self.spark.read.option("recursiveFileLookup", True).schema(_REGISTER).json(
                 f"{self.path}/register")
@@ -31,20 +32,23 @@ class VersionedTable:
             return self.spark.createDataFrame([], _REGISTER)
 
     def latest(self) -> Row | None:
-        """Newest entry of the history, or None before the first publication."""
-        return self.history().orderBy(F.desc("version")).first()
+        """Entry of the current content, or None before the first one. ``upto`` is the last input batch it holds."""
+        return self._entries().orderBy(F.desc("version")).first()
 
     def publish(self, df: DataFrame, upto: int = -1) -> int:
-        """Write ``df`` as the next version, then announce it. ``df`` may read the current one.
+        """Write ``df`` as the new content, then announce it. ``df`` may read the current one.
 
-        A folder belongs to one attempt only. Of two writers of the same version the first to
-        announce it wins and the other one fails.
+        A folder belongs to one attempt only. A table has one writer at a time: a second one that comes later fails,
+        but two that announce at the very same moment could both succeed, as the file system only checks and writes.
         """
         now = self.latest()
         version = now.version + 1 if now else 1
         folder = f"version={version:08d}-{uuid.uuid4().hex}"
         df.write.mode("errorifexists").parquet(f"{self.path}/data/{folder}")
         self._announce(version, upto, folder)
+        for old in self._entries().where(F.col("version") < version - 1).collect():
+            delete_folder(self.spark, f"{self.path}/register/{old.version:08d}")
+            delete_folder(self.spark, f"{self.path}/data/{old.folder}")
         return version
 
     def _announce(self, version: int, upto: int, folder: str) -> None:
@@ -54,14 +58,12 @@ class VersionedTable:
         )
         note.write.mode("errorifexists").json(f"{self.path}/register/{version:08d}")
 
-    def read(self, version: int | None = None) -> DataFrame:
-        """The newest version, or the given one."""
-        entries = self.history() if version is None else self.history().where(F.col("version") == version)
-        entry = entries.orderBy(F.desc("version")).first()
+    def read(self) -> DataFrame:
+        """The current content."""
+        entry = self.latest()
         if entry is None:
-            raise FileNotFoundError(f"no version published in {self.path}")
+            raise FileNotFoundError(f"nothing published in {self.path}")
         return self.at(entry)
 
     def at(self, entry: Row) -> DataFrame:
-        """The version of a history entry."""
         return self.spark.read.parquet(f"{self.path}/data/{entry.folder}")

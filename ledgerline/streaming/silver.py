@@ -20,7 +20,7 @@ from ledgerline import contracts as k
 from ledgerline.functions.scalars import delivery_date
 from ledgerline.operators import conform, deliveries, expectations, history, lookups
 from ledgerline.operators.groups import GroupLimit
-from ledgerline.sources.versions import VersionedTable
+from ledgerline.sources.versions import ReplacedTable
 from ledgerline.streaming.bronze import BronzeLog
 
 VALID, QUARANTINE = "valid", "quarantine"
@@ -75,7 +75,7 @@ class SilverTable:
         base = f"{root.rstrip('/')}/{flow.name}"
         self.log, self.checkpoint = f"{base}/log", f"{base}/checkpoint"
         self.counters = Counters(spark, f"{base}/counters", flow.name)
-        self.compacted = VersionedTable(spark, f"{base}/table")
+        self.compacted = ReplacedTable(spark, f"{base}/table")
 
     def judge(self, rows: DataFrame) -> DataFrame:
         """Bronze rows typed, with ``reason`` and ``verdict``."""
@@ -203,7 +203,7 @@ class SnapshotTable:
                  rules: list[k.Rule], root: str):
         self.conform, self.rules = conform, rules
         base = f"{root.rstrip('/')}/{name}"
-        self.table = VersionedTable(spark, f"{base}/table")
+        self.table = ReplacedTable(spark, f"{base}/table")
         self.counters = Counters(spark, f"{base}/counters", name)
 
     def refresh(self, snapshot: DataFrame, run_id: str) -> None:
