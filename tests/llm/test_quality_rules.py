@@ -59,7 +59,7 @@ def test_held_out_accuracy(ready):
 
 @pytest.mark.parametrize("labelled", [[], [(1, 1, 0)], [(1, None, None), (None, 0, 0)]])
 def test_odd_rows(ready, docs, labelled):
-    table = docs([(1, None), (None, "x"), (2, ""), (2, ""), (3, "word " * 9 + "a b c d e f g h i j k l"), (4, "w" * 100_000)])
+    table = docs([(1, None), (None, "x"), (2, ""), (2, ""), (3, "a b c d e f g h i j k l m n"), (4, "w" * 100_000)])
     labels = ready.createDataFrame(labelled, "doc_id bigint, quality int, toxic int")
     rows = q.judged(table, labels).collect()
     assert len(rows) == 6 and [r["doc_id"] for r in rows if r["kept"]] == [3]
