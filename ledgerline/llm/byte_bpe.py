@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from ledgerline.llm.common import utf8
 
 _PAIRS = 1 << 18
-_PARTS = 1 << 20
+_PARTS = 800_000
 
 
 class Codec:
