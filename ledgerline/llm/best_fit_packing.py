@@ -51,6 +51,8 @@ class WordIds:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _split(self, word: bytes) -> list[str] | None:
+        if self.kind.simple(word):
+            return self.kind.pieces(word.decode().lower())
         text = word.decode("utf-8", "replace")
         normal = self.kind.normalised(text)
         if self.kind.special.search(text) or self.kind.normalised(normal) != normal:

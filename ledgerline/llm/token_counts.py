@@ -159,8 +159,13 @@ class Compiled(dict):
         self.pieces = regex.compile(pattern).findall
         contents = [t["content"] for t in spec["added_tokens"]]
         self.special = regex.compile("|".join(map(regex.escape, sorted(contents, key=len, reverse=True)))) if contents else None
+        self.begins = {c[0].encode()[:1] for c in contents}
         self.characters = {b: c for b, c in enumerate(byte_characters())}
 
+    def simple(self, data: bytes) -> bool:
+        """ASCII without the beginning of a special token: normalising only makes it lower case."""
+        return data.isascii() and not any(c in data for c in self.begins)
+
     @staticmethod
     def normalised(text: str) -> str:
         return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()  # no final sigma there
@@ -173,6 +178,10 @@ class Compiled(dict):
     def __missing__(self, data: bytes) -> int:
         if len(self) > _WORDS:
             self.clear()
+        if self.simple(data):
+            tokens_of, characters = self.words.tokens_of, self.characters
+            total = self[data] = sum(tokens_of(p.translate(characters)) for p in self.pieces(data.decode().lower()))
+            return total
         text = data.decode("utf-8", "replace")
         parts = self.special.split(text) if self.special else [text]
         total = self[data] = sum(map(self._plain, parts)) + len(parts) - 1
