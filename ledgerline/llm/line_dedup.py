@@ -125,14 +125,14 @@ def repeated_runs(docs: DataFrame, key: str = "doc_id", text: str = "text", min_
         "line-hashes")
     chosen = sequences.select("row_no", F.explode(F.array_distinct(F.filter("selected", lambda i: i >= 0))).alias("line"), "hashes").select(
         "row_no", "line", F.element_at("hashes", F.col("line") + 1).alias("fingerprint"))
-    several = chosen.groupBy("fingerprint").agg(F.count("*").alias("places")).where("places > 1").select("fingerprint")
+    several = stored(chosen.groupBy("fingerprint").agg(F.count("*").alias("places")).where("places > 1").select("fingerprint"), "repeated")
     hits = chosen.join(several, "fingerprint").groupBy("row_no").agg(F.collect_list("line").alias("hits"))
     windows = stored(map_batches(
         sequences.drop("at").join(hits, "row_no"), _windows(min_words),
         f"row_no bigint, doc_key {kind}, start int, stop int, digest binary"), "windows")
     position = F.struct("doc_key", "row_no", "start")
     first = windows.groupBy("digest").agg(F.min(position).alias("first"), F.count("*").alias("places")).where("places > 1")
-    later = windows.join(first.select("digest", "first"), "digest").where(~position.eqNullSafe(F.col("first")))
+    later = windows.join(stored(first.select("digest", "first"), "first-windows"), "digest").where(~position.eqNullSafe(F.col("first")))
     return later.select("row_no", "start", "stop", F.col("first.doc_key").alias("first_key")).join(
         sequences.select("row_no", "doc_key", "at"), "row_no")
 
@@ -145,7 +145,7 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", min_w
         F.sort_array(F.collect_set("first_key")).alias("first_keys")).withColumnRenamed("at", "there")
     rows = located(docs, key, text)
     kind = rows.schema["doc_key"].dataType.simpleString()
-    joined = rows.join(stored(runs, "runs"), F.col("at") == F.col("there"), "left").select(
+    joined = rows.join(stored(runs, "runs").hint("merge"), F.col("at") == F.col("there"), "left").select(
         "doc_key", utf8(F.col("body")).alias("b"), "runs",
         F.coalesce("first_keys", F.array().cast(f"array<{kind}>")).alias("first_keys"))
     return map_batches(
