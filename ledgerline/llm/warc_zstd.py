@@ -182,8 +182,9 @@ def read_archive(path: str) -> Iterator[dict]:
 def trained_dictionary(pages: DataFrame, payload: str, pages_sampled: int = 400, size: int = 1 << 15) -> bytes:
     """A dictionary from the beginnings (8 KiB) of ``pages_sampled`` payloads, those with the smallest hash. Empty if
     they are too few."""
-    sample = pages.where(F.length(payload) > 0).select(F.substring(payload, 1, 8192).alias("b")).orderBy(
-        F.xxhash64("b"), "b").limit(pages_sampled).collect()
+    rows = pages.where(F.length(payload) > 0).select(F.xxhash64(payload).alias("h"), F.substring(payload, 1, 8192).alias("b"))
+    chosen = rows.select("h").distinct().orderBy("h").limit(pages_sampled)
+    sample = rows.join(F.broadcast(chosen), "h").groupBy("h").agg(F.min("b").alias("b")).orderBy("h").collect()
     with suppress(zstandard.ZstdError):
         return zstandard.train_dictionary(size, [r["b"].encode() for r in sample]).as_bytes()
     return b""
@@ -231,7 +232,7 @@ def write_archives(pages: DataFrame, key: str = "page_id", url: str = "url", pay
         "digest", F.sha1("b"))
     several = rows.where(F.octet_length("b") >= dedup_bytes).groupBy("digest").agg(
         F.max("page_id").alias("top"), F.count("*").alias("rows")).where("rows > 1 AND top IS NOT NULL").drop("rows")
-    joined = rows.join(several, "digest", "left").select(
+    joined = rows.join(several.hint("merge"), "digest", "left").select(
         "page_id", "url", "b", "digest",
         F.when(~F.col("page_id").eqNullSafe(F.col("top")), F.col("top")).alias("refers_to"))
     folder = work_dir(pages.sparkSession, "warc")
