@@ -46,7 +46,7 @@ def located(docs: DataFrame, key: str, text: str) -> DataFrame:
 def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
     """``docs``, read from Parquet, without the rows at the places ``gone.at``; columns as before."""
     there = docs.select(F.struct("*").alias("d"), place().alias("here"))
-    return there.join(gone.select("at"), F.col("here") == F.col("at"), "left_anti").select("d.*")
+    return there.join(gone.select("at").hint("merge"), F.col("here") == F.col("at"), "left_anti").select("d.*")
 
 
 def utf8(text: Column) -> Column:

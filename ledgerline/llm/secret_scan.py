@@ -159,7 +159,7 @@ def redacted(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str
     """``docs``, read from Parquet, with secrets replaced by ``mark``; a column ``length`` follows the new text."""
     found = findings(docs, key, text, path).where("secret").select("at", "number")
     numbers = stored(found.groupBy("at").agg(F.collect_set("number").alias("numbers")).withColumnRenamed("at", "there"), "redactions")
-    rows = docs.select(F.struct("*").alias("d"), place().alias("at")).join(numbers, F.col("at") == F.col("there"), "left")
+    rows = docs.select(F.struct("*").alias("d"), place().alias("at")).join(numbers.hint("merge"), F.col("at") == F.col("there"), "left")
     body = F.col("d")[text]
     parts = F.transform(
         F.regexp_extract_all(body, F.lit(CANDIDATE), F.lit(0)),
