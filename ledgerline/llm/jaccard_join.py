@@ -9,8 +9,10 @@ Groups of near copies are not expanded into all their pairs. In each column the
 is taken first; what links becomes one component. Then come the pairs of rows that are still in different components.
 Pairs within a component cannot change it, so membership is exact.
 
-The order comes from a sketch: columns hashed into 2**20 counters, 8 MB at any size of corpus. Its errors cost time,
-never links, since any common order is exact.
+The order comes from a sketch: columns hashed into 2**22 counters, 16 MB at any size of corpus. Its errors cost time,
+never links, since any common order is exact. Counters hold at most 2**32 - 1.
+
+Tables that grow with the corpus are merged, never broadcast, so that the plan is the same at any size.
 
 Texts without a word (null too) have no set and link with nothing. Rows with equal keys are rows of their own; a
 component's id is its smallest key, null if all are null. Columns beside key and text are not read.
@@ -30,8 +32,9 @@ from pyspark.sql import functions as F
 from ledgerline.llm.common import located, map_batches, numbered, stored, utf8, without
 from ledgerline.llm.components import components
 
-SKETCH_BITS = 20
+SKETCH_BITS = 22
 _BLOCKS = 64
+_PLACE_BITS = 25
 _MIX = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9], np.uint64)
 
 
@@ -81,7 +84,7 @@ def _sketch_part(k: int):
         if waiting:
             counts += np.bincount(np.concatenate(waiting), minlength=len(counts))
         if counts.any():
-            blocks = [zlib.compress(b.tobytes(), 1) for b in np.split(counts, _BLOCKS)]
+            blocks = [zlib.compress(b.astype("<u4").tobytes(), 1) for b in np.split(counts, _BLOCKS)]
             yield pa.RecordBatch.from_arrays([pa.array(range(_BLOCKS), pa.int32()), pa.array(blocks, pa.binary())], ["block", "counts"])
     return run
 
@@ -91,17 +94,18 @@ def _sum_blocks(key: tuple, parts: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
     total = np.zeros((1 << SKETCH_BITS) // _BLOCKS, np.int64)
     for part in parts:
         for data in part.column("counts").to_pylist():
-            total += np.frombuffer(zlib.decompress(data), np.int64)
-    yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["block", "counts"])
+            total += np.frombuffer(zlib.decompress(data), "<u4")
+    most = np.minimum(total, (1 << 32) - 1).astype("<u4").tobytes()
+    yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([most], pa.binary())], ["block", "counts"])
 
 
 def column_counts(rows: DataFrame, k: int) -> np.ndarray:
-    """The sketch of how many rows have a column: 2**20 counters, whatever the corpus."""
+    """The sketch of how many rows have a column: 2**22 counters, whatever the corpus."""
     parts = map_batches(rows.select(utf8(F.col("body")).alias("b")), _sketch_part(k), "block int, counts binary")
     blocks = parts.groupBy("block").applyInArrow(_sum_blocks, "block int, counts binary").collect()
-    whole = np.zeros((_BLOCKS, (1 << SKETCH_BITS) // _BLOCKS), np.int64)
+    whole = np.zeros((_BLOCKS, (1 << SKETCH_BITS) // _BLOCKS), np.uint32)
     for block in blocks:
-        whole[block["block"]] = np.frombuffer(block["counts"], np.int64)
+        whole[block["block"]] = np.frombuffer(block["counts"], "<u4")
     return whole.reshape(-1)
 
 
@@ -124,15 +128,36 @@ def _heads(k: int, percent: int, sketch):
     return run
 
 
-def _sets(k: int):
+def _sets(k: int, bits):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        hashes, wanted = WordHashes(), np.frombuffer(bits.value, np.uint8)
         for batch in batches:
+            slot = batch.column("slot").to_numpy()
+            batch = batch.filter(pa.array((wanted[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1))
             grams = [gram_set(t, k, hashes).view(np.int64) for t in batch.column("b").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(grams, pa.list_(pa.int64()))], ["node", "grams"])
+            yield pa.RecordBatch.from_arrays([batch.column("at"), pa.array(grams, pa.list_(pa.int64()))], ["at", "grams"])
     return run
 
 
+def _sets_of(rows: DataFrame, signed: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
+    """Whole sets of the nodes in ``pairs``. A bitmap of 2**25 places (4 MB, whatever the corpus) tells tasks which
+    texts may be asked for, so that few others are read again and no text is shuffled."""
+    spark, places = rows.sparkSession, 1 << _PLACE_BITS
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    wanted = stored(signed.select(F.col("row_no").alias("node"), F.col("at").alias("place")).join(nodes.hint("merge"), "node"), "wanted")
+    slot = F.pmod(F.xxhash64("place"), F.lit(places))
+    blocks = wanted.select(slot.alias("slot")).groupBy(F.shiftright("slot", 15).alias("block")).agg(
+        F.bitmap_construct_agg((F.col("slot") % (1 << 15)).cast("int")).alias("bits")).collect()
+    size, whole = (1 << 15) // 8, bytearray(places // 8)
+    for block in blocks:
+        whole[block["block"] * size : (block["block"] + 1) * size] = block["bits"]
+    bits = spark.sparkContext.broadcast(bytes(whole))
+    sets = map_batches(
+        rows.select("at", F.pmod(F.xxhash64("at"), F.lit(places)).alias("slot"), utf8(F.col("body")).alias("b")),
+        _sets(k, bits), "at struct<path:string,row:bigint>, grams array<bigint>")
+    return stored(sets.join(wanted.hint("merge"), F.col("at") == F.col("place")).select("node", "grams"), "sets")
+
+
 def _bounds(percent: int):
     """Pairs that meet in a column at places pos, pos2 and may still link: by their sizes, and by the columns left."""
     n, m = F.col("n"), F.col("n2")
@@ -143,8 +168,8 @@ def _bounds(percent: int):
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs of nodes whose whole overlap reaches the similarity."""
-    mine = pairs.join(sets.select(F.col("node").alias("a"), F.col("grams").alias("grams_a")), "a")
-    both = mine.join(sets.select(F.col("node").alias("b"), F.col("grams").alias("grams_b")), "b")
+    mine = pairs.join(sets.select(F.col("node").alias("a"), F.col("grams").alias("grams_a")).hint("merge"), "a")
+    both = mine.join(sets.select(F.col("node").alias("b"), F.col("grams").alias("grams_b")).hint("merge"), "b")
     overlap = F.size(F.array_intersect("grams_a", "grams_b"))
     union = F.size("grams_a") + F.size("grams_b") - overlap
     return both.where(100 * overlap >= percent * union).select("a", "b")
@@ -162,44 +187,40 @@ def linked_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", k: i
     nodes = stored(signed.where("n > 0").groupBy("digest").agg(
         F.min("row_no").alias("node"), F.min("doc_key").alias("least")), "nodes")
 
-    heads = signed.join(nodes.select("node"), F.col("row_no") == F.col("node"), "left_semi")
+    heads = signed.join(nodes.select("node").hint("merge"), F.col("row_no") == F.col("node"), "left_semi")
     postings = heads.select(F.col("row_no").alias("node"), "n", F.posexplode("head").alias("pos", "gram"))
     order = F.col("pos").cast("long") * F.lit(1 << 32) + F.pmod(F.xxhash64("node"), F.lit(1 << 32))
-    columns = postings.groupBy("gram").agg(
-        F.count("*").alias("rows"), F.min_by("node", order).alias("pivot"), F.min_by("n", order).alias("n2"),
-        F.min_by("pos", order).alias("pos2")).where("rows > 1").drop("rows")
-    shared = stored(postings.join(columns, "gram"), "columns")
-
-    wanted = shared.select("node").distinct().join(
-        signed.select(F.col("row_no").alias("node"), F.col("at").alias("place")), "node")
-    sets = stored(map_batches(
-        rows.join(wanted, F.col("at") == F.col("place")).select("node", utf8(F.col("body")).alias("b")),
-        _sets(k), "node bigint, grams array<bigint>"), "sets")
-
-    stars = shared.where((F.col("node") != F.col("pivot")) & _bounds(percent)).select(
-        F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
+    several = stored(postings.groupBy("gram").agg(F.count("*").alias("rows")).where("rows > 1").select("gram"), "grams")
+    shared = stored(postings.join(several.hint("merge"), "gram"), "columns")
+    pivots = stored(shared.groupBy("gram").agg(
+        F.min_by("node", order).alias("pivot"), F.min_by("n", order).alias("n2"), F.min_by("pos", order).alias("pos2")), "pivots")
+
+    stars = stored(shared.join(pivots.hint("merge"), "gram").where((F.col("node") != F.col("pivot")) & _bounds(percent)).select(
+        F.col("node").alias("a"), F.col("pivot").alias("b")).distinct(), "stars")
+    sets = _sets_of(rows, signed, stars, k)
     found = stored(_linked(stars, sets, percent), "star-links")
     member = components(found, "star")
 
-    placed = shared.join(member, "node", "left").withColumn("component", F.coalesce("component", "node")).select(
-        "gram", "node", "n", "pos", "pivot", "component")
-    mixed = placed.groupBy("gram").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("gram")
-    placed = stored(placed.join(mixed, "gram", "left_semi"), "mixed")
-    pivots = placed.where("node = pivot").select("gram", F.col("component").alias("main"))
-    outside = placed.join(pivots, "gram").where("component != main")
+    placed = stored(shared.join(member.hint("merge"), "node", "left").withColumn("component", F.coalesce("component", "node")), "placed")
+    mixed = stored(placed.groupBy("gram").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where(
+        "lo < hi").select("gram"), "mixed-grams")
+    placed = stored(placed.join(mixed.hint("merge"), "gram", "left_semi"), "mixed")
+    main = placed.join(pivots.select("gram", "pivot").hint("merge"), "gram").where("node = pivot").select("gram", "pivot", F.col("component").alias("main"))
+    outside = stored(placed.join(stored(main, "mains"), "gram").where("component != main"), "outside")
     other = placed.select(
         "gram", F.col("node").alias("b"), F.col("n").alias("n2"), F.col("pos").alias("pos2"), F.col("component").alias("component2"))
     met = outside.join(other, "gram").where(
         (F.col("component") != F.col("component2")) & (F.col("b") != F.col("pivot")) & (F.col("node") != F.col("pivot"))
         & _bounds(percent) & ((F.col("node") < F.col("b")) | (F.col("component2") == F.col("main"))))
-    across = met.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
+    across = stored(met.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct(), "across")
+    sets = _sets_of(rows, signed, across, k)
     links = found.unionByName(stored(_linked(across, sets, percent), "cross-links"))
     member = components(links, "all")
 
     named = nodes.join(member, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
     of_set = stored(named.join(least, "component").select("digest", "component", "component_id"), "members")
-    return signed.select("doc_key", "at", "n", "digest").join(of_set, "digest", "left").select(
+    return signed.select("doc_key", "at", "n", "digest").join(of_set.hint("merge"), "digest", "left").select(
         "doc_key", "at", "n", "component",
         F.when(F.col("component").isNull(), F.col("doc_key")).otherwise(F.col("component_id")).alias("component_id"))
 
