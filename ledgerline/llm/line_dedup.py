@@ -11,12 +11,19 @@ match is extended both ways: the windows that lie on them, forwards and backward
 lines, and those that stood somewhere before are deleted. A line is in a repeated passage exactly if one of its windows
 is repeated, so nothing is lost to the choice of a place to compare with.
 
+``without_passages`` finds passages wherever they begin and end. A document is its sequence of words there, and a window
+any ``min_words`` words of it, across line ends. Runs of half as many words are hashed; of the runs in a window the one
+with the smallest hash is selected, so equal windows select equal fingerprints. At fingerprints that stand at several
+places all windows on them are compared by 128 bits, and the words of those that stood somewhere before are deleted.
+What ``deduplicated`` deletes is among them, because a run of whole lines consists of such windows.
+
 Null or empty text has no lines. Lines without a word stay. Repeated rows are documents of their own, so all but the
 first lose their passages. Null keys come first in the order. Columns beside key and text are not read.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +35,10 @@ from pyspark.sql import functions as F
 from ledgerline.llm.common import located, map_batches, numbered, stored, utf8
 
 
+_WORD = re.compile(rb"[^ \t\n\x0b\x0c\r]+")
+_BASES = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
+
+
 def lines_of(text: bytes) -> tuple[list[bytes], list[int]]:
     """All lines, and the numbers of those with a word."""
     lines = text.split(b"\n")
@@ -151,3 +162,153 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", min_w
     return map_batches(
         joined, _cleaned, f"doc_key {kind}, n_lines bigint, n_removed_lines bigint, n_removed_words bigint, "
         f"first_keys array<{kind}>, text string").withColumnRenamed("doc_key", key)
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+class _Runs:
+    """Hashes of all runs of a length, as differences of sums that are weighted by powers of an odd base."""
+
+    def __init__(self, base: int):
+        self.base, self.back, self.size = base, pow(base, -1, 1 << 64), 0
+
+    def __call__(self, words: np.ndarray, length: int) -> np.ndarray:
+        if self.size < len(words):
+            self.size = 2 * len(words)
+            self.powers, self.inverse = (
+                np.cumprod(np.concatenate([[np.uint64(1)], np.full(self.size - 1, b, np.uint64)])) for b in (self.base, self.back))
+        sums = np.concatenate([[np.uint64(0)], np.cumsum(words * self.powers[:len(words)])])
+        return _mixed((sums[length:] - sums[:-length]) * self.inverse[:len(words) - length + 1])
+
+
+def word_hashes(text: bytes) -> np.ndarray:
+    words = text.split()
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+
+
+def winnowed(words: np.ndarray, least: int, runs: _Runs) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all runs of half a window, and for each window the run selected, the last one of equals."""
+    half = max(least // 2, 1)
+    hashes = runs(words, half)
+    views = np.lib.stride_tricks.sliding_window_view(hashes, least - half + 1)
+    return hashes.view(np.int64), np.arange(len(views)) + least - half - views[:, ::-1].argmin(axis=1)
+
+
+def _marks(least: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        runs = _Runs(_BASES[0])
+        for batch in batches:
+            rows, marks = [], []
+            for k, text in enumerate(batch.column("b").to_pylist()):
+                words = word_hashes(text)
+                if len(words) >= least:
+                    hashes, at = winnowed(words, least, runs)
+                    rows.append(k)
+                    marks.append(hashes[at[np.diff(at, prepend=-1) > 0]])
+            taken = pa.array(rows, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_key").take(taken), batch.column("at").take(taken), pa.array(marks, pa.list_(pa.int64()))],
+                ["doc_key", "at", "marks"])
+    return run
+
+
+def _word_windows(least: int):
+    """Windows on repeated fingerprints."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        one, two = map(_Runs, _BASES)
+        for batch in batches:
+            rows, starts, lows, highs = [], [], [], []
+            hits = batch.column("hits")
+            for k, text in enumerate(batch.column("b").to_pylist()):
+                words = word_hashes(text)
+                hashes, at = winnowed(words, least, one)
+                on = np.flatnonzero(np.isin(hashes[at], hits[k].values.to_numpy()))
+                rows.append(np.full(len(on), k))
+                starts.append(on)
+                lows.append(one(words, least)[on])
+                highs.append(two(_mixed(words), least)[on])
+            if rows:
+                taken = pa.array(np.concatenate(rows))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("row_no").take(taken), batch.column("doc_key").take(taken), pa.array(np.concatenate(starts), pa.int32()),
+                     pa.array(np.concatenate(lows).view(np.int64)), pa.array(np.concatenate(highs).view(np.int64))],
+                    ["row_no", "doc_key", "start", "low", "high"])
+    return run
+
+
+def cut_out(text: bytes, starts: list[int], least: int) -> tuple[bytes, int, int, int]:
+    """Text without the windows: lines that lose all their words go, others keep what is around. Also the numbers of
+    lines with a word, of those that go, and of the words that go."""
+    lines, used = lines_of(text)
+    gone = np.zeros(sum(len(lines[i].split()) for i in used) + 1, np.int64)
+    np.add.at(gone, starts, 1)
+    np.add.at(gone, np.array(starts, np.int64) + least, -1)
+    gone = np.cumsum(gone)[:-1] > 0
+    left, first, n_gone = [], 0, 0
+    for line in lines:
+        spans = [m.span() for m in _WORD.finditer(line)]
+        out = gone[first:first + len(spans)]
+        first += len(spans)
+        if not out.any():
+            left.append(line)
+        elif out.all():
+            n_gone += 1
+        else:
+            ends = [b for b, _ in spans[1:]] + [len(line)]
+            kept = line[:spans[0][0]] + b"".join(line[a:end] for (a, _), end, cut in zip(spans, ends, out) if not cut)
+            left.append(kept.rstrip() if out[-1] else kept)
+    return b"\n".join(left), len(used), n_gone, int(gone.sum())
+
+
+def _cut(least: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for text, starts in zip(batch.column("b").to_pylist(), batch.column("starts").to_pylist()):
+                rows.append(cut_out(text, starts, least) if starts else (text, len(lines_of(text)[1]), 0, 0))
+            texts, n_lines, n_gone, n_words = zip(*rows) if rows else ((), (), (), ())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_key"), pa.array(n_lines, pa.int64()), pa.array(n_gone, pa.int64()), pa.array(n_words, pa.int64()),
+                 batch.column("first_keys"), pa.array([t.decode("utf-8", "replace") for t in texts], pa.string())],
+                ["doc_key", "n_lines", "n_removed_lines", "n_removed_words", "first_keys", "text"])
+    return run
+
+
+def repeated_windows(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = 50) -> DataFrame:
+    """Windows of words that stood before: ``at`` (locator), start (number among the words) and first_key."""
+    rows = located(docs, key, text).select("doc_key", "at", utf8(F.col("body")).alias("b"))
+    kind = rows.schema["doc_key"].dataType.simpleString()
+    marked = numbered(map_batches(
+        rows, _marks(min_words), f"doc_key {kind}, at struct<path:string,row:bigint>, marks array<bigint>"), "word-marks")
+    several = marked.select(F.explode("marks").alias("mark")).groupBy("mark").agg(F.count("*").alias("places")).where("places > 1")
+    hits = marked.select("row_no", F.explode(F.array_distinct("marks")).alias("mark")).join(
+        stored(several.select("mark"), "repeated-marks"), "mark").groupBy("row_no").agg(F.collect_list("mark").alias("hits"))
+    there = stored(marked.select("row_no", F.col("at").alias("there")).join(hits, "row_no"), "word-hits")
+    windows = stored(map_batches(
+        rows.join(there.hint("merge"), F.col("at") == F.col("there")).select("row_no", "doc_key", "b", "hits"), _word_windows(min_words),
+        f"row_no bigint, doc_key {kind}, start int, low bigint, high bigint"), "word-windows")
+    position = F.struct("doc_key", "row_no", "start")
+    first = windows.groupBy("low", "high").agg(F.min(position).alias("first"), F.count("*").alias("places")).where("places > 1")
+    later = windows.join(stored(first.select("low", "high", "first"), "first-word-windows"), ["low", "high"]).where(
+        ~position.eqNullSafe(F.col("first")))
+    return later.select("row_no", "start", F.col("first.doc_key").alias("first_key")).join(
+        there.select("row_no", F.col("there").alias("at")), "row_no").select("at", "start", "first_key")
+
+
+def without_passages(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = 50) -> DataFrame:
+    """One row per document, as ``deduplicated``, without the words of all passages of ``min_words`` or more that stood
+    before, wherever in lines they begin and end; n_removed_lines are lines that lose all their words."""
+    runs = repeated_windows(docs, key, text, min_words).groupBy("at").agg(
+        F.collect_list("start").alias("starts"), F.sort_array(F.collect_set("first_key")).alias("first_keys")).withColumnRenamed("at", "there")
+    rows = located(docs, key, text)
+    kind = rows.schema["doc_key"].dataType.simpleString()
+    joined = rows.join(stored(runs, "word-runs").hint("merge"), F.col("at") == F.col("there"), "left").select(
+        "doc_key", utf8(F.col("body")).alias("b"), "starts",
+        F.coalesce("first_keys", F.array().cast(f"array<{kind}>")).alias("first_keys"))
+    return map_batches(
+        joined, _cut(min_words), f"doc_key {kind}, n_lines bigint, n_removed_lines bigint, n_removed_words bigint, "
+        f"first_keys array<{kind}>, text string").withColumnRenamed("doc_key", key)

@@ -58,7 +58,7 @@ def op4_secret_scan(spark, table):
 
 @query
 def op5_line_dedup(spark, table):
-    return line_dedup.deduplicated(table("documents"))
+    return line_dedup.without_passages(table("documents"))
 
 
 @query

@@ -55,3 +55,49 @@ def test_odd_rows(docs):
     rows = q.deduplicated(docs([(None, passage), (None, passage), (1, passage), (1, passage)])).collect()
     assert sum(r["n_removed_lines"] for r in rows) == 3 and len(rows) == 4
     assert q.deduplicated(docs([])).count() == 0
+
+
+def brute_words(rows, least):
+    """Numbers of the words in a window that stood before, by comparing all windows."""
+    first, gone = {}, []
+    for d, (_, text) in enumerate(rows):
+        words = (text or "").encode().split()
+        gone.append(set())
+        for a in range(len(words) - least + 1):
+            if first.setdefault(tuple(words[a : a + least]), (d, a)) != (d, a):
+                gone[-1].update(range(a, a + least))
+    return gone
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_passages_against_brute_force(docs, seed):
+    """Passages that begin and end anywhere in lines, cut over other line ends than their copies."""
+    chance, fresh = random.Random(seed), iter(range(10**6))
+    pool = [f"p{i}" for i in range(60)]
+    rows = []
+    for i in range(40):
+        words = []
+        for _ in range(chance.randrange(4)):
+            at = chance.randrange(len(pool))
+            words += [f"u{next(fresh)}" for _ in range(chance.randrange(4))] + pool[at : at + chance.randrange(5, 20)]
+        words += ["same"] * chance.choice([0, 0, 12])
+        rows.append((i, "".join(w + chance.choice([" ", " ", "  ", "\n", "\n\n"]) for w in words)))
+    rows += [(100, None), (101, ""), (102, "\n \n"), (103, " ".join(pool[3:11])), (104, "x " + " ".join(pool[3:11]) + " y")]
+    gone = brute_words(rows, 8)
+    found = {r["doc_id"]: r for r in q.without_passages(docs(rows), min_words=8).collect()}
+    for (i, text), out in zip(rows, gone):
+        left = [w for n, w in enumerate((text or "").split()) if n not in out]
+        assert found[i]["text"].split() == left and found[i]["n_removed_words"] == len(out)
+        if not out:
+            assert found[i]["text"] == (text or "")
+    assert any(gone)
+
+
+def test_passage_inside_a_line(docs):
+    passage = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, f"intro {passage} end"), (2, f"a b {passage} c\nmore"), (3, passage.replace(" ", "\n") + " tail"), (4, "clean")]
+    found = {r["doc_id"]: r for r in q.without_passages(docs(rows)).collect()}
+    assert [found[i]["n_removed_words"] for i in (1, 2, 3, 4)] == [0, 60, 60, 0]
+    assert found[2]["text"] == "a b c\nmore" and found[2]["first_keys"] == [1]
+    assert found[3]["text"] == "tail" and found[3]["n_removed_lines"] == 59
+    assert q.without_passages(docs([])).count() == 0
