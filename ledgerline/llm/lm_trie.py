@@ -394,15 +394,18 @@ def train(texts: DataFrame, text: str = "text", order: int = 2, min_count: int =
     if not trie.n_tokens:
         trie.words = Level()
         return trie
-    level = Level()
+    level, above = Level(), trie.n_words
     heavy = map_batches(summary.where("kind = 'entries'").select("shard"), _heavy_words(trie), _PARTS)
     for depth in range(order - 1):
+        if above * trie.n_words >= 1 << 63:
+            raise OverflowError(f"pairs of {above} contexts and {trie.n_words} words don't fit 63 bits")
         often = sorted((r["n"], int(r["value"])) for r in heavy.collect())
         level = Level(heavy=np.array([o[0] for o in often], np.int64), heavy_counts=np.array([o[1] for o in often], np.int64))
         summary = stored(map_batches(rows, _count_pairs(trie, depth, level, shards), "shard int, counts binary").groupBy(
             "shard").applyInArrow(_write_pairs(trie, depth, level, folder, min_count, discount), _PARTS), f"lm-level-{depth}")
         placed = _filled(_placed(summary, shards), folder, f"level-{depth}")
         mass = {r["n"]: r["value"] for r in summary.where("kind = 'mass'").groupBy("n").agg(F.sum("value").alias("value")).collect()}
+        above = summary.where("kind = 'entries'").agg(F.sum("n")).first()[0] or 0
         level.paths, level.firsts = placed.paths, placed.firsts
         level.heavy_rest = np.array([1 - mass.get(int(h), 0.0) / c for h, c in zip(level.heavy, level.heavy_counts)])
         trie.levels.append(level)

@@ -81,7 +81,7 @@ def op8_warc_zstd(spark, table):
 
 @query
 def op9_lm_trie(spark, table):
-    return lm_trie.scored(table("documents"))
+    return lm_trie.scored(table("documents"), order=3, min_count=1)
 
 
 @query

@@ -84,6 +84,20 @@ def test_better_than_base_on_held_out_texts(ready):
     assert rows and sum(r["score"] for r in rows) > 1.05 * sum(r["base_score"] for r in rows)
 
 
+def test_registered_query_has_three_word_contexts_and_all_pairs(ready, tmp_path):
+    from ledgerline.llm.queries import REGISTRY
+
+    chance = random.Random(9)
+    rows = [(i, " ".join(chance.choice("a b c d e f g hh ii jj".split()) for _ in range(chance.randrange(30)))) for i in range(40)]
+    ready.createDataFrame(rows, "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    _, _, probability = brute([r for r in rows if zlib.crc32(str(r[0]).encode()) % 7 != 2], 3, 1, 0.75)
+    found = {r["doc_id"]: r["score"] for r in REGISTRY["op9_lm_trie"](ready, str(tmp_path)).collect()}
+    for doc_id, text in rows:
+        padded = [b"\n", *text.encode().split(), b"\n"]
+        total = sum(math.log10(probability(tuple(padded[max(0, i - 2) : i + 1]))) for i in range(1, len(padded)))
+        assert abs(found[doc_id] - total) < 2e-3 * len(padded)
+
+
 def test_odd_rows(docs):
     rows = q.scored(docs([(None, None), (None, "a"), (1, "a a"), (1, "a a"), (2, "b" * 10_000)])).collect()
     assert len(rows) == 5 and all(r["score"] <= 0 and math.isfinite(r["score"]) for r in rows)
