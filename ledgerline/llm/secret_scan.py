@@ -1,6 +1,8 @@
 """Secret scan: candidates by a pattern, false positives removed by a random forest. DataFrame functions only.
 
-A candidate is a run of 16 or more key characters that has a digit or begins with 16 capitals and digits. Its features
+A candidate is a run of 16 or more key characters that has a digit, begins with 16 capitals and digits or changes twice
+from small letters to capitals; or any value after a secret word and ``=`` or ``:``, whatever its length and characters;
+or the password of an address (``://user:password@``). Its features
 are length, transitions between kinds of characters, share covered by dictionary words, the path it lies in and the
 words beside it. The forest is trained on labelled findings; see ``rule_labels`` for where they come from if nobody has
 labelled any.
@@ -25,7 +27,16 @@ from pyspark.sql import functions as F
 from ledgerline.llm.common import place, stored
 
 _RUN = "[A-Za-z0-9+/_-]"
-CANDIDATE = f"(?<!{_RUN})(?:(?=[A-Za-z+/_-]*+[0-9])|(?=[A-Z0-9]{{16}})){_RUN}{{16,}}"
+_WORDS = "token|secret|passw(?:or)?d|pwd|api.?key|auth|credential|bearer|private"
+_ASSIGN = f"(?i:{_WORDS})s?(?:[_-][A-Za-z0-9_-]{{1,20}})?[\"']?\\s{{0,3}}[=:]\\s{{0,3}}"
+_VALUE = (
+    f"(?<=[=:]\\s{{0,3}}[\"']?)(?:(?<={_ASSIGN}\")[^\"\\s][^\"\\r\\n]*+(?=\")|(?<={_ASSIGN}')[^'\\s][^'\\r\\n]*+(?=')"
+    f"|(?<={_ASSIGN})(?![\"'])\\S*[^\\s\"',;.)\\]}}>])")
+_USERINFO = "(?<=:)(?<=://[^\\s/:@]{0,64}:)[^\\s/@]++(?=@)"
+_KEY = (
+    f"(?<!{_RUN})(?:(?=[A-Za-z+/_-]*+[0-9])|(?=[A-Z0-9]{{16}})"
+    f"|(?=[A-Z+/_-]*+[a-z][a-z+/_-]*+[A-Z][A-Z+/_-]*+[a-z][a-z+/_-]*+[A-Z])){_RUN}{{16,}}")
+CANDIDATE = f"{_VALUE}|{_USERINFO}|{_KEY}"
 #: Words that keys and their stand-ins are made of.
 DICTIONARY = (
     "access", "account", "admin", "alpha", "api", "auth", "backup", "base", "beta", "build", "cache", "changeme",
@@ -43,8 +54,11 @@ DICTIONARY = (
 FEATURES = (
     "length", "transitions", "digit_share", "upper_share", "letter_runs", "hex_only", "dictionary_share", "path_depth",
     "path_is_example", "assigned", "secret_word", "quoted", "in_address", "followed_by_mark", "known_prefix",
+    "userinfo", "path_token",
 )
-_SECRET_WORD = "(?i)(token|secret|passw(or)?d|pwd|api.?key|auth|credential|bearer|private)"
+_SECRET_WORD = f"(?i)({_WORDS})"
+#: A part of a path that has digits, capitals and small letters and is long.
+_PATH_TOKEN = "(^|/)(?=[A-Za-z_-]*+[0-9])(?=[a-z0-9_-]*+[A-Z])(?=[A-Z0-9_-]*+[a-z])[A-Za-z0-9_-]{20,}$"
 
 
 def candidates(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = "source") -> DataFrame:
@@ -97,19 +111,31 @@ def features(dictionary: tuple[str, ...] = DICTIONARY) -> dict[str, Column]:
         "quoted": flag(F.col("before").rlike("[\"']$") & F.col("after").rlike("^[\"']")),
         "in_address": flag(F.col("before").rlike("(://|@|\\.)\\S*$") | F.col("after").rlike("^[@.][A-Za-z]")),
         "followed_by_mark": flag(F.col("after").rlike("^[!?#*$%&|]")),
+        "userinfo": flag(_userinfo()),
+        "path_token": flag(c.rlike(_PATH_TOKEN)),
         "known_prefix": flag(c.rlike("^(AKIA|ASIA|ghp_|gho_|xox[abp]-|AIza|sk-|sk_live_|eyJ)")),
     }
 
 
+def _userinfo() -> Column:
+    """Between the colon after a user's name and the @; the name may be a candidate itself."""
+    return F.col("before").rlike("(^|://[^\\s/:@]*):$") & F.col("after").rlike("^@")
+
+
 def rule_labels() -> Column:
-    """Labels for findings nobody has looked at: 1 for formats and assignments that leave no doubt, 0 for plain
-    numbers, parts of addresses, ordinary words in capitals and words made of dictionary words; null for all others."""
+    """Labels for findings nobody has looked at: 1 for formats, assignments, passwords in addresses and tokens of
+    webhooks that leave no doubt, 0 for plain numbers, other parts of addresses but for tokens, ordinary words in
+    capitals, words made of dictionary words, and assigned calls and stand-ins; null for all others."""
     c, before, after = F.col("candidate"), F.col("before"), F.col("after")
-    sure = c.rlike("^(AKIA|ASIA)[0-9A-Z]{16}$") | (
-        before.rlike(_SECRET_WORD + "\\s*[=:]\\s*[\"']?$") & c.rlike("[0-9]") & c.rlike("[A-Za-z]"))
+    assigned = before.rlike(_ASSIGN + "[\"']?$")
+    code = assigned & c.rlike("^[A-Za-z_][A-Za-z0-9_.]*[(\\[]|^[$<{%&*]|^(?i)(none|null|nil|true|false|str|string|x+)$")
+    mixed = c.rlike("[0-9]") | c.rlike("[a-z][A-Z].*[a-z][A-Z]") | (c.rlike("[~!@#%^&*+=?.]") & (F.char_length(c) >= 8))
+    token = c.rlike(_PATH_TOKEN)
     address = before.rlike("(://|@)\\S*$") | after.rlike("^@")
+    hook = address & token & F.concat(before, c).rlike("(?i)hook|/services/")
+    sure = c.rlike("^(AKIA|ASIA)[0-9A-Z]{16}$") | (assigned & mixed & c.rlike("[A-Za-z]")) | _userinfo() | hook
     word = c.rlike("^[A-Z]+$") & ~c.rlike("^(AKIA|ASIA)") | F.col("dictionary_share").between(0.8, 1)
-    return F.when(sure, 1).when(address | word | c.rlike("^[0-9]+$"), 0)
+    return F.when(code, 0).when(sure, 1).when((address & ~token) | word | c.rlike("^[0-9]+$"), 0)
 
 
 class Forest:

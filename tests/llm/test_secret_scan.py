@@ -67,6 +67,39 @@ def test_redaction(docs):
     assert all(n == len(t) for i, t, n in after if t and "[SECRET]" in t)
 
 
+def test_short_odd_and_address_secrets(docs):
+    """Forms that no key pattern finds, and those inside addresses, beside ordinary addresses and assignments."""
+    chance = random.Random(5)
+
+    def some(letters, n):
+        return "".join(chance.choice(letters) for _ in range(n))
+    small, capital = "abcdefghijkmnpqrstuvw", "ABCDEFGHJKLMNPQRSTUVW"
+    rows, wanted = [], {}
+    for i in range(140):
+        mixed = "aB3" + some(small + capital + "23456789", 21)
+        camel = "".join(some(small, 2) + some(capital, 1) for _ in range(8))
+        secret, text = [
+            (pwd := "Hunter" + some("23456789", 1) + some(small, 3), f"then password={pwd} was set"),
+            (pwd := some(small + "23456789", 11) + "7", f'"api_key": "{pwd}", next'),
+            (pwd := some(small, 5) + ".~!" + some(small, 4) + "=" + some("2345", 3), f"secret = '{pwd}' here"),
+            (camel, f"token: {camel} given"),
+            (pwd := some(small, 4) + "!" + some("2345", 3), f"at https://user:{pwd}@db.host.org/x now"),
+            (mixed, f"to https://hooks.example.com/services/T0{some(capital, 7)}/B0{some(capital, 7)}/{mixed} go"),
+            (None, f"see http://www.{some(small, 6)}.org/download/release/39547{i}012345.html and token=get_token(request) there"),
+        ][i % 7]
+        rows.append((i, f"of the text {text} and more"))
+        wanted[i] = secret
+    table = docs(rows)
+    after = {r["doc_id"]: r["text"] for r in q.redacted(table).collect()}
+    for i, text in rows:
+        if wanted[i] is None:
+            assert after[i] == text
+        else:
+            assert wanted[i] not in after[i] and "[SECRET]" in after[i], (text, after[i])
+            if i % 7 != 5:
+                assert after[i] == text.replace(wanted[i], "[SECRET]")
+
+
 def test_untrained(docs):
     assert q.findings(docs([])).count() == 0
     only = q.findings(docs([(1, f"see {AWS}")])).collect()
