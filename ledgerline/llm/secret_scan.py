@@ -154,9 +154,11 @@ class Forest:
 
 def train(findings: DataFrame, label: str = "label", max_findings: int = 4000, trees: int = 20, depth: int = 6,
           seed: int = 7) -> Forest:
-    """Train on labelled findings with features: at most ``max_findings`` of each kind, those with the smallest hash."""
+    """Train on labelled findings with features: at most ``max_findings`` of each kind, those with the smallest hash.
+    Copies of a finding count once."""
     known = findings.where(F.col(label).isNotNull()).select(
-        *FEATURES, F.col(label).cast("double").alias("label_"), F.xxhash64("candidate", "before", "after").alias("h"))
+        "candidate", "before", "after", *FEATURES, F.col(label).cast("double").alias("label_")).distinct().select(
+        *FEATURES, "label_", F.xxhash64("candidate", "before", "after").alias("h"))
     kinds = [known.where(F.col("label_") == k).orderBy("h", *FEATURES).limit(max_findings) for k in (0.0, 1.0)]
     sample = stored(reduce(DataFrame.unionByName, kinds), "findings")
     counts = {r["label_"]: r["count"] for r in sample.groupBy("label_").count().collect()}
