@@ -226,13 +226,15 @@ def write_archives(pages: DataFrame, key: str = "page_id", url: str = "url", pay
     """Write a record per row; returns the archives: path, records.
 
     Of rows with equal payloads of ``dedup_bytes`` or more, the one with the largest key has it and the others revisit.
+    Payloads are equal if length, SHA-1 and SHA-256 are; the records hold SHA-1.
     """
     rows = pages.select(
         F.col(key).cast("bigint").alias("page_id"), F.col(url).alias("url"), utf8(F.col(payload)).alias("b")).withColumn(
-        "digest", F.sha1("b"))
-    several = rows.where(F.octet_length("b") >= dedup_bytes).groupBy("digest").agg(
+        "digest", F.sha1("b")).withColumn("sha256", F.sha2("b", 256)).withColumn("size", F.octet_length("b"))
+    same = ["digest", "sha256", "size"]
+    several = rows.where(F.col("size") >= dedup_bytes).groupBy(*same).agg(
         F.max("page_id").alias("top"), F.count("*").alias("rows")).where("rows > 1 AND top IS NOT NULL").drop("rows")
-    joined = rows.join(several.hint("merge"), "digest", "left").select(
+    joined = rows.join(several.hint("merge"), same, "left").select(
         "page_id", "url", "b", "digest",
         F.when(~F.col("page_id").eqNullSafe(F.col("top")), F.col("top")).alias("refers_to"))
     folder = work_dir(pages.sparkSession, "warc")

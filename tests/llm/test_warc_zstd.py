@@ -90,3 +90,18 @@ def test_bad_frames(tmp_path):
 def test_empty_table(ready):
     pages = table(ready, [(1, "u", "x")]).limit(0)
     assert q.read_archives(q.write_archives(pages)).count() == 0
+
+
+def test_equal_sha1_alone_is_no_revisit(ready, monkeypatch):
+    """Different payloads whose SHA-1 collides keep their own; equal ones are revisits."""
+    class Marked(Exception):
+        pass
+
+    def noted(df, fn, schema):
+        raise Marked({r["page_id"]: r["refers_to"] for r in df.select("page_id", "refers_to").collect()})
+    pages = ready.createDataFrame([(i, "http://a", c * 2000) for i, c in enumerate("abbcc")], "page_id bigint, url string, html string")
+    monkeypatch.setattr(q.F, "sha1", lambda column: q.F.lit("00" * 20))
+    monkeypatch.setattr(q, "map_batches", noted)
+    with pytest.raises(Marked) as marked:
+        q.write_archives(pages)
+    assert marked.value.args[0] == {0: None, 1: 2, 2: None, 3: 4, 4: None}
