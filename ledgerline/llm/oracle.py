@@ -22,4 +22,35 @@ link AS (SELECT x, y FROM common JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id =
 reach(x, y) AS (SELECT x, y FROM link UNION SELECT r.x, l.y FROM reach r JOIN link l ON r.y = l.x)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(m.y, d.doc_id)) AS component_id
 FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN (SELECT x, min(y) AS y FROM reach GROUP BY x) m ON m.x = d.doc_id""",
+    "op12_filter_audit": """
+WITH w AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+l AS (SELECT doc_id, max(quality) AS quality, max(toxic) AS toxic FROM labels GROUP BY doc_id),
+f AS (
+  SELECT part, coalesce(l.quality = 1, false) AS good, coalesce(l.toxic = 1, false) AS toxic,
+         CASE WHEN len(ws) < 200 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(ws)) < 50 * len(ws) THEN 'B' ELSE '' END
+         || CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t) THEN 'C' ELSE '' END
+         || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+         || CASE WHEN coalesce(w.doc_id > min(w.doc_id) OVER (PARTITION BY t), false) THEN 'E' ELSE '' END AS fails
+  FROM w LEFT JOIN l ON l.doc_id = w.doc_id),
+k AS (SELECT part, good, toxic, fails, count(*) AS n FROM f GROUP BY ALL),
+x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c),
+orders AS (
+  SELECT a.c || b.c || d.c || e.c || g.c AS filter_order FROM x a, x b, x d, x e, x g
+  WHERE a.c NOT IN (b.c, d.c, e.c, g.c) AND b.c NOT IN (d.c, e.c, g.c) AND d.c NOT IN (e.c, g.c) AND e.c <> g.c),
+steps AS (SELECT filter_order, step, substr(filter_order, step, 1) AS letter, left(filter_order, step - 1) AS earlier
+          FROM orders, (SELECT unnest(range(1, 6))::INTEGER AS step)),
+o AS (
+  SELECT part, filter_order, step, letter, n, good, toxic, fails, contains(fails, letter) AS fail,
+         length(translate(earlier, fails, '')) < length(earlier) AS gone FROM k, steps),
+r AS (
+  SELECT part, filter_order, step, letter, sum(CASE WHEN NOT gone AND NOT fail THEN n ELSE 0 END)::BIGINT AS kept,
+         sum(CASE WHEN fail AND NOT gone THEN n ELSE 0 END)::BIGINT AS removed,
+         sum(CASE WHEN fail AND gone THEN n ELSE 0 END)::BIGINT AS redundant,
+         sum(CASE WHEN fails = letter THEN n ELSE 0 END)::BIGINT AS unique_fails,
+         sum(CASE WHEN fail AND NOT gone AND good THEN n ELSE 0 END)::BIGINT AS good_lost,
+         sum(CASE WHEN fail AND NOT gone AND toxic THEN n ELSE 0 END)::BIGINT AS toxic_lost FROM o GROUP BY ALL)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       sum(removed) OVER (PARTITION BY part, letter)::BIGINT AS shapley FROM r""",
 }

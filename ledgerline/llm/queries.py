@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm import (
-    best_fit_packing, byte_bpe, exact_dedup, jaccard_join, line_dedup, lm_trie, quality_rules, secret_scan, token_counts,
-    warc_zstd,
+    best_fit_packing, byte_bpe, exact_dedup, filter_audit, jaccard_join, line_dedup, lm_trie, quality_rules, secret_scan,
+    token_counts, warc_zstd,
 )
 from ledgerline.llm.common import importable
 
@@ -88,3 +88,8 @@ def op9_lm_trie(spark, table):
 def op10_ngram_jaccard_join(spark, table):
     return jaccard_join.linked_groups(table("documents"), k=3, percent=90).select(
         F.col("doc_key").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id")
+
+
+@query
+def op12_filter_audit(spark, table):
+    return filter_audit.audit(table("documents"), table("labels"))
