@@ -53,4 +53,42 @@ r AS (
          sum(CASE WHEN fail AND NOT gone AND toxic THEN n ELSE 0 END)::BIGINT AS toxic_lost FROM o GROUP BY ALL)
 SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
        sum(removed) OVER (PARTITION BY part, letter)::BIGINT AS shapley FROM r""",
+    "op13_prefix_trie": """
+WITH tab AS (
+  SELECT list_transform(range(0, 256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tb),
+own AS (
+  SELECT conv_id, length(coalesce(text, '')) AS chars,
+         md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS m,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+           md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (SELECT conv_id, max(pos) AS n FROM own GROUP BY conv_id),
+hs AS (
+  SELECT conv_id, n, conv_id - conv_id % 100 AS donor,
+         xor(list_reduce(list_concat([4294967295], list_transform(string_split(conv_id::VARCHAR, ''), lambda ch: ascii(ch)::BIGINT)),
+           lambda c, b: xor(c >> 8, tb[1 + (xor(c, b) & 255)])), 4294967295) % 6 AS h FROM convs, tab),
+plan AS (SELECT hs.*, least(h, coalesce(d.n, 0)) AS head FROM hs LEFT JOIN convs d ON d.conv_id = hs.donor),
+rebuilt AS (
+  SELECT p.conv_id, o.pos AS d, o.m, o.chars FROM plan p JOIN own o ON o.conv_id = p.donor AND o.pos <= p.h
+  UNION ALL
+  SELECT p.conv_id, p.head + o.pos - p.h, o.m, o.chars FROM plan p JOIN own o ON o.conv_id = p.conv_id AND o.pos > p.h),
+whole AS (
+  SELECT p.conv_id, coalesce(r.path, []) AS path, coalesce(r.chars, []) AS chars FROM plan p LEFT JOIN (
+    SELECT conv_id, list(m ORDER BY d) AS path, list(chars ORDER BY d) AS chars FROM rebuilt GROUP BY conv_id) r ON r.conv_id = p.conv_id),
+pref AS (
+  SELECT conv_id, d, len(path) AS k, array_to_string(path[1:d], '') AS key, array_to_string(path[1:d - 1], '') AS up,
+         CASE WHEN d = 0 THEN 0 ELSE chars[d] END AS chars
+  FROM (SELECT *, unnest(range(0, len(path) + 1)) AS d FROM whole)),
+node AS (
+  SELECT d, key, any_value(up) AS up, min(conv_id) AS conv_id, count(*) AS n_convs, max(chars) AS chars, max(k) = d AS leaf,
+         coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (k = d), '') AS ends FROM pref GROUP BY d, key),
+kids AS (SELECT d - 1 AS d, up AS key, count(*) AS n FROM node WHERE d > 0 GROUP BY ALL),
+sums AS (
+  SELECT a.d, a.key, sum(CASE WHEN v.leaf THEN 1 ELSE 0 END) AS n_leaves, sum((v.n_convs - 1) * v.chars) AS saved
+  FROM node v JOIN pref a ON a.conv_id = v.conv_id AND a.d <= v.d GROUP BY a.d, a.key)
+SELECT v.conv_id, v.d AS depth, u.conv_id AS parent_conv_id, v.n_convs, coalesce(kids.n, 0) AS n_children,
+       s.n_leaves::BIGINT AS n_leaves, s.saved::BIGINT AS saved_tokens, sha256(v.ends) AS ends_sha256
+FROM node v JOIN sums s ON s.d = v.d AND s.key = v.key LEFT JOIN kids ON kids.d = v.d AND kids.key = v.key
+     LEFT JOIN node u ON v.d > 0 AND u.d = v.d - 1 AND u.key = v.up""",
 }

@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm import (
-    best_fit_packing, byte_bpe, exact_dedup, filter_audit, jaccard_join, line_dedup, lm_trie, quality_rules, secret_scan,
-    token_counts, warc_zstd,
+    best_fit_packing, byte_bpe, exact_dedup, filter_audit, jaccard_join, line_dedup, lm_trie, prefix_trie, quality_rules,
+    secret_scan, token_counts, warc_zstd,
 )
 from ledgerline.llm.common import importable
 
@@ -93,3 +93,8 @@ def op10_ngram_jaccard_join(spark, table):
 @query
 def op12_filter_audit(spark, table):
     return filter_audit.audit(table("documents"), table("labels"))
+
+
+@query
+def op13_prefix_trie(spark, table):
+    return prefix_trie.trie(table("conversations"))
