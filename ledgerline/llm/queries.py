@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm import (
     best_fit_packing, byte_bpe, exact_dedup, filter_audit, jaccard_join, line_dedup, lm_trie, prefix_trie, quality_rules,
-    secret_scan, token_counts, warc_zstd,
+    secret_scan, token_counts, toxicity, warc_zstd,
 )
 from ledgerline.llm.common import importable
 
@@ -90,6 +90,11 @@ def op10_ngram_jaccard_join(spark, table):
         F.col("doc_key").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id")
 
 
+@query
+def op11_toxicity(spark, table):
+    return toxicity.scored(table("documents"), table("labels"))
+
+
 @query
 def op12_filter_audit(spark, table):
     return filter_audit.audit(table("documents"), table("labels"))
