@@ -406,11 +406,11 @@ SQL = {
         THEN {DEVICE} END AS device_type FROM raw""",
     "rescued_data": f"""WITH {RAW} SELECT id, amount, CASE WHEN event_date >= DATE '2024-01-16'
         THEN {DEVICE} END AS rescued_device_type FROM raw""",
-    "drift_ignore": f"WITH {RAW} SELECT id, amount, true AS nothing_rescued FROM raw WHERE seq = 0",
+    "drift_ignore": f"WITH {RAW} SELECT id, amount, true AS nothing_rescued FROM raw",
     "drift_fail": f"WITH {RAW} SELECT id, amount, true AS stopped FROM raw WHERE seq > 0",
     "lineage": f"""WITH {RAW} SELECT CAST(delivery_date AS VARCHAR) AS delivery_date, count(*) AS n_rows,
-        count(*) AS n_timed FROM raw WHERE seq = 0 GROUP BY 1""",
-    "full_refresh": f"""WITH {RAW} SELECT id, amount, g AS generation FROM raw, (SELECT unnest([1, 2]) AS g) WHERE seq > 0""",
+        count(*) AS n_timed FROM raw GROUP BY 1""",
+    "full_refresh": f"""WITH {RAW} SELECT id, amount, g AS generation FROM raw, (SELECT unnest([1, 2]) AS g)""",
     "csv_text_scan": f"""WITH {CLIENTS} SELECT id, '$' || CAST((n % 1000) * 100 AS VARCHAR) AS yearly_income,
         CAST(20 + n % 50 AS VARCHAR) || '.25' AS latitude, CAST(num_credit_cards AS VARCHAR) AS num_credit_cards FROM raw_clients""",
     "csv_inferred_scan": f"""WITH {CLIENTS} SELECT n AS id, latitude, CAST(num_credit_cards AS BIGINT) AS num_credit_cards FROM raw_clients""",

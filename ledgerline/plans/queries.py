@@ -738,12 +738,6 @@ def _land_transactions(spark, sf_dir, root: str, part: str, extra: list[str] | N
     return landing
 
 
-def _of_part(log, part: str):
-    """Rows of a log that came with the first deliveries or the repeated ones, by the folder of their file."""
-    folder = "daily" if part == "later" else "backfill"
-    return log.read().where(F.col(k.SOURCE_FILE).contains(f"/landing/transactions/{folder}/"))
-
-
 @query
 def bronze_tx_stream(spark, sf_dir):
     """Two ingestions of transaction files and a third that finds nothing new."""
@@ -807,12 +801,12 @@ def rescued_data(spark, sf_dir):
 
 @query
 def drift_ignore(spark, sf_dir):
-    """All deliveries under the ignore policy: neither column nor rescued values. Returned are the first ones."""
+    """All deliveries under the ignore policy: neither column nor rescued values."""
     root = work_dir(spark, "drift-ignore")
     log = bronze.BronzeLog(spark, bronze.TRANSACTIONS, f"{root}/bronze")
     for part in ("first", "later"):
         log.ingest(_land_transactions(spark, sf_dir, root, part, [k.TRANSACTION_LATE_COLUMN]), on_new_columns=drift.IGNORE)
-    return _of_part(log, "first").select("id", "amount", F.col(k.RESCUED).isNull().alias("nothing_rescued"))
+    return log.read().select("id", "amount", F.col(k.RESCUED).isNull().alias("nothing_rescued"))
 
 
 @query
@@ -832,27 +826,27 @@ def drift_fail(spark, sf_dir):
 
 @query
 def lineage(spark, sf_dir):
-    """Every stored row has the file it came from and when it was taken. Counted are the first deliveries of all."""
+    """Every stored row has the file it came from and when it was taken."""
     root = work_dir(spark, "lineage")
     log = bronze.BronzeLog(spark, bronze.TRANSACTIONS, f"{root}/bronze")
     for part in ("first", "later"):
         log.ingest(_land_transactions(spark, sf_dir, root, part))
     day = F.regexp_extract(k.SOURCE_FILE, "date_partition=([0-9-]+)/", 1)
-    return _of_part(log, "first").groupBy(day.alias("delivery_date")).agg(
+    return log.read().groupBy(day.alias("delivery_date")).agg(
         F.count(F.lit(1)).alias("n_rows"), F.count(k.INGESTED_AT).alias("n_timed"))
 
 
 @query
 def full_refresh(spark, sf_dir):
-    """A new generation takes all files again; the old one stays as it was. Returned are the repeated deliveries."""
+    """A new generation takes all files again; the old one stays as it was."""
     root = work_dir(spark, "refresh")
     for part in ("first", "later"):
         landing = _land_transactions(spark, sf_dir, root, part)
     logs = [bronze.BronzeLog(spark, bronze.TRANSACTIONS, f"{root}/bronze", generation=g) for g in (1, 2)]
     for log in logs:
         log.ingest(landing)
-    return _of_part(logs[0], "later").select("id", "amount", F.lit(1).alias("generation")).unionByName(
-        _of_part(logs[1], "later").select("id", "amount", F.lit(2).alias("generation")))
+    return logs[0].read().select("id", "amount", F.lit(1).alias("generation")).unionByName(
+        logs[1].read().select("id", "amount", F.lit(2).alias("generation")))
 
 
 def _csv_clients(spark, sf_dir) -> str:
