@@ -117,6 +117,12 @@ class OrderedGroups:
         """Add the ``state`` of the next row of the key; ``state`` must not be NULL."""
         return self._with_edge(state, out, F.lead(state).over(self._window()), True)
 
+    def upcoming(self, state: Column, out: str) -> "OrderedGroups":
+        """Add the first non-NULL ``state`` of the later rows of the key."""
+        back = W.partitionBy(*self.keys, *self.spread, _PARTS, _SEG).orderBy(*[F.desc(c) for c in self.order])
+        nearest = F.last(state, ignorenulls=True).over(back.rowsBetween(W.unboundedPreceding, -1))
+        return self._with_edge(state, out, nearest, True)
+
     def where(self, condition: Column) -> "OrderedGroups":
         return self._derive(self.rows.where(condition), self.columns)
 

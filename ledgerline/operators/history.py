@@ -59,6 +59,30 @@ def versions(df: DataFrame, keys: list[str], order: list[str], tracked: list[str
     )
 
 
+VERSION, ABSORBED = "version", "absorbed"
+
+
+def versions_and_absorbed(df: DataFrame, keys: list[str], order: list[str], tracked: list[str],
+                          position: Column, valid_from: str | None = None,
+                          limit: GroupLimit = GroupLimit()) -> DataFrame:
+    """All records: those that open a version as :func:`versions` gives them, and those that a version absorbed.
+
+    Column ``kind`` tells them apart. Whatever record comes later, even one that belongs between others, these rows are
+    enough to place it: it may split the version it falls into, and the absorbed records after it open the next one.
+    """
+    start = valid_from or order[0]
+    groups = OrderedGroups(df, keys, order, position, limit).previous(F.struct(*tracked), "_before")
+    opens = ~F.struct(*tracked).eqNullSafe(F.col("_before"))
+    found = groups.upcoming(F.when(opens, F.struct(F.col(start).alias("at"))), "_next")
+    return found.df().select(
+        *df.columns,
+        F.when(opens, F.col(start)).alias("valid_from"),
+        F.when(opens, F.col("_next.at")).alias("valid_to"),
+        F.when(opens, F.col("_next").isNull()).alias("is_current"),
+        F.when(opens, VERSION).otherwise(ABSORBED).alias("kind"),
+    )
+
+
 def state_as_of(df: DataFrame, keys: list[str], order: list[Column | str], day: Column,
                 as_of: Column) -> DataFrame:
     """State of every key at the end of ``as_of`` and whether it changed on that day."""

@@ -51,8 +51,12 @@ class Lake:
         else:
             {"cards": self.cards, "clients": self.clients, "transactions": self.transactions}[entity].drain(run_id)
 
-    def compact(self, transactions_after: int = 30) -> None:
-        """The small tables after every run, transactions when that many batches have come."""
+    def requeue(self, run_id: str) -> int:
+        """Transactions that waited in quarantine for cards which have come; returns how many were judged again."""
+        return self.transactions.requeue(run_id)
+
+    def compact(self, transactions_after: int = 1) -> None:
+        """Merge new batches into the tables; a merge writes the buckets of the new keys only."""
         self.cards.compact()
         self.clients.compact()
         self.transactions.compact(transactions_after)

@@ -423,6 +423,8 @@ SQL = {
     "silver_transactions": f"WITH {TYPED} SELECT id, event_ts, amount, card_id, use_chip, merchant_zip FROM current_tx",
     "silver_quarantine": f"""WITH {TYPED} SELECT id, amount, event_ts, card_id, use_chip, reason
         FROM judged WHERE reason IS NOT NULL""",
+    "silver_requeue": f"""WITH {TYPED} SELECT id, amount, card_id, NULL AS reason FROM current_tx
+        UNION ALL SELECT id, amount, card_id, reason FROM judged WHERE reason IS NOT NULL""",
     "silver_quality_metrics": f"""WITH {TYPED}, runs AS (
           SELECT *, CASE WHEN seq = 0 THEN 'run-1' ELSE 'run-2' END AS run_id FROM tx_rules),
         lines AS ({_rules("runs", TX_RULES, "run_id")})

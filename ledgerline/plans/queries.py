@@ -903,18 +903,22 @@ def _placed(df):
     return df.sparkSession.read.parquet(path)
 
 
-def _silver_cards(spark, sf_dir, root: str) -> silver.SilverTable:
-    """Customers landed as whole card records, loaded and applied."""
+def _silver_cards(spark, sf_dir, root: str, late: bool = False) -> silver.SilverTable:
+    """Customers landed as whole card records, loaded and applied; the odd ones only afterwards if ``late``."""
     cards = silver.SilverTable(
         spark, silver.CARDS, bronze.BronzeLog(spark, bronze.CARDS, f"{root}/bronze"), f"{root}/silver")
-    rows = i.card_records(i.table(spark, sf_dir, "customer").select(
+    _deliver_cards(spark, sf_dir, root, cards, F.col("c_custkey") % 2 == 0 if late else F.lit(True))
+    cards.compact()
+    return cards
+
+
+def _deliver_cards(spark, sf_dir, root: str, cards: silver.SilverTable, which: F.Column) -> None:
+    rows = i.card_records(i.table(spark, sf_dir, "customer").where(which).select(
         F.col("c_custkey").alias("p_partkey"), F.col("c_mktsegment").alias("p_brand"), F.lit("Debit").alias("p_type"),
         F.col("c_acctbal").alias("p_retailprice")))
-    files.write_small_csv(rows, f"{root}/landing/cards/backfill")
+    files.write_small_csv(rows, f"{root}/landing/cards/run={cards.last_batch() + 1}")
     cards.bronze.ingest(f"{root}/landing/cards")
-    cards.drain("run-1")
-    cards.compact()
-    return cards
+    cards.drain("run")
 
 
 def _silver_transactions(spark, sf_dir, root: str) -> silver.SilverTable:
@@ -942,6 +946,26 @@ def silver_quarantine(spark, sf_dir):
     return tx.quarantine().select("id", "amount", "event_ts", "card_id", "use_chip", "reason")
 
 
+@query
+def silver_requeue(spark, sf_dir):
+    """Half of the cards come after the transactions: the rows that waited for them are judged again, once."""
+    root = work_dir(spark, "silver-requeue")
+    log = bronze.BronzeLog(spark, bronze.TRANSACTIONS, f"{root}/bronze")
+    cards = _silver_cards(spark, sf_dir, root, late=True)
+    tx = silver.transactions(spark, log, f"{root}/silver", cards)
+    for part in ("first", "later"):
+        landing = _land_transactions(spark, sf_dir, root, part)
+    log.ingest(landing)
+    tx.drain("run-1")
+    tx.compact()
+    _deliver_cards(spark, sf_dir, root, cards, F.col("c_custkey") % 2 == 1)
+    tx.requeue("run-2")
+    tx.requeue("run-3")  # finds nothing to do
+    tx.compact()
+    kept = tx.read().select("id", "amount", "card_id", F.lit(None).cast("string").alias("reason"))
+    return kept.unionByName(tx.quarantine().select("id", "amount", "card_id", "reason"))
+
+
 @query
 def silver_quality_metrics(spark, sf_dir):
     """Metrics view over the counters that the two runs collected while writing."""

@@ -2,8 +2,15 @@
 
 A micro-batch of Bronze is typed, judged and written once, valid rows and quarantine side by side
 in ``log/batch_id=N/verdict=...``; the rule counters are collected by the same write. The table
-itself is the last compacted version plus the batches after it. Reading merges the two so that
-only keys present in those batches are folded again; compaction publishes the merged table.
+lies in hash buckets of the key and holds the batches up to its last merge. Reading folds the later
+batches into the buckets of their keys and takes all other buckets as they are; a merge
+(:meth:`SilverTable.compact`) writes those buckets and no others. The log is not read again: where
+history is kept, a bucket also has the records that its versions absorbed, so that a record that
+comes late finds its place.
+
+What a batch looks up in another table is pinned before the batch is judged. A repeated batch
+reads the same content, whatever came meanwhile. Rows that failed only because what they looked up
+was not there yet wait in quarantine; :meth:`SilverTable.requeue` judges them again once it is.
 """
 
 from __future__ import annotations
@@ -13,13 +20,14 @@ from dataclasses import dataclass, field
 from functools import cached_property, reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline import contracts as k
 from ledgerline.functions.scalars import delivery_date
 from ledgerline.operators import conform, deliveries, expectations, history, lookups
 from ledgerline.operators.groups import GroupLimit
+from ledgerline.sources.buckets import BucketedTable, State
 from ledgerline.sources.versions import ReplacedTable
 from ledgerline.streaming.bronze import BronzeLog
 
@@ -65,26 +73,41 @@ class Counters:
             return self.spark.createDataFrame([], schema)
 
 
+@dataclass(frozen=True)
+class Lookup:
+    """What the rules need from ``table``: ``add`` joins its content to typed rows by ``key``. Rows that fail for
+    ``reason`` wait for their key to come."""
+
+    table: "SilverTable"
+    add: Callable[[DataFrame, DataFrame], DataFrame]
+    key: str
+    reason: str
+    adds: list[str]
+
+
 class SilverTable:
-    """``lookup``, if given, adds what the rules need from other tables, as they are now."""
+    """``n_buckets`` is fixed by the first merge; it should grow with the table that is expected."""
 
     def __init__(self, spark: SparkSession, flow: Flow, bronze: BronzeLog, root: str,
-                 lookup: Callable[[DataFrame], DataFrame] | None = None,
-                 limit: GroupLimit = GroupLimit()):
+                 lookup: Lookup | None = None, limit: GroupLimit = GroupLimit(), n_buckets: int = 16):
         self.spark, self.flow, self.bronze, self.lookup, self.limit = spark, flow, bronze, lookup, limit
         base = f"{root.rstrip('/')}/{flow.name}"
         self.log, self.checkpoint = f"{base}/log", f"{base}/checkpoint"
+        self.pins, self.requeued, self.rounds = f"{base}/pins", f"{base}/requeued", f"{base}/rounds"
         self.counters = Counters(spark, f"{base}/counters", flow.name)
-        self.compacted = ReplacedTable(spark, f"{base}/table")
+        self.table = BucketedTable(spark, f"{base}/table", ["id"], n_buckets, ["kind"] if flow.tracked else [])
 
-    def judge(self, rows: DataFrame) -> DataFrame:
-        """Bronze rows typed, with ``reason`` and ``verdict``."""
-        typed = self.flow.conform(rows)
+    def judge(self, rows: DataFrame, pinned: int | None = None) -> DataFrame:
+        """Bronze rows typed, with ``reason`` and ``verdict``; looked up in the content of batch ``pinned``."""
+        return self._verdict(self.flow.conform(rows), pinned)
+
+    def _verdict(self, typed: DataFrame, pinned: int | None, but: list[str] | None = None) -> DataFrame:
+        """``but`` are columns that are no part of the row: its hash is the same whenever it is judged."""
         if self.lookup:
-            typed = self.lookup(typed)
+            typed = self.lookup.add(typed, self.lookup.table.read(pinned))
         return (
             typed.withColumn("reason", expectations.reason(self.flow.rules))
-            .withColumn("row_hash", F.xxhash64(*typed.columns))
+            .withColumn("row_hash", F.xxhash64(*[c for c in typed.columns if c not in (but or ())]))
             .withColumn("verdict", F.when(F.col("reason").isNull(), VALID).otherwise(QUARANTINE))
         )
 
@@ -110,14 +133,37 @@ class SilverTable:
 
     def _apply(self, batch: DataFrame, batch_id: int, run_id: str) -> None:
         if batch_id <= self.last_batch():
-            return  # done before a restart; judging it again could meet other cards
+            return  # done before a restart
         counts = Observation()
-        judged = expectations.observe(self.judge(batch), self.flow.rules, counts)
+        judged = expectations.observe(self.judge(batch, self._pin(batch_id)), self.flow.rules, counts)
         judged.write.mode("overwrite").partitionBy("verdict").parquet(f"{self.log}/batch_id={batch_id}")
         lines = expectations.observed_counts(self.flow.rules, counts)
         # written last: a batch without its counters is not complete and is not read
         self.counters.write(batch_id, lines, run_id)
 
+    def _read_json(self, path: str, schema: str) -> DataFrame:
+        try:
+            return self.spark.read.schema(schema).json(path)
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], schema)
+
+    def _pinned(self) -> DataFrame:
+        return self._read_json(self.pins, "upto BIGINT, batch_id BIGINT")
+
+    def _pin(self, batch_id: int) -> int | None:
+        """The batch of the looked up table that a batch is judged by, noted before it is judged for the first time."""
+        if self.lookup is None:
+            return None
+        noted = self._pinned().where(F.col("batch_id") == batch_id).first()
+        if noted:
+            return noted.upto
+        upto = self.lookup.table.last_batch()
+        self.spark.range(1).coalesce(1).select(F.lit(upto).cast("bigint").alias("upto")).write.mode(
+            "overwrite").json(f"{self.pins}/batch_id={batch_id}")
+        return upto
+
     def last_batch(self) -> int:
         row = self.counters.read().agg(F.max("batch_id").alias("n")).first()
         return -1 if row.n is None else row.n
@@ -143,57 +189,142 @@ class SilverTable:
             "batch_id": F.lit(None).cast("bigint"), "verdict": F.lit(None).cast("string"),
         }).schema
 
+    # --- quarantine and requeue -----------------------------------------------------------------
+
+    def last_round(self) -> int:
+        """Rounds of requeueing that are complete."""
+        row = self._read_json(self.rounds, "n_rows BIGINT, run_id STRING, round BIGINT").agg(F.max("round").alias("n")).first()
+        return -1 if row.n is None else row.n
+
+    def _released(self, upto: int, after: int = -1) -> DataFrame:
+        """Rows judged again; ``was_hash`` and ``batch_id`` name the quarantined row."""
+        shape = self.spark.createDataFrame([], self._log_schema).withColumns({
+            "was_hash": F.lit(None).cast("bigint"), "round": F.lit(None).cast("bigint")}).schema
+        if upto <= after:
+            return self.spark.createDataFrame([], shape)
+        return self.spark.read.schema(shape).parquet(self.requeued).where((F.col("round") > after) & (F.col("round") <= upto))
+
+    def _waiting(self) -> DataFrame:
+        """Quarantined rows of the log that were not judged again."""
+        rows, upto = self._judged(QUARANTINE, self.last_batch()), self.last_round()
+        if upto < 0:
+            return rows
+        done = self._released(upto).select(F.col("was_hash").alias("row_hash"), "batch_id").distinct()
+        return rows.join(done, ["row_hash", "batch_id"], "left_anti").select(*rows.columns)
+
     def quarantine(self) -> DataFrame:
-        return self._judged(QUARANTINE, self.last_batch())
+        """Rows that are in quarantine now: judged again or not, each by its last verdict."""
+        rows = self._waiting()
+        again = self._released(self.last_round()).where(F.col("verdict") == QUARANTINE)
+        return rows.unionByName(again.select(*rows.columns))
+
+    def requeue(self, run_id: str) -> int:
+        """Judge rows again that waited for a key which has come since; returns how many rows that were.
+
+        Only keys that came after the oldest content by which a waiting row was judged can matter. A row leaves the
+        quarantine of its batch when it is judged again, whatever the verdict is now. Counters of rules stay those of
+        the first judgement. Nothing is done twice: a round counts once its marker is written.
+        """
+        if self.lookup is None:
+            return 0
+        waiting = self._waiting().where(F.col("reason") == self.lookup.reason)
+        oldest = waiting.select("batch_id").distinct().join(self._pinned(), "batch_id").agg(F.min("upto").alias("n")).first().n
+        pinned = self.lookup.table.last_batch()
+        if oldest is None or oldest >= pinned:
+            return 0
+        came = self.lookup.table._judged(VALID, pinned, after=oldest).select(F.col("id").alias(self.lookup.key)).distinct()
+        typed = waiting.join(came, self.lookup.key, "left_semi").select(*waiting.columns).withColumnRenamed(
+            "row_hash", "was_hash").drop("reason", *self.lookup.adds)
+        again = self._verdict(typed, pinned, but=["was_hash", "batch_id"])
+        number, counted = self.last_round() + 1, Observation()
+        again.observe(counted, F.count(F.lit(1)).alias("n")).write.mode("overwrite").partitionBy("verdict").parquet(
+            f"{self.requeued}/round={number}")
+        n = counted.get["n"]
+        if n:
+            self.spark.range(1).coalesce(1).select(F.lit(n).cast("bigint").alias("n_rows"), F.lit(run_id).alias("run_id")).write.mode(
+                "overwrite").json(f"{self.rounds}/round={number}")
+        return n
+
+    # --- the table ------------------------------------------------------------------------------
 
     def _fold(self, rows: DataFrame) -> DataFrame:
         if not self.flow.tracked:
             return history.latest(rows, ["id"], ORDER)
         # rows of one ingestion time are one micro-batch, whose size is limited where it is formed
-        found = history.versions(
+        found = history.versions_and_absorbed(
             rows, ["id"], ORDER, self.flow.tracked,
             history.position(F.col(k.INGESTED_AT), "timestamp"), limit=self.limit,
         )
         # ingestion time is an order of arrival; the path tells the business day, if it has one
-        return found.withColumn("valid_from_date", delivery_date(F.col(k.SOURCE_FILE)))
+        return found.withColumn("valid_from_date", F.when(
+            F.col("kind") == history.VERSION, delivery_date(F.col(k.SOURCE_FILE))))
 
-    def read(self) -> DataFrame:
-        """Latest rows, or version history where the flow tracks columns."""
-        return self._merged(self.compacted.latest(), self.last_batch())
-
-    def _merged(self, now: Row | None, last: int) -> DataFrame:
-        if now is None:
-            return self._fold(self._judged(VALID, last).drop("reason"))
-        base = self.compacted.at(now)
-        if last <= now.upto:
-            return base
-        fresh = self._judged(VALID, last, after=now.upto).drop("reason")
-        touched = fresh.select("id").distinct()
-        untouched = base.join(touched, "id", "left_anti")
-        if self.flow.tracked:
-            # versions have lost the records they collapsed: fold those keys from the whole log
-            again = self._judged(VALID, last).drop("reason").join(touched, "id", "left_semi")
-        else:
-            again = base.join(touched, "id", "left_semi").unionByName(fresh)
-        return untouched.unionByName(self._fold(again))
+    @cached_property
+    def _table_schema(self):
+        return self._fold(self.spark.createDataFrame([], self._log_schema).drop("verdict", "reason")).schema
+
+    def _records(self, folded: DataFrame) -> DataFrame:
+        """Table rows as the log has them."""
+        return folded.select(*[f.name for f in self._log_schema if f.name not in ("verdict", "reason")])
+
+    def _fresh(self, state: State | None, last: int, last_round: int) -> DataFrame | None:
+        """Valid rows that the table has not taken in, None if there can be none."""
+        marks = state.marks if state else {"batch": -1, "round": -1}
+        if last <= marks["batch"] and last_round <= marks["round"]:
+            return None
+        rows = self._judged(VALID, last, after=marks["batch"])
+        if last_round > marks["round"]:
+            rows = rows.unionByName(self._released(last_round, after=marks["round"]).where(
+                F.col("verdict") == VALID).select(*rows.columns))
+        return rows.drop("reason")
+
+    def _changed(self, state: State | None, fresh: DataFrame, touched: list[int]) -> DataFrame:
+        """New content of the touched buckets. Keys without new rows are taken over as they are."""
+        there = self.table.read(state, self._table_schema, buckets=touched)
+        if not self.flow.tracked:
+            return self._fold(self._records(there).unionByName(fresh))
+        keys = fresh.select("id").distinct()
+        again = self._records(there.join(keys, "id", "left_semi")).unionByName(fresh)
+        return there.join(keys, "id", "left_anti").unionByName(self._fold(again))
+
+    def _visible(self, rows: DataFrame) -> DataFrame:
+        return rows.where(F.col("kind") == history.VERSION).drop("kind") if self.flow.tracked else rows
+
+    def read(self, upto: int | None = None) -> DataFrame:
+        """Latest rows, or version history where the flow tracks columns; as of batch ``upto`` if one is given."""
+        state, last = self.table.state(), self.last_batch()
+        if upto is not None and upto < last:
+            if state and state.marks["batch"] > upto:  # the table is ahead: what there was then is in the log
+                return self._visible(self._fold(self._judged(VALID, upto).drop("reason")))
+            last = upto
+        fresh = self._fresh(state, last, self.last_round())
+        if fresh is None:
+            return self._visible(self.table.read(state, self._table_schema))
+        if state is None:
+            return self._visible(self._fold(fresh))
+        touched = self.table.touched(fresh, state)
+        untouched = self.table.read(state, self._table_schema, but=touched)
+        return self._visible(untouched.unionByName(self._changed(state, fresh, touched)))
 
     def compact(self, after_batches: int = 1) -> bool:
-        """Publish the merged table if at least that many batches came since; readers switch at once.
-
-        It rewrites the table, so large tables do it rarely and small ones after every run.
-        """
-        now, last = self.compacted.latest(), self.last_batch()
-        if last - (now.upto if now else -1) < after_batches:
+        """Merge the rows of newer batches into the buckets of their keys, if at least that many batches came since, or
+        a round of requeueing; readers switch at once."""
+        state, last, last_round = self.table.state(), self.last_batch(), self.last_round()
+        marks = state.marks if state else {"batch": -1, "round": -1}
+        if last - marks["batch"] < after_batches and last_round <= marks["round"]:
+            return False
+        fresh = self._fresh(state, last, last_round)
+        if fresh is None:
             return False
-        self.compacted.publish(self._merged(now, last), upto=last)
+        touched = self.table.touched(fresh, state)
+        self.table.replace(self._changed(state, fresh, touched), touched, state, {"batch": last, "round": last_round})
         return True
 
 
-def transactions(spark: SparkSession, bronze: BronzeLog, root: str, cards: SilverTable) -> SilverTable:
-    """Transactions look their card up in the current cards at the time they are processed."""
-    return SilverTable(
-        spark, TRANSACTIONS, bronze, root, lookup=lambda rows: lookups.card_exists(rows, cards.read())
-    )
+def transactions(spark: SparkSession, bronze: BronzeLog, root: str, cards: SilverTable, **options) -> SilverTable:
+    """Transactions look their card up in the current cards at the time they are first processed."""
+    known = Lookup(cards, lookups.card_exists, "card_id", "card_unknown", ["card_exists"])
+    return SilverTable(spark, TRANSACTIONS, bronze, root, lookup=known, **options)
 
 
 class SnapshotTable:
