@@ -11,15 +11,13 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.session import delete_folder
+from ledgerline.sources import notes
 
-_REGISTER = ("version BIGINT, folder STRING, n_buckets INT, buckets ARRAY<INT>, emptied ARRAY<INT>, "
-             "marks MAP<STRING, BIGINT>, published_at TIMESTAMP")
 BUCKET, FOLDER = "bucket", "folder"
 
 
@@ -45,19 +43,13 @@ class BucketedTable:
         self.n_buckets = n_buckets
 
     def state(self) -> State | None:
-        try:
-            rows = self.spark.read.option("recursiveFileLookup", True).schema(_REGISTER).json(
-                f"{self.path}/register").orderBy("version").collect()
-        except AnalysisException as missing:
-            if missing.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return None
+        found = [notes.read(self.spark, f"{self.path}/register/{name}") for name in notes.names(self.spark, f"{self.path}/register")]
         folders: dict[int, str] = {}
-        for row in rows:
-            folders.update(dict.fromkeys(row.buckets, row.folder))
-            for bucket in row.emptied:
+        for note in found:
+            folders.update(dict.fromkeys(note["buckets"], note["folder"]))
+            for bucket in note["emptied"]:
                 folders.pop(bucket, None)
-        return State(rows[-1].version, rows[-1].n_buckets, folders, rows[-1].marks) if rows else None
+        return State(found[-1]["version"], found[-1]["n_buckets"], folders, found[-1]["marks"]) if found else None
 
     def bucket(self, state: State | None) -> Column:
         n = state.n_buckets if state else self.n_buckets
@@ -81,10 +73,6 @@ class BucketedTable:
     def _place(self, folder: str, bucket: int) -> str:
         return f"{self.path}/data/{FOLDER}={folder}/{BUCKET}={bucket}"
 
-    def _exists(self, place: str) -> bool:
-        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(place)
-        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
-
     def replace(self, df: DataFrame, buckets: list[int], state: State | None, marks: dict[str, int]) -> None:
         """``df`` as the new content of ``buckets``; it may read the present one. One writer at a time, as in
         :class:`~ledgerline.sources.versions.ReplacedTable`."""
@@ -94,26 +82,17 @@ class BucketedTable:
         places = [BUCKET, *self.split]
         rows.hint("rebalance", *[F.col(c) for c in places]).write.mode("errorifexists").partitionBy(*places).parquet(
             f"{self.path}/data/{FOLDER}={folder}")
-        filled = [b for b in buckets if self._exists(self._place(folder, b))]
-
-        def numbers(some: list[int]) -> Column:
-            return F.array(*[F.lit(b) for b in some]).cast("array<int>")
-
-        self.spark.range(1).coalesce(1).select(
-            F.lit(version).cast("bigint").alias("version"), F.lit(folder).alias("folder"),
-            F.lit(state.n_buckets if state else self.n_buckets).alias("n_buckets"),
-            numbers(filled).alias("buckets"), numbers([b for b in buckets if b not in filled]).alias("emptied"),
-            F.create_map(*[F.lit(x) for m in marks.items() for x in m]).cast("map<string, bigint>").alias("marks"),
-            F.current_timestamp().alias("published_at"),
-        ).write.mode("errorifexists").json(f"{self.path}/register/{version:08d}")
+        filled = [b for b in buckets if notes.exists(self.spark, self._place(folder, b))]
+        notes.write(self.spark, f"{self.path}/register/{version:08d}.json", {
+            "version": version, "folder": folder, "n_buckets": state.n_buckets if state else self.n_buckets,
+            "buckets": filled, "emptied": [b for b in buckets if b not in filled], "marks": marks})
         self._clean(version, set(state.folders.values()) if state else set())
 
     def _clean(self, version: int, before: set[str]) -> None:
         """Delete folders that neither the present content nor the one before refers to."""
-        now = self.state()
-        live = before | set(now.folders.values())
-        rows = self.spark.read.option("recursiveFileLookup", True).schema(_REGISTER).json(f"{self.path}/register")
-        for old in rows.where(F.col("version") < version).select("version", "folder").collect():
-            if old.folder not in live:
-                delete_folder(self.spark, f"{self.path}/data/{FOLDER}={old.folder}")
-                delete_folder(self.spark, f"{self.path}/register/{old.version:08d}")
+        live = before | set(self.state().folders.values())
+        for name in notes.names(self.spark, f"{self.path}/register"):
+            note = notes.read(self.spark, f"{self.path}/register/{name}")
+            if note["version"] < version and note["folder"] not in live:
+                delete_folder(self.spark, f"{self.path}/data/{FOLDER}={note['folder']}")
+                delete_folder(self.spark, f"{self.path}/register/{name}")

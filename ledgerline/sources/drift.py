@@ -9,12 +9,12 @@ from __future__ import annotations
 
 import csv
 from functools import reduce
-from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.contracts import RESCUED
+from ledgerline.sources.landing import readable
 
 CORRUPT = "_corrupt_line"
 ADD, RESCUE, FAIL, IGNORE = "add", "rescue", "fail", "ignore"
@@ -64,7 +64,7 @@ def csv_rows(spark: SparkSession, headers: list[tuple[str, str, list[str]]]) ->
         rows = (
             spark.read.schema(", ".join(f"{c} STRING" for c in [*cells, CORRUPT]))
             .option("header", True).option("columnNameOfCorruptRecord", CORRUPT)
-            .csv([unquote(p) for p in paths])
+            .csv([readable(p) for p in paths])
             .select(F.col("_metadata.file_path").alias("source_file"), *cells, CORRUPT)
         )
         bag = F.map_from_arrays(F.array(*[F.lit(n) for n in names]), F.array(*cells))

@@ -1,7 +1,8 @@
 """Incremental file ingestion into append-only Bronze logs.
 
-New files are found by path and taken exactly once (stream checkpoint). A micro-batch is written
-to a folder of its own, ``log/batch_id=N``, so a repeated batch replaces its own output only.
+New files are found by path, noted in a table of landed files and taken exactly once (a stream over
+that table, with a checkpoint). A micro-batch is written to a folder of its own, ``log/batch_id=N``,
+so a repeated batch replaces its own output only.
 """
 
 from __future__ import annotations
@@ -15,11 +16,11 @@ from pyspark.sql import functions as F
 
 from ledgerline import contracts as k
 from ledgerline.operators.conform import truncate_pan
-from ledgerline.sources import drift
+from ledgerline.sources import drift, notes
+from ledgerline.sources.landing import LandedFiles, listed, readable
 
 
-#: Landing files are taken whatever their age: copies and restores keep old times, partners deliver late. The
-#: default would pass over files a week older than the newest. The price is one path per file in the stream's state.
+#: Completion markers are taken whatever their age; the default would pass over files a week older than the newest.
 ANY_AGE = "36500d"
 
 
@@ -85,6 +86,7 @@ class BronzeLog:
         self.spark, self.entity = spark, entity
         base = f"{root.rstrip('/')}/{entity.name}/generation={generation}"
         self.log, self.checkpoint, self.done = f"{base}/log", f"{base}/checkpoint", f"{base}/batches"
+        self.landed = LandedFiles(spark, f"{base}/landed")
         self.register = ColumnRegister(spark, f"{base}/columns", entity.columns)
 
     def schema(self) -> str:
@@ -108,8 +110,7 @@ class BronzeLog:
         return self._read(self.done, "n_rows BIGINT, n_strange BIGINT")
 
     def last_batch(self) -> int:
-        row = self.batches().agg(F.max("batch_id").alias("n")).first()
-        return -1 if row.n is None else row.n
+        return notes.last(self.spark, self.done, "batch_id")
 
     def read(self) -> DataFrame:
         """All complete batches, with the schema taken from the register and not from the files."""
@@ -143,26 +144,25 @@ class BronzeLog:
                     raise
 
     def _drain(self, landing: str, policy: str, max_files: int) -> None:
-        lines = (
-            self.spark.readStream.format("text")
-            .option("recursiveFileLookup", True)
-            .option("maxFilesPerTrigger", max_files)
-            .option("maxFileAge", ANY_AGE)
-            .load(landing)
-            .select(
-                "value",
-                F.col("_metadata.file_path").alias(k.SOURCE_FILE),
-                F.col("_metadata.file_block_start").alias("block_start"),
-            )
-        )
+        self.landed.discover(landing, max_files)
+        if self.landed.read().isEmpty():
+            return
         (
-            lines.writeStream.foreachBatch(lambda batch, n: self._store(batch, n, policy))
+            self.landed.stream().writeStream.foreachBatch(lambda files, n: self._store(self._lines(files), n, policy))
             .option("checkpointLocation", self.checkpoint)
             .trigger(availableNow=True)
             .start()
             .awaitTermination()
         )
 
+    def _lines(self, files: DataFrame) -> DataFrame:
+        """Lines of the files of a micro-batch, at most ``max_files`` of them."""
+        paths = [readable(r[0]) for r in files.select(k.SOURCE_FILE).collect()]
+        if not paths:
+            return self.spark.createDataFrame([], f"value STRING, {k.SOURCE_FILE} STRING, block_start BIGINT")
+        return self.spark.read.text(paths).select(
+            "value", F.col("_metadata.file_path").alias(k.SOURCE_FILE), F.col("_metadata.file_block_start").alias("block_start"))
+
     def _store(self, batch: DataFrame, batch_id: int, policy: str) -> None:
         """Write a micro-batch; one pass over JSON files, for CSV files one more for the headers."""
         if batch_id <= self.last_batch():
@@ -201,22 +201,13 @@ class BronzeLog:
             F.lit(seen["n_strange"]).cast("bigint").alias("n_strange"),
         ).write.mode("overwrite").parquet(f"{self.done}/batch_id={batch_id}")  # one file, so it is there or not
 
-    def _landed(self, landing: str) -> DataFrame:
-        return (
-            self.spark.read.format("binaryFile").option("recursiveFileLookup", True).load(landing)
-            .select(
-                F.col("_metadata.file_path").alias(k.SOURCE_FILE),
-                F.col("_metadata.file_modification_time").alias("modified_at"),
-            )
-        )
-
     def _taken(self) -> DataFrame:
         return self.read().groupBy(k.SOURCE_FILE).agg(F.max(k.INGESTED_AT).alias("taken_at"))
 
     def ignored_corrections(self, landing: str) -> DataFrame:
         """Files rewritten under the same name after they were taken; the stream never looks again."""
-        return self._landed(landing).join(self._taken(), k.SOURCE_FILE).where("modified_at > taken_at")
+        return listed(self.spark, [landing]).join(self._taken(), k.SOURCE_FILE).where("modified_at > taken_at")
 
     def untaken(self, landing: str) -> DataFrame:
         """Files below ``landing`` of which the log holds no row: not ingested yet, or without rows."""
-        return self._landed(landing).join(self._taken(), k.SOURCE_FILE, "left_anti")
+        return listed(self.spark, [landing]).join(self._taken(), k.SOURCE_FILE, "left_anti")

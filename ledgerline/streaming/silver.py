@@ -27,6 +27,7 @@ from ledgerline import contracts as k
 from ledgerline.functions.scalars import delivery_date
 from ledgerline.operators import conform, deliveries, expectations, history, lookups
 from ledgerline.operators.groups import GroupLimit
+from ledgerline.sources import notes
 from ledgerline.sources.buckets import BucketedTable, State
 from ledgerline.sources.versions import ReplacedTable
 from ledgerline.streaming.bronze import BronzeLog
@@ -141,32 +142,22 @@ class SilverTable:
         # written last: a batch without its counters is not complete and is not read
         self.counters.write(batch_id, lines, run_id)
 
-    def _read_json(self, path: str, schema: str) -> DataFrame:
-        try:
-            return self.spark.read.schema(schema).json(path)
-        except AnalysisException as missing:
-            if missing.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], schema)
-
-    def _pinned(self) -> DataFrame:
-        return self._read_json(self.pins, "upto BIGINT, batch_id BIGINT")
+    def _pin_of(self, batch_id: int) -> str:
+        return f"{self.pins}/{batch_id:012d}.json"
 
     def _pin(self, batch_id: int) -> int | None:
         """The batch of the looked up table that a batch is judged by, noted before it is judged for the first time."""
         if self.lookup is None:
             return None
-        noted = self._pinned().where(F.col("batch_id") == batch_id).first()
+        noted = notes.read(self.spark, self._pin_of(batch_id))
         if noted:
-            return noted.upto
+            return noted["upto"]
         upto = self.lookup.table.last_batch()
-        self.spark.range(1).coalesce(1).select(F.lit(upto).cast("bigint").alias("upto")).write.mode(
-            "overwrite").json(f"{self.pins}/batch_id={batch_id}")
+        notes.write(self.spark, self._pin_of(batch_id), {"upto": upto})
         return upto
 
     def last_batch(self) -> int:
-        row = self.counters.read().agg(F.max("batch_id").alias("n")).first()
-        return -1 if row.n is None else row.n
+        return notes.last(self.spark, self.counters.path, "batch_id")
 
     def _judged(self, verdict: str, upto: int, after: int = -1) -> DataFrame:
         """Rows of the batches ``after`` .. ``upto``; both conditions prune folders."""
@@ -192,9 +183,8 @@ class SilverTable:
     # --- quarantine and requeue -----------------------------------------------------------------
 
     def last_round(self) -> int:
-        """Rounds of requeueing that are complete."""
-        row = self._read_json(self.rounds, "n_rows BIGINT, run_id STRING, round BIGINT").agg(F.max("round").alias("n")).first()
-        return -1 if row.n is None else row.n
+        """The last round of requeueing that is complete."""
+        return len(notes.names(self.spark, self.rounds)) - 1
 
     def _released(self, upto: int, after: int = -1) -> DataFrame:
         """Rows judged again; ``was_hash`` and ``batch_id`` name the quarantined row."""
@@ -228,9 +218,10 @@ class SilverTable:
         if self.lookup is None:
             return 0
         waiting = self._waiting().where(F.col("reason") == self.lookup.reason)
-        oldest = waiting.select("batch_id").distinct().join(self._pinned(), "batch_id").agg(F.min("upto").alias("n")).first().n
+        first = waiting.agg(F.min("batch_id").alias("n")).first().n  # pins never fall from batch to batch
         pinned = self.lookup.table.last_batch()
-        if oldest is None or oldest >= pinned:
+        oldest = pinned if first is None else notes.read(self.spark, self._pin_of(first))["upto"]
+        if oldest >= pinned:
             return 0
         came = self.lookup.table._judged(VALID, pinned, after=oldest).select(F.col("id").alias(self.lookup.key)).distinct()
         typed = waiting.join(came, self.lookup.key, "left_semi").select(*waiting.columns).withColumnRenamed(
@@ -241,8 +232,7 @@ class SilverTable:
             f"{self.requeued}/round={number}")
         n = counted.get["n"]
         if n:
-            self.spark.range(1).coalesce(1).select(F.lit(n).cast("bigint").alias("n_rows"), F.lit(run_id).alias("run_id")).write.mode(
-                "overwrite").json(f"{self.rounds}/round={number}")
+            notes.write(self.spark, f"{self.rounds}/{number:012d}.json", {"n_rows": n, "run_id": run_id})
         return n
 
     # --- the table ------------------------------------------------------------------------------
@@ -316,7 +306,7 @@ class SilverTable:
         fresh = self._fresh(state, last, last_round)
         if fresh is None:
             return False
-        touched = self.table.touched(fresh, state)
+        touched = self.table.touched(fresh, state) if state else list(range(self.table.n_buckets))
         self.table.replace(self._changed(state, fresh, touched), touched, state, {"batch": last, "round": last_round})
         return True
 
