@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -43,6 +44,22 @@ def numeric_order(df: DataFrame, key: str) -> DataFrame:
     )
 
 
+def placed(ordered: DataFrame, path: str) -> DataFrame:
+    """Rows of a sorted table with their ``place`` from 1; ``path`` is an unused folder.
+
+    A sorted table lies in ranges, one to a task. They are stored with the number of each row in its range, and the
+    sizes of the ranges before, a row per range, are added.
+    """
+    number = F.monotonically_increasing_id()  # the task's number, then 33 bits for the row in it
+    ordered.withColumns({"_range": F.shiftright(number, 33), "_row": number.bitwiseAND(F.lit((1 << 33) - 1))}).write.parquet(path)
+    rows = ordered.sparkSession.read.parquet(path)
+    sizes = rows.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.coalesce(F.sum("_n").over(W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    starts = sizes.select("_range", before.alias("_before"))  # as many rows as the sort had tasks
+    return rows.join(F.broadcast(starts), "_range").withColumn("place", F.col("_before") + F.col("_row") + 1).drop(
+        "_range", "_row", "_before")
+
+
 def split_period(df: DataFrame, column: str, cut: str) -> tuple[DataFrame, DataFrame]:
     """Rows before and from ``cut``, by text comparison of an ISO date. NULL dates are in neither."""
     return df.where(F.col(column) < cut), df.where(F.col(column) >= cut)

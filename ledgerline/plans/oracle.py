@@ -374,7 +374,12 @@ SQL = {
     "pseudonymize": f"""WITH {CLIENTS}, t AS (SELECT id, gender, substr(sha256('s3|' || id), 1, 16) AS token FROM raw_clients)
         SELECT id, 'person-' || token AS name, CAST(NULL AS VARCHAR) AS ssn, token || '@pseudonym.invalid' AS email, gender FROM t""",
     "map_whole_labels": f"""WITH {LABELS} SELECT transaction_id, CASE WHEN is_fraud THEN 'Yes' ELSE 'No' END AS is_fraud FROM lab""",
-    "unpivot_wide_object": "SELECT 'N' || n_nationkey AS mcc, n_name AS description FROM nation",
+    "map_any_text": r"""SELECT CASE WHEN c_custkey % 5 = 0 THEN ':,' ELSE '' END || c_custkey AS mcc,
+        CASE c_custkey % 3 WHEN 0 THEN c_name || ', "' || c_mktsegment || '": {"a,": "}"}, \, x' || chr(10) || ',y'
+          WHEN 1 THEN ',' ELSE c_name END AS description FROM customer""",
+    "unpivot_wide_object": """SELECT 'N' || n_nationkey AS mcc,
+        s.c_mktsegment || ':' || (SELECT count(*) FROM customer c WHERE c.c_mktsegment = s.c_mktsegment AND c.c_nationkey = n_nationkey)
+          AS description FROM nation, (SELECT DISTINCT c_mktsegment FROM customer) s""",
     "table_file_stats": "SELECT count(*) AS n_rows, true AS has_files, true AS has_bytes FROM orders",
     "map_explode_labels": f"""WITH {LABELS} SELECT transaction_id, CASE WHEN is_fraud THEN 'Yes' ELSE 'No' END AS is_fraud FROM lab""",
     "map_explode_codes": f"WITH {CODES} SELECT * FROM codes",

@@ -590,48 +590,66 @@ def pseudonymize(spark, sf_dir):
 
 # --- scans, sinks and layouts ---------------------------------------------------------------
 
-def _write_object(pairs, path: str, opening: str, closing: str) -> None:
-    """Entries of two texts as one JSON object in one file, an entry per line, as such deliveries come."""
+OBJECT_ENTRIES = 50_000
+
+
+def _write_objects(pairs, path: str, below: str = "") -> None:
+    """Entries of two texts as JSON objects of about ``OBJECT_ENTRIES`` entries, one object in one file."""
     key, value = pairs.columns
-    entry = F.concat(F.to_json(F.create_map(key, value)).substr(F.lit(2), F.length(F.to_json(F.create_map(key, value))) - 2))
-    ends = pairs.agg(F.min(key).alias("first"), F.max(key).alias("last")).first()
-    lines = pairs.select(key, F.concat(
-        F.when(F.col(key) == ends["first"], opening).otherwise(""), entry,
-        F.when(F.col(key) == ends["last"], closing).otherwise(",")).alias("line"))
-    lines.coalesce(1).sortWithinPartitions(key).select("line").write.text(path)
+    n = pairs.count() // OBJECT_ENTRIES + 1
+    whole = F.map_from_entries(F.array_sort(F.collect_list(F.struct(key, value))))
+    rows = pairs.groupBy(F.pmod(F.xxhash64(key), F.lit(n)).alias("object")).agg(whole.alias("entries"))
+    body = F.to_json(F.struct(F.col("entries").alias(below))) if below else F.to_json("entries")
+    rows.select("object", body.alias("value")).repartition(n, "object").write.partitionBy("object").text(path)
 
 
 @query
 def map_explode_labels(spark, sf_dir):
-    """Labels out of one JSON object in one file, cut at its commas and read in parallel."""
+    """Labels out of JSON objects with a key per label, a file read by many tasks."""
     path = work_dir(spark, "labels")
-    _write_object(i.raw_labels(spark, sf_dir), path, '{"target": {', "}}")
+    _write_objects(i.raw_labels(spark, sf_dir), path, "target")
     return snapshots.read_labels(spark, path).select("transaction_id", "is_fraud")
 
 
 @query
 def map_whole_labels(spark, sf_dir):
-    """The same file read as a whole with a map schema."""
+    """The same objects read by the reader that takes any text."""
     path = work_dir(spark, "labels-whole")
-    _write_object(i.raw_labels(spark, sf_dir), path, '{"target": {', "}}")
+    _write_objects(i.raw_labels(spark, sf_dir), path, "target")
     return snapshots.read_labels_map(spark, path).select("transaction_id", "is_fraud")
 
 
 @query
 def map_explode_codes(spark, sf_dir):
-    """A dictionary out of one whole file."""
+    """A dictionary out of whole objects."""
     path = work_dir(spark, "codes")
     codes = i.raw_codes(spark, sf_dir).select(F.explode(F.from_json("value", "MAP<STRING, STRING>")).alias("mcc", "description"))
-    _write_object(codes, path, "{", "}")
+    _write_objects(codes, path)
+    return snapshots.read_codes(spark, path).select("mcc", "description")
+
+
+@query
+def map_any_text(spark, sf_dir):
+    """A dictionary whose texts have commas, quotation marks, braces, colons, backslashes and line breaks in them."""
+    path = work_dir(spark, "any-text")
+    n = F.col("c_custkey")
+    odd = F.concat_ws(", ", "c_name", F.concat(F.lit('"'), F.col("c_mktsegment"), F.lit('": {"a,": "}"}')), F.lit("\\"), F.lit("x\n,y"))
+    codes = i.table(spark, sf_dir, "customer").select(
+        F.when(n % 5 == 0, F.concat(F.lit(":,"), n.cast("string"))).otherwise(n.cast("string")).alias("mcc"),
+        F.when(n % 3 == 0, odd).when(n % 3 == 1, F.lit(",")).otherwise(F.col("c_name")).alias("description"))
+    _write_objects(codes, path)
     return snapshots.read_codes(spark, path).select("mcc", "description")
 
 
 @query
 def unpivot_wide_object(spark, sf_dir):
-    """A dictionary read as one row with a column per key, and turned into rows."""
+    """Customers per nation as an object with a key per nation for each market segment, read as columns, turned into rows."""
     path = work_dir(spark, "wide")
-    names = i.table(spark, sf_dir, "nation").select(F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("mcc"), "n_name")
-    _write_object(names, path, "{", "}")
+    nations = [r[0] for r in i.table(spark, sf_dir, "nation").select("n_nationkey").distinct().orderBy("n_nationkey").collect()]
+    counts = i.table(spark, sf_dir, "customer").groupBy("c_mktsegment").agg(*[
+        F.concat(F.col("c_mktsegment"), F.lit(":"), F.count_if(F.col("c_nationkey") == n).cast("string")).alias(f"N{n}") for n in nations])
+    counts.select(F.to_json(F.struct(*[f"N{n}" for n in nations])).alias("value"), "c_mktsegment").write.partitionBy(
+        "c_mktsegment").text(path)
     return snapshots.read_wide_object(spark, path).select("mcc", "description")
 
 
@@ -897,10 +915,8 @@ def sorted_by_key(spark, sf_dir):
 
 
 def _placed(df):
-    """Rows of a sorted table with their place, as a reader of its files would see them."""
-    path = work_dir(df.sparkSession, "sorted")
-    df.coalesce(1).withColumn("place", F.monotonically_increasing_id() + 1).write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    """Rows of a sorted table with their place: sorted and stored in ranges, numbered in each, the ranges' sizes added up."""
+    return profile.placed(df, work_dir(df.sparkSession, "sorted"))
 
 
 def _silver_cards(spark, sf_dir, root: str, late: bool = False) -> silver.SilverTable:
