@@ -26,8 +26,9 @@ from pyspark.sql import types as T
 
 from ledgerline.llm.common import utf8
 
-_PAIRS = 1 << 18
-_PARTS = 800_000
+_PAIRS = 1 << 17
+#: Bytes of a generation of remembered words, of which there are two; an entry costs about ``_ENTRY`` bytes besides its own.
+_GENERATION, _ENTRY, _LONGEST = 32 << 20, 250, 64
 
 
 class Codec:
@@ -43,8 +44,9 @@ class Codec:
                 self.automaton.add_word(token.decode("latin-1"), (len(token), rank))
         self.automaton.make_automaton()
         self.compatible = lru_cache(_PAIRS)(self._compatible)
-        self.merges_of = lru_cache(1 << 17)(self.piece)
-        self.parts: dict[str, bytes] = {}
+        self.young: dict[str, bytes] = {}  # words that follow a blank
+        self.old: dict[str, bytes] = {}
+        self.held = 0
 
     @classmethod
     def from_file(cls, path: str, pattern: str) -> Codec:
@@ -98,25 +100,37 @@ class Codec:
         return found
 
     def _split(self, text: str) -> bytes:
-        ids: list[int] = []
-        for part in self.split(text):
-            ids += self.merges_of(part.encode("utf-8", "replace"))
-        return array("i", ids).tobytes()
+        return b"".join([array("i", self.piece(part.encode("utf-8", "replace"))).tobytes() for part in self.split(text)])
+
+    def _word(self, word: str) -> bytes:
+        """Tokens of a blank and a word after it. Words are remembered up to a number of bytes; when it is reached, those
+        not met again since it was reached before are forgotten."""
+        ids = self.young.get(word)
+        if ids is not None:
+            return ids
+        ids = self.old.get(word)
+        if ids is None:
+            first, *more = self.split(" " + word)
+            ids = array("i", self.piece(first.encode("utf-8", "replace"))).tobytes() if not more else \
+                (self._word(first[1:]) if first[0] == " " and len(first) > 1 else self._split(first)) + b"".join(
+                    [array("i", self.piece(part.encode("utf-8", "replace"))).tobytes() for part in more])
+        if len(word) <= _LONGEST:
+            self.young[word] = ids
+            self.held += _ENTRY + 2 * len(word) + len(ids)
+            if self.held > _GENERATION:
+                self.old, self.young, self.held = self.young, {}, 0
+        return ids
 
     def encode(self, text: str) -> np.ndarray:
         """Tokens of a text. A single blank between two other characters begins a piece in any text, so what lies
         between such blanks is encoded, and remembered, for itself."""
-        if len(self.parts) > _PARTS:
-            self.parts.clear()
-        known, words = self.parts, text.split(" ")
-        found = [*map(known.get, words[1:])]
+        words = text.split(" ")
+        found = [*map(self.young.get, words[1:])]
         if None in found:
             if "" in words or _ODD.search(text):
                 words = _BLANK.split(text)
-            for word in words[1:]:
-                if word not in known:
-                    known[word] = self._split(" " + word)
-            found = map(known.__getitem__, words[1:])
+                found = [None] * (len(words) - 1)
+            found = [self._word(word) if ids is None else ids for word, ids in zip(words[1:], found)]
         return np.frombuffer(b"".join([self._split(words[0]), *found]), np.int32)
 
     def decode(self, ids) -> bytes:
@@ -139,7 +153,7 @@ def encode(text: Column, path: str, pattern: str) -> Column:
     @F.arrow_udf(T.ArrayType(T.IntegerType()))
     def ids(texts: pa.Array) -> pa.Array:
         coder = codec(path, pattern)
-        rows = [coder.encode(t.decode("utf-8", "replace")) for t in texts.to_pylist()]
+        rows = [coder.encode(t.as_py().decode("utf-8", "replace")) for t in texts]
         ends = np.cumsum([0, *map(len, rows)])
         if ends[-1] < 1 << 31:
             return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*rows, np.empty(0, np.int32)])))

@@ -1,4 +1,5 @@
 import hashlib
+import random
 
 import public_tokenizers as P
 import pytest
@@ -63,3 +64,18 @@ def test_null_and_empty(ready, docs):
     rows = docs([(1, None), (None, ""), (2, "a")]).select(q.encode(F.col("text"), PATH, P.PATTERN).alias("ids"))
     assert sorted(len(r["ids"]) for r in rows.collect()) == [0, 0, 1]
     assert rows.select(q.decode(F.lit(None).cast("array<int>"), PATH, P.PATTERN).alias("d")).first()["d"] == b""
+
+
+def test_remembered_words_are_bounded_in_bytes(monkeypatch):
+    monkeypatch.setattr(q, "_GENERATION", 20_000)
+    small = q.Codec.from_file(PATH, P.PATTERN)
+    plain = q.Codec.from_file(PATH, P.PATTERN)
+    rng = random.Random(2)
+    for _ in range(60):
+        text = " ".join("".join(rng.choices("abcdeé,.'1", k=rng.randrange(1, 12))) for _ in range(100)) + " " + "z" * 200
+        monkeypatch.setattr(q, "_GENERATION", 20_000)
+        got = small.encode(text).tolist()
+        monkeypatch.setattr(q, "_GENERATION", 1 << 30)
+        assert got == plain.encode(text).tolist()
+        assert sum(q._ENTRY + len(w) for w in (*small.young, *small.old)) < 50_000
+    assert "z" * 200 not in small.young
