@@ -219,6 +219,13 @@ class Compiled(dict):
         return out
 
 
+    def whole(self, maps: list[StateMap]) -> StateMap:
+        """The last of the scan alone, joined in pairs: what is held besides the chunks is as long as they are."""
+        while len(maps) > 1:
+            maps = [self.then(*maps[i : i + 2]) if i + 1 < len(maps) else maps[i] for i in range(0, len(maps), 2)]
+        return maps[0]
+
+
 @lru_cache(2)
 def compiled(path: str) -> Compiled:
     """One compiled tokenizer per worker process and file."""
@@ -256,8 +263,7 @@ def counted(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "t
         made = compiled(tokenizer)
         out = []
         for group in groups.to_pylist():
-            scanned = made.scan([StateMap(m["head"], m["tokens"], m["tail"], m["reset"]) for m in group])
-            out.append(made.total(scanned[-1]))
+            out.append(made.total(made.whole([StateMap(m["head"], m["tokens"], m["tail"], m["reset"]) for m in group])))
         return pa.array(out, pa.int64())
     grouped = maps.groupBy("row_no").agg(
         F.first("doc_key").alias(key), F.first("n_bytes").alias("n_bytes"),

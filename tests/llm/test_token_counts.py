@@ -66,3 +66,18 @@ def test_small_chunks_and_odd_rows(docs, library):
     found = q.counted(docs(rows), PATH, chunk=16).collect()
     assert sorted((str(r["doc_id"]), r["n_tokens"]) for r in found) == sorted((str(i), slow(library, t or "")) for i, t in rows)
     assert q.counted(docs([]), PATH).count() == 0
+
+
+def test_chunks_of_a_long_text_without_blanks_are_joined_in_pairs():
+    """What is held while joining stays in proportion to the text."""
+    import tracemalloc
+
+    made = q.compiled(PATH)
+    maps = [q.StateMap(b"z" * 65_536, 0, b"", False) for _ in range(320)]  # 20 MB without a blank
+    tracemalloc.start()
+    whole = made.whole(maps)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(whole.head) == 320 * 65_536 and not whole.reset and peak < 4 * len(whole.head)
+    mixed = [made.state_map(t) for t in (b"ab", b"c d", b"e", b" f", b"gh i")]
+    assert made.whole(mixed) == made.scan(mixed)[-1]
