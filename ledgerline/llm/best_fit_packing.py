@@ -15,6 +15,7 @@ empty table gives no pieces. Columns beside key and text are not read.
 from __future__ import annotations
 
 import random
+import unicodedata
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -30,6 +31,7 @@ from ledgerline.llm.token_counts import compiled
 
 _TEXTS = 256
 _REMEMBERED = 1_000_000
+_AFTER_WORDS = b".,;:!?"
 
 
 class WordIds:
@@ -51,9 +53,16 @@ class WordIds:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _split(self, word: bytes) -> list[str] | None:
+        if word[:-1].isalpha() and word[-1] in _AFTER_WORDS:
+            return [word[:-1].lower().decode(), chr(word[-1])]
         if self.kind.simple(word):
             return self.kind.pieces(word.decode().lower())
         text = word.decode("utf-8", "replace")
+        if text.isalpha() and "Σ" not in text:  # letters of any kind: one piece if lower case leaves them so
+            lower = text.lower()
+            if lower.isalpha() and lower.lower() == lower and all(
+                    unicodedata.is_normalized("NFC", t) for t in (text, lower)):
+                return [lower]
         normal = self.kind.normalised(text)
         if self.kind.special.search(text) or self.kind.normalised(normal) != normal:
             return None
@@ -63,24 +72,43 @@ class WordIds:
         if len(self.words) > _REMEMBERED:
             self.words.clear()
             self.pieces.clear()
-        split = {w: self._split(w) for w in words if w not in self.words}
-        new = list({p for pieces in split.values() for p in pieces or () if p not in self.pieces})
+        known, letters, others = self.pieces, [], {}
+        for word in words:
+            if word.isalpha():  # ASCII letters, by far the most: one piece
+                letters.append(word)
+            else:
+                others[word] = self._split(word)
+        lower = b" ".join(letters).lower().decode().split(" ") if letters else []
+        new = {p for p in lower if p not in known}
+        new.update(p for pieces in others.values() for p in pieces or () if p not in known)
+        new = list(new)
         for at in range(0, len(new), 2000):
             some = new[at : at + 2000]
             encoding = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
-            ids, of = np.array(encoding.ids, "<u4"), np.array(encoding.word_ids)
-            parts = np.split(ids, np.flatnonzero(np.diff(of)) + 1)
-            for piece, part in zip(some, parts, strict=True):
-                self.pieces[piece] = part.tobytes()
-        for word, pieces in split.items():
-            self.words[word] = self._alone(word.decode("utf-8", "replace")) if pieces is None else \
-                b"".join(map(self.pieces.__getitem__, pieces))
+            ids, of = np.array(encoding.ids, "<u4").tobytes(), np.array(encoding.word_ids)
+            edges = (4 * (np.flatnonzero(np.diff(of)) + 1)).tolist()
+            if len(edges) != len(some) - 1:
+                raise ValueError(f"{len(edges) + 1} pieces came back of {len(some)}")
+            known.update(zip(some, [ids[i:j] for i, j in zip([0, *edges], [*edges, len(ids)])]))
+        self.words.update(zip(letters, map(known.__getitem__, lower)))
+        for word, pieces in others.items():
+            if pieces is None:
+                self.words[word] = self._alone(word.decode("utf-8", "replace"))
+            else:
+                self.words[word] = known[pieces[0]] if len(pieces) == 1 else b"".join([known[p] for p in pieces])
 
     def of(self, texts: list[bytes]) -> list[bytes]:
-        split = [t.split() for t in texts]
-        self._learn(set().union(*split))
-        known = self.words.__getitem__
-        return [b"".join(map(known, words)) for words in split]
+        split, get = [t.split() for t in texts], self.words.get
+        found = [[*map(get, words)] for words in split]
+        missing = {w for words, ids in zip(split, found) if None in ids for w, i in zip(words, ids) if i is None}
+        if missing:
+            self._learn(missing)
+            found = [[get(w) if i is None else i for w, i in zip(words, ids)] if None in ids else ids
+                     for words, ids in zip(split, found)]
+            if any(None in ids for ids in found):  # the words were cleared in between
+                self._learn({w for words in split for w in words if w not in self.words})
+                found = [map(self.words.__getitem__, words) for words in split]
+        return [*map(b"".join, found)]
 
 
 @lru_cache(2)
