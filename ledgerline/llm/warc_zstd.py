@@ -270,5 +270,6 @@ def read_archives(archives: DataFrame, with_payload: bool = True) -> DataFrame:
     """Records of the archives whose paths are in ``path``: an archive is one task's work at most."""
     schema = ("page_id bigint, url string, record_type string, payload_bytes bigint, payload_digest string, "
               "refers_to bigint, path string, offset bigint") + ", payload binary" * with_payload
-    spread = archives.select("path").distinct().repartition("path")
+    # a number that is given is not lowered however small the paths are, and no other exchange takes its place
+    spread = archives.select("path").repartition(max(archives.count(), 1), "path").distinct()
     return map_batches(spread, _read(with_payload), schema)

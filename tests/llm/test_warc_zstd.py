@@ -3,6 +3,7 @@ import struct
 
 import pytest
 import zstandard
+from pyspark.sql import functions as F
 
 from ledgerline.llm import warc_zstd as q
 
@@ -105,3 +106,19 @@ def test_equal_sha1_alone_is_no_revisit(ready, monkeypatch):
     with pytest.raises(Marked) as marked:
         q.write_archives(pages)
     assert marked.value.args[0] == {0: None, 1: 2, 2: None, 3: 4, 4: None}
+
+
+def test_archives_are_read_by_several_tasks(ready):
+    """As many tasks as there are archives, whatever the number of shuffle partitions is."""
+    rows = [(n, "u", f"{n} " * 400) for n in range(400)]
+    archives = q.write_archives(table(ready, rows).repartition(6), archive_bytes=2_000)
+    n = archives.count()
+    before = ready.conf.get("spark.sql.shuffle.partitions")
+    for partitions in (str(n), "3"):
+        ready.conf.set("spark.sql.shuffle.partitions", partitions)
+        try:
+            read = q.read_archives(archives, with_payload=False)
+            tasks = read.select(F.spark_partition_id().alias("t"), "page_id").collect()
+        finally:
+            ready.conf.set("spark.sql.shuffle.partitions", before)
+        assert len(tasks) == 400 and len({r.t for r in tasks}) > n // 3 > 1
