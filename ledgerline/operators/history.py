@@ -90,6 +90,20 @@ def state_as_of(df: DataFrame, keys: list[str], order: list[Column | str], day:
     return latest(known, keys, order).withColumn("changed_today", day == as_of)
 
 
+def state_as_of_sparse(df: DataFrame, keys: list[str], order: list[str], columns: list[str], day: Column,
+                       as_of: Column) -> DataFrame:
+    """State of every key at the end of ``as_of`` from records that hold only what changed.
+
+    Each column has its last value that is not NULL, whatever record it came with; NULL if there never was one.
+    ``changed_today`` tells whether any record is of that day. One aggregation, so records of one key are folded before
+    they are shuffled.
+    """
+    at = F.struct(*order)
+    return df.where(day <= as_of).groupBy(*keys).agg(
+        *[F.max_by(c, F.when(F.col(c).isNotNull(), at)).alias(c) for c in columns],
+        F.max(day == as_of).alias("changed_today"))
+
+
 def as_of_join(facts: DataFrame, dim: DataFrame, keys: list[str], fact_ts: str, dim_ts: str,
                dim_order: list[str], take: list[str], position: Column,
                limit: GroupLimit = GroupLimit(), counted: DataFrame | None = None) -> DataFrame:

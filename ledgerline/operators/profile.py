@@ -74,6 +74,28 @@ def split_report(df: DataFrame, column: str, cut: str) -> DataFrame:
     )
 
 
+def parts_report(whole: DataFrame, before: DataFrame, after: DataFrame) -> DataFrame:
+    """Whether two stored parts are the whole, row for row and as often, in any order.
+
+    Rows are compared as multisets: by their number and the sums of two 64-bit hashes of all columns, the parts' taken
+    from the whole's. A lost row and a doubled one cancel in the count and not in the sums.
+    """
+    def hashed(df: DataFrame, part: str) -> DataFrame:
+        columns = [F.col(c) for c in whole.columns]
+        return df.select(
+            F.lit(part).alias("part"), F.xxhash64(*columns).cast("decimal(38,0)").alias("x"),
+            F.xxhash64(F.lit("second"), *reversed(columns)).cast("decimal(38,0)").alias("y"))
+
+    rows = hashed(whole, "whole").unionByName(hashed(before, "before")).unionByName(hashed(after, "after"))
+    is_whole = F.col("part") == "whole"
+    sign = F.when(is_whole, 1).otherwise(-1)
+    return rows.agg(
+        F.count_if(is_whole).alias("n_total"), F.count_if(F.col("part") == "before").alias("n_before"),
+        F.count_if(F.col("part") == "after").alias("n_after"),
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(f"_{n}") for n, c in (("n", sign), ("x", sign * F.col("x")), ("y", sign * F.col("y")))],
+    ).select("n_total", "n_before", "n_after", ((F.col("_n") == 0) & (F.col("_x") == 0) & (F.col("_y") == 0)).alias("is_complete"))
+
+
 def check_day(day: str, first: str = "2017-01-01", last: str = "2019-10-31") -> str:
     """Refuse a processing day outside the accepted range, before any job starts."""
     from datetime import date

@@ -374,6 +374,12 @@ SQL = {
     "pseudonymize": f"""WITH {CLIENTS}, t AS (SELECT id, gender, substr(sha256('s3|' || id), 1, 16) AS token FROM raw_clients)
         SELECT id, 'person-' || token AS name, CAST(NULL AS VARCHAR) AS ssn, token || '@pseudonym.invalid' AS email, gender FROM t""",
     "map_whole_labels": f"""WITH {LABELS} SELECT transaction_id, CASE WHEN is_fraud THEN 'Yes' ELSE 'No' END AS is_fraud FROM lab""",
+    "state_as_of_sparse": """SELECT o_custkey,
+        last(o_orderstatus ORDER BY o_orderdate, o_orderkey) FILTER (WHERE o_orderkey % 3 = 0 AND o_orderstatus IS NOT NULL) AS o_orderstatus,
+        last(o_orderpriority ORDER BY o_orderdate, o_orderkey) FILTER (WHERE o_orderkey % 3 = 1 AND o_orderpriority IS NOT NULL) AS o_orderpriority,
+        last(o_totalprice ORDER BY o_orderdate, o_orderkey) FILTER (WHERE o_orderkey % 3 = 2 AND o_totalprice IS NOT NULL) AS o_totalprice,
+        max(o_orderdate = TIMESTAMP '1998-01-01') AS changed_today FROM orders WHERE o_orderdate <= TIMESTAMP '1998-01-01' GROUP BY o_custkey""",
+    "load_by_variables": "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderdate >= TIMESTAMP '1997-02-01'",
     "map_any_text": r"""SELECT CASE WHEN c_custkey % 5 = 0 THEN ':,' ELSE '' END || c_custkey AS mcc,
         CASE c_custkey % 3 WHEN 0 THEN c_name || ', "' || c_mktsegment || '": {"a,": "}"}, \, x' || chr(10) || ',y'
           WHEN 1 THEN ',' ELSE c_name END AS description FROM customer""",

@@ -437,6 +437,16 @@ def state_as_of(spark, sf_dir):
         F.col("o_orderdate"), F.lit("1998-01-01").cast("timestamp_ntz"))
 
 
+@query
+def state_as_of_sparse(spark, sf_dir):
+    """State of every customer from records of which each holds one of three columns."""
+    log = i.client_log(spark, sf_dir)
+    columns = ["o_orderstatus", "o_orderpriority", "o_totalprice"]
+    sparse = log.withColumns({c: F.when(F.col("o_orderkey") % 3 == n, F.col(c)) for n, c in enumerate(columns)})
+    return history.state_as_of_sparse(
+        sparse, ["o_custkey"], ["o_orderdate", "o_orderkey"], columns, F.col("o_orderdate"), F.lit("1998-01-01").cast("timestamp_ntz"))
+
+
 # --- profiling ------------------------------------------------------------------------------
 
 @query
@@ -489,7 +499,21 @@ def period_split(spark, sf_dir):
 @query
 def split_reconcile(spark, sf_dir):
     orders = i.table(spark, sf_dir, "orders").withColumn("day", F.date_format("o_orderdate", "yyyy-MM-dd"))
-    return profile.split_report(orders, "day", "1997-01-01")
+    whole = _stored(spark, orders, "orders")
+    parts = [_stored(spark, part, "part") for part in profile.split_period(whole, "day", "1997-01-01")]
+    return profile.parts_report(whole, *parts)
+
+
+@query
+def load_by_variables(spark, sf_dir):
+    """Session variables name the table and the day of a load, dynamic SQL runs it with parameters."""
+    i.table(spark, sf_dir, "orders").createOrReplaceTempView("load_orders")
+    for name, kind, value in (("load_table", "STRING", "'load_orders'"), ("load_from", "DATE", "DATE '1997-01-01'")):
+        spark.sql(f"DECLARE OR REPLACE VARIABLE {name} {kind} DEFAULT {value}")
+    spark.sql("SET VAR load_from = date_add(load_from, 31)")
+    spark.sql("DECLARE OR REPLACE VARIABLE load_text STRING DEFAULT "
+              "'SELECT o_orderkey, o_orderstatus FROM ' || load_table || ' WHERE o_orderdate >= CAST(:day AS TIMESTAMP_NTZ)'")
+    return spark.sql("EXECUTE IMMEDIATE load_text USING load_from AS day")
 
 
 # --- measures -------------------------------------------------------------------------------

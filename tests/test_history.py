@@ -158,3 +158,24 @@ def test_position_of_a_wall_clock_time_ignores_the_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert [b - a for a, b in zip(got, got[1:])] == [3600] * 4
+
+
+def test_state_of_sparse_records(spark):
+    """Every column has its own last value; nulls change nothing, in any column."""
+    rows = [("a", 1, "x", None), ("a", 2, None, 5), ("a", 3, None, None), ("a", 4, "late", 9), ("b", 3, None, None), ("c", 4, "y", 1)]
+    df = spark.createDataFrame(rows, "id STRING, day INT, s STRING, n INT")
+    got = history.state_as_of_sparse(df, ["id"], ["day"], ["s", "n"], F.col("day"), F.lit(3))
+    assert sorted(map(tuple, got.collect())) == [("a", "x", 5, True), ("b", None, None, True)]
+
+
+def test_parts_that_are_not_the_whole_are_caught(spark):
+    from ledgerline.operators import profile
+
+    whole = spark.range(100).select("id", F.lit("v").alias("v"))
+    first, second = whole.where("id < 40"), whole.where("id >= 40")
+    assert profile.parts_report(whole, first, second).first().is_complete
+    one_lost_one_doubled = second.where("id <> 50").unionByName(second.where("id = 60"))
+    for parts in ((first, one_lost_one_doubled), (first, second.where("id <> 50")), (first, second.unionByName(first.limit(1)))):
+        assert not profile.parts_report(whole, *parts).first().is_complete
+    lost = profile.parts_report(whole, first, one_lost_one_doubled).first()
+    assert lost.n_total == lost.n_before + lost.n_after
