@@ -424,6 +424,9 @@ SQL = {
     "full_refresh": f"""WITH {RAW} SELECT id, amount, g AS generation FROM raw, (SELECT unnest([1, 2]) AS g)""",
     "csv_text_scan": f"""WITH {CLIENTS} SELECT id, '$' || CAST((n % 1000) * 100 AS VARCHAR) AS yearly_income,
         CAST(20 + n % 50 AS VARCHAR) || '.25' AS latitude, CAST(num_credit_cards AS VARCHAR) AS num_credit_cards FROM raw_clients""",
+    "csv_line_breaks": f"""WITH {CLIENTS} SELECT id, address || CASE WHEN n % 3 = 0
+        THEN chr(10) || '2nd floor, "left"' || chr(10) || id ELSE '' END AS address,
+        CAST(num_credit_cards AS VARCHAR) AS num_credit_cards, true AS nothing_rescued FROM raw_clients""",
     "csv_inferred_scan": f"""WITH {CLIENTS} SELECT n AS id, latitude, CAST(num_credit_cards AS BIGINT) AS num_credit_cards FROM raw_clients""",
     "csv_plain_scan": f"""WITH {CLIENTS} SELECT id, CAST(20 + n % 50 AS VARCHAR) || '.25' AS latitude,
         CAST(credit_score AS VARCHAR) AS credit_score FROM raw_clients""",

@@ -903,6 +903,20 @@ def csv_text_scan(spark, sf_dir):
     return files.read_csv(spark, _csv_clients(spark, sf_dir), k.CLIENT_COLUMNS).select("id", "yearly_income", "latitude", "num_credit_cards")
 
 
+@query
+def csv_line_breaks(spark, sf_dir):
+    """Client files, some with line breaks, commas and quotes in their addresses, ingested."""
+    root = work_dir(spark, "line-breaks")
+    log = bronze.BronzeLog(spark, bronze.CLIENTS, f"{root}/bronze")
+    clients = i.raw_clients(spark, sf_dir)
+    odd = F.col("id").cast("bigint") % 3 == 0
+    broken = clients.where(odd).withColumn("address", F.concat("address", F.lit("\n2nd floor, \"left\"\n"), "id"))
+    files.write_small_csv(clients.where(~odd), f"{root}/landing/clients/plain")
+    files.write_small_csv(broken, f"{root}/landing/clients/broken")
+    log.ingest(f"{root}/landing/clients")
+    return log.read().select("id", "address", "num_credit_cards", F.col(k.RESCUED).isNull().alias("nothing_rescued"))
+
+
 @query
 def csv_inferred_scan(spark, sf_dir):
     """CSV read with inferred types."""

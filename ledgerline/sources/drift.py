@@ -27,43 +27,46 @@ def json_fields(line: Column) -> Column:
     return F.coalesce(F.from_json(line, "MAP<STRING, STRING>"), F.create_map(F.lit(CORRUPT), line))
 
 
-def csv_headers(lines: DataFrame) -> list[tuple[str, str, list[str]]]:
-    """File, header line and column names, for every file of a micro-batch.
+def csv_headers(lines: DataFrame) -> list[tuple[str, str, list[str], bool]]:
+    """File, header line, column names and whether cells may hold line breaks, for every file of a micro-batch.
+
+    A line break inside quotation marks leaves a line with an odd number of them, escaped ones left out.
 
     ``lines`` has ``value``, ``source_file`` and ``block_start``. Within a task the rows of a file
     keep their order, so the first one of the block at offset 0 is the header. One short line per
     file comes to the driver, and the number of files is limited when the batch is formed.
     """
+    marks = F.length(F.regexp_replace("value", r'\\.|[^"\\]', ""))
     first = (
-        lines.where(F.col("block_start") == 0)
-        .select("source_file", "value", F.monotonically_increasing_id().alias("_at"))
+        lines.select("source_file", "value", "block_start", F.monotonically_increasing_id().alias("_at"), (marks % 2 == 1).alias("odd"))
         .groupBy("source_file")
-        .agg(F.min_by("value", "_at").alias("header"))
+        .agg(F.min_by(F.when(F.col("block_start") == 0, F.col("value")), F.when(F.col("block_start") == 0, F.col("_at"))).alias("header"),
+             F.max("odd").alias("broken"))
+        .where("header IS NOT NULL")
         .collect()
     )
     names = {
         header: [n or f"_c{i}" for i, n in enumerate(next(csv.reader([header], escapechar="\\")))]
         for header in {r.header for r in first}
     }
-    return [(r.source_file, r.header, names[r.header]) for r in first]
+    return [(r.source_file, r.header, names[r.header], r.broken) for r in first]
 
 
-def csv_rows(spark: SparkSession, headers: list[tuple[str, str, list[str]]]) -> DataFrame:
+def csv_rows(spark: SparkSession, headers: list[tuple[str, str, list[str], bool]]) -> DataFrame:
     """``source_file`` and ``fields`` of the lines of some CSV files, files with equal headers read together.
 
     Spark's reader leaves out the first line of a file and no other. A line with more or fewer cells than its header
-    is also kept whole. Quoted line breaks are not supported, as files are split; what they break in two is kept whole
-    in this way.
+    is also kept whole. Files whose cells may hold line breaks are read each by one task, all others are split.
     """
-    layouts: dict[tuple[str, ...], list[str]] = {}
-    for path, _, names in headers:
-        layouts.setdefault(tuple(names), []).append(path)
+    layouts: dict[tuple[tuple[str, ...], bool], list[str]] = {}
+    for path, _, names, broken in headers:
+        layouts.setdefault((tuple(names), broken), []).append(path)
     parts = []
-    for names, paths in layouts.items():
+    for (names, broken), paths in layouts.items():
         cells = [f"c{i}" for i in range(len(names))]
         rows = (
             spark.read.schema(", ".join(f"{c} STRING" for c in [*cells, CORRUPT]))
-            .option("header", True).option("columnNameOfCorruptRecord", CORRUPT)
+            .option("header", True).option("columnNameOfCorruptRecord", CORRUPT).option("multiLine", broken)
             .csv([readable(p) for p in paths])
             .select(F.col("_metadata.file_path").alias("source_file"), *cells, CORRUPT)
         )
