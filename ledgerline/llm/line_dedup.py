@@ -13,12 +13,16 @@ is repeated, so nothing is lost to the choice of a place to compare with.
 
 ``without_passages`` finds passages wherever they begin and end. A document is its sequence of words there, and a window
 any ``min_words`` words of it, across line ends. Runs of half as many words are hashed; of the runs in a window the one
-with the smallest hash is selected, so equal windows select equal fingerprints. At fingerprints that stand at several
-places all windows on them are compared by 128 bits, and the words of those that stood somewhere before are deleted.
-What ``deduplicated`` deletes is among them, because a run of whole lines consists of such windows.
+with the smallest hash is selected, so equal windows select equal fingerprints. Neighbouring windows that select the same
+place are a span: the fingerprint, extended both ways. A row per span travels, none per window. Equal spans (two 64-bit
+hashes) are joined to their first place, and all but the first are deleted whole. Only where unequal spans share a
+fingerprint, at the edges of passages, their first places are compared window by window, by 128 bits. The result equals
+that of comparing all windows. What ``deduplicated`` deletes is among them, because a run of whole lines consists of
+such windows.
 
 Null or empty text has no lines. Lines without a word stay. Repeated rows are documents of their own, so all but the
-first lose their passages. Null keys come first in the order. Columns beside key and text are not read.
+first lose their passages. Null keys come first in the order. Columns beside key and text are not read, whatever their
+names. A text of any length is one row; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -176,14 +180,22 @@ class _Runs:
     def __init__(self, base: int):
         self.base, self.back, self.size = base, pow(base, -1, 1 << 64), 0
 
-    def __call__(self, words: np.ndarray, length: int) -> np.ndarray:
+    def _sums(self, words: np.ndarray) -> np.ndarray:
         if self.size < len(words):
             self.size = 2 * len(words)
             self.powers, self.inverse = (
                 np.cumprod(np.concatenate([[np.uint64(1)], np.full(self.size - 1, b, np.uint64)])) for b in (self.base, self.back))
-        sums = np.concatenate([[np.uint64(0)], np.cumsum(words * self.powers[:len(words)])])
+        return np.concatenate([[np.uint64(0)], np.cumsum(words * self.powers[:len(words)])])
+
+    def __call__(self, words: np.ndarray, length: int) -> np.ndarray:
+        sums = self._sums(words)
         return _mixed((sums[length:] - sums[:-length]) * self.inverse[:len(words) - length + 1])
 
+    def between(self, words: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+        """Hashes of the runs from ``starts`` to before ``stops``, signed."""
+        sums = self._sums(words)
+        return _mixed((sums[stops] - sums[starts]) * self.inverse[starts] + (stops - starts).astype(np.uint64)).view(np.int64)
+
 
 def word_hashes(text: bytes) -> np.ndarray:
     words = text.split()
@@ -198,55 +210,62 @@ def winnowed(words: np.ndarray, least: int, runs: _Runs) -> tuple[np.ndarray, np
     return hashes.view(np.int64), np.arange(len(views)) + least - half - views[:, ::-1].argmin(axis=1)
 
 
-def _marks(least: int):
+def _spans(least: int):
+    """Places of fingerprints with the windows that selected them: of each the fingerprint, a hash of all words of its
+    windows, the first window's start and how many there are."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        runs = _Runs(_BASES[0])
+        one, two = map(_Runs, _BASES)
         for batch in batches:
-            rows, marks = [], []
+            rows, ends, parts = [], [0], []
             for k, text in enumerate(batch.column("b").to_pylist()):
                 words = word_hashes(text)
                 if len(words) >= least:
-                    hashes, at = winnowed(words, least, runs)
+                    hashes, at = winnowed(words, least, one)
+                    starts = np.flatnonzero(np.diff(at, prepend=-1) > 0)
+                    sizes = np.diff(starts, append=len(at))
                     rows.append(k)
-                    marks.append(hashes[at[np.diff(at, prepend=-1) > 0]])
-            taken = pa.array(rows, pa.int64())
+                    ends.append(ends[-1] + len(starts))
+                    parts.append((hashes[at[starts]], two.between(_mixed(words), starts, starts + sizes - 1 + least), starts, sizes))
+            taken, offsets = pa.array(rows, pa.int64()), pa.array(ends, pa.int32())
+            lists = [pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(column) if parts else [], kind))
+                     for column, kind in zip(list(zip(*parts)) or [()] * 4, (pa.int64(), pa.int64(), pa.int32(), pa.int32()))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_key").take(taken), batch.column("at").take(taken), pa.array(marks, pa.list_(pa.int64()))],
-                ["doc_key", "at", "marks"])
+                [batch.column("doc_key").take(taken), batch.column("at").take(taken), *lists],
+                ["doc_key", "at", "mark", "span", "start", "size"])
     return run
 
 
-def _word_windows(least: int):
-    """Windows on repeated fingerprints."""
+def _span_windows(least: int):
+    """The windows of some spans, each with two hashes of its words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one, two = map(_Runs, _BASES)
         for batch in batches:
-            rows, starts, lows, highs = [], [], [], []
-            hits = batch.column("hits")
-            for k, text in enumerate(batch.column("b").to_pylist()):
+            rows, columns = [], []
+            for k, (text, spans) in enumerate(zip(batch.column("b").to_pylist(), batch.column("spans"))):
                 words = word_hashes(text)
-                hashes, at = winnowed(words, least, one)
-                on = np.flatnonzero(np.isin(hashes[at], hits[k].values.to_numpy()))
+                fields = spans.values
+                first, size = (fields.field(name).to_numpy().astype(np.int64) for name in ("start", "size"))
+                which = np.repeat(np.arange(len(size)), size)
+                on = np.arange(len(which)) - np.repeat(np.cumsum(size) - size, size) + first[which]
+                lows, highs = one(words, least)[on], two(_mixed(words), least)[on]
                 rows.append(np.full(len(on), k))
-                starts.append(on)
-                lows.append(one(words, least)[on])
-                highs.append(two(_mixed(words), least)[on])
+                columns.append((fields.field("mark").to_numpy()[which], fields.field("span").to_numpy()[which],
+                                (on - first[which]).astype(np.int32), on.astype(np.int32), lows.view(np.int64), highs.view(np.int64)))
             if rows:
                 taken = pa.array(np.concatenate(rows))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("row_no").take(taken), batch.column("doc_key").take(taken), pa.array(np.concatenate(starts), pa.int32()),
-                     pa.array(np.concatenate(lows).view(np.int64)), pa.array(np.concatenate(highs).view(np.int64))],
-                    ["row_no", "doc_key", "start", "low", "high"])
+                    [batch.column("row_no").take(taken), batch.column("doc_key").take(taken), *map(pa.array, map(np.concatenate, zip(*columns)))],
+                    ["row_no", "doc_key", "mark", "span", "offset", "start", "low", "high"])
     return run
 
 
-def cut_out(text: bytes, starts: list[int], least: int) -> tuple[bytes, int, int, int]:
-    """Text without the windows: lines that lose all their words go, others keep what is around. Also the numbers of
+def cut_out(text: bytes, starts: np.ndarray, stops: np.ndarray) -> tuple[bytes, int, int, int]:
+    """Text without the words from ``starts`` to before ``stops``: lines that lose all their words go, others keep what is around. Also the numbers of
     lines with a word, of those that go, and of the words that go."""
     lines, used = lines_of(text)
     gone = np.zeros(sum(len(lines[i].split()) for i in used) + 1, np.int64)
     np.add.at(gone, starts, 1)
-    np.add.at(gone, np.array(starts, np.int64) + least, -1)
+    np.add.at(gone, stops, -1)
     gone = np.cumsum(gone)[:-1] > 0
     left, first, n_gone = [], 0, 0
     for line in lines:
@@ -268,8 +287,12 @@ def _cut(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for text, starts in zip(batch.column("b").to_pylist(), batch.column("starts").to_pylist()):
-                rows.append(cut_out(text, starts, least) if starts else (text, len(lines_of(text)[1]), 0, 0))
+            for text, runs in zip(batch.column("b").to_pylist(), batch.column("runs")):
+                if runs.is_valid:
+                    start, size = (runs.values.field(name).to_numpy().astype(np.int64) for name in ("start", "size"))
+                    rows.append(cut_out(text, start, start + size - 1 + least))
+                else:
+                    rows.append((text, len(lines_of(text)[1]), 0, 0))
             texts, n_lines, n_gone, n_words = zip(*rows) if rows else ((), (), (), ())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_key"), pa.array(n_lines, pa.int64()), pa.array(n_gone, pa.int64()), pa.array(n_words, pa.int64()),
@@ -278,36 +301,65 @@ def _cut(least: int):
     return run
 
 
+def _first_windows(rows: DataFrame, marked: DataFrame, each: DataFrame, min_words: int) -> DataFrame:
+    """What stood before of the spans that share a fingerprint with other spans: (mark, span), ``offsets`` of the windows
+    in the span's first place that stood somewhere before, ``own_keys`` of those first places, ``keys`` of the first
+    places of all its windows. Other spans are equal as a whole wherever their fingerprint stands."""
+    contested = each.groupBy("mark").agg(F.count("*").alias("spans")).where("spans > 1").select("mark")
+    rivals = each.join(stored(contested, "contested").hint("merge"), "mark").groupBy(F.col("first.row_no").alias("row_no")).agg(
+        F.collect_list(F.struct(F.col("first.start").alias("start"), "size", "mark", "span")).alias("spans"))
+    there = stored(marked.select("row_no", F.col("at").alias("there")).join(rivals, "row_no"), "rivals")
+    kind = rows.schema["doc_key"].dataType.simpleString()
+    windows = stored(map_batches(
+        rows.join(there.hint("merge"), F.col("at") == F.col("there")).select("row_no", "doc_key", "b", "spans"), _span_windows(min_words),
+        f"row_no bigint, doc_key {kind}, mark bigint, span bigint, offset int, start int, low bigint, high bigint"), "word-windows")
+    position = F.struct("doc_key", "row_no", "start")
+    first = windows.groupBy("low", "high").agg(F.min(position).alias("first"), F.count("*").alias("places")).where("places > 1")
+    found = windows.join(stored(first.select("low", "high", "first"), "first-windows").hint("merge"), ["low", "high"], "left")
+    later = F.col("first").isNotNull() & ~position.eqNullSafe(F.col("first"))
+    return found.groupBy("mark", "span").agg(
+        F.collect_list(F.when(later, F.col("offset"))).alias("offsets"),
+        F.collect_set(F.when(later, F.col("first.doc_key"))).alias("own_keys"),
+        F.collect_set(F.when(later, F.col("first.doc_key")).otherwise(F.col("doc_key"))).alias("keys"))
+
+
 def repeated_windows(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = 50) -> DataFrame:
-    """Windows of words that stood before: ``at`` (locator), start (number among the words) and first_key."""
+    """Windows of words that stood before, a row per document that has some: ``at`` (locator), ``runs`` of windows
+    (number of the first one's first word, number of windows) and ``first_keys``."""
     rows = located(docs, key, text).select("doc_key", "at", utf8(F.col("body")).alias("b"))
     kind = rows.schema["doc_key"].dataType.simpleString()
     marked = numbered(map_batches(
-        rows, _marks(min_words), f"doc_key {kind}, at struct<path:string,row:bigint>, marks array<bigint>"), "word-marks")
-    several = marked.select(F.explode("marks").alias("mark")).groupBy("mark").agg(F.count("*").alias("places")).where("places > 1")
-    hits = marked.select("row_no", F.explode(F.array_distinct("marks")).alias("mark")).join(
-        stored(several.select("mark"), "repeated-marks"), "mark").groupBy("row_no").agg(F.collect_list("mark").alias("hits"))
-    there = stored(marked.select("row_no", F.col("at").alias("there")).join(hits, "row_no"), "word-hits")
-    windows = stored(map_batches(
-        rows.join(there.hint("merge"), F.col("at") == F.col("there")).select("row_no", "doc_key", "b", "hits"), _word_windows(min_words),
-        f"row_no bigint, doc_key {kind}, start int, low bigint, high bigint"), "word-windows")
+        rows, _spans(min_words), f"doc_key {kind}, at struct<path:string,row:bigint>, mark array<bigint>, span array<bigint>, "
+        "start array<int>, size array<int>"), "word-marks")
+    several = marked.select(F.explode("mark").alias("mark")).groupBy("mark").agg(F.count("*").alias("places")).where("places > 1")
+    places = marked.select("row_no", "doc_key", F.inline(F.arrays_zip("mark", "span", "start", "size")))
+    shared = stored(places.join(stored(several.select("mark"), "repeated-marks").hint("merge"), "mark"), "shared-marks")
     position = F.struct("doc_key", "row_no", "start")
-    first = windows.groupBy("low", "high").agg(F.min(position).alias("first"), F.count("*").alias("places")).where("places > 1")
-    later = windows.join(stored(first.select("low", "high", "first"), "first-word-windows"), ["low", "high"]).where(
-        ~position.eqNullSafe(F.col("first")))
-    return later.select("row_no", "start", F.col("first.doc_key").alias("first_key")).join(
-        there.select("row_no", F.col("there").alias("at")), "row_no").select("at", "start", "first_key")
+    each = stored(shared.groupBy("mark", "span").agg(F.min(position).alias("first"), F.first("size").alias("size")), "first-spans")
+    windows = stored(_first_windows(rows, marked, each, min_words), "rival-windows")
+
+    told = each.drop("size").join(windows.hint("merge"), ["mark", "span"], "left")
+    own = position.eqNullSafe(F.col("first"))
+    start = F.col("start")
+    runs = F.when(own, F.transform("offsets", lambda i: F.struct((start + i).alias("start"), F.lit(1).alias("size")))).otherwise(
+        F.array(F.struct("start", "size")))
+    keys = F.when(own, F.col("own_keys")).otherwise(F.coalesce("keys", F.array_compact(F.array("first.doc_key"))))
+    hit = shared.join(told.hint("merge"), ["mark", "span"]).where(~own | (F.size("offsets") > 0)).select(
+        "row_no", runs.alias("runs"), keys.alias("keys"))
+    gathered = hit.groupBy("row_no").agg(
+        F.flatten(F.collect_list("runs")).alias("runs"), F.sort_array(F.flatten(F.collect_set("keys"))).alias("first_keys"))
+    return gathered.join(marked.select("row_no", "at").hint("merge"), "row_no").select(
+        "at", "runs", F.array_distinct("first_keys").alias("first_keys"))
 
 
 def without_passages(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = 50) -> DataFrame:
     """One row per document, as ``deduplicated``, without the words of all passages of ``min_words`` or more that stood
     before, wherever in lines they begin and end; n_removed_lines are lines that lose all their words."""
-    runs = repeated_windows(docs, key, text, min_words).groupBy("at").agg(
-        F.collect_list("start").alias("starts"), F.sort_array(F.collect_set("first_key")).alias("first_keys")).withColumnRenamed("at", "there")
+    runs = repeated_windows(docs, key, text, min_words).withColumnRenamed("at", "there")
     rows = located(docs, key, text)
     kind = rows.schema["doc_key"].dataType.simpleString()
     joined = rows.join(stored(runs, "word-runs").hint("merge"), F.col("at") == F.col("there"), "left").select(
-        "doc_key", utf8(F.col("body")).alias("b"), "starts",
+        "doc_key", utf8(F.col("body")).alias("b"), "runs",
         F.coalesce("first_keys", F.array().cast(f"array<{kind}>")).alias("first_keys"))
     return map_batches(
         joined, _cut(min_words), f"doc_key {kind}, n_lines bigint, n_removed_lines bigint, n_removed_words bigint, "
