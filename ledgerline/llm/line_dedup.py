@@ -197,17 +197,68 @@ class _Runs:
         return _mixed((sums[stops] - sums[starts]) * self.inverse[starts] + (stops - starts).astype(np.uint64)).view(np.int64)
 
 
-def word_hashes(text: bytes) -> np.ndarray:
-    words = text.split()
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+_BLANK = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
+_FIRST_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+_LONG = 64
+
+
+def words_of(texts: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of some texts, one after the other, and where each text's words begin, with the end.
+
+    Eight bytes are mixed in at a time; words of more than 64 bytes are hashed one by one."""
+    size = np.int64 if pa.types.is_large_binary(texts.type) else np.int32
+    bounds = np.frombuffer(texts.buffers()[1], size)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
+    data = texts.buffers()[2]
+    data = np.frombuffer(data, np.uint8)[bounds[0]:bounds[-1]] if data else np.empty(0, np.uint8)
+    bounds = bounds - bounds[0]
+    inside = np.zeros(len(data) + 2, bool)
+    inside[1:-1] = ~_BLANK[data]
+    firsts, lasts = inside[1:-1] & ~inside[:-2], inside[1:-1] & ~inside[2:]
+    cuts = bounds[(bounds > 0) & (bounds < len(data))]
+    firsts[cuts] |= inside[1:-1][cuts]
+    lasts[cuts - 1] |= inside[1:-1][cuts - 1]
+    starts = np.flatnonzero(firsts)
+    lengths = np.flatnonzero(lasts) + 1 - starts
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+    hashes = _mixed(lengths.astype(np.uint64) * np.uint64(_BASES[0]))
+    todo, done = np.flatnonzero(lengths <= _LONG), 0
+    while len(todo):
+        part = eight[starts[todo] + done] & _FIRST_BYTES[np.minimum(lengths[todo] - done, 8)]
+        hashes[todo] = _mixed((hashes[todo] ^ part) + np.uint64(_BASES[1]))
+        done += 8
+        todo = todo[lengths[todo] > done]
+    for i in np.flatnonzero(lengths > _LONG):
+        hashes[i] = xxhash.xxh3_64_intdigest(data[starts[i]:starts[i] + lengths[i]].tobytes())
+    return hashes, np.searchsorted(starts, bounds)
 
 
 def winnowed(words: np.ndarray, least: int, runs: _Runs) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all runs of half a window, and for each window the run selected, the last one of equals."""
     half = max(least // 2, 1)
     hashes = runs(words, half)
-    views = np.lib.stride_tricks.sliding_window_view(hashes, least - half + 1)
-    return hashes.view(np.int64), np.arange(len(views)) + least - half - views[:, ::-1].argmin(axis=1)
+    low, at, size, width = hashes, np.arange(len(hashes)), 1, least - half + 1
+    while size < width:
+        step = min(size, width - size)
+        right = low[step:] <= low[:-step]
+        low, at = np.where(right, low[step:], low[:-step]), np.where(right, at[step:], at[:-step])
+        size += step
+    return hashes.view(np.int64), at
+
+
+def _some_rows(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for first in range(0, batch.num_rows, rows):
+            yield batch.slice(first, rows)
+
+
+def _groups(ends: np.ndarray, most: int = 1 << 16) -> Iterator[tuple[int, int]]:
+    """Neighbouring texts with about ``most`` words together; a longer text is a group of its own."""
+    first = 0
+    while first < len(ends) - 1:
+        stop = max(int(np.searchsorted(ends, ends[first] + most, "right")) - 1, first + 1)
+        yield first, stop
+        first = stop
 
 
 def _spans(least: int):
@@ -215,22 +266,29 @@ def _spans(least: int):
     windows, the first window's start and how many there are."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one, two = map(_Runs, _BASES)
-        for batch in batches:
-            rows, ends, parts = [], [0], []
-            for k, text in enumerate(batch.column("b").to_pylist()):
-                words = word_hashes(text)
-                if len(words) >= least:
-                    hashes, at = winnowed(words, least, one)
-                    starts = np.flatnonzero(np.diff(at, prepend=-1) > 0)
-                    sizes = np.diff(starts, append=len(at))
-                    rows.append(k)
-                    ends.append(ends[-1] + len(starts))
-                    parts.append((hashes[at[starts]], two.between(_mixed(words), starts, starts + sizes - 1 + least), starts, sizes))
-            taken, offsets = pa.array(rows, pa.int64()), pa.array(ends, pa.int32())
+        for batch in _some_rows(batches):
+            words, ends = words_of(batch.column("b"))
+            parts, n_spans = [], np.zeros(batch.num_rows, np.int64)
+            for first, stop in _groups(ends):
+                own = words[ends[first]:ends[stop]]
+                if len(own) < least:
+                    continue
+                begins = ends[first:stop] - ends[first]
+                n_windows = np.maximum(np.diff(ends[first:stop + 1]) - least + 1, 0)
+                text = np.repeat(np.arange(stop - first), n_windows)
+                windows = np.arange(len(text)) + (begins - np.cumsum(n_windows) + n_windows)[text]
+                hashes, at = winnowed(own, least, one)
+                new = np.flatnonzero(np.diff(at[windows], prepend=-1) > 0)
+                starts, sizes = windows[new], np.diff(new, append=len(windows))
+                n_spans[first:stop] = np.bincount(text[new], minlength=stop - first)
+                parts.append((hashes[at[starts]], two.between(_mixed(own), starts, starts + sizes - 1 + least),
+                              (starts - begins[text[new]]).astype(np.int32), sizes.astype(np.int32)))
+            some = n_spans > 0
+            offsets = pa.array(np.concatenate([[0], np.cumsum(n_spans[some])]), pa.int32())
             lists = [pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(column) if parts else [], kind))
                      for column, kind in zip(list(zip(*parts)) or [()] * 4, (pa.int64(), pa.int64(), pa.int32(), pa.int32()))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_key").take(taken), batch.column("at").take(taken), *lists],
+                [batch.column("doc_key").filter(pa.array(some)), batch.column("at").filter(pa.array(some)), *lists],
                 ["doc_key", "at", "mark", "span", "start", "size"])
     return run
 
@@ -239,10 +297,11 @@ def _span_windows(least: int):
     """The windows of some spans, each with two hashes of its words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one, two = map(_Runs, _BASES)
-        for batch in batches:
+        for batch in _some_rows(batches):
             rows, columns = [], []
-            for k, (text, spans) in enumerate(zip(batch.column("b").to_pylist(), batch.column("spans"))):
-                words = word_hashes(text)
+            hashes, ends = words_of(batch.column("b"))
+            for k, spans in enumerate(batch.column("spans")):
+                words = hashes[ends[k]:ends[k + 1]]
                 fields = spans.values
                 first, size = (fields.field(name).to_numpy().astype(np.int64) for name in ("start", "size"))
                 which = np.repeat(np.arange(len(size)), size)
@@ -262,25 +321,26 @@ def _span_windows(least: int):
 def cut_out(text: bytes, starts: np.ndarray, stops: np.ndarray) -> tuple[bytes, int, int, int]:
     """Text without the words from ``starts`` to before ``stops``: lines that lose all their words go, others keep what is around. Also the numbers of
     lines with a word, of those that go, and of the words that go."""
-    lines, used = lines_of(text)
-    gone = np.zeros(sum(len(lines[i].split()) for i in used) + 1, np.int64)
+    lines = text.split(b"\n")
+    n_words = np.array([len(line.split()) for line in lines], np.int64)
+    ends = np.cumsum(n_words)
+    gone = np.zeros(ends[-1] + 1, np.int64)
     np.add.at(gone, starts, 1)
     np.add.at(gone, stops, -1)
     gone = np.cumsum(gone)[:-1] > 0
-    left, first, n_gone = [], 0, 0
-    for line in lines:
-        spans = [m.span() for m in _WORD.finditer(line)]
-        out = gone[first:first + len(spans)]
-        first += len(spans)
-        if not out.any():
+    n_before = np.concatenate([[0], np.cumsum(gone)])
+    lost = n_before[ends] - n_before[ends - n_words]
+    left = []
+    for i, line in enumerate(lines):
+        if not lost[i]:
             left.append(line)
-        elif out.all():
-            n_gone += 1
-        else:
-            ends = [b for b, _ in spans[1:]] + [len(line)]
-            kept = line[:spans[0][0]] + b"".join(line[a:end] for (a, _), end, cut in zip(spans, ends, out) if not cut)
+        elif lost[i] < n_words[i]:
+            out = gone[ends[i] - n_words[i]:ends[i]]
+            spans = [m.span() for m in _WORD.finditer(line)]
+            tails = [b for b, _ in spans[1:]] + [len(line)]
+            kept = line[:spans[0][0]] + b"".join(line[a:end] for (a, _), end, cut in zip(spans, tails, out) if not cut)
             left.append(kept.rstrip() if out[-1] else kept)
-    return b"\n".join(left), len(used), n_gone, int(gone.sum())
+    return b"\n".join(left), int((n_words > 0).sum()), len(lines) - len(left), int(gone.sum())
 
 
 def _cut(least: int):
@@ -303,8 +363,8 @@ def _cut(least: int):
 
 def _first_windows(rows: DataFrame, marked: DataFrame, each: DataFrame, min_words: int) -> DataFrame:
     """What stood before of the spans that share a fingerprint with other spans: (mark, span), ``offsets`` of the windows
-    in the span's first place that stood somewhere before, ``own_keys`` of those first places, ``keys`` of the first
-    places of all its windows. Other spans are equal as a whole wherever their fingerprint stands."""
+    in the span's first place that stood somewhere before, ``keys`` of the documents that have those first. All windows
+    of the other spans stand first in the span's first place."""
     contested = each.groupBy("mark").agg(F.count("*").alias("spans")).where("spans > 1").select("mark")
     rivals = each.join(stored(contested, "contested").hint("merge"), "mark").groupBy(F.col("first.row_no").alias("row_no")).agg(
         F.collect_list(F.struct(F.col("first.start").alias("start"), "size", "mark", "span")).alias("spans"))
@@ -315,12 +375,9 @@ def _first_windows(rows: DataFrame, marked: DataFrame, each: DataFrame, min_word
         f"row_no bigint, doc_key {kind}, mark bigint, span bigint, offset int, start int, low bigint, high bigint"), "word-windows")
     position = F.struct("doc_key", "row_no", "start")
     first = windows.groupBy("low", "high").agg(F.min(position).alias("first"), F.count("*").alias("places")).where("places > 1")
-    found = windows.join(stored(first.select("low", "high", "first"), "first-windows").hint("merge"), ["low", "high"], "left")
-    later = F.col("first").isNotNull() & ~position.eqNullSafe(F.col("first"))
-    return found.groupBy("mark", "span").agg(
-        F.collect_list(F.when(later, F.col("offset"))).alias("offsets"),
-        F.collect_set(F.when(later, F.col("first.doc_key"))).alias("own_keys"),
-        F.collect_set(F.when(later, F.col("first.doc_key")).otherwise(F.col("doc_key"))).alias("keys"))
+    later = windows.join(stored(first.select("low", "high", "first"), "first-windows").hint("merge"), ["low", "high"]).where(
+        ~position.eqNullSafe(F.col("first")))
+    return later.groupBy("mark", "span").agg(F.collect_list("offset").alias("offsets"), F.collect_set("first.doc_key").alias("keys"))
 
 
 def repeated_windows(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = 50) -> DataFrame:
@@ -340,11 +397,13 @@ def repeated_windows(docs: DataFrame, key: str = "doc_id", text: str = "text", m
 
     told = each.drop("size").join(windows.hint("merge"), ["mark", "span"], "left")
     own = position.eqNullSafe(F.col("first"))
+    n_before = F.coalesce(F.size("offsets"), F.lit(0))
+    first_key = F.array_compact(F.array("first.doc_key"))
     start = F.col("start")
     runs = F.when(own, F.transform("offsets", lambda i: F.struct((start + i).alias("start"), F.lit(1).alias("size")))).otherwise(
         F.array(F.struct("start", "size")))
-    keys = F.when(own, F.col("own_keys")).otherwise(F.coalesce("keys", F.array_compact(F.array("first.doc_key"))))
-    hit = shared.join(told.hint("merge"), ["mark", "span"]).where(~own | (F.size("offsets") > 0)).select(
+    keys = F.when(own | (n_before == F.col("size")), F.col("keys")).when(n_before > 0, F.concat("keys", first_key)).otherwise(first_key)
+    hit = shared.join(told.hint("merge"), ["mark", "span"]).where(~own | (n_before > 0)).select(
         "row_no", runs.alias("runs"), keys.alias("keys"))
     gathered = hit.groupBy("row_no").agg(
         F.flatten(F.collect_list("runs")).alias("runs"), F.sort_array(F.flatten(F.collect_set("keys"))).alias("first_keys"))

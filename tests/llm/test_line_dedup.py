@@ -1,5 +1,6 @@
 import random
 
+import pyarrow as pa
 import pytest
 
 from ledgerline.llm import line_dedup as q
@@ -101,3 +102,42 @@ def test_passage_inside_a_line(docs):
     assert found[2]["text"] == "a b c\nmore" and found[2]["first_keys"] == [1]
     assert found[3]["text"] == "tail" and found[3]["n_removed_lines"] == 59
     assert q.without_passages(docs([])).count() == 0
+
+
+def test_words_of():
+    """Words as bytes.split() cuts them, over slices, empty texts and words of any length."""
+    chance = random.Random(5)
+    texts = ["".join(chance.choice("ab \n\t\r\x0b\x0c\u00e9") for _ in range(chance.randrange(60))).encode() for _ in range(50)]
+    texts += [b"", b"x" * 8, b"x" * 9, b"x" * 64, b"x" * 65, b"x" * 200, b"x\x00", b"x", b" y" * 300]
+    column = pa.array([b"before", *texts, b"behind"], pa.binary()).slice(1, len(texts))
+    hashes, ends = q.words_of(column)
+    known = {}
+    for text, start, stop in zip(texts, ends, ends[1:]):
+        words = text.split()
+        assert len(words) == stop - start
+        for word, value in zip(words, hashes[start:stop]):
+            assert known.setdefault(word, value) == value
+    assert len(set(known.values())) == len(known)
+    assert q.words_of(pa.array([], pa.binary()))[1].tolist() == [0]
+
+
+def test_long_text_and_clashing_columns(ready, docs, tmp_path):
+    """A text of 200,000 words beside short ones, in a table whose other columns have the names used inside."""
+    chance = random.Random(6)
+    long = [f"v{chance.randrange(10**9)}" for _ in range(200_000)]
+    rows = [(1, " ".join(long)), (2, "intro " + " ".join(long[150_000:150_080]) + " end"), (3, "short"), (4, " ".join(long))]
+    table = docs(rows).selectExpr(
+        "doc_id", "text", "1 as mark", "2 as span", "3 as start", "4 as size", "'x' as at", "5 as doc_key", "6 as row_no", "7 as runs")
+    table.write.parquet(str(tmp_path / "clash"))
+    found = {r["doc_id"]: r for r in q.without_passages(ready.read.parquet(str(tmp_path / "clash"))).collect()}
+    assert [found[i]["n_removed_words"] for i in (1, 2, 3, 4)] == [0, 80, 0, 200_000]
+    assert found[2]["text"] == "intro end" and found[4]["text"] == "" and found[4]["first_keys"] == [1]
+
+
+def test_hot_passage(docs):
+    """One passage in most documents, with different surroundings: all but the first lose it, and nothing else."""
+    passage = " ".join(f"w{i}" for i in range(70))
+    rows = [(i, f"a{i} b{i}\n{passage} c{i}") for i in range(300)] + [(1000 + i, passage) for i in range(300)]
+    found = {r["doc_id"]: r for r in q.without_passages(docs(rows)).collect()}
+    assert found[0]["text"] == rows[0][1] and all(found[i]["text"] == f"a{i} b{i}\nc{i}" for i in range(1, 300))
+    assert all(found[1000 + i]["text"] == "" and found[1000 + i]["first_keys"] == [0] for i in range(300))
