@@ -31,8 +31,16 @@ def _pack(values: np.ndarray, bits: int) -> np.ndarray:
 
 def _select(words: np.ndarray, rank: np.ndarray) -> np.ndarray:
     """Place of the set bit number ``rank`` (from 0) in each word."""
-    bits = np.unpackbits(words.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    return np.argmax(np.cumsum(bits, axis=1, dtype=np.uint8) == (rank + 1).astype(np.uint8)[:, None], axis=1)
+    words, rank = words.astype(_U), rank.astype(np.int64)
+    place = np.zeros(len(words), np.int64)
+    for width in (32, 16, 8, 4, 2, 1):
+        below = np.bitwise_count(words & _U((1 << width) - 1)).astype(np.int64)
+        above = rank >= below
+        rank = rank - below * above
+        step = width * above
+        words = words >> step.astype(_U)
+        place += step
+    return place
 
 
 class EliasFano:
