@@ -58,3 +58,25 @@ def test_one_of_each(docs):
     assert left.columns == table.columns
     assert sorted(r["doc_id"] for r in left.collect()) == sorted(set(groups.values()))
     assert q.one_of_each(docs([])).count() == 0
+
+
+def test_rows_with_many_columns_of_their_own_still_link(docs):
+    """Texts just above and below the similarity, beside copies that make no column common, and a very long text."""
+    chance = random.Random(9)
+    base = [f"b{i}" for i in range(402)]
+    near = [*base[:390], *(f"n{i}" for i in range(12))]  # 388 of 412 columns
+    far = [*base[:370], *(f"f{i}" for i in range(32))]  # 368 of 432 columns
+    long = " ".join(f"w{chance.randrange(100_000)}" for _ in range(150_000))
+    rows = list(enumerate([" ".join(base), " ".join(near), " ".join(far), long, long + " end", *[" ".join(far)] * 20]))
+    found = {r["doc_key"]: r["component_id"] for r in q.linked_groups(docs(rows), k=3, percent=90).collect()}
+    assert found == {0: 0, 1: 0, 2: 2, 3: 3, 4: 3, **{i: 2 for i in range(5, 25)}}
+
+
+def test_clashing_columns_and_no_rows(ready, tmp_path):
+    clash = ", ".join(f"'x' AS {name}" for name in ("node", "n", "at", "digest", "short", "component", "component_id", "body", "gram"))
+    ready.sql(f"SELECT id AS doc_id, IF(id < 3, 'a b c d e f', CONCAT('t ', id)) AS text, {clash} FROM range(6)").write.parquet(f"{tmp_path}/t")
+    table = ready.read.parquet(f"{tmp_path}/t")
+    assert sorted(r["component_id"] for r in q.linked_groups(table).collect()) == [0, 0, 0, 3, 4, 5]
+    left = q.one_of_each(table)
+    assert left.columns == table.columns and sorted(r["doc_id"] for r in left.collect()) == [0, 3, 4, 5]
+    assert q.linked_groups(table.where("doc_id < 0")).count() == 0
