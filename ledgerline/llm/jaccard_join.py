@@ -5,9 +5,10 @@ only one row has cannot add to an overlap, so a row with so many of them that no
 discarded before any product. They are counted exactly, by one aggregation over a share of the columns (those of small
 hash): ``SPREAD`` times the share of a row that must be lost to miss the similarity.
 
-The rows left are multiplied in blocks of columns. The first block is each row's head in one global order, counted
-columns first and rare ones before frequent ones, so long that rows which link must meet in it; it gives candidate
-pairs, and pairs whose sizes or remaining columns cannot reach the bound are discarded there. For the others overlap
+Among the rows left all columns are counted, and the rows are multiplied in blocks of columns. The first block is each
+row's head in one global order, rare columns before frequent ones, so long that rows which link must meet in it; it
+gives candidate pairs, and pairs whose sizes or remaining columns cannot reach the bound are discarded there; a row
+whose head is full of columns of its own takes no part. For the others overlap
 counts are accumulated over the blocks ``CUTS`` of all columns, and after each block the pairs go whose overlap so far
 and columns left cannot reach the bound.
 
@@ -29,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import located, map_batches, numbered, stored, utf8, without
@@ -72,11 +73,6 @@ def gram_set(text: bytes, k: int, hashes: WordHashes) -> np.ndarray:
     return np.unique(total)
 
 
-def _needed(n, percent: int):
-    """Length of the head of a row of ``n`` columns: rows that link share a column among so many of each."""
-    return n - (percent * n + 99) // 100 + 1
-
-
 def _counted(percent: int) -> int:
     """Columns whose hash is at most this are counted."""
     return min((1 << 64) - 1, SPREAD * (100 - percent) * (1 << 64) // 100)
@@ -120,37 +116,35 @@ def _able(rows: DataFrame, nodes: DataFrame, k: int, percent: int) -> DataFrame:
     own = columns.groupBy("gram").agg(F.min("short").alias("short"), F.max("short").alias("other")).where(
         "short = other").groupBy("short").agg(F.count("*").alias("own"))
     alone = nodes.groupBy("short").agg(F.count("*").alias("same"), F.min("n").alias("n")).where("same = 1").join(
-        own.hint("merge"), "short").where(F.col("own") >= _needed_column(percent)).select("short")
+        own.hint("merge"), "short").where(F.col("own") >= _needed(percent)).select("short")
     return nodes.join(alone.hint("merge"), "short", "left_anti")
 
 
-def _needed_column(percent: int, n: str = "n"):
-    return F.expr(f"{n} - ({percent} * {n} + 99) div 100 + 1")
+def _needed(percent: int) -> Column:
+    """Length of the head of a row of ``n`` columns: rows that link share a column among so many of each."""
+    return F.expr(f"n - ({percent} * n + 99) div 100 + 1")
 
 
-def _sets(k: int, percent: int, bits):
+def _sets(k: int, bits):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, wanted, last = WordHashes(), np.frombuffer(bits.value, np.uint8), np.uint64(_counted(percent))
+        hashes, wanted = WordHashes(), np.frombuffer(bits.value, np.uint8)
         ends = np.array([(cut << 61) - 1 for cut in CUTS], np.uint64)
         for batch in batches:
             slot = batch.column("slot").to_numpy()
             batch = batch.filter(pa.array((wanted[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1))
-            counted, first, blocks = [], [], [[] for _ in CUTS]
+            blocks = [[] for _ in CUTS]
             for text in batch.column("b").to_pylist():
                 grams = gram_set(text, k, hashes)
-                counted.append(int(np.searchsorted(grams, last, "right")))
-                first.append(grams[: max(counted[-1], _needed(len(grams), percent))].view(np.int64))
                 parts = np.split(grams.view(np.int64), np.searchsorted(grams, ends[:-1], "right"))
                 for block, part in zip(blocks, parts):
                     block.append(part)
             longs = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("at"), pa.array(counted, pa.int64()), pa.array(first, longs), *(pa.array(b, longs) for b in blocks)],
-                ["at", "counted", "first", *(f"block{i}" for i in range(len(CUTS)))])
+                [batch.column("at"), *(pa.array(b, longs) for b in blocks)], ["at", *(f"block{i}" for i in range(len(CUTS)))])
     return run
 
 
-def _sets_of(rows: DataFrame, signed: DataFrame, able: DataFrame, k: int, percent: int) -> DataFrame:
+def _sets_of(rows: DataFrame, signed: DataFrame, able: DataFrame, k: int) -> DataFrame:
     """Whole sets of the nodes in ``able``, by blocks. A bitmap of 2**25 places (4 MB, whatever the corpus) tells tasks
     which texts may be asked for, so that few others are taken and no text is shuffled."""
     spark, places = rows.sparkSession, 1 << _PLACE_BITS
@@ -166,23 +160,19 @@ def _sets_of(rows: DataFrame, signed: DataFrame, able: DataFrame, k: int, percen
     names = [f"block{i}" for i in range(len(CUTS))]
     sets = map_batches(
         rows.select("at", F.pmod(F.xxhash64("at"), F.lit(places)).alias("slot"), utf8(F.col("body")).alias("b")),
-        _sets(k, percent, bits), "at struct<path:string,row:bigint>, counted bigint, first array<bigint>, "
-        + ", ".join(f"{name} array<bigint>" for name in names))
-    return stored(sets.join(wanted.hint("merge"), F.col("at") == F.col("place")).select("node", "n", "counted", "first", *names), "sets")
+        _sets(k, bits), "at struct<path:string,row:bigint>, " + ", ".join(f"{name} array<bigint>" for name in names))
+    return stored(sets.join(wanted.hint("merge"), F.col("at") == F.col("place")).select("node", "n", *names), "sets")
 
 
 def _head_columns(sets: DataFrame, percent: int) -> DataFrame:
-    """Columns of the heads that at least two rows have, with their position in the row's order: ``gram``, ``node``,
-    ``n``, ``pos``. Counted columns come first, by count and hash, then the others by hash."""
-    all_first = sets.select("node", "n", "counted", F.posexplode("first").alias("place", "gram"))
-    several = stored(all_first.groupBy("gram").agg(F.count("*").alias("rows")).where("rows > 1"), "grams")
-    shared = all_first.join(several.hint("merge"), "gram").withColumn("late", F.col("place") >= F.col("counted"))
+    """Columns of the heads that at least two rows have, with their position in the row's order (by count, then hash;
+    columns of the row alone come first): ``gram``, ``node``, ``n``, ``pos``."""
+    columns = sets.select("node", "n", F.explode(F.concat(*(f"block{i}" for i in range(len(CUTS))))).alias("gram"))
+    several = stored(columns.groupBy("gram").agg(F.count("*").alias("rows")).where("rows > 1"), "grams")
+    shared = columns.join(several.hint("merge"), "gram")
     of_node = Window.partitionBy("node")
-    mine = F.sum(F.when(F.col("late"), 0).otherwise(1)).over(of_node)
-    rank = F.row_number().over(of_node.orderBy("late", "rows", "gram")) - 1
-    pos = F.when(F.col("late"), F.col("place")).otherwise(F.col("counted") - mine + rank)
-    return stored(shared.select("gram", "node", "n", pos.cast("long").alias("pos")).where(
-        F.col("pos") < _needed_column(percent)), "columns")
+    pos = F.col("n") - F.count("*").over(of_node) + F.row_number().over(of_node.orderBy("rows", "gram")) - 1
+    return stored(shared.select("gram", "node", "n", pos.alias("pos")).where(F.col("pos") < _needed(percent)), "columns")
 
 
 def _bounds(percent: int):
@@ -220,7 +210,7 @@ def linked_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", k: i
         f"doc_key {kind}, at struct<path:string,row:bigint>, n bigint, digest binary, short bigint"), "signatures")
     nodes = stored(signed.where("n > 0").groupBy("digest").agg(
         F.min("row_no").alias("node"), F.min("doc_key").alias("least"), F.first("n").alias("n"), F.first("short").alias("short")), "nodes")
-    sets = _sets_of(rows, signed, _able(rows, nodes, k, percent), k, percent)
+    sets = _sets_of(rows, signed, _able(rows, nodes, k, percent), k)
 
     order = F.col("pos") * F.lit(1 << 32) + F.pmod(F.xxhash64("node"), F.lit(1 << 32))
     shared = _head_columns(sets, percent)
