@@ -29,18 +29,39 @@ def _pack(values: np.ndarray, bits: int) -> np.ndarray:
     return np.concatenate([words.reshape(-1), np.zeros(1, _U)])
 
 
+def _unpack(words: np.ndarray, bits: int, size: int) -> np.ndarray:
+    """The first ``size`` numbers that ``_pack`` wrote."""
+    if bits == 0:
+        return np.zeros(size, _U)
+    rows = -(-size // 64)
+    words = words[: rows * bits].reshape(rows, bits)
+    values = np.zeros((rows, 64), _U)
+    for column in range(64):
+        at, shift = divmod(column * bits, 64)
+        values[:, column] = words[:, at] >> _U(shift)
+        if shift + bits > 64:
+            values[:, column] |= words[:, at + 1] << _U(64 - shift)
+    values &= _U((1 << bits) - 1)
+    return values.reshape(-1)[:size]
+
+
+#: Place of each set bit in each byte.
+_IN_BYTE = np.array([[*[i for i in range(8) if byte >> i & 1], *[0] * (8 - byte.bit_count())] for byte in range(256)],
+                    np.int64).reshape(-1)
+_EACH = 0x0101010101010101
+
+
 def _select(words: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    """Place of the set bit number ``rank`` (from 0) in each word."""
-    words, rank = words.astype(_U), rank.astype(np.int64)
-    place = np.zeros(len(words), np.int64)
-    for width in (32, 16, 8, 4, 2, 1):
-        below = np.bitwise_count(words & _U((1 << width) - 1)).astype(np.int64)
-        above = rank >= below
-        rank = rank - below * above
-        step = width * above
-        words = words >> step.astype(_U)
-        place += step
-    return place
+    """Place of the set bit number ``rank`` (from 0) in each word. Bits are counted up to each of the eight bytes at once."""
+    words, rank = words.astype(_U), rank.astype(_U)
+    sums = words - ((words >> _U(1)) & _U(0x55 * _EACH))
+    sums = (sums & _U(0x33 * _EACH)) + ((sums >> _U(2)) & _U(0x33 * _EACH))
+    sums = ((sums + (sums >> _U(4))) & _U(0x0F * _EACH)) * _U(_EACH)
+    passed = ((rank * _U(_EACH)) | _U(0x80 * _EACH)) - sums  # bytes up to which there are no more than ``rank``
+    place = np.bitwise_count(passed & _U(0x80 * _EACH)).astype(_U) << _U(3)
+    rank = rank - (((sums << _U(8)) >> place) & _U(0xFF))
+    byte = (words >> place) & _U(0xFF)
+    return place.astype(np.int64) + _IN_BYTE[((byte << _U(3)) | rank).astype(np.int64)]
 
 
 class EliasFano:
@@ -89,6 +110,11 @@ class EliasFano:
         place = word * 64 + _select(self.high[word], index - self.ones[word])
         return ((place - index) << self.bits) | self._low(index).astype(np.int64)
 
+    def all(self) -> np.ndarray:
+        """All numbers."""
+        place = np.flatnonzero(np.unpackbits(self.high.view(np.uint8), bitorder="little"))
+        return ((place - np.arange(self.size)) << self.bits) | _unpack(self.low, self.bits, self.size).astype(np.int64)
+
     def _zero(self, number: np.ndarray) -> np.ndarray:
         """Place of the zero bit ``number`` (from 0) in the high bits."""
         word = np.searchsorted(self.zeros, number, "right") - 1
@@ -104,10 +130,9 @@ class EliasFano:
         high = values >> self.bits
         inside = np.flatnonzero(high <= last)
         high, low = high[inside], (values[inside] & ((1 << self.bits) - 1)).astype(_U)
-        begin = np.zeros(len(high), np.int64)
-        after = np.flatnonzero(high > 0)
-        begin[after] = self._zero(high[after] - 1) - (high[after] - 1)
-        end = self._zero(high) - high
+        both = np.stack([np.maximum(high - 1, 0), high], 1).reshape(-1)
+        both = (self._zero(both) - both).reshape(-1, 2)
+        begin, end = np.where(high > 0, both[:, 0], 0), both[:, 1]
         lo, hi = begin.copy(), end.copy()
         while len(open_ := np.flatnonzero(lo < hi)):
             middle = (lo[open_] + hi[open_]) >> 1
@@ -143,7 +168,7 @@ def mapped_arrays(path: str) -> dict[str, np.ndarray]:
     """Arrays of a file, mapped into memory where the folder is mounted, else read."""
     files, inner = fs.FileSystem.from_uri(path)
     if isinstance(files, fs.LocalFileSystem):
-        data = np.memmap(inner, np.uint8, "r")
+        data = np.asarray(np.memmap(inner, np.uint8, "r"))
     else:
         with files.open_input_file(inner) as file:
             data = np.frombuffer(file.read_buffer(), np.uint8)

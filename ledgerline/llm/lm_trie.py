@@ -11,9 +11,11 @@ the rest is what the kept entries leave, so probabilities add up to one whatever
 the word, discounted by d1 = n1 / (n1 + 2 n2), 0.9 at most; what that leaves goes to all unknown words together. A text is its
 words and one end; it begins in the context of an end.
 
-Counting is done by Spark over all training texts: tasks count what they read, sort it, and send it packed by shard;
-a shard's task adds up. Shards grow in number with the corpus, not in size. A context's entries are in one shard, but
-for contexts with over a 4096th of all tokens, whose entries are dealt by context and word.
+Counting is done by Spark over all training texts: tasks count what they read, sort it, and send it by shard, keys as
+an Elias-Fano sequence; a shard's task adds up. A context's shard is the one that it lies in as an entry of the level
+above, so the keys of a shard lie close together however many shards there are. Shards grow in number with the corpus,
+not in size. A context's entries are in one shard, but for contexts with over a 4096th of all tokens, whose entries are
+dealt by context and word.
 
 Null and empty texts consist of an end. Rows with a null key are for training. Repeated rows count repeatedly. Without
 any training text all words are unknown, and the end too. Columns beside key and text are not read.
@@ -22,12 +24,12 @@ any training text all words are unknown, and the end too. Columns beside key and
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,8 +45,18 @@ _STEP = 2000.0  # quantised logarithms: steps of 1 / 2000 down from 0
 _PARTS = "kind string, shard int, n bigint, value double, path string"
 
 
-def hash_of(word: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(word) >> 1
+def hashes_of(words: list[bytes]) -> np.ndarray:
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+    return (hashes >> np.uint64(1)).astype(np.int64)
+
+
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """All words of some texts, A-Z in lower case, as bytes, and the number of words of each text."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts.view(pa.string())))
+    words, ends = split.flatten(), split.offsets.to_numpy() - split.offsets[0].as_py()
+    there = pc.greater(pc.binary_length(words), 0)  # blanks at either end of a text have an empty word beside them
+    before = np.concatenate([[0], np.cumsum(there.to_numpy(zero_copy_only=False))])
+    return words.filter(there).view(pa.binary()), np.diff(before[ends])
 
 
 def _mixed(values: np.ndarray) -> np.ndarray:
@@ -55,18 +67,22 @@ def _mixed(values: np.ndarray) -> np.ndarray:
 
 
 def _packed(keys: np.ndarray, counts: np.ndarray) -> bytes:
-    """Sorted keys as differences, and counts."""
-    steps = np.diff(keys, prepend=0)
-    kind = "<u4" if len(steps) and steps.max() < 1 << 32 else "<u8"
-    data = steps.astype(kind).tobytes()
-    return len(keys).to_bytes(8, "little") + kind[-1].encode() + data + zlib.compress(counts.astype("<u4").tobytes(), 1)
+    """Sorted keys as an Elias-Fano sequence from the first one on, and counts, of which most are small."""
+    made = EliasFano.of(keys - keys[0])
+    small = np.minimum(counts, 255).astype(np.uint8)
+    rest = zlib.compress(small.tobytes() + counts[small == 255].astype("<i8").tobytes(), 1)
+    head = np.array([len(keys), keys[0], made.bits, len(made.low), len(made.high)], "<i8")
+    return head.tobytes() + made.low.tobytes() + made.high.tobytes() + rest
 
 
 def _unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
-    size, width = int.from_bytes(blob[:8], "little"), int(blob[8:9])
-    end = 9 + size * width
-    return (np.cumsum(np.frombuffer(blob[9:end], f"<u{width}").astype(np.int64)),
-            np.frombuffer(zlib.decompress(blob[end:]), "<u4").astype(np.int64))
+    size, first, bits, low, high = np.frombuffer(blob, "<i8", 5).tolist()
+    numbers = np.frombuffer(blob, np.uint64, low + high, 40)
+    keys = EliasFano(size, bits, numbers[:low], numbers[low:], np.zeros(high, np.int64)).all() + first
+    rest = zlib.decompress(blob[40 + 8 * (low + high) :])
+    counts = np.frombuffer(rest, np.uint8, size).astype(np.int64)
+    counts[counts == 255] = np.frombuffer(rest, "<i8", offset=size)
+    return keys, counts
 
 
 def _added(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -79,12 +95,9 @@ def _added(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 def _dealt(keys: np.ndarray, counts: np.ndarray, shards: np.ndarray) -> Iterator[pa.RecordBatch]:
     """A row per shard with its part of sorted keys."""
-    order = np.argsort(shards, kind="stable")
-    bounds = np.flatnonzero(np.diff(shards[order], prepend=-1))
     numbers, blobs = [], []
-    for a, b in zip(bounds, [*bounds[1:], len(order)]):
-        part = order[a:b]
-        numbers.append(int(shards[part[0]]))
+    for shard, part in _groups(shards):
+        numbers.append(shard)
         blobs.append(_packed(keys[part], counts[part]))
     if numbers:
         yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int32()), pa.array(blobs, pa.binary())], ["shard", "counts"])
@@ -111,10 +124,12 @@ def _summary(rows: list[tuple]) -> pa.RecordBatch:
 
 @dataclass
 class Level:
-    """Shards of a level: files, first entry number of each, and what is known of heavy contexts."""
+    """Shards of a level: files, first entry number of each, the first context of each, and what is known of heavy
+    contexts. A context's shard is the one that holds the context in the level above."""
 
     paths: list[str] = field(default_factory=list)
     firsts: list[int] = field(default_factory=list)
+    starts: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
     heavy: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
     heavy_counts: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
     heavy_rest: np.ndarray = field(default_factory=lambda: np.empty(0))
@@ -127,8 +142,10 @@ class Level:
         return np.where(self.heavy[at] == contexts, at, -1)
 
     def shard_of(self, contexts: np.ndarray, words: np.ndarray, shards: int) -> np.ndarray:
-        key = np.where(self.heavy_at(contexts) >= 0, contexts * 1_000_003 + words, contexts)
-        return (_mixed(key) % np.uint64(shards)).astype(np.int64)
+        found = np.searchsorted(self.starts, contexts, "right") - 1
+        heavy = np.flatnonzero(self.heavy_at(contexts) >= 0)
+        found[heavy] = _mixed(contexts[heavy] * 1_000_003 + words[heavy]) % np.uint64(shards)
+        return found
 
 
 @dataclass
@@ -146,7 +163,7 @@ class Trie:
 
     def numbers(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Number (-1: unknown) and count of each word."""
-        hashes = np.fromiter(map(hash_of, words), np.int64, len(words))
+        hashes = hashes_of(words)
         numbers, counts = np.full(len(words), -1, np.int64), np.zeros(len(words), np.int64)
         if not self.words.paths:
             return numbers, counts
@@ -157,18 +174,16 @@ class Trie:
             counts[own[equal]] = arrays["counts"][index[equal]]
         return numbers, counts
 
-    def texts(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Numbers and counts of all tokens of the texts, ends included, and where each text begins."""
-        split = [t.lower().split() for t in texts]
-        distinct = [END, *set().union(*split)]
-        place = dict(zip(distinct, range(len(distinct))))
-        lengths = np.array([len(w) + 1 for w in split], np.int64)
-        flat = np.zeros(lengths.sum(), np.int64)
-        begins = np.cumsum(lengths) - lengths
+        words, lengths = words_of(texts)
+        coded = words.dictionary_encode()
+        numbers, counts = self.numbers([END, *coded.dictionary.to_pylist()])
+        flat = np.zeros(len(words) + len(lengths), np.int64)
+        begins = np.cumsum(lengths + 1) - (lengths + 1)
         body = np.ones(len(flat), bool)
-        body[begins + lengths - 1] = False
-        flat[body] = np.fromiter((place[w] for words in split for w in words), np.int64, int(body.sum()))
-        numbers, counts = self.numbers(distinct)
+        body[begins + lengths] = False
+        flat[body] = coded.indices.to_numpy() + 1
         return numbers[flat], counts[flat], begins
 
     def contexts(self, tokens: np.ndarray, begins: np.ndarray) -> np.ndarray:
@@ -178,7 +193,7 @@ class Trie:
         return before
 
     def children(self, depth: int, contexts: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """For pairs of context and word at a level: entry number (-1: none), discounted probability (0) and the
+        """For pairs of context and word at a level, sorted by context: entry number (-1: none), discounted probability (0) and the
         context's rest (1 where it has no entries)."""
         level = self.levels[depth]
         entry, share, rest = np.full(len(words), -1, np.int64), np.zeros(len(words)), np.ones(len(words))
@@ -186,12 +201,14 @@ class Trie:
         rest[heavy >= 0] = level.heavy_rest[heavy[heavy >= 0]] if len(level.heavy) else 1
         for shard, own in _groups(level.shard_of(contexts, words, len(level.paths))):
             arrays = mapped_arrays(level.paths[shard])
-            known, back = np.unique(contexts[own], return_inverse=True)
+            asked = contexts[own]
+            new = np.concatenate([[True], asked[1:] != asked[:-1]])
+            known, back = asked[new], np.cumsum(new) - 1
             at, there = EliasFano.mapped(arrays, "contexts").successor(known)
             there_at = at[there]
             pointers, below = EliasFano.mapped(arrays, "pointers"), EliasFano.mapped(arrays, "words")
             begin, end, base = np.zeros(len(known), np.int64), np.zeros(len(known), np.int64), np.zeros(len(known), np.int64)
-            begin[there], end[there] = pointers.get(there_at), pointers.get(there_at + 1)
+            begin[there], end[there] = pointers.get(np.stack([there_at, there_at + 1], 1).reshape(-1)).reshape(-1, 2).T
             later = np.flatnonzero(begin > 0)
             base[later] = below.get(begin[later] - 1) + 1
             left = np.ones(len(known))
@@ -233,8 +250,11 @@ def _pairs(contexts: np.ndarray, words: np.ndarray, n_words: int) -> tuple[tuple
 
 
 def _groups(shards: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each shard with the places that have it, in order."""
+    if len(shards) and shards.max() < 1 << 16:
+        shards = shards.astype(np.uint16)  # sorted by counting
     order = np.argsort(shards, kind="stable")
-    bounds = np.flatnonzero(np.diff(shards[order], prepend=-1))
+    bounds = np.flatnonzero(np.diff(shards[order].astype(np.int64), prepend=-1))
     for a, b in zip(bounds, [*bounds[1:], len(order)]):
         yield int(shards[order[a]]), order[a:b]
 
@@ -248,35 +268,36 @@ def _probability(quantised: np.ndarray) -> np.ndarray:
     return np.where(quantised == 65535, 0.0, np.exp(-quantised.astype(float) / _STEP))
 
 
-def _slices(batch: pa.RecordBatch) -> Iterator[list[bytes]]:
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.Array]:
     """Texts of a batch, some bytes at a time."""
-    some, held = [], 0
-    for text in batch.column("b").to_pylist():
-        some.append(text)
-        held += len(text)
+    texts, first, held = batch.column("b"), 0, 0
+    for row, size in enumerate(pc.binary_length(texts).to_pylist()):
+        held += size
         if held > 6 * _TOKENS:
-            yield some
-            some, held = [], 0
-    if some:
-        yield some
+            yield texts.slice(first, row + 1 - first)
+            first, held = row + 1, 0
+    if first < len(texts):
+        yield texts.slice(first)
 
 
 def _count_words(shards: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
+        waiting, held, ends = [], 0, 0
 
         def out() -> Iterator[pa.RecordBatch]:
-            keys = np.fromiter(map(hash_of, counts), np.int64, len(counts))
-            keys, sums = _added(keys, np.fromiter(counts.values(), np.int64, len(counts)))
+            keys, sums = _added(*map(np.concatenate, zip(*waiting, (hashes_of([END]), np.array([ends])))))
             yield from _dealt(keys, sums, ((keys >> 31) * shards) >> 32)
-            counts.clear()
         for batch in batches:
-            for text in batch.column("b").to_pylist():
-                counts.update(text.lower().split())
-                counts[END] += 1
-                if len(counts) > 500_000:
+            for texts in _slices(batch):
+                words, lengths = words_of(texts)
+                found = words.value_counts()
+                waiting.append((hashes_of(found.field("values").to_pylist()), found.field("counts").to_numpy()))
+                held, ends = held + len(found), ends + len(lengths)
+                if held > 1 << 21:
                     yield from out()
-        yield from out()
+                    waiting, held, ends = [], 0, 0
+        if ends:
+            yield from out()
     return run
 
 
@@ -400,7 +421,8 @@ def train(texts: DataFrame, text: str = "text", order: int = 2, min_count: int =
         if above * trie.n_words >= 1 << 63:
             raise OverflowError(f"pairs of {above} contexts and {trie.n_words} words don't fit 63 bits")
         often = sorted((r["n"], int(r["value"])) for r in heavy.collect())
-        level = Level(heavy=np.array([o[0] for o in often], np.int64), heavy_counts=np.array([o[1] for o in often], np.int64))
+        starts = np.array((trie.levels[-1] if trie.levels else trie.words).firsts, np.int64)
+        level = Level(starts=starts, heavy=np.array([o[0] for o in often], np.int64), heavy_counts=np.array([o[1] for o in often], np.int64))
         summary = stored(map_batches(rows, _count_pairs(trie, depth, level, shards), "shard int, counts binary").groupBy(
             "shard").applyInArrow(_write_pairs(trie, depth, level, folder, min_count, discount), _PARTS), f"lm-level-{depth}")
         placed = _filled(_placed(summary, shards), folder, f"level-{depth}")

@@ -4,10 +4,11 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from ledgerline.llm import lm_trie as q
-from ledgerline.llm.elias_fano import EliasFano
+from ledgerline.llm.elias_fano import EliasFano, _select
 
 
 @pytest.mark.parametrize("top, n", [(1, 1), (10, 40), (1000, 50), (1 << 40, 3000), ((1 << 62) + 5, 500), (70, 5000)])
@@ -21,6 +22,41 @@ def test_elias_fano(top, n):
     assert (index == np.searchsorted(values, asked)).all()
     assert (equal == np.isin(asked, values)).all()
     assert EliasFano.of(values[:0]).successor(asked)[0].tolist() == [0] * len(asked)
+    assert (made.all() == values).all()
+
+
+def test_select():
+    chance = np.random.default_rng(3)
+    words = chance.integers(1, 1 << 64, 300, dtype=np.uint64)
+    for word in [*words.tolist(), (1 << 64) - 1, 1, 1 << 63]:
+        places = [i for i in range(64) if word >> i & 1]
+        assert _select(np.full(len(places), word, np.uint64), np.arange(len(places))).tolist() == places
+
+
+def test_sent_counts_are_close_to_what_their_spread_needs():
+    chance = np.random.default_rng(4)
+    for top, most in ((1 << 30, 2.6), (1 << 48, 4.9), (1 << 62, 6.7)):
+        keys = np.unique(chance.integers(0, top, 100_000))
+        counts = chance.integers(1, 4, len(keys))
+        counts[::1000] = chance.integers(250, 1 << 40, len(counts[::1000]))
+        blob = q._packed(keys, counts)
+        assert len(blob) < most * len(keys)
+        back = q._unpacked(blob)
+        assert (back[0] == keys).all() and (back[1] == counts).all()
+
+
+def test_contexts_of_a_shard_lie_together():
+    level = q.Level(starts=np.array([0, 40, 40, 100]), heavy=np.array([50]), heavy_counts=np.array([9]))
+    contexts = np.array([0, 39, 40, 50, 50, 99, 100, 900])
+    found = level.shard_of(contexts, np.arange(8), 4)
+    assert found[[0, 1, 2, 5, 6, 7]].tolist() == [0, 0, 2, 2, 3, 3]
+
+
+def test_words_are_those_of_a_split_of_bytes():
+    texts = [b" a B\x0b\x0cc\t\r\n d ", b"", b"  ", b"x", "É Ünï A B\u0085c\xa0d".encode(), b"\xff Bad \x1c z\x00 Q"]
+    words, lengths = q.words_of(pa.array([b"left out", *texts], pa.binary()).slice(1))
+    assert words.to_pylist() == [w for t in texts for w in t.lower().split()]
+    assert lengths.tolist() == [len(t.split()) for t in texts]
 
 
 def brute(rows, order, min_count, discount):
