@@ -14,21 +14,25 @@ from __future__ import annotations
 
 import base64
 from array import array
+from collections.abc import Iterator
 from functools import lru_cache
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.llm.common import utf8
+from ledgerline.llm.common import slices, utf8
 
 _PAIRS = 1 << 17
 #: Bytes of a generation of remembered words, of which there are two; an entry costs about ``_ENTRY`` bytes besides its own.
 _GENERATION, _ENTRY, _LONGEST = 32 << 20, 250, 64
+#: Bytes of texts, and a number of tokens, that are worked on at once.
+_SLICE, _TOKENS = 2 << 20, 1 << 20
 
 
 class Codec:
@@ -37,17 +41,25 @@ class Codec:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
+        self.by_rank = pa.array(map(self.tokens.get, range(max(ranks.values()) + 1)), pa.large_binary())
         self.split = regex.compile(pattern).findall
         self.automaton = ahocorasick.Automaton()
         for token, rank in ranks.items():
             if self.merged(token) == [rank]:  # others only stand for whole pieces
                 self.automaton.add_word(token.decode("latin-1"), (len(token), rank))
         self.automaton.make_automaton()
+        self.sizes = {rank: len(token) for rank, token in self.tokens.items()}
+        self.shorter = {rank: self._shorter(token) for rank, token in self.tokens.items()}  # -1: there is none
         self.compatible = lru_cache(_PAIRS)(self._compatible)
         self.young: dict[str, bytes] = {}  # words that follow a blank
         self.old: dict[str, bytes] = {}
         self.held = 0
 
+    def _shorter(self, token: bytes) -> int:
+        """The longest token that ``token`` begins with, of those that stand in sequences."""
+        at = next((i for i in range(len(token) - 1, 0, -1) if token[:i].decode("latin-1") in self.automaton), 0)
+        return self.ranks[token[:at]] if at else -1
+
     @classmethod
     def from_file(cls, path: str, pattern: str) -> Codec:
         with open(path, "rb") as file:
@@ -55,12 +67,16 @@ class Codec:
 
     def merged(self, data: bytes) -> list[int]:
         """The merges as defined: the adjacent pair of lowest rank first. For short bytes only."""
-        parts = [data[i : i + 1] for i in range(len(data))]
-        while len(parts) > 1:
-            rank, at = min((self.ranks.get(parts[i] + parts[i + 1], 1 << 60), i) for i in range(len(parts) - 1))
-            if rank == 1 << 60:
-                break
+        parts, get, none = [data[i : i + 1] for i in range(len(data))], self.ranks.get, 1 << 60
+        pairs = [get(data[i : i + 2], none) for i in range(len(data) - 1)]
+        while pairs and (rank := min(pairs)) != none:
+            at = pairs.index(rank)
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            del pairs[at]
+            if at < len(pairs):
+                pairs[at] = get(parts[at] + parts[at + 1], none)
+            if at:
+                pairs[at - 1] = get(parts[at - 1] + parts[at], none)
         return [self.ranks[p] for p in parts]
 
     def _compatible(self, left: int, right: int) -> bool:
@@ -70,34 +86,29 @@ class Codec:
         """Tokens of one match of the pattern."""
         if (whole := self.ranks.get(data)) is not None:
             return [whole]
-        letters = data.decode("latin-1")
+        letters, compatible, sizes = data.decode("latin-1"), self.compatible, self.sizes
         longest = [rank for _, (_, rank) in self.automaton.iter_long(letters)]
-        if all(map(self.compatible, longest, longest[1:])):
+        fits = [*map(compatible, longest, longest[1:])]
+        if False not in fits:
             return longest  # nothing to take back
-        starts: list[list[tuple[int, int]]] = [[] for _ in data]
-        for end, (length, rank) in self.automaton.iter(letters):
-            starts[end - length + 1].append((length, rank))  # ends grow, so the longest comes last
-        open_ends = bytearray(b"\x01") * (len(data) + 1)
-        found: list[int] = []
-        tried: list[int] = []
-        at, choice = 0, len(starts[0]) - 1
-        while at < len(data):
-            here = starts[at]
-            while choice >= 0:
-                length, rank = here[choice]
-                if open_ends[at + length] and (not found or self.compatible(found[-1], rank)):
-                    break
-                choice -= 1
-            if choice >= 0:
+        found = longest[: fits.index(False) + 1]
+        at, end, shorter = sum(map(sizes.__getitem__, found)), len(data), self.shorter
+        closed: set[int] = set()
+        rank = longest[len(found)]
+        while True:
+            while rank >= 0 and (at + sizes[rank] in closed or (found and not compatible(found[-1], rank))):
+                rank = shorter[rank]
+            if rank >= 0:
                 found.append(rank)
-                tried.append(choice)
-                at += length
-                choice = len(starts[at]) - 1 if at < len(data) else -1
+                at += sizes[rank]
+                if at == end:
+                    return found
+                rank = next(self.automaton.iter_long(letters, at))[1][1]
             else:
-                open_ends[at] = 0
-                at -= len(self.tokens[found.pop()])
-                choice = tried.pop() - 1
-        return found
+                closed.add(at)
+                last = found.pop()
+                at -= sizes[last]
+                rank = shorter[last]
 
     def _split(self, text: str) -> bytes:
         return b"".join([array("i", self.piece(part.encode("utf-8", "replace"))).tobytes() for part in self.split(text)])
@@ -133,9 +144,50 @@ class Codec:
             found = [self._word(word) if ids is None else ids for word, ids in zip(words[1:], found)]
         return np.frombuffer(b"".join([self._split(words[0]), *found]), np.int32)
 
+    def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens of many texts, one after the other, and where each text's begin and end. What lies between blanks is
+        encoded once and put together by its number; texts with blanks beside other space are encoded one by one."""
+        split = pc.split_pattern(texts, " ")
+        bounds = split.offsets.to_numpy().astype(np.int64)
+        words, bounds = split.flatten(), bounds - bounds[0]
+        coded = words.dictionary_encode()
+        distinct, numbers = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        row = np.repeat(np.arange(len(texts)), np.diff(bounds))
+        odd = np.array([not w or w != w.strip() for w in distinct], bool)
+        alone = np.zeros(len(texts), bool)
+        alone[row[odd[numbers]]] = True
+        first = np.zeros(len(words), bool)
+        first[bounds[:-1]] = True
+        later = np.zeros(len(distinct), bool)
+        later[numbers[~first & ~alone[row]]] = True
+        get, word = self.young.get, self._word
+        found = [(get(w) or word(w)) if wanted else b"" for w, wanted in zip(distinct, later.tolist())]
+        begins, single = numbers[bounds[:-1]].tolist(), alone.tolist()
+        found += [self.encode(texts[i].as_py()).tobytes() if single[i] else self._split(distinct[begins[i]])
+                  for i in range(len(texts))]
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        numbers = np.where(first, len(distinct) + row, numbers)[first | ~alone[row]]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        lists = pa.LargeListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(found), np.int32)))
+        counts = np.where(alone, 1, np.diff(bounds))
+        at = np.concatenate([[0], np.cumsum(sizes[numbers])])[np.concatenate([[0], np.cumsum(counts)])]
+        return lists.take(pa.array(numbers)).flatten().to_numpy(), at
+
     def decode(self, ids) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
 
+    def decode_all(self, ids: np.ndarray, bounds: np.ndarray) -> pa.Array:
+        """Bytes of many sequences of ids, whose beginnings and ends are ``bounds``."""
+        data = self.by_rank.take(pa.array(ids))
+        if data.null_count:
+            raise KeyError("an id has no token")
+        ends = np.frombuffer(data.buffers()[1], np.int64, len(data) + 1)[bounds] if len(data) else bounds * 0
+        if ends[-1] - ends[0] < 1 << 31:
+            body = data.buffers()[2] or pa.py_buffer(b"")
+            return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [
+                None, pa.py_buffer((ends - ends[0]).astype(np.int32)), body.slice(int(ends[0]))])
+        return pa.array([self.decode(ids[a:b].tolist()) for a, b in zip(bounds[:-1], bounds[1:])], pa.binary())
+
 
 #: A blank beside another one, and a blank with something else on both sides.
 _ODD = regex.compile(r"[\s\x1c-\x1f] | [\s\x1c-\x1f]")
@@ -148,16 +200,28 @@ def codec(path: str, pattern: str) -> Codec:
     return Codec.from_file(path, pattern)
 
 
+def _slices(texts: pa.Array) -> Iterator[pa.Array]:
+    """Texts of a batch, about ``_SLICE`` bytes at a time. Bytes that are not UTF-8 are replaced."""
+    try:
+        texts = texts.cast(pa.string())
+    except pa.ArrowInvalid:
+        texts = pa.array([t.decode("utf-8", "replace") for t in texts.to_pylist()], pa.string())
+    return slices(texts, _SLICE)
+
+
 def encode(text: Column, path: str, pattern: str) -> Column:
     """Ids of a text: array of int."""
     @F.arrow_udf(T.ArrayType(T.IntegerType()))
     def ids(texts: pa.Array) -> pa.Array:
-        coder = codec(path, pattern)
-        rows = [coder.encode(t.as_py().decode("utf-8", "replace")) for t in texts]
-        ends = np.cumsum([0, *map(len, rows)])
+        coder, found, bounds = codec(path, pattern), [np.empty(0, np.int32)], [np.zeros(1, np.int64)]
+        for some in _slices(texts):
+            tokens, ends = coder.encode_all(some)
+            found.append(tokens)
+            bounds.append(ends[1:] + bounds[-1][-1])
+        ends, tokens = np.concatenate(bounds), pa.array(np.concatenate(found))
         if ends[-1] < 1 << 31:
-            return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*rows, np.empty(0, np.int32)])))
-        return pa.array(rows, pa.list_(pa.int32()))
+            return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), tokens)
+        return pa.LargeListArray.from_arrays(pa.array(ends), tokens).cast(pa.list_(pa.int32()))
     return ids(utf8(text))
 
 
@@ -166,8 +230,13 @@ def decode(ids: Column, path: str, pattern: str) -> Column:
     @F.arrow_udf(T.BinaryType())
     def data(arrays: pa.Array) -> pa.Array:
         coder = codec(path, pattern)
-        values, ends = arrays.values.to_numpy(zero_copy_only=False), arrays.offsets.to_numpy()
-        return pa.array([coder.decode(values[a:b].tolist()) for a, b in zip(ends[:-1], ends[1:])], pa.binary())
+        values, ends = arrays.values.to_numpy(zero_copy_only=False), arrays.offsets.to_numpy().astype(np.int64)
+        found, first = [pa.array([], pa.binary())], 0
+        while first < len(arrays):
+            last = max(first + 1, int(np.searchsorted(ends, ends[first] + _TOKENS, "right")) - 1)
+            found.append(coder.decode_all(values[ends[first] : ends[last]], ends[first : last + 1] - ends[first]))
+            first = last
+        return pa.concat_arrays(found)
     return data(F.coalesce(ids, F.array().cast("array<int>")))
 
 

@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,6 +56,28 @@ def utf8(text: Column) -> Column:
     return F.coalesce(text.cast("binary"), F.lit(b""))
 
 
+def slices(texts: pa.Array, most: int) -> Iterator[pa.Array]:
+    """Texts in order, about ``most`` bytes at a time."""
+    first, held = 0, 0
+    for row, size in enumerate(pc.binary_length(texts).to_pylist()):
+        held += size
+        if held > most:
+            yield texts.slice(first, row + 1 - first)
+            first, held = row + 1, 0
+    if first < len(texts):
+        yield texts.slice(first)
+
+
+def words_of(texts: pa.Array, lower: bool = False) -> tuple[pa.Array, np.ndarray]:
+    """All words of some texts as bytes, with A-Z in lower case if wanted, and the number of words of each text."""
+    texts = texts.view(pa.string())
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts) if lower else texts)
+    words, ends = split.flatten(), split.offsets.to_numpy() - split.offsets[0].as_py()
+    there = pc.greater(pc.binary_length(words), 0)  # blanks at either end of a text have an empty word beside them
+    before = np.concatenate([[0], np.cumsum(there.to_numpy(zero_copy_only=False))])
+    return words.filter(there).view(pa.binary()), np.diff(before[ends])
+
+
 def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     return df.mapInArrow(fn, schema)
 

@@ -29,12 +29,11 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import map_batches, stored, utf8
+from ledgerline.llm.common import map_batches, slices, stored, utf8, words_of
 from ledgerline.llm.elias_fano import EliasFano, mapped_arrays, write_arrays
 from ledgerline.session import work_dir
 
@@ -50,15 +49,6 @@ def hashes_of(words: list[bytes]) -> np.ndarray:
     return (hashes >> np.uint64(1)).astype(np.int64)
 
 
-def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
-    """All words of some texts, A-Z in lower case, as bytes, and the number of words of each text."""
-    split = pc.ascii_split_whitespace(pc.ascii_lower(texts.view(pa.string())))
-    words, ends = split.flatten(), split.offsets.to_numpy() - split.offsets[0].as_py()
-    there = pc.greater(pc.binary_length(words), 0)  # blanks at either end of a text have an empty word beside them
-    before = np.concatenate([[0], np.cumsum(there.to_numpy(zero_copy_only=False))])
-    return words.filter(there).view(pa.binary()), np.diff(before[ends])
-
-
 def _mixed(values: np.ndarray) -> np.ndarray:
     x = values.astype(np.uint64)
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -176,7 +166,7 @@ class Trie:
 
     def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Numbers and counts of all tokens of the texts, ends included, and where each text begins."""
-        words, lengths = words_of(texts)
+        words, lengths = words_of(texts, lower=True)
         coded = words.dictionary_encode()
         numbers, counts = self.numbers([END, *coded.dictionary.to_pylist()])
         flat = np.zeros(len(words) + len(lengths), np.int64)
@@ -268,18 +258,6 @@ def _probability(quantised: np.ndarray) -> np.ndarray:
     return np.where(quantised == 65535, 0.0, np.exp(-quantised.astype(float) / _STEP))
 
 
-def _slices(batch: pa.RecordBatch) -> Iterator[pa.Array]:
-    """Texts of a batch, some bytes at a time."""
-    texts, first, held = batch.column("b"), 0, 0
-    for row, size in enumerate(pc.binary_length(texts).to_pylist()):
-        held += size
-        if held > 6 * _TOKENS:
-            yield texts.slice(first, row + 1 - first)
-            first, held = row + 1, 0
-    if first < len(texts):
-        yield texts.slice(first)
-
-
 def _count_words(shards: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting, held, ends = [], 0, 0
@@ -288,8 +266,8 @@ def _count_words(shards: int):
             keys, sums = _added(*map(np.concatenate, zip(*waiting, (hashes_of([END]), np.array([ends])))))
             yield from _dealt(keys, sums, ((keys >> 31) * shards) >> 32)
         for batch in batches:
-            for texts in _slices(batch):
-                words, lengths = words_of(texts)
+            for texts in slices(batch.column("b"), 6 * _TOKENS):
+                words, lengths = words_of(texts, lower=True)
                 found = words.value_counts()
                 waiting.append((hashes_of(found.field("values").to_pylist()), found.field("counts").to_numpy()))
                 held, ends = held + len(found), ends + len(lengths)
@@ -334,7 +312,7 @@ def _count_pairs(trie: Trie, depth: int, level: Level, shards: int):
                 contexts, words = np.divmod(keys, trie.n_words)
                 yield from _dealt(keys, counts, level.shard_of(contexts, words, shards))
         for batch in batches:
-            for texts in _slices(batch):
+            for texts in slices(batch.column("b"), 6 * _TOKENS):
                 tokens, _, begins = trie.texts(texts)
                 contexts = trie.contexts(tokens, begins)
                 for above in range(depth):
@@ -452,7 +430,7 @@ def _score(trie: Trie):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n_tokens, n_known, base, score = [], [], [], []
-            for texts in _slices(batch):
+            for texts in slices(batch.column("b"), 6 * _TOKENS):
                 tokens, counts, begins = trie.texts(texts)
                 logs = np.log10(trie.probabilities(tokens, counts, begins))
                 plain = np.log10((counts + 1) / (trie.n_tokens + trie.n_words + 1))

@@ -1,7 +1,9 @@
 import hashlib
 import random
 
+import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
@@ -79,3 +81,34 @@ def test_remembered_words_are_bounded_in_bytes(monkeypatch):
         assert got == plain.encode(text).tolist()
         assert sum(q._ENTRY + len(w) for w in (*small.young, *small.old)) < 50_000
     assert "z" * 200 not in small.young
+
+
+def test_many_texts_at_once(codec, monkeypatch):
+    rng = random.Random(5)
+    texts = [*ODD, *("".join(rng.choices("ab ,.\n\té '1", k=rng.randrange(40))) for _ in range(500))]
+    asked = []
+    monkeypatch.setattr(codec, "piece", lambda data, own=codec.piece: asked.append(data) or own(data))
+    ids, at = codec.encode_all(pa.array(["left out", *texts, *["one same wordzq"] * 300])[1:])
+    assert asked.count(b" wordzq") <= 1
+    for text, a, b in zip(texts, at[:-1], at[1:]):
+        assert ids[a:b].tolist() == codec.encode(text).tolist()
+    assert codec.decode_all(ids, at).to_pylist()[: len(texts)] == [t.encode() for t in texts]
+    assert codec.decode_all(ids[:0], np.zeros(3, np.int64)).to_pylist() == [b"", b""]
+    with pytest.raises((KeyError, IndexError)):
+        codec.decode_all(np.array([10**6]), np.array([0, 1]))
+
+
+def test_decoding_in_parts(ready, docs, monkeypatch):
+    rows = docs([(i, "word " * (i % 7) + "é") for i in range(50)] + [(60, None), (61, "")])
+    monkeypatch.setattr(q, "_TOKENS", 10)
+    made = rows.select("text", q.encode(F.col("text"), PATH, P.PATTERN).alias("ids"))
+    for r in made.select("text", q.decode(F.col("ids"), PATH, P.PATTERN).alias("d")).collect():
+        assert r["d"] == (r["text"] or "").encode()
+
+
+def test_a_token_taken_back_is_replaced_without_listing_all_tokens(codec, library):
+    rng = random.Random(6)
+    assert all(codec.shorter[r] == -1 for r, t in codec.tokens.items() if len(t) == 1)
+    for _ in range(2000):
+        data = bytes(rng.choices(b"aeinrst on", k=rng.randrange(1, 40)))
+        assert codec.piece(data) == library._encode_single_piece(data)
