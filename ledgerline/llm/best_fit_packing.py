@@ -20,16 +20,17 @@ import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from functools import lru_cache
+from operator import add
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import map_batches, numbered, stored, utf8
+from ledgerline.llm.common import map_batches, numbered, slices, stored, utf8, words_of
 from ledgerline.llm.token_counts import compiled
 
-_TEXTS = 256
+_SLICE = 4 << 20
 _REMEMBERED = 1_000_000
 _AFTER_WORDS = b".,;:!?"
 
@@ -53,8 +54,6 @@ class WordIds:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _split(self, word: bytes) -> list[str] | None:
-        if word[:-1].isalpha() and word[-1] in _AFTER_WORDS:
-            return [word[:-1].lower().decode(), chr(word[-1])]
         if self.kind.simple(word):
             return self.kind.pieces(word.decode().lower())
         text = word.decode("utf-8", "replace")
@@ -68,18 +67,22 @@ class WordIds:
             return None
         return self.kind.pieces(normal)
 
-    def _learn(self, words: set[bytes]) -> None:
+    def _learn(self, words: set[bytes]) -> dict[bytes, bytes]:
         if len(self.words) > _REMEMBERED:
             self.words.clear()
             self.pieces.clear()
-        known, letters, others = self.pieces, [], {}
+        known, letters, marked, others = self.pieces, [], [], {}
         for word in words:
             if word.isalpha():  # ASCII letters, by far the most: one piece
                 letters.append(word)
+            elif word[:-1].isalpha() and word[-1] in _AFTER_WORDS:  # and a mark: two
+                marked.append(word)
             else:
                 others[word] = self._split(word)
         lower = b" ".join(letters).lower().decode().split(" ") if letters else []
-        new = {p for p in lower if p not in known}
+        stems = b" ".join([w[:-1] for w in marked]).lower().decode().split(" ") if marked else []
+        marks = [chr(w[-1]) for w in marked]
+        new = set().union(lower, stems, marks).difference(known)
         new.update(p for pieces in others.values() for p in pieces or () if p not in known)
         new = list(new)
         for at in range(0, len(new), 2000):
@@ -90,25 +93,31 @@ class WordIds:
             if len(edges) != len(some) - 1:
                 raise ValueError(f"{len(edges) + 1} pieces came back of {len(some)}")
             known.update(zip(some, [ids[i:j] for i, j in zip([0, *edges], [*edges, len(ids)])]))
-        self.words.update(zip(letters, map(known.__getitem__, lower)))
+        learnt = dict(zip(letters, map(known.__getitem__, lower)))
+        learnt.update(zip(marked, map(add, map(known.__getitem__, stems), map(known.__getitem__, marks))))
         for word, pieces in others.items():
             if pieces is None:
-                self.words[word] = self._alone(word.decode("utf-8", "replace"))
+                learnt[word] = self._alone(word.decode("utf-8", "replace"))
             else:
-                self.words[word] = known[pieces[0]] if len(pieces) == 1 else b"".join([known[p] for p in pieces])
-
-    def of(self, texts: list[bytes]) -> list[bytes]:
-        split, get = [t.split() for t in texts], self.words.get
-        found = [[*map(get, words)] for words in split]
-        missing = {w for words, ids in zip(split, found) if None in ids for w, i in zip(words, ids) if i is None}
-        if missing:
-            self._learn(missing)
-            found = [[get(w) if i is None else i for w, i in zip(words, ids)] if None in ids else ids
-                     for words, ids in zip(split, found)]
-            if any(None in ids for ids in found):  # the words were cleared in between
-                self._learn({w for words in split for w in words if w not in self.words})
-                found = [map(self.words.__getitem__, words) for words in split]
-        return [*map(b"".join, found)]
+                learnt[word] = known[pieces[0]] if len(pieces) == 1 else b"".join([known[p] for p in pieces])
+        self.words.update(learnt)
+        return learnt
+
+    def of(self, texts: pa.Array | list[bytes]) -> list[bytes]:
+        """Ids of each text. Words are looked up once however often they occur, and put together by their numbers."""
+        words, counts = words_of(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.binary()))
+        coded = words.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        found = [*map(self.words.get, distinct)]
+        if None in found:
+            learnt = self._learn({w for w, ids in zip(distinct, found) if ids is None})
+            found = [learnt[w] if ids is None else ids for w, ids in zip(distinct, found)]
+        data = pa.array(found, pa.large_binary()).take(coded.indices)
+        ends = np.concatenate([[0], np.cumsum(counts)])
+        if not len(data):
+            return [b""] * len(counts)
+        body, ends = memoryview(data.buffers()[2] or b""), np.frombuffer(data.buffers()[1], np.int64, len(data) + 1)[ends]
+        return [bytes(body[i:j]) for i, j in zip(ends[:-1].tolist(), ends[1:].tolist())]
 
 
 @lru_cache(2)
@@ -121,10 +130,12 @@ def _cut(path: str, capacity: int, end_id: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of, end = word_ids(path), np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            for at in range(0, batch.num_rows, _TEXTS):
-                some = batch.slice(at, _TEXTS)
+            at = 0
+            for texts in slices(batch.column("b"), _SLICE):
+                some = batch.slice(at, len(texts))
+                at += len(texts)
                 row, piece, start, length, crc, ids = [], [], [], [], [], []
-                for k, data in enumerate(ids_of.of(some.column("b").to_pylist())):
+                for k, data in enumerate(ids_of.of(texts)):
                     data += end
                     for number, first in enumerate(range(0, len(data), 4 * capacity)):
                         part = data[first : first + 4 * capacity]

@@ -51,6 +51,18 @@ def test_word_ids_equal_the_library():
         assert np.frombuffer(data, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_words_are_looked_up_once_and_may_be_forgotten(monkeypatch):
+    monkeypatch.setattr(q, "_REMEMBERED", 20)
+    library, ids_of = Tokenizer.from_file(PATH), q.WordIds(PATH)
+    chance = random.Random(7)
+    for _ in range(8):
+        texts = ["".join(chance.choices("abZÉé .,;!'1\n", k=chance.randrange(60))) for _ in range(40)]
+        found = ids_of.of([t.encode() for t in texts])
+        assert [np.frombuffer(f, "<u4").tolist() for f in found] == [
+            library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert ids_of.of([]) == [] and ids_of.of([b"", b" "]) == [b"", b""]
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_evolution_keeps_pieces(seed):
     chance = random.Random(seed)
