@@ -9,9 +9,21 @@ from ledgerline.llm import best_fit_packing, exact_dedup, jaccard_join, quality_
 from ledgerline.llm.common import importable, stored
 
 
+#: Rows in a batch that Python workers get. Spark's 10,000 whole texts take tens of MB in a worker, and as much in the JVM.
+BATCH_ROWS = 1000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def workers(spark: SparkSession) -> None:
+    """Python workers find the package and get batches of ``BATCH_ROWS`` rows at most, from now on in this session."""
+    importable(spark)
+    if not 0 < int(spark.conf.get(_BATCH)) <= BATCH_ROWS:
+        spark.conf.set(_BATCH, str(BATCH_ROWS))
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that neither the base rules nor the learned list rejects."""
-    importable(spark)
+    workers(spark)
     return quality_rules.filtered(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
@@ -22,7 +34,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One of each group of near copies: five-word n-grams, similarity 0.8 or more."""
-    importable(spark)
+    workers(spark)
     return jaccard_join.one_of_each(docs, k=5, percent=80)
 
 
@@ -33,7 +45,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents with their places in sequences of 4096 tokens."""
-    importable(spark)
+    workers(spark)
     parts = best_fit_packing.pieces(docs, public_tokenizers.path("word_bpe_49k.json"))
     return best_fit_packing.pack(parts).withColumnRenamed("doc_key", "doc_id")
 

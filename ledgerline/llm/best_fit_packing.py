@@ -24,6 +24,7 @@ from operator import add
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,7 +32,10 @@ from ledgerline.llm.common import map_batches, numbered, slices, stored, utf8, w
 from ledgerline.llm.token_counts import compiled
 
 _SLICE = 4 << 20
-_REMEMBERED = 1_000_000
+#: Words that a worker remembers, their bytes with those of their ids, and pieces. Words are held as Arrow arrays, which
+#: take less than Python objects; pieces are such objects.
+_REMEMBERED, _REMEMBERED_BYTES = 300_000, 64 << 20
+_REMEMBERED_PIECES = 100_000
 _AFTER_WORDS = b".,;:!?"
 
 
@@ -47,7 +51,7 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.kind = Tokenizer.from_file(path), compiled(path)
-        self.words: dict[bytes, bytes] = {}
+        self.words, self.ids = pa.array([], pa.large_binary()), pa.array([], pa.large_binary())
         self.pieces: dict[str, bytes] = {}
 
     def _alone(self, text: str) -> bytes:
@@ -67,9 +71,8 @@ class WordIds:
             return None
         return self.kind.pieces(normal)
 
-    def _learn(self, words: set[bytes]) -> dict[bytes, bytes]:
-        if len(self.words) > _REMEMBERED:
-            self.words.clear()
+    def _learn(self, words: list[bytes]) -> list[bytes]:
+        if len(self.pieces) > _REMEMBERED_PIECES:
             self.pieces.clear()
         known, letters, marked, others = self.pieces, [], [], {}
         for word in words:
@@ -100,19 +103,29 @@ class WordIds:
                 learnt[word] = self._alone(word.decode("utf-8", "replace"))
             else:
                 learnt[word] = known[pieces[0]] if len(pieces) == 1 else b"".join([known[p] for p in pieces])
-        self.words.update(learnt)
-        return learnt
+        return [learnt[w] for w in words]
 
     def of(self, texts: pa.Array | list[bytes]) -> list[bytes]:
         """Ids of each text. Words are looked up once however often they occur, and put together by their numbers."""
         words, counts = words_of(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.binary()))
         coded = words.dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        found = [*map(self.words.get, distinct)]
-        if None in found:
-            learnt = self._learn({w for w, ids in zip(distinct, found) if ids is None})
-            found = [learnt[w] if ids is None else ids for w, ids in zip(distinct, found)]
-        data = pa.array(found, pa.large_binary()).take(coded.indices)
+        distinct = coded.dictionary.cast(pa.large_binary())
+        places = pc.index_in(distinct, value_set=self.words)
+        if places.null_count:
+            is_new = pc.is_null(places).to_numpy(zero_copy_only=False)
+            new = distinct.filter(pa.array(is_new))
+            learnt = pa.array(self._learn(new.to_pylist()), pa.large_binary())
+            if len(self.words) > _REMEMBERED or self.words.nbytes + self.ids.nbytes > _REMEMBERED_BYTES:
+                stay = places.drop_null()
+                self.words, self.ids = self.words.take(stay), self.ids.take(stay)
+                places = np.empty(len(distinct), np.int64)
+                places[~is_new] = np.arange(len(stay))
+            else:
+                places = places.fill_null(0).to_numpy().astype(np.int64)
+            places[is_new] = np.arange(len(self.words), len(self.words) + len(new))
+            places = pa.array(places)
+            self.words, self.ids = pa.concat_arrays([self.words, new]), pa.concat_arrays([self.ids, learnt])
+        data = self.ids.take(places).take(coded.indices)
         ends = np.concatenate([[0], np.cumsum(counts)])
         if not len(data):
             return [b""] * len(counts)

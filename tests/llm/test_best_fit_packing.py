@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -51,6 +52,27 @@ def test_word_ids_equal_the_library():
         assert np.frombuffer(data, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_words_remembered_take_little_memory():
+    chance, ids_of = random.Random(3), q.WordIds(PATH)
+    texts = [" ".join("".join(chance.choices("abcdefghij", k=9)) for _ in range(40_000)) for _ in range(8)]
+    tracemalloc.start()
+    for text in texts:
+        ids_of.of([text.encode()])
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert held + ids_of.words.nbytes + ids_of.ids.nbytes < 48e6
+
+
+def test_long_words_are_forgotten(monkeypatch):
+    monkeypatch.setattr(q, "_REMEMBERED_BYTES", 2000)
+    library, ids_of = Tokenizer.from_file(PATH), q.WordIds(PATH)
+    for i in range(8):
+        texts = [f"a{i} " + f"{'xy' * 200}{k % 3}, b" for k in range(5)] + ["", "a b a"]
+        for text, data in zip(texts, ids_of.of([t.encode() for t in texts])):
+            assert np.frombuffer(data, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+        assert len(ids_of.words) < 12
+
+
 def test_words_are_looked_up_once_and_may_be_forgotten(monkeypatch):
     monkeypatch.setattr(q, "_REMEMBERED", 20)
     library, ids_of = Tokenizer.from_file(PATH), q.WordIds(PATH)
