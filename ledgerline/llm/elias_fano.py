@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 from pyarrow import fs
@@ -49,6 +49,8 @@ def _unpack(words: np.ndarray, bits: int, size: int) -> np.ndarray:
 _IN_BYTE = np.array([[*[i for i in range(8) if byte >> i & 1], *[0] * (8 - byte.bit_count())] for byte in range(256)],
                     np.int64).reshape(-1)
 _EACH = 0x0101010101010101
+#: So many numbers with equal high bits are searched by guesses.
+_MANY = 32
 
 
 def _select(words: np.ndarray, rank: np.ndarray) -> np.ndarray:
@@ -73,7 +75,10 @@ class EliasFano:
 
     def __init__(self, size: int, bits: int, low: np.ndarray, high: np.ndarray, ones: np.ndarray):
         self.size, self.bits, self.low, self.high, self.ones = size, bits, low, high, ones
-        self.zeros = np.arange(len(high), dtype=np.int64) * 64 - ones
+
+    @cached_property
+    def zeros(self) -> np.ndarray:
+        return np.arange(len(self.high), dtype=np.int64) * 64 - self.ones
 
     @classmethod
     def of(cls, values: np.ndarray) -> EliasFano:
@@ -104,11 +109,25 @@ class EliasFano:
         joined = (self.low[word] >> shift) | ((self.low[word + 1] << (_U(63) - shift)) << _U(1))
         return joined & _U((1 << self.bits) - 1)
 
+    def _place(self, index: np.ndarray) -> np.ndarray:
+        """Place of the one bit ``index`` in the high bits."""
+        word = np.searchsorted(self.ones, index, "right") - 1
+        return word * 64 + _select(self.high[word], index - self.ones[word])
+
     def get(self, index: np.ndarray) -> np.ndarray:
         """Numbers at ``index``."""
-        word = np.searchsorted(self.ones, index, "right") - 1
-        place = word * 64 + _select(self.high[word], index - self.ones[word])
-        return ((place - index) << self.bits) | self._low(index).astype(np.int64)
+        return ((self._place(index) - index) << self.bits) | self._low(index).astype(np.int64)
+
+    def get_two(self, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers at ``index`` and right behind it. The next one bit is mostly in the same word."""
+        place = self._place(index)
+        after, next_ = place + 1, index + 1
+        rest = self.high[after >> 6] >> (after & 63).astype(_U)
+        following = after + np.bitwise_count(~rest & (rest - _U(1)))
+        if len(far := np.flatnonzero(rest == 0)):
+            following[far] = self._place(next_[far])
+        return (((place - index) << self.bits) | self._low(index).astype(np.int64),
+                ((following - next_) << self.bits) | self._low(next_).astype(np.int64))
 
     def all(self) -> np.ndarray:
         """All numbers."""
@@ -120,6 +139,38 @@ class EliasFano:
         word = np.searchsorted(self.zeros, number, "right") - 1
         return word * 64 + _select(~self.high[word], number - self.zeros[word])
 
+    def _search(self, found: np.ndarray, same: np.ndarray, size: np.ndarray, low: np.ndarray) -> None:
+        """Move ``found``, where ``size`` numbers with equal high bits begin, to the first one with low bits of ``low`` or
+        more; ``same`` tells whether they are equal. Among many numbers two steps of three guess the place from the values
+        at either end, as low bits are spread evenly there."""
+        alone = np.flatnonzero(size == 1)
+        there, want = self._low(found[alone]), low[alone]
+        found[alone] += there < want
+        same[alone] = there == want
+        for open_, many in ((np.flatnonzero((size > 1) & (size < _MANY)), False), (np.flatnonzero(size >= _MANY), True)):
+            lo, want, equals, step = found[open_], low[open_], np.zeros(len(open_), bool), 0
+            hi = lo + size[open_]
+            least, most = np.zeros(len(open_), _U), np.full(len(open_), 1 << self.bits, _U)
+            while len(open_):
+                if many and step % 3 < 2:
+                    middle = lo + ((want - least) / np.maximum(most - least, _U(1)) * (hi - lo)).astype(np.int64)
+                    middle = np.minimum(middle, hi - 1)
+                else:
+                    middle = (lo + hi) >> 1
+                there = self._low(middle)
+                less = there < want
+                lo, hi = np.where(less, middle + 1, lo), np.where(less, hi, middle)
+                equals = np.where(less, equals, there == want)
+                if many:
+                    least, most = np.where(less, there, least), np.where(less, most, there)
+                more = lo < hi
+                done = ~more
+                ended = open_[done]
+                found[ended], same[ended] = lo[done], equals[done]
+                open_, lo, hi, want, equals = open_[more], lo[more], hi[more], want[more], equals[more]
+                if many:
+                    least, most, step = least[more], most[more], step + 1
+
     def successor(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """For each value the index of the first number that is not smaller, and whether it is equal."""
         index, equal = np.full(len(values), self.size, np.int64), np.zeros(len(values), bool)
@@ -128,20 +179,24 @@ class EliasFano:
         most = int(self.ones[-1] + np.bitwise_count(self.high[-1:])[0])
         last = len(self.high) * 64 - most - 1  # zeros are numbered up to here
         high = values >> self.bits
-        inside = np.flatnonzero(high <= last)
-        high, low = high[inside], (values[inside] & ((1 << self.bits) - 1)).astype(_U)
-        both = np.stack([np.maximum(high - 1, 0), high], 1).reshape(-1)
-        both = (self._zero(both) - both).reshape(-1, 2)
-        begin, end = np.where(high > 0, both[:, 0], 0), both[:, 1]
-        lo, hi = begin.copy(), end.copy()
-        while len(open_ := np.flatnonzero(lo < hi)):
-            middle = (lo[open_] + hi[open_]) >> 1
-            less = self._low(middle) < low[open_]
-            lo[open_[less]] = middle[less] + 1
-            hi[open_[~less]] = middle[~less]
-        index[inside] = lo
-        there = np.flatnonzero(lo < end)
-        equal[inside[there]] = self._low(lo[there]) == low[there]
+        inside = None
+        if len(high) and high.max() > last:
+            inside = np.flatnonzero(high <= last)
+            high, values = high[inside], values[inside]
+        low = values.astype(_U) & _U((1 << self.bits) - 1)
+        first = np.zeros(len(high), np.int64)  # where numbers with these high bits begin: behind the zero before
+        later = slice(None) if len(high) and high.min() > 0 else np.flatnonzero(high)
+        first[later] = self._zero(high[later] - 1) + 1
+        rest = ~self.high[first >> 6] >> (first & 63).astype(_U)
+        size = np.bitwise_count(~rest & (rest - _U(1))).astype(np.int64)  # ones up to the next zero
+        if len(far := np.flatnonzero(rest == 0)):
+            size[far] = self._zero(high[far]) - first[far]
+        found, same = first - high, size > 0
+        if self.bits:
+            self._search(found, same, size, low)
+        if inside is None:
+            return found, same
+        index[inside], equal[inside] = found, same
         return index, equal
 
 

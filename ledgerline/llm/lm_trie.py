@@ -11,7 +11,8 @@ the rest is what the kept entries leave, so probabilities add up to one whatever
 the word, discounted by d1 = n1 / (n1 + 2 n2), 0.9 at most; what that leaves goes to all unknown words together. A text is its
 words and one end; it begins in the context of an end.
 
-Counting is done by Spark over all training texts: tasks count what they read, sort it, and send it by shard, keys as
+Texts are split once to count words, and once to store the number of each word for the levels and the scores. Counting
+is done by Spark over all training texts: tasks count what they read, sort it, and send it by shard, keys as
 an Elias-Fano sequence; a shard's task adds up. A context's shard is the one that it lies in as an entry of the level
 above, so the keys of a shard lie close together however many shards there are. Shards grow in number with the corpus,
 not in size. A context's entries are in one shard, but for contexts with over a 4096th of all tokens, whose entries are
@@ -151,35 +152,69 @@ class Trie:
     def word_shard(self, hashes: np.ndarray) -> np.ndarray:
         return ((hashes >> 31) * len(self.words.paths)) >> 32
 
-    def numbers(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Number (-1: unknown) and count of each word."""
+    def numbers(self, words: list[bytes]) -> np.ndarray:
+        """Number of each word, -1 if it is unknown."""
         hashes = hashes_of(words)
-        numbers, counts = np.full(len(words), -1, np.int64), np.zeros(len(words), np.int64)
+        numbers = np.full(len(words), -1, np.int64)
         if not self.words.paths:
-            return numbers, counts
+            return numbers
         for shard, own in _groups(self.word_shard(hashes)):
             arrays = mapped_arrays(self.words.paths[shard])
             index, equal = EliasFano.mapped(arrays, "hashes").successor(hashes[own])
             numbers[own[equal]] = index[equal] + self.words.firsts[shard]
-            counts[own[equal]] = arrays["counts"][index[equal]]
-        return numbers, counts
+        return numbers
 
-    def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Numbers and counts of all tokens of the texts, ends included, and where each text begins."""
+    def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of all tokens of the texts, ends included, and where each text begins."""
         words, lengths = words_of(texts, lower=True)
         coded = words.dictionary_encode()
-        numbers, counts = self.numbers([END, *coded.dictionary.to_pylist()])
+        numbers = self.numbers([END, *coded.dictionary.to_pylist()])
         flat = np.zeros(len(words) + len(lengths), np.int64)
         begins = np.cumsum(lengths + 1) - (lengths + 1)
         body = np.ones(len(flat), bool)
         body[begins + lengths] = False
         flat[body] = coded.indices.to_numpy() + 1
-        return numbers[flat], counts[flat], begins
+        return numbers[flat], begins
+
+    @property
+    def kind(self) -> str:
+        """How numbers are stored; all ones stand for unknown words."""
+        return "<u4" if self.n_words < (1 << 32) - 1 else "<u8"
+
+    def stored_numbers(self, tokens: np.ndarray, begins: np.ndarray) -> pa.Array:
+        """Numbers of the tokens of each text as bytes."""
+        data = tokens.astype(self.kind)
+        ends = np.append(begins, len(tokens)) * data.itemsize
+        if ends[-1] >= 1 << 31:
+            return pa.array([data[a:b].tobytes() for a, b in zip(begins, [*begins[1:], len(tokens)])], pa.binary())
+        return pa.Array.from_buffers(pa.binary(), len(begins), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data)])
+
+    def read_numbers(self, stored_: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of all tokens, -1 for unknown words, and where each text begins."""
+        ends = np.frombuffer(stored_.buffers()[1], np.int32, len(stored_) + 1, 4 * stored_.offset)
+        size = np.dtype(self.kind).itemsize
+        begins = (ends - ends[0]).astype(np.int64) // size
+        found = np.frombuffer(stored_.buffers()[2], self.kind, begins[-1], int(ends[0]))
+        tokens = found.astype(np.int64)
+        tokens[found == np.iinfo(found.dtype).max] = -1
+        return tokens, begins[:-1]
+
+    def counts(self, tokens: np.ndarray) -> np.ndarray:
+        """Count of each token, 0 of unknown words."""
+        distinct, back = np.unique(tokens, return_inverse=True)
+        counts = np.zeros(len(distinct), np.int64)
+        known = np.flatnonzero(distinct >= 0)
+        if len(known):
+            firsts = np.array(self.words.firsts)
+            for shard, own in _groups(np.searchsorted(firsts, distinct[known], "right") - 1):
+                own = known[own]
+                counts[own] = mapped_arrays(self.words.paths[shard])["counts"][distinct[own] - firsts[shard]]
+        return counts[back]
 
     def contexts(self, tokens: np.ndarray, begins: np.ndarray) -> np.ndarray:
         """First-level context of each token: the word before; a text begins after an end."""
         before = np.concatenate([[-1], tokens[:-1]])
-        before[begins] = self.numbers([END])[0][0]
+        before[begins] = self.numbers([END])[0]
         return before
 
     def children(self, depth: int, contexts: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -198,7 +233,7 @@ class Trie:
             there_at = at[there]
             pointers, below = EliasFano.mapped(arrays, "pointers"), EliasFano.mapped(arrays, "words")
             begin, end, base = np.zeros(len(known), np.int64), np.zeros(len(known), np.int64), np.zeros(len(known), np.int64)
-            begin[there], end[there] = pointers.get(np.stack([there_at, there_at + 1], 1).reshape(-1)).reshape(-1, 2).T
+            begin[there], end[there] = pointers.get_two(there_at)
             later = np.flatnonzero(begin > 0)
             base[later] = below.get(begin[later] - 1) + 1
             left = np.ones(len(known))
@@ -254,8 +289,12 @@ def _quantised(probabilities: np.ndarray) -> np.ndarray:
         return np.minimum(np.rint(-np.log(probabilities) * _STEP), 65535).astype(np.uint16)
 
 
+#: What each quantised logarithm stands for.
+_VALUES = np.append(np.exp(-np.arange(65535) / _STEP), 0.0)
+
+
 def _probability(quantised: np.ndarray) -> np.ndarray:
-    return np.where(quantised == 65535, 0.0, np.exp(-quantised.astype(float) / _STEP))
+    return _VALUES[quantised]
 
 
 def _count_words(shards: int):
@@ -312,8 +351,8 @@ def _count_pairs(trie: Trie, depth: int, level: Level, shards: int):
                 contexts, words = np.divmod(keys, trie.n_words)
                 yield from _dealt(keys, counts, level.shard_of(contexts, words, shards))
         for batch in batches:
-            for texts in slices(batch.column("b"), 6 * _TOKENS):
-                tokens, _, begins = trie.texts(texts)
+            for some in slices(batch.column("numbers"), 4 * _TOKENS):
+                tokens, begins = trie.read_numbers(some)
                 contexts = trie.contexts(tokens, begins)
                 for above in range(depth):
                     asked = np.flatnonzero(contexts >= 0)
@@ -374,25 +413,47 @@ def _placed(summary: DataFrame, shards: int) -> Level:
     return level
 
 
-def train(texts: DataFrame, text: str = "text", order: int = 2, min_count: int = 2, discount: float = 0.75,
-          shard_tokens: int = 3_000_000, n_bytes: int | None = None) -> Trie:
-    """Train on all rows. ``shard_tokens`` sets the number of shards; results do not depend on it."""
-    spark = texts.sparkSession
-    rows = texts.select(utf8(F.col(text)).alias("b"))
-    if n_bytes is None:
-        n_bytes = rows.agg(F.sum(F.octet_length("b"))).first()[0] or 0
-    shards = 1 + n_bytes // (6 * shard_tokens)
-    folder = work_dir(spark, "lm")
+def _trained_words(rows: DataFrame, shards: int, folder: str) -> tuple[Trie, DataFrame]:
+    """The words of the texts ``b``, and the summary of their shards."""
     summary = stored(map_batches(rows, _count_words(shards), "shard int, counts binary").groupBy("shard").applyInArrow(
         _write_words(folder), _PARTS), "lm-words")
     sums = {r["kind"]: r["n"] for r in summary.groupBy("kind").agg(F.sum("n").alias("n")).collect()}
-    words = _placed(summary, shards)
-    words = _filled(words, folder, "words")
+    words = _filled(_placed(summary, shards), folder, "words")
     ones, twos = sums.get("ones", 0), sums.get("twos", 0)
     trie = Trie(words, sums.get("tokens", 0), sums.get("entries", 0), min(0.9, ones / (ones + 2 * twos)) if ones else 0.0)
     if not trie.n_tokens:
         trie.words = Level()
-        return trie
+    return trie, summary
+
+
+def _coded(trie: Trie):
+    """Texts ``b`` as word numbers; other columns stay."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = 0
+            for texts in slices(batch.column("b"), 6 * _TOKENS):
+                some = batch.slice(at, len(texts)).drop_columns("b")
+                at += len(texts)
+                yield some.append_column("numbers", trie.stored_numbers(*trie.texts(texts)))
+    return run
+
+
+def trained(rows: DataFrame, training: Column, order: int = 2, min_count: int = 2, discount: float = 0.75,
+            shard_tokens: int = 3_000_000, n_bytes: int | None = None) -> tuple[Trie, DataFrame]:
+    """Train on those of ``rows``, with texts as bytes ``b``, for which ``training`` is true; all rows with their word
+    ``numbers`` for ``b``, which are looked up once and stored. ``shard_tokens`` sets the number of shards; results do not
+    depend on it."""
+    spark, own = rows.sparkSession, rows.where(training).select("b")
+    if n_bytes is None:
+        n_bytes = own.agg(F.sum(F.octet_length("b"))).first()[0] or 0
+    shards = 1 + n_bytes // (6 * shard_tokens)
+    folder = work_dir(spark, "lm")
+    trie, summary = _trained_words(own, shards, folder)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "b")
+    coded = stored(map_batches(rows, _coded(trie), f"{schema}, numbers binary" if schema else "numbers binary"), "lm-numbers")
+    if not trie.n_tokens:
+        return trie, coded
+    own = coded.where(training).select("numbers")
     level, above = Level(), trie.n_words
     heavy = map_batches(summary.where("kind = 'entries'").select("shard"), _heavy_words(trie), _PARTS)
     for depth in range(order - 1):
@@ -401,7 +462,7 @@ def train(texts: DataFrame, text: str = "text", order: int = 2, min_count: int =
         often = sorted((r["n"], int(r["value"])) for r in heavy.collect())
         starts = np.array((trie.levels[-1] if trie.levels else trie.words).firsts, np.int64)
         level = Level(starts=starts, heavy=np.array([o[0] for o in often], np.int64), heavy_counts=np.array([o[1] for o in often], np.int64))
-        summary = stored(map_batches(rows, _count_pairs(trie, depth, level, shards), "shard int, counts binary").groupBy(
+        summary = stored(map_batches(own, _count_pairs(trie, depth, level, shards), "shard int, counts binary").groupBy(
             "shard").applyInArrow(_write_pairs(trie, depth, level, folder, min_count, discount), _PARTS), f"lm-level-{depth}")
         placed = _filled(_placed(summary, shards), folder, f"level-{depth}")
         mass = {r["n"]: r["value"] for r in summary.where("kind = 'mass'").groupBy("n").agg(F.sum("value").alias("value")).collect()}
@@ -411,7 +472,7 @@ def train(texts: DataFrame, text: str = "text", order: int = 2, min_count: int =
         trie.levels.append(level)
         first = F.create_map(*[F.lit(v) for pair in enumerate(level.firsts) for v in pair])
         heavy = summary.where("kind = 'heavy'").withColumn("n", F.col("n") + first[F.col("shard")])
-    return trie
+    return trie, coded
 
 
 def _filled(level: Level, folder: str, name: str) -> Level:
@@ -430,8 +491,9 @@ def _score(trie: Trie):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n_tokens, n_known, base, score = [], [], [], []
-            for texts in slices(batch.column("b"), 6 * _TOKENS):
-                tokens, counts, begins = trie.texts(texts)
+            for some in slices(batch.column("numbers"), 4 * _TOKENS):
+                tokens, begins = trie.read_numbers(some)
+                counts = trie.counts(tokens)
                 logs = np.log10(trie.probabilities(tokens, counts, begins))
                 plain = np.log10((counts + 1) / (trie.n_tokens + trie.n_words + 1))
                 n_tokens += np.diff([*begins, len(tokens)]).tolist()
@@ -453,11 +515,11 @@ def held_out(key: Column) -> Column:
 def scored(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """Train on the rows that are not held out, score all: ``key``, held_out, n_tokens, n_known, train_tokens,
     base_score (add-one unigrams) and score, log10 probabilities of the whole text."""
-    trie = train(docs.where(~held_out(F.col(key))), text, **options)
     rows = docs.select(F.col(key).alias("doc_key"), held_out(F.col(key)).alias("held_out"), utf8(F.col(text)).alias("b"))
+    trie, coded = trained(rows, ~F.col("held_out"), **options)
     kind = rows.schema["doc_key"].dataType.simpleString()
     found = map_batches(
-        rows, _score(trie), f"doc_key {kind}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double")
+        coded, _score(trie), f"doc_key {kind}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double")
     return found.select(
         F.col("doc_key").alias(key), "held_out", "n_tokens", "n_known", F.lit(trie.n_tokens).cast("bigint").alias("train_tokens"),
         "base_score", "score")

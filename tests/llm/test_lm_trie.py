@@ -140,3 +140,37 @@ def test_odd_rows(docs):
     assert q.scored(docs([])).count() == 0
     alone = q.scored(docs([(next(i for i in range(99) if zlib.crc32(str(i).encode()) % 7 == 2), "x y")])).collect()
     assert alone[0]["train_tokens"] == 0 and alone[0]["n_known"] == 0
+
+
+def test_a_place_among_many_numbers_is_guessed(monkeypatch):
+    chance = np.random.default_rng(8)
+    values = np.unique(np.concatenate([chance.integers(0, 1 << 20, 60_000), chance.integers(1 << 20, 1 << 36, 60_000)]))
+    asked, made, read = np.arange(0, 1 << 20, 7), EliasFano.of(values), []
+    monkeypatch.setattr(EliasFano, "_low", lambda self, index, own=EliasFano._low: read.append(len(index)) or own(self, index))
+    index, equal = made.successor(asked)
+    assert (index == np.searchsorted(values, asked)).all() and (equal == np.isin(asked, values)).all()
+    assert sum(read) < 8 * len(asked)  # halving 60,000 takes 16
+
+
+def test_the_number_behind_another():
+    for values in (np.array([0, 1 << 40, 1 << 41]), np.arange(500), np.zeros(3, np.int64), np.cumsum(np.arange(3000) ** 3)):
+        here, behind = EliasFano.of(values).get_two(np.arange(len(values) - 1))
+        assert (here == values[:-1]).all() and (behind == values[1:]).all()
+
+
+def test_words_are_looked_up_once(docs, monkeypatch):
+    read = []
+    monkeypatch.setattr(q, "map_batches", lambda df, fn, schema, own=q.map_batches: read.append(df.columns) or own(df, fn, schema))
+    rows = [(i, f"a b c{i % 5} unseen{i}") for i in range(30)] + [(None, None), (40, "")]
+    assert q.scored(docs(rows), order=3).count() == len(rows)
+    assert sum("b" in columns for columns in read) == 2  # words are counted, then numbered
+
+
+def test_stored_numbers():
+    trie = q.Trie(q.Level(), 9, 9, 0.0)
+    tokens, begins = np.array([3, -1, 8, 0, 0]), np.array([0, 2, 3])
+    for trie.n_words in (9, 1 << 33):
+        found = trie.stored_numbers(tokens, begins)
+        assert [len(f) // (4 if trie.n_words == 9 else 8) for f in found.to_pylist()] == [2, 1, 2]
+        assert [a.tolist() for a in trie.read_numbers(found)] == [tokens.tolist(), begins.tolist()]
+        assert [a.tolist() for a in trie.read_numbers(found[1:])] == [[8, 0, 0], [0, 1]]
