@@ -14,6 +14,7 @@ empty table gives no pieces. Columns beside key and text are not read.
 
 from __future__ import annotations
 
+import os
 import random
 import unicodedata
 import zlib
@@ -37,6 +38,7 @@ _SLICE = 4 << 20
 _REMEMBERED, _REMEMBERED_BYTES = 300_000, 64 << 20
 _REMEMBERED_PIECES = 100_000
 _AFTER_WORDS = b".,;:!?"
+_MARKS = frozenset(_AFTER_WORDS.decode())
 
 
 class WordIds:
@@ -50,7 +52,13 @@ class WordIds:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # there are as many tasks as cores already
         self.tokenizer, self.kind = Tokenizer.from_file(path), compiled(path)
+        self.plain = Tokenizer.from_file(path)
+        self.plain.normalizer = None  # for ASCII in lower case, which normalising leaves as it is
+        suffix = self.tokenizer.model.end_of_word_suffix
+        self.last = np.zeros(self.tokenizer.get_vocab_size(), bool)  # tokens that a piece ends with
+        self.last[[i for t, i in self.tokenizer.get_vocab(False).items() if t.endswith(suffix)]] = True
         self.words, self.ids = pa.array([], pa.large_binary()), pa.array([], pa.large_binary())
         self.pieces: dict[str, bytes] = {}
 
@@ -71,31 +79,56 @@ class WordIds:
             return None
         return self.kind.pieces(normal)
 
+    def _split_others(self, words: list[bytes]) -> Iterator[list[str] | None]:
+        """What ``_split`` gives for words that are not all ASCII; what letters need is seen for many words at once."""
+        for at in range(0, len(words), 200):
+            some = words[at : at + 200]
+            joined = b" ".join(some).decode("utf-8", "replace")
+            low = joined.lower()
+            if "Σ" in joined or low.lower() != low or not all(unicodedata.is_normalized("NFC", t) for t in (joined, low)):
+                yield from map(self._split, some)
+                continue
+            for word, text, lower in zip(some, joined.split(" "), low.split(" ")):
+                if text.isalpha() and lower.isalpha():
+                    yield [lower]
+                elif lower[-1] in _MARKS and text[:-1].isalpha() and lower[:-1].isalpha():
+                    yield [lower[:-1], lower[-1]]
+                else:
+                    yield self._split(word)
+
+    def _encoded(self, new: list[str]) -> None:
+        """Ids of new pieces, encoded many in one call; each ends with its only token of the end of a word."""
+        ascii_ = [p.isascii() for p in new]
+        for tokenizer, wanted in ((self.plain, True), (self.tokenizer, False)):
+            own = [p for p, a in zip(new, ascii_) if a == wanted]
+            for at in range(0, len(own), 2000):
+                some = own[at : at + 2000]
+                found = np.array(tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+                ids, edges = found.tobytes(), (4 * (np.flatnonzero(self.last[found]) + 1)).tolist()
+                if len(edges) != len(some) or edges[-1] != len(ids):
+                    raise ValueError(f"{len(edges)} pieces came back of {len(some)}")
+                self.pieces.update(zip(some, [ids[i:j] for i, j in zip([0, *edges], edges)]))
+
     def _learn(self, words: list[bytes]) -> list[bytes]:
         if len(self.pieces) > _REMEMBERED_PIECES:
             self.pieces.clear()
-        known, letters, marked, others = self.pieces, [], [], {}
+        known, letters, marked, foreign, others = self.pieces, [], [], [], {}
         for word in words:
             if word.isalpha():  # ASCII letters, by far the most: one piece
                 letters.append(word)
             elif word[:-1].isalpha() and word[-1] in _AFTER_WORDS:  # and a mark: two
                 marked.append(word)
-            else:
+            elif word.isascii():
                 others[word] = self._split(word)
+            else:
+                foreign.append(word)
+        others.update(zip(foreign, self._split_others(foreign)))
         lower = b" ".join(letters).lower().decode().split(" ") if letters else []
         stems = b" ".join([w[:-1] for w in marked]).lower().decode().split(" ") if marked else []
         marks = [chr(w[-1]) for w in marked]
         new = set().union(lower, stems, marks).difference(known)
         new.update(p for pieces in others.values() for p in pieces or () if p not in known)
-        new = list(new)
-        for at in range(0, len(new), 2000):
-            some = new[at : at + 2000]
-            encoding = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
-            ids, of = np.array(encoding.ids, "<u4").tobytes(), np.array(encoding.word_ids)
-            edges = (4 * (np.flatnonzero(np.diff(of)) + 1)).tolist()
-            if len(edges) != len(some) - 1:
-                raise ValueError(f"{len(edges) + 1} pieces came back of {len(some)}")
-            known.update(zip(some, [ids[i:j] for i, j in zip([0, *edges], [*edges, len(ids)])]))
+        self._encoded(list(new))
         learnt = dict(zip(letters, map(known.__getitem__, lower)))
         learnt.update(zip(marked, map(add, map(known.__getitem__, stems), map(known.__getitem__, marks))))
         for word, pieces in others.items():

@@ -106,3 +106,17 @@ def test_cells_and_odd_rows(ready, docs):
     used, least = check_packing(packed, 64)
     assert used <= 1.15 * least + 2
     assert q.pack(q.pieces(docs([]), PATH)).count() == 0
+
+
+def test_letters_of_any_kind_are_split_many_at_once(monkeypatch):
+    library, ids_of, alone = Tokenizer.from_file(PATH), q.WordIds(PATH), []
+    monkeypatch.setattr(ids_of, "_split", lambda word, own=ids_of._split: alone.append(word) or own(word))
+    words = [f"Übé{chr(0x3b1 + i % 16)}{'abcdefghij'[i // 60]}{end}" for i in range(600) for end in ("", ".", "!")]
+    data = ids_of.of([" ".join(words).encode()])[0]
+    assert np.frombuffer(data, "<u4").tolist() == library.encode(" ".join(words), add_special_tokens=False).ids
+    assert not alone
+    odd = ["ΟΔΟΣ", "áb", "ȩ́", "ͅx", "ǅ", "İi", "ﬁ", "日本。", "é's", "x\u0085y", "é<|endoftext|>é", "Ɤa", "é²."]
+    for text in [*odd, " ".join([*odd, *words])]:
+        assert np.frombuffer(ids_of.of([text.encode()])[0], "<u4").tolist() == \
+            library.encode(text, add_special_tokens=False).ids
+    assert len(ids_of.of([b"\xff\xc3 \xc3\xa9\xff"])[0]) > 0
